@@ -20,7 +20,6 @@ def kv_entries(text, line_sep: str = "\n", kv_sep: str = "=", strict: bool = Tru
     non-blank line without the separator raises, like the reference's pattern
     match failure; otherwise such lines are dropped.
     """
-    pat = re.escape(kv_sep)
     lines = F.filter(F.split(_c(text), re.escape(line_sep), -1), lambda l: F.trim(l) != "")
     if strict:
         lines = F.transform(lines, lambda l: F.when(
@@ -29,21 +28,21 @@ def kv_entries(text, line_sep: str = "\n", kv_sep: str = "=", strict: bool = Tru
     else:
         lines = F.filter(lines, lambda l: l.contains(kv_sep))
     return F.transform(lines, lambda l: F.struct(
-        F.trim(F.regexp_extract(l, f"^(.*?){pat}", 1)).alias("key"),
-        F.trim(F.regexp_extract(l, f"^.*?{pat}(.*)$", 1)).alias("value")))
+        F.trim(F.substring_index(l, kv_sep, 1)).alias("key"),
+        F.trim(l.substr(F.instr(l, kv_sep) + len(kv_sep), F.length(l))).alias("value")))
 
 
 def parse_kv_rule(text, line_sep: str = "\n", kv_sep: str = "=", strict: bool = True) -> Column:
     """H1: rule text -> map<string,string>; a repeated key keeps its LAST value.
 
-    De-duplication is done in the expression (drop an entry when the same key
-    appears later), so the result does not depend on ``spark.sql.mapKeyDedupPolicy``.
+    The entries are folded left to right into a map, each entry first removing an
+    earlier value of its key, so the result does not depend on
+    ``spark.sql.mapKeyDedupPolicy`` and the entry array is built once per row.
     """
     entries = kv_entries(text, line_sep, kv_sep, strict)
-    last_only = F.filter(entries, lambda x, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))),
-        lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last_only)
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(entries, empty, lambda acc, x: F.map_concat(
+        F.map_filter(acc, lambda k, v: k != x["key"]), F.create_map(x["key"], x["value"])))
 
 
 def parse_range(text, sep: str = "-", kind: str = "int") -> Column:

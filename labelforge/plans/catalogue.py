@@ -131,8 +131,9 @@ def q_rule_kv_parse(spark, root):
     text = F.concat_ws("\n", F.lit("kind = unknown"),
                        F.concat(F.lit(" usr= "), F.col("user_id").cast("string"), F.lit(" ")),
                        F.concat(F.lit("kind="), F.col("event_type")), F.lit(""))
-    m = parse_kv_rule(text)
-    return ev.select("event_id", m["kind"].alias("kind"), m["usr"].alias("usr"))
+    parsed = ev.select("event_id", parse_kv_rule(text).alias("rule"))
+    return parsed.select("event_id", F.col("rule")["kind"].alias("kind"),
+                         F.col("rule")["usr"].alias("usr"))
 
 
 def q_range_rule_parse(spark, root):

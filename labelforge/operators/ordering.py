@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_sorted(df: DataFrame, keys: list[str], num_partitions: int | None = None) -> DataFrame:
-    """total order across partitions: range partitioning on the keys, then a
-    sort inside each partition (no single-task global sort)."""
+def range_sorted(df: DataFrame, keys: list[str], num_partitions: int | None = None,
+                 partition_keys: list[str] | None = None) -> DataFrame:
+    """total order across partitions: range partitioning on ``partition_keys``
+    (default: all sort keys), then a sort by ``keys`` inside each partition (no
+    single-task global sort).  Partitioning on a key prefix keeps all rows of one
+    prefix value in one partition."""
     parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    return df.repartitionByRange(parts, *(partition_keys or keys)).sortWithinPartitions(*keys)
 
 
 def global_rank(df: DataFrame, keys: list[str], out: str = "pos",

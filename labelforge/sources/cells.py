@@ -29,9 +29,10 @@ def melt_cells(df: DataFrame, key: str, family: str, columns: list[str] | None =
 
 def write_sorted_cells(cells: DataFrame, path: str, num_partitions: int | None = None) -> str:
     """A11 bulk output: cells globally sorted by (rowkey, qualifier) across files,
-    output location replaced.  Range partitioning keeps every file a contiguous key
-    range, so later point gets prune by Parquet min/max statistics."""
-    range_sorted(cells, ["rowkey", "qualifier"], num_partitions) \
+    output location replaced.  Range partitioning on the row key keeps every file a
+    contiguous key range holding whole rows, so later point gets prune by Parquet
+    min/max statistics."""
+    range_sorted(cells, ["rowkey", "qualifier"], num_partitions, partition_keys=["rowkey"]) \
         .write.mode("overwrite").parquet(path)
     return path
 

@@ -563,6 +563,34 @@ def q_profile_search_export(spark, root):
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+# ------------------------------------------------------------------ tag models
+def q_model_match_from_catalog(spark, root):
+    """M1-style run: tag 2's level-4 rule names the customer table and its fields;
+    its level-5 children (nations) are the match rules."""
+    from labelforge.plans import models
+    inp = models.model_inputs(spark, tag_tree(spark, root), 2)
+    return models.match_model(inp, "c_nationkey", "nation", key="c_custkey")
+
+
+def q_models_one_scan(spark, root):
+    """Four models over one customer scan and one broadcast join, one profile write."""
+    from labelforge.plans.runner import CopySpec, MatchSpec, RangeSpec, tag_all
+    cust = _t(spark, root, "customer", ["c_custkey", "c_mktsegment", "c_acctbal", "c_name",
+                                        "c_nationkey"])
+    nations = _t(spark, root, "nation", ["n_nationkey", "n_name"]) \
+        .select(F.col("n_nationkey").cast("string").alias("rule"), F.col("n_name").alias("name"))
+    specs = [MatchSpec("segment", "c_mktsegment", _rules(spark, SEGMENT_RULES)),
+             RangeSpec("acct", "c_acctbal", _range_rules(spark, ACCT_RULES, "~", "double"),
+                       "left_open"),
+             CopySpec("name", "c_name"),
+             MatchSpec("nation", "c_nationkey", nations)]
+    long = tag_all(cust, "c_custkey", specs)
+    path = fresh_path(spark, "profile")
+    profile.write_profile(long, path)
+    tags = ["segment", "acct", "name", "nation"]
+    return profile.pivot_long(profile.read_profile(spark, path, tags), tags)
+
+
 QUERIES = {
     "tag_rules_for": q_tag_rules_for,
     "tag_children": q_tag_children,
@@ -628,4 +656,6 @@ QUERIES = {
     "rating_letter_score": q_rating_letter_score,
     "numeric_summary": q_numeric_summary,
     "profile_search_export": q_profile_search_export,
+    "model_match_from_catalog": q_model_match_from_catalog,
+    "models_one_scan": q_models_one_scan,
 }

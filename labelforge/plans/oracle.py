@@ -219,4 +219,13 @@ ORACLE = {
     "rating_letter_score": RATING,
     "numeric_summary": SUMMARY,
     "profile_search_export": f"select * from {MERGED} where segment='builder'",
+    "model_match_from_catalog": 'select cast(c_custkey as varchar) as "userId", n_name as nation '
+                                "from customer join nation on c_nationkey=n_nationkey "
+                                "where n_regionkey=2",
+    "models_one_scan": 'select c.c_custkey as "userId", s.name as segment, a.name as acct, '
+                       f"c.c_name as name, n.n_name as nation from customer c left join {SEG_VALUES
+                       .replace(' r(rule,name)', ' s(rule,name)')} on c.c_mktsegment=s.rule "
+                       "left join (values ('debt',-1000.0,0.0),('mid',0.0,5000.0),"
+                       "('rich',5000.0,10000.0)) a(name,s,e) on c.c_acctbal>a.s and "
+                       "c.c_acctbal<=a.e left join nation n on c.c_nationkey=n.n_nationkey",
 }

@@ -591,6 +591,19 @@ def q_models_one_scan(spark, root):
     return profile.pivot_long(profile.read_profile(spark, path, tags), tags)
 
 
+def q_stream_bulk_load(spark, root):
+    """M18 incrementally: order TSV lines land as text files, a checkpointed
+    stream parses and melts them into cells, the sink is read back."""
+    from labelforge.streaming.ingest import stream_tsv_cells
+    src = fresh_path(spark, "tsv-in")
+    order_lines(spark, root).write.text(src)
+    sink = fresh_path(spark, "cells-out")
+    q = stream_tsv_cells(spark, src, sink, fresh_path(spark, "ckpt"), ["id", "st", "prio"],
+                         "detail")
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 QUERIES = {
     "tag_rules_for": q_tag_rules_for,
     "tag_children": q_tag_children,
@@ -658,4 +671,5 @@ QUERIES = {
     "profile_search_export": q_profile_search_export,
     "model_match_from_catalog": q_model_match_from_catalog,
     "models_one_scan": q_models_one_scan,
+    "stream_bulk_load": q_stream_bulk_load,
 }

@@ -219,6 +219,11 @@ ORACLE = {
     "rating_letter_score": RATING,
     "numeric_summary": SUMMARY,
     "profile_search_export": f"select * from {MERGED} where segment='builder'",
+    "stream_bulk_load": "select cast(o_orderkey as varchar) rowkey, 'detail' as family, 'st' as "
+                        "qualifier, o_orderstatus as value from orders where "
+                        "o_orderpriority<>'5-LOW' union all select cast(o_orderkey as varchar), "
+                        f"'detail', 'prio', {PRIO_EMPTIED} from orders where "
+                        "o_orderpriority<>'5-LOW'",
     "model_match_from_catalog": 'select cast(c_custkey as varchar) as "userId", n_name as nation '
                                 "from customer join nation on c_nationkey=n_nationkey "
                                 "where n_regionkey=2",

@@ -100,3 +100,24 @@ def test_global_rank_matches_sorted_order(spark):
     ranked = global_rank(df, ["k"], "pos", num_partitions=7)
     got = sorted((r["k"], r["pos"]) for r in ranked.collect())
     assert got == [(f"{i:05d}", i + 1) for i in range(5000)]
+
+
+def test_stream_ingest_and_profile_updates(spark):
+    from labelforge.plans.runner import MatchSpec
+    from labelforge.streaming.ingest import stream_profile_updates, stream_tsv_cells
+    src = fresh_path(spark, "s-in")
+    spark.createDataFrame([(x,) for x in LINES], "value string").write.text(src)
+    sink = fresh_path(spark, "s-out")
+    stream_tsv_cells(spark, src, sink, fresh_path(spark, "ck"), ["id", "f1", "f2"],
+                     "d").awaitTermination()
+    assert spark.read.parquet(sink).count() == 6  # 3 strict rows x 2 cells
+    # profile updates from a stream of member rows
+    members = fresh_path(spark, "members")
+    spark.createDataFrame([(1, "1"), (2, "2")], "id long, job string").write.parquet(members)
+    stream = spark.readStream.schema("id long, job string").parquet(members)
+    rules = spark.createDataFrame([("1", "student"), ("2", "teacher")], "rule string, name string")
+    prof = fresh_path(spark, "prof")
+    stream_profile_updates(stream, "id", [MatchSpec("job", "job", rules)], prof,
+                           fresh_path(spark, "ck")).awaitTermination()
+    assert rows(profile.read_profile(spark, prof), "userId", "tag", "value") == \
+        [(1, "job", "student"), (2, "job", "teacher")]

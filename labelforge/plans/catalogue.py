@@ -604,6 +604,147 @@ def q_stream_bulk_load(spark, root):
     return spark.read.parquet(sink)
 
 
+# ------------------------------------------------------------------ catalog-driven models
+AS_OF_MODELS = "2001-08-02"
+
+
+def model_catalog(spark: SparkSession, root: str) -> DataFrame:
+    """A tag catalog whose level-4 rules point at the driver's tables."""
+    def src(table, fields, extra=""):
+        return (f"inType=parquet\npath={os.path.join(root, table + '.parquet')}\n"
+                f"selectFieldNames={fields}{extra}")
+    rows = [
+        (300, -1, 4, "payment", src("orders", "o_custkey,o_orderpriority")),
+        (301, 300, 5, "urgent", "1-URGENT"), (302, 300, 5, "high", "2-HIGH"),
+        (303, 300, 5, "low", "5-LOW"),
+        (310, -1, 4, "cycle", src("orders", "o_custkey,o_orderdate")),
+        (311, 310, 5, "d0-30", "0-30"), (312, 310, 5, "d31-90", "31-90"),
+        (313, 310, 5, "d91-180", "91-180"),
+        (320, -1, 4, "era", src("orders", "o_orderkey,o_orderdate",
+                                "\nfilterConditions=o_orderstatus[NE]P")),
+        (321, 320, 5, "y95", "19950101-19951231"), (322, 320, 5, "y96-97", "19960101-19971231"),
+        (323, 320, 5, "y98-01", "19980101-20011231"),
+        (330, -1, 4, "acct", src("customer", "c_custkey,c_acctbal")),
+        (331, 330, 5, "debt", "-1000.0~0.0"), (332, 330, 5, "mid", "0.0~5000.0"),
+        (333, 330, 5, "rich", "5000.0~10000.0"),
+        (340, -1, 4, "name", src("customer", "c_custkey,c_name")),
+        (350, -1, 4, "status", src("orders", "o_orderkey,o_orderstatus",
+                                   "\nwhereCondition=o_orderdate#year#1")),
+        (351, 350, 5, "finished", "F"), (352, 350, 5, "open", "O"), (353, 350, 5, "pending", "P"),
+    ]
+    return spark.createDataFrame(rows, "id long, pid long, level int, name string, rule string")
+
+
+def _inputs(spark, root, tag_id, as_of=None):
+    from labelforge.plans import models
+    return models.model_inputs(spark, model_catalog(spark, root), tag_id, as_of)
+
+
+def q_model_mode_from_catalog(spark, root):
+    from labelforge.plans import models
+    return models.mode_model(_inputs(spark, root, 300), "o_custkey", "o_orderpriority", "payment")
+
+
+def q_model_recency_from_catalog(spark, root):
+    from labelforge.plans import models
+    return models.recency_model(_inputs(spark, root, 310), "o_custkey", "o_orderdate", "cycle",
+                                AS_OF_MODELS, time_kind="timestamp")
+
+
+def q_model_date_range_from_catalog(spark, root):
+    from labelforge.plans import models
+    return models.date_range_model(_inputs(spark, root, 320), "o_orderdate", "era",
+                                   key="o_orderkey")
+
+
+def q_model_ratio_from_catalog(spark, root):
+    from labelforge.plans import models
+    return models.ratio_range_model(_inputs(spark, root, 330), "c_acctbal", "acct",
+                                    key="c_custkey")
+
+
+def q_model_copy_from_catalog(spark, root):
+    from labelforge.plans import models
+    return models.copy_model(_inputs(spark, root, 340), "c_name", "name", key="c_custkey")
+
+
+def q_model_window_match_from_catalog(spark, root):
+    from labelforge.plans import models
+    return models.match_model(_inputs(spark, root, 350, AS_OF_WINDOW), "o_orderstatus", "status",
+                              key="o_orderkey")
+
+
+def q_model_distribution(spark, root):
+    from labelforge.plans import models
+    return models.distribution(q_model_mode_from_catalog(spark, root), "payment")
+
+
+def q_model_save_profile(spark, root):
+    """Two model runs saved into one long profile (upsert), read back as a wide view."""
+    from labelforge.plans import models
+    path = fresh_path(spark, "profile")
+    models.save(q_model_mode_from_catalog(spark, root), path)
+    models.save(q_model_recency_from_catalog(spark, root), path)
+    return profile.pivot_long(profile.read_profile(spark, path), ["payment", "cycle"])
+
+
+# ------------------------------------------------------------------ rating jobs
+_RATIO_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _rated_embeddings(spark, root):
+    """Classifier input: the label (0-9) read as a rating letter, scored with H11."""
+    from labelforge.plans import rating
+    emb = _t(spark, root, "embeddings", ["vec_id", "embedding", "label"])
+    letters = F.array(*[F.lit(x) for x in scores.RATING_LETTERS])
+    df = emb.select("vec_id", learning.array_features("embedding").alias("vec"),
+                    F.try_element_at(letters, (F.col("label") + 1).cast("int")).alias("rating"))
+    return rating.scored(df, "rating", scores.SCALE_REGRESSION)
+
+
+def q_rating_logistic_eval(spark, root):
+    from labelforge.plans import rating
+    data = _rated_embeddings(spark, root)
+    train, test = learning.hash_split(data, "vec_id", 80)
+    model = rating.fit(rating.logistic_pipeline(None, "vec", max_iter=20), train)
+    return rating.evaluate(model, train, test)
+
+
+def q_rating_predict_profile(spark, root):
+    from labelforge.plans import models, rating
+    data = _rated_embeddings(spark, root)
+    train, _ = learning.hash_split(data, "vec_id", 80)
+    model = rating.fit(rating.logistic_pipeline(None, "vec", max_iter=20), train)
+    path = fresh_path(spark, "profile")
+    models.save(rating.predicted_tag(model, data, "vec_id"), path)
+    return profile.pivot_long(profile.read_profile(spark, path), ["predictedCredit"])
+
+
+def q_rating_tree_eval(spark, root):
+    from labelforge.plans import rating
+    data = _rated_embeddings(spark, root).withColumn("score_text", F.col("score").cast("string"))
+    train, test = learning.hash_split(data, "vec_id", 70)
+    model = rating.with_label_restore(rating.fit(
+        rating.tree_pipeline(None, "vec", label="score_text", max_depth=5), train))
+    out = None
+    for name, part in (("train", train), ("test", test)):
+        p = model.transform(part)
+        acc = F.avg(F.when(F.col("predictedLabel") == F.col("score_text"), 1.0).otherwise(0.0))
+        row = p.agg(F.lit(name).alias("split"), F.round(acc, 6).alias("accuracy"),
+                    F.count(F.lit(1)).alias("n"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_ratio_correlation(spark, root):
+    from labelforge.plans import rating
+    li = _t(spark, root, "lineitem", _RATIO_COLUMNS)
+    letters = F.array(*[F.lit(x) for x in scores.RATING_LETTERS])
+    li = li.withColumn("rating", F.try_element_at(
+        letters, (F.pmod(F.col("l_quantity").cast("long"), F.lit(11)) + 1).cast("int")))
+    return rating.ratio_correlation(li, _RATIO_COLUMNS, "rating")
+
+
 QUERIES = {
     "tag_rules_for": q_tag_rules_for,
     "tag_children": q_tag_children,
@@ -672,4 +813,16 @@ QUERIES = {
     "model_match_from_catalog": q_model_match_from_catalog,
     "models_one_scan": q_models_one_scan,
     "stream_bulk_load": q_stream_bulk_load,
+    "model_mode_from_catalog": q_model_mode_from_catalog,
+    "model_recency_from_catalog": q_model_recency_from_catalog,
+    "model_date_range_from_catalog": q_model_date_range_from_catalog,
+    "model_ratio_from_catalog": q_model_ratio_from_catalog,
+    "model_copy_from_catalog": q_model_copy_from_catalog,
+    "model_window_match_from_catalog": q_model_window_match_from_catalog,
+    "model_distribution": q_model_distribution,
+    "model_save_profile": q_model_save_profile,
+    "rating_logistic_eval": q_rating_logistic_eval,
+    "rating_predict_profile": q_rating_predict_profile,
+    "rating_tree_eval": q_rating_tree_eval,
+    "ratio_correlation": q_ratio_correlation,
 }

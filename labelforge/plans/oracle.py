@@ -84,6 +84,26 @@ SCORE_LETTER = ("select l_orderkey, l_linenumber, case " + " ".join(
     [(10, "AAA"), (9, "AA"), (8, "A"), (7, "BBB"), (6, "BB"), (5, "B"), (4, "CCC")])
     + " else '' end as letter from lineitem")
 
+MODE_S = ("(select cast(o_custkey as varchar) as \"userId\", o_orderpriority, row_number() "
+          "over(partition by cast(o_custkey as varchar) order by count(*) desc, o_orderpriority) "
+          "rn from orders group by 1,2)")
+MODEL_MODE = (f'select m."userId", r.name as payment from {MODE_S} m join (values '
+              "('1-URGENT','urgent'),('2-HIGH','high'),('5-LOW','low')) r(rule,name) "
+              "on m.o_orderpriority=r.rule where rn=1")
+MODEL_CYCLE = ('select "userId", r.name as cycle from (select cast(o_custkey as varchar) as '
+               "\"userId\", date_diff('day', max(o_orderdate), timestamp '2001-08-02') d from "
+               "orders group by 1) join (values ('d0-30',0,30),('d31-90',31,90),"
+               "('d91-180',91,180)) r(name,s,e) on d between r.s and r.e")
+_RATIO = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice",
+          "l_discount": "l_discount", "l_tax": "l_tax",
+          "score": "10.0::double * case rating " + " ".join(
+              f"when '{x}' then {v}::double" for x, v in zip(
+                  _LETTERS, (1.0, 1.0, 0.8, 0.7, 0.6, 0.5, 0.2, 0.2, 0.2, 0.2))) + " end"}
+RATIO_CORR = " union all ".join(
+    f"select '{a}' as a, '{b}' as b, round(corr({ca},{cb}),6) as r from "
+    f"(select *, {_LETTER_OF} as rating from lineitem)"
+    for a, ca in _RATIO.items() for b, cb in _RATIO.items())
+
 ORACLE = {
     "tag_rules_for": f"select id,name,level from {TREE} where id=2 union "
                      f"select id,name,level from {TREE} where pid=2",
@@ -224,6 +244,27 @@ ORACLE = {
                         "o_orderpriority<>'5-LOW' union all select cast(o_orderkey as varchar), "
                         f"'detail', 'prio', {PRIO_EMPTIED} from orders where "
                         "o_orderpriority<>'5-LOW'",
+    "model_mode_from_catalog": MODEL_MODE,
+    "model_recency_from_catalog": MODEL_CYCLE,
+    "model_date_range_from_catalog": 'select cast(o_orderkey as varchar) as "userId", r.name as '
+                                     "era from orders join (values ('y95',19950101,19951231),"
+                                     "('y96-97',19960101,19971231),('y98-01',19980101,20011231))"
+                                     " r(name,s,e) on cast(strftime(o_orderdate,'%Y%m%d') as int)"
+                                     " between r.s and r.e where o_orderstatus<>'P'",
+    "model_ratio_from_catalog": ACCT.replace('c_custkey as "userId"',
+                                             'cast(c_custkey as varchar) as "userId"')[1:-1],
+    "model_copy_from_catalog": 'select cast(c_custkey as varchar) as "userId", c_name as name '
+                               "from customer",
+    "model_window_match_from_catalog": 'select cast(o_orderkey as varchar) as "userId", case '
+                                       "o_orderstatus when 'F' then 'finished' when 'O' then "
+                                       "'open' when 'P' then 'pending' end as status from orders "
+                                       "where strftime(o_orderdate,'%Y-%m-%d') between "
+                                       "'2000-07-31' and '2001-07-31'",
+    "model_distribution": f"select payment, count(*) as cnt from ({MODEL_MODE}) group by 1",
+    "model_save_profile": 'select coalesce(a."userId",b."userId") as "userId", payment, cycle '
+                          f'from ({MODEL_MODE}) a full join ({MODEL_CYCLE}) b '
+                          'on a."userId"=b."userId"',
+    "ratio_correlation": RATIO_CORR,
     "model_match_from_catalog": 'select cast(c_custkey as varchar) as "userId", n_name as nation '
                                 "from customer join nation on c_nationkey=n_nationkey "
                                 "where n_regionkey=2",

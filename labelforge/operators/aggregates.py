@@ -39,13 +39,23 @@ def corr_matrix(df: DataFrame, columns: dict, nulls: str = "drop", digits: int |
         cols = {k: F.coalesce(v, F.lit(0.0)) for k, v in cols.items()}
     elif nulls != "drop":
         raise ValueError("nulls must be 'drop' or 'zero'")
-    todo = [(a, b) for i, a in enumerate(names) for j, b in enumerate(names)
-            if pairs == "all" or i < j]
-    aggs = [F.corr(cols[a], cols[b]).alias(f"c{i}") for i, (a, b) in enumerate(todo)]
-    wide = df.agg(*aggs)
+    # inputs are projected once, so a derived column is evaluated once per row and
+    # not inside every correlation state that reads it
+    slots = {k: f"_v{i}" for i, k in enumerate(names)}
+    projected = df.select(*[cols[k].alias(slots[k]) for k in names])
+    # corr is symmetric: aggregate i <= j only and mirror
+    upper = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    aggs = [F.corr(slots[a], slots[b]).alias(f"c{i}") for i, (a, b) in enumerate(upper)]
+    wide = projected.agg(*aggs)
+    rows = []
+    for i, (a, b) in enumerate(upper):
+        rows.append((a, b, i))
+        if pairs == "all" and a != b:
+            rows.append((b, a, i))
+    if pairs == "upper":
+        rows = [(a, b, i) for a, b, i in rows if a != b]
     stacked = F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                          F.col(f"c{i}").alias("r"))
-                                 for i, (a, b) in enumerate(todo)]))
+                                          F.col(f"c{i}").alias("r")) for a, b, i in rows]))
     out = wide.select(stacked)
     if digits is not None:
         out = out.withColumn("r", F.round("r", digits))

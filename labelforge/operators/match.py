@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
+from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS,
+                                        bounded_broadcast, replicate_salts, salt_column)
 
 UNMATCHED_POLICIES = ("drop", "null", "default", "error")
 
@@ -22,7 +23,8 @@ def rule_match(df: DataFrame, field, rules: DataFrame, key: str = "id",
                dedup: bool = False, rule_col: str = "rule", name_col: str = "name",
                order_col: str = "id", key_alias: str = "userId",
                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-               rules_rows: int | None = None) -> DataFrame:
+               rules_rows: int | None = None,
+               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Tag each row whose ``field`` equals a rule value with the rule's name.
 
     Output ``(userId, <tag>)``.  ``on_unmatched``: ``drop`` (inner join; a null or
@@ -30,18 +32,25 @@ def rule_match(df: DataFrame, field, rules: DataFrame, key: str = "id",
     (fail the job on the first unmatched value, like a strict map lookup).
     Duplicate rule values fan out unless ``dedup`` keeps the one with the greatest
     ``order_col``.  The rule side is broadcast when its size is known or checked
-    to be at most ``max_broadcast_rows``; otherwise Spark shuffles both sides
-    (AQE splits a skewed hot value on the business side).
+    to be at most ``max_broadcast_rows``.  Otherwise both sides are shuffled on
+    ``(value, salt)``: business rows get a salt in ``[0, salt_buckets)`` from a hash of
+    their key, rule rows are replicated per salt, so one value holding a third of
+    all rows is spread over ``salt_buckets`` tasks instead of one.
     """
     if on_unmatched not in UNMATCHED_POLICIES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_POLICIES}")
     value: Column = F.col(field) if isinstance(field, str) else field
     r = dedup_rules(rules, rule_col, name_col, order_col) if dedup else rules
     r = r.select(F.col(rule_col).alias("_rule"), F.col(name_col).alias("_name"))
-    r, _ = bounded_broadcast(r, max_broadcast_rows, None if dedup else rules_rows)
+    r, hinted = bounded_broadcast(r, max_broadcast_rows, None if dedup else rules_rows)
     left = df.select(F.col(key).alias(key_alias), value.alias("_value"))
     how = "inner" if on_unmatched == "drop" else "left"
-    joined = left.join(r, left["_value"] == r["_rule"], how)
+    if hinted or salt_buckets <= 1:
+        joined = left.join(r, left["_value"] == r["_rule"], how)
+    else:
+        left = left.withColumn("_salt", salt_column([F.col(key_alias)], salt_buckets))
+        r = replicate_salts(r, salt_buckets, "_rsalt")
+        joined = left.join(r, (left["_value"] == r["_rule"]) & (left["_salt"] == r["_rsalt"]), how)
     name = F.col("_name")
     if on_unmatched == "default":
         name = F.coalesce(name, F.lit(default))

@@ -24,9 +24,11 @@ def global_rank(df: DataFrame, keys: list[str], out: str = "pos",
     Rows are range-partitioned and sorted, each row gets its index inside its
     partition, and a per-partition row count (one row per partition) is turned
     into offsets that are broadcast back.  Keys should be unique for a repeatable
-    result.
+    result.  Rows with equal keys are ordered by a hash of the whole row, which lets
+    the range partitioner split one key value holding a large share of the rows.
     """
-    ordered = range_sorted(df, keys, num_partitions) \
+    df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    ordered = range_sorted(df, keys + ["_tb"], num_partitions) \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())
     # index inside the partition: monotonically_increasing_id = (pid << 33) + index
@@ -37,4 +39,4 @@ def global_rank(df: DataFrame, keys: list[str], out: str = "pos",
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return ordered.join(F.broadcast(offsets), "_pid") \
         .withColumn(out, F.col("_off") + F.col("_idx") + 1) \
-        .drop("_pid", "_mid", "_idx", "_off")
+        .drop("_pid", "_mid", "_idx", "_off", "_tb")

@@ -58,14 +58,15 @@ def upsert_wide(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def write_profile(long: DataFrame, path: str, mode: str = "replace_tag",
-                  key: str = KEY) -> None:
+                  key: str = KEY, tags: list[str] | None = None) -> None:
     """Profile sink.
 
     ``replace_tag``: dynamic partition overwrite; each tag present in ``long``
     replaces its partition, other tags are untouched.
     ``upsert``: the written tags' old partitions are merged with the new cells
     (keys missing from this run keep their old value) through a staging copy,
-    then swapped in with a dynamic partition overwrite.
+    then swapped in with a dynamic partition overwrite.  ``tags`` names the tags
+    being written (saves a pass over ``long`` to find them).
     """
     spark = long.sparkSession
     writer_conf = "spark.sql.sources.partitionOverwriteMode"
@@ -74,7 +75,8 @@ def write_profile(long: DataFrame, path: str, mode: str = "replace_tag",
     try:
         out = long.select(key, "value", "tag")
         if mode == "upsert" and _exists(spark, path):
-            tags = [r[0] for r in long.select("tag").distinct().collect()]  # tag names only
+            if tags is None:  # tag names only: a handful of values
+                tags = [r[0] for r in long.select("tag").distinct().collect()]
             old = spark.read.parquet(path).where(F.col("tag").isin(tags))
             merged = upsert_long(old, long, key)
             stage = fresh_path(spark, "profile-stage")

@@ -7,8 +7,9 @@ is broadcast and the predicate runs inside a BroadcastNestedLoopJoin, i.e.
 Many ranges (over ``max_broadcast_rows``): a bucketed equi-join.  The value axis
 is cut into buckets of a width derived from the ranges (span / count), every
 range is listed once per bucket it touches, and values join on their bucket id
-(a shuffle join that AQE can split when one bucket is hot), then the exact
-predicate is applied.
+(a shuffle join on ``(bucket, salt)``: a value bucket holding a third of all rows
+is spread over the salt buckets, the few ranges of that bucket being replicated
+per salt), then the exact predicate is applied.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
+from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS,
+                                        bounded_broadcast, replicate_salts, salt_column)
 
 BOUNDS = ("closed", "left_open")
 
@@ -52,7 +54,7 @@ def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: s
 
 
 def _bucketed_range_join(left: DataFrame, r: DataFrame, bounds: str, key_alias: str,
-                         tag: str) -> DataFrame:
+                         tag: str, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     stats = r.agg(F.min("_s").alias("lo"), F.max("_e").alias("hi"),
                   F.count("*").alias("n")).first()
     lo, hi, n = float(stats["lo"]), float(stats["hi"]), int(stats["n"])
@@ -60,7 +62,8 @@ def _bucketed_range_join(left: DataFrame, r: DataFrame, bounds: str, key_alias:
     bucket = lambda c: F.floor((c.cast("double") - F.lit(lo)) / F.lit(width)).cast("long")
     exploded = r.select("_name", "_s", "_e", F.explode(F.sequence(bucket(F.col("_s")),
                                                                   bucket(F.col("_e")))).alias("_b"))
-    keyed = left.where(F.col("_x").isNotNull()).withColumn("_b", bucket(F.col("_x")))
-    joined = keyed.join(exploded, "_b")
+    keyed = left.where(F.col("_x").isNotNull()).withColumn("_b", bucket(F.col("_x"))) \
+        .withColumn("_salt", salt_column([F.col(key_alias), F.col("_x")], salt_buckets))
+    joined = keyed.join(replicate_salts(exploded, salt_buckets), ["_b", "_salt"])
     return joined.where(_predicate(F.col("_x"), F.col("_s"), F.col("_e"), bounds)) \
         .select(key_alias, F.col("_name").alias(tag))

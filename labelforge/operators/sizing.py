@@ -31,3 +31,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     if n is not None and n <= max_rows:
         return F.broadcast(df), True
     return df, False
+
+
+# Salt buckets used when a join cannot be broadcast: the big side's rows of one
+# join key are spread over this many tasks and the (small-per-key) other side is
+# replicated once per bucket.
+DEFAULT_SALT_BUCKETS = 16
+
+
+def salt_column(key_cols, buckets: int):
+    """Deterministic salt in [0, buckets) from the row's own key columns, so a
+    recomputed task assigns every row to the same bucket."""
+    return F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int")
+
+
+def replicate_salts(df: DataFrame, buckets: int, name: str = "_salt") -> DataFrame:
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

@@ -88,4 +88,25 @@ def distribution(tagged: DataFrame, tag: str) -> DataFrame:
 
 def save(tagged: DataFrame, profile_path: str, mode: str = "upsert") -> None:
     """A5: write the model's tag column(s) into the long profile store."""
-    profile.write_profile(profile.to_long(tagged), profile_path, mode=mode)
+    tags = [c for c in tagged.columns if c != profile.KEY]
+    profile.write_profile(profile.to_long(tagged), profile_path, mode=mode, tags=tags)
+
+
+MODEL_KINDS = {"match": match_model, "copy": copy_model, "date_range": date_range_model,
+               "ratio_range": ratio_range_model, "recency": recency_model, "mode": mode_model}
+
+
+def execute(spark: SparkSession, tags: DataFrame, tag_id: int, kind: str,
+            profile_path: str | None = None, as_of: str | None = None,
+            save_mode: str = "upsert", **params) -> DataFrame:
+    """One model run: rules of ``tag_id`` -> business data -> ``kind`` operator ->
+    optional save into the profile at ``profile_path``.  Returns the tag frame."""
+    if kind not in MODEL_KINDS:
+        raise ValueError(f"kind must be one of {sorted(MODEL_KINDS)}")
+    inp = model_inputs(spark, tags, tag_id, as_of)
+    if kind == "recency":
+        params.setdefault("as_of", as_of)
+    tagged = MODEL_KINDS[kind](inp, **params)
+    if profile_path:
+        save(tagged, profile_path, save_mode)
+    return tagged

@@ -121,3 +121,14 @@ def test_stream_ingest_and_profile_updates(spark):
                            fresh_path(spark, "ck")).awaitTermination()
     assert rows(profile.read_profile(spark, prof), "userId", "tag", "value") == \
         [(1, "job", "student"), (2, "job", "teacher")]
+
+
+def test_execute_model_run_saves_into_profile(spark):
+    from labelforge.plans import catalogue, models
+    root = "/root/testdata/sf0.001"
+    cat = catalogue.model_catalog(spark, root)
+    path = fresh_path(spark, "exec-profile")
+    tagged = models.execute(spark, cat, 330, "ratio_range", profile_path=path, field="c_acctbal",
+                            tag="acct", key="c_custkey")
+    stored = profile.read_profile(spark, path, ["acct"])
+    assert stored.count() == tagged.count() > 0

@@ -133,3 +133,20 @@ def test_hot_group_top1_is_one_aggregate(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert out.where(F.col("k") == 1).first()["v"] == 19998
+
+
+def test_salted_fallbacks_spread_a_hot_value(spark, job_rules):
+    """Without broadcast, a value holding most rows is joined on (value, salt)."""
+    hot = spark.range(0, 3000).select(F.col("id").cast("string").alias("id"),
+                                      F.when(F.col("id") % 10 < 8, F.lit("1"))
+                                      .otherwise(F.lit("2")).alias("job"))
+    a = rule_match(hot, "job", job_rules, tag="job", dedup=True)
+    b = rule_match(hot, "job", job_rules, tag="job", dedup=True, max_broadcast_rows=0)
+    assert rows(a) == rows(b)
+    plan = b._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_rsalt" in plan
+    ranges = spark.createDataFrame([("lo", 0, 9), ("hi", 10, 99)], "name string, start int, end int")
+    vals = spark.range(0, 3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(5))
+                                       .otherwise(F.col("id") % 100).alias("v"))
+    assert rows(range_match(vals, "v", ranges)) == \
+        rows(range_match(vals, "v", ranges, max_broadcast_rows=0))

@@ -16,3 +16,10 @@ def cast_all_double(df: DataFrame, keep: list[str] | tuple[str, ...] = ("id",),
     target = set(columns) if columns is not None else set(df.columns) - set(keep)
     return df.select([F.col(c).try_cast("double").alias(c) if c in target else F.col(c)
                       for c in df.columns])
+
+
+def positional_columns(columns: list[str], start: int = 1, stop: int | None = None) -> list[str]:
+    """A positional slice of a column list (e.g. all but the key, or all but the
+    key and the label).  Named feature lists are preferred; this keeps the
+    positional form available for tables whose layout is fixed."""
+    return list(columns)[start:stop]

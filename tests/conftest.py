@@ -10,7 +10,10 @@ from labelforge.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="labelforge-tests", shuffle_partitions=8)
+    import tempfile
+    warehouse = tempfile.mkdtemp(prefix="labelforge-warehouse-")
+    s = build_session("local[4]", app="labelforge-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

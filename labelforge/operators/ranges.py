@@ -1,15 +1,16 @@
-"""Range tagging (C3 closed ranges, C4 left-open ranges).
-
-Few ranges (the normal case, a tag has a handful of value rules): the range side
-is broadcast and the predicate runs inside a BroadcastNestedLoopJoin, i.e.
-``rows x ranges`` comparisons on the executors with no shuffle of the big side.
-
-Many ranges (over ``max_broadcast_rows``): a bucketed equi-join.  The value axis
-is cut into buckets of a width derived from the ranges (span / count), every
-range is listed once per bucket it touches, and values join on their bucket id
-(a shuffle join on ``(bucket, salt)``: a value bucket holding a third of all rows
-is spread over the salt buckets, the few ranges of that bucket being replicated
-per salt), then the exact predicate is applied.
+"""Range tagging (C3 closed ranges, C4 left-open ranges) as a bucketed equi-join.
+
+The value axis is cut into buckets of equal width derived from the ranges
+(span / count, at most ``max_buckets`` buckets).  Every range is listed once per
+bucket it touches, values join on their bucket id, and the exact predicate is the
+join condition.  Bucketing is exact: ``floor((x - lo) / width)`` is monotonic in
+``x``, so a value inside a range always lands in one of the range's buckets.
+
+* few ranges (the normal case): the bucket list is broadcast -> one
+  BroadcastHashJoin, each row probes only the ranges of its own bucket;
+* many ranges (over ``max_broadcast_rows``): a shuffle join on
+  ``(bucket, salt)``; a bucket holding a third of all rows is spread over the
+  salt buckets, the few ranges of that bucket being replicated per salt.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROW
                                         bounded_broadcast, replicate_salts, salt_column)
 
 BOUNDS = ("closed", "left_open")
+MAX_BUCKETS = 1024
 
 
 def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
@@ -31,39 +33,62 @@ def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
     raise ValueError(f"bounds must be one of {BOUNDS}")
 
 
+def bucket_grid(ranges: DataFrame, start_col: str = "_s", end_col: str = "_e",
+                max_buckets: int = MAX_BUCKETS) -> tuple[float, float]:
+    """(lo, width) of the bucket grid: three scalars from one aggregate over the ranges."""
+    st = ranges.agg(F.min(start_col).alias("lo"), F.max(end_col).alias("hi"),
+                    F.count(F.lit(1)).alias("n")).first()
+    if st["n"] == 0 or st["lo"] is None:
+        return 0.0, 1.0
+    lo, hi = float(st["lo"]), float(st["hi"])
+    buckets = max(1, min(int(st["n"]), max_buckets))
+    return lo, max((hi - lo) / buckets, 1e-12)
+
+
+def bucket_of(x: Column, lo: float, width: float) -> Column:
+    return F.floor((x.cast("double") - F.lit(lo)) / F.lit(width)).cast("long")
+
+
+def explode_buckets(ranges: DataFrame, lo: float, width: float, start_col: str = "_s",
+                    end_col: str = "_e", out: str = "_b") -> DataFrame:
+    """One row per (range, bucket it touches)."""
+    return ranges.withColumn(out, F.explode(F.sequence(bucket_of(F.col(start_col), lo, width),
+                                                       bucket_of(F.col(end_col), lo, width))))
+
+
 def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: str = "tag",
                 bounds: str = "closed", start_col: str = "start", end_col: str = "end",
                 name_col: str = "name", key_alias: str = "userId",
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                ranges_rows: int | None = None) -> DataFrame:
+                ranges_rows: int | None = None,
+                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Tag each row with every range containing ``value`` -> ``(userId, <tag>)``.
 
     A value in no range (or null) gives no row; overlapping ranges give several.
-    Ranges with a null bound match nothing.
+    Ranges with a null bound, or with start > end, match nothing.
     """
+    if bounds not in BOUNDS:
+        raise ValueError(f"bounds must be one of {BOUNDS}")
     x = F.col(value) if isinstance(value, str) else value
-    left = df.select(F.col(key).alias(key_alias), x.alias("_x"))
+    left = df.select(F.col(key).alias(key_alias), x.alias("_x")).where(F.col("_x").isNotNull())
     r = ranges.select(F.col(name_col).alias("_name"), F.col(start_col).alias("_s"),
-                      F.col(end_col).alias("_e")).where(F.col("_s").isNotNull()
-                                                        & F.col("_e").isNotNull())
-    small, hinted = bounded_broadcast(r, max_broadcast_rows, ranges_rows)
+                      F.col(end_col).alias("_e")) \
+        .where(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_s") <= F.col("_e")))
+    lo, width = bucket_grid(r)
+    exploded = explode_buckets(r, lo, width)
+    keyed = left.withColumn("_b", bucket_of(F.col("_x"), lo, width))
+    # a known range count bounds the bucket list: n ranges x at most n buckets each
+    known = ranges_rows * min(ranges_rows, MAX_BUCKETS) if ranges_rows is not None else None
+    small, hinted = bounded_broadcast(exploded, max_broadcast_rows,
+                                      known if known is not None and known <= max_broadcast_rows
+                                      else None)
     if hinted:
-        joined = left.join(small, _predicate(left["_x"], small["_s"], small["_e"], bounds))
-        return joined.select(key_alias, F.col("_name").alias(tag))
-    return _bucketed_range_join(left, r, bounds, key_alias, tag)
-
-
-def _bucketed_range_join(left: DataFrame, r: DataFrame, bounds: str, key_alias: str,
-                         tag: str, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    stats = r.agg(F.min("_s").alias("lo"), F.max("_e").alias("hi"),
-                  F.count("*").alias("n")).first()
-    lo, hi, n = float(stats["lo"]), float(stats["hi"]), int(stats["n"])
-    width = max((hi - lo) / max(n, 1), 1e-9)
-    bucket = lambda c: F.floor((c.cast("double") - F.lit(lo)) / F.lit(width)).cast("long")
-    exploded = r.select("_name", "_s", "_e", F.explode(F.sequence(bucket(F.col("_s")),
-                                                                  bucket(F.col("_e")))).alias("_b"))
-    keyed = left.where(F.col("_x").isNotNull()).withColumn("_b", bucket(F.col("_x"))) \
-        .withColumn("_salt", salt_column([F.col(key_alias), F.col("_x")], salt_buckets))
-    joined = keyed.join(replicate_salts(exploded, salt_buckets), ["_b", "_salt"])
-    return joined.where(_predicate(F.col("_x"), F.col("_s"), F.col("_e"), bounds)) \
-        .select(key_alias, F.col("_name").alias(tag))
+        joined = keyed.join(small, (keyed["_b"] == small["_b"])
+                            & _predicate(keyed["_x"], small["_s"], small["_e"], bounds))
+    else:
+        keyed = keyed.withColumn("_salt", salt_column([F.col(key_alias), F.col("_x")],
+                                                      salt_buckets))
+        rep = replicate_salts(exploded, salt_buckets)
+        joined = keyed.join(rep, (keyed["_b"] == rep["_b"]) & (keyed["_salt"] == rep["_salt"])
+                            & _predicate(keyed["_x"], rep["_s"], rep["_e"], bounds))
+    return joined.select(key_alias, F.col("_name").alias(tag))

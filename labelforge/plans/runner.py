@@ -6,8 +6,9 @@ Match, range and copy models that read the same table are evaluated together:
    ``(userId, tag, s, x)`` -- one row per (entity, model), ``s`` the value as
    text and ``x`` as a double;
 2. one join with the union of all models' rules, keyed by ``(tag, k)`` where
-   ``k`` is the value for match models and the empty string for range and copy
-   models, the remaining range predicate being a join condition;
+   ``k`` is the value for match models, the value's bucket id for range models
+   (ranges listed once per bucket they touch, as in ``range_match``) and the
+   empty string for copy models, the exact range predicate being a join condition;
 3. the tagged long frame, ready for a single profile write.
 
 With the rule union under the broadcast bound this is a single scan, a single
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from labelforge.operators.match import copy_tag, rule_match
 from labelforge.operators.profile import KEY, to_long
-from labelforge.operators.ranges import range_match
+from labelforge.operators.ranges import bucket_grid, bucket_of, explode_buckets, range_match
 from labelforge.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
 
 
@@ -61,7 +62,17 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
-def combined_rules(spark: SparkSession, specs: list) -> DataFrame:
+def _range_side(s: "RangeSpec") -> tuple[DataFrame, float, float]:
+    r = s.ranges.select(F.col("name"), F.col("start").cast("double").alias("_s"),
+                        F.col("end").cast("double").alias("_e")) \
+        .where(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_s") <= F.col("_e")))
+    lo, width = bucket_grid(r)
+    return explode_buckets(r, lo, width), lo, width
+
+
+def combined_rules(spark: SparkSession, specs: list, grids: dict | None = None) -> DataFrame:
+    """Union of every model's rules as ``(tag, k, kind, lo, hi, name)``; ``grids``
+    receives the bucket grid of each range model."""
     parts = []
     for s in specs:
         if isinstance(s, MatchSpec):
@@ -70,10 +81,13 @@ def combined_rules(spark: SparkSession, specs: list) -> DataFrame:
                                         F.lit(None).cast("double").alias("lo"),
                                         F.lit(None).cast("double").alias("hi"), "name"))
         elif isinstance(s, RangeSpec):
-            parts.append(s.ranges.select(F.lit(s.tag).alias("tag"), F.lit("").alias("k"),
-                                         F.lit(s.bounds).alias("kind"),
-                                         F.col("start").cast("double").alias("lo"),
-                                         F.col("end").cast("double").alias("hi"), "name"))
+            exploded, lo, width = _range_side(s)
+            if grids is not None:
+                grids[s.tag] = (lo, width)
+            parts.append(exploded.select(F.lit(s.tag).alias("tag"),
+                                         F.col("_b").cast("string").alias("k"),
+                                         F.lit(s.bounds).alias("kind"), F.col("_s").alias("lo"),
+                                         F.col("_e").alias("hi"), "name"))
         elif isinstance(s, CopySpec):
             parts.append(spark.createDataFrame([(s.tag, "", "copy", None, None, None)],
                                                RULE_SCHEMA))
@@ -86,14 +100,18 @@ def tag_all(df: DataFrame, key: str, specs: list,
             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Evaluate all ``specs`` on ``df`` -> long tags ``(userId, tag, value)``."""
     spark = df.sparkSession
-    rules, hinted = bounded_broadcast(combined_rules(spark, specs), max_broadcast_rows)
+    grids: dict = {}
+    rules, hinted = bounded_broadcast(combined_rules(spark, specs, grids), max_broadcast_rows)
     if not hinted:
         return _one_by_one(df, key, specs)
     def cell(s):
         is_range = isinstance(s, RangeSpec)
         text = F.lit(None).cast("string") if is_range else _col(s.value).cast("string")
         num = _col(s.value).try_cast("double") if is_range else F.lit(None).cast("double")
-        pad = F.lit(None) if isinstance(s, MatchSpec) else F.lit("")
+        if is_range:
+            pad = bucket_of(num, *grids[s.tag]).cast("string")
+        else:
+            pad = F.lit(None) if isinstance(s, MatchSpec) else F.lit("")
         return F.struct(F.lit(s.tag).alias("tag"), text.alias("s"), num.alias("x"),
                         pad.cast("string").alias("pad"))
 

@@ -11,9 +11,13 @@ def range_sorted(df: DataFrame, keys: list[str], num_partitions: int | None = No
     """total order across partitions: range partitioning on ``partition_keys``
     (default: all sort keys), then a sort by ``keys`` inside each partition (no
     single-task global sort).  Partitioning on a key prefix keeps all rows of one
-    prefix value in one partition."""
-    parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(parts, *(partition_keys or keys)).sortWithinPartitions(*keys)
+    prefix value in one partition.  Without ``num_partitions`` the count comes from
+    ``spark.sql.shuffle.partitions`` (sized by the cluster for its data) and AQE may
+    merge adjacent small ranges, which keeps the order intact."""
+    pkeys = partition_keys or keys
+    ranged = df.repartitionByRange(num_partitions, *pkeys) if num_partitions \
+        else df.repartitionByRange(*pkeys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def global_rank(df: DataFrame, keys: list[str], out: str = "pos",

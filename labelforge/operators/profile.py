@@ -105,9 +105,13 @@ def read_profile(spark: SparkSession, path: str, tags: list[str] | None = None,
 
 def packed_tags(df: DataFrame, key: str, packed: str, pair_sep: str = ",",
                 kv_sep: str = ":") -> DataFrame:
-    """``"gender:x,job:y"`` -> long cells ``(key, tag, value)``."""
-    import re
-    m = F.str_to_map(F.col(packed), F.lit(re.escape(pair_sep)), F.lit(re.escape(kv_sep)))
+    """``"gender:x,job:y"`` -> long cells ``(key, tag, value)``.
+
+    Same parser as the rule text (H1): trimmed, split on the first ``kv_sep``, a
+    repeated tag keeps its last value, a pair without ``kv_sep`` raises.
+    """
+    from labelforge.functions.rules import parse_kv_rule
+    m = parse_kv_rule(F.col(packed), pair_sep, kv_sep)
     return df.select(F.col(key).alias(KEY), F.explode(m).alias("tag", "value"))
 
 

@@ -28,6 +28,7 @@ from labelforge.operators.topk import top_n_per_group, top_n_per_group_sql
 from labelforge.session import fresh_path
 from labelforge.sources import catalog, cells
 from labelforge.sources.delimited import parse_delimited_lines, read_csv
+from labelforge.sources.literal import literal_frame
 from labelforge.sources.tables import append_parquet, read_table
 from labelforge.sources.wide import filter_conditions, read_wide, read_wide_window
 
@@ -56,12 +57,12 @@ def _t(spark: SparkSession, root: str, name: str, cols=None) -> DataFrame:
 
 def _rules(spark: SparkSession, rows, names=("rule", "name")) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.createDataFrame(rows, schema)
+    return literal_frame(spark, rows, schema)
 
 
 def _range_rules(spark: SparkSession, rows, sep: str, kind: str) -> DataFrame:
     """Range rule texts parsed with H2/H3 -> (name, start, end)."""
-    r = spark.createDataFrame(rows, "name string, rule string") \
+    r = literal_frame(spark, rows, "name string, rule string") \
         .select("name", parse_range(F.col("rule"), sep, kind).alias("r"))
     return r.select("name", F.col("r.start").alias("start"), F.col("r.end").alias("end"))
 
@@ -103,8 +104,8 @@ def q_tag_model_left_join(spark, root):
 
 def q_tag_insert_if_absent(spark, root):
     old = tag_tree(spark, root).select("name", "level", "pid")
-    new = spark.createDataFrame([("CHINA_X", 5, 2), ("AFRICA", 4, -1)],
-                                "name string, level int, pid long")
+    new = literal_frame(spark, [("CHINA_X", 5, 2), ("AFRICA", 4, -1)],
+                        "name string, level int, pid long")
     return catalog.insert_if_absent(old, new)
 
 
@@ -120,7 +121,7 @@ def q_tag_path_insert(spark, root):
     nation = _t(spark, root, "nation", ["n_name", "n_regionkey"])
     paths = nation.join(region, nation.n_regionkey == region.r_regionkey) \
         .select(F.col("r_name").alias("l1"), F.col("n_name").alias("l2"))
-    empty = spark.createDataFrame([], "id long, pid long, level int, name string, rule string")
+    empty = literal_frame(spark, [], "id long, pid long, level int, name string, rule string")
     return catalog.insert_tag_paths(empty, paths, max_level=2).select("id", "pid", "level", "name")
 
 
@@ -481,8 +482,8 @@ def q_vector_index_kinds(spark, root):
     names = ["linenumber", "price"]
     v = learning.assemble(li, ["l_linenumber", "l_extendedprice"], "fv")
     kinds = learning.vector_category_kinds(v, "fv", 20)
-    return spark.createDataFrame([(n, i in kinds) for i, n in enumerate(names)],
-                                 "f string, categorical boolean")
+    return literal_frame(spark, [(n, i in kinds) for i, n in enumerate(names)],
+                         "f string, categorical boolean")
 
 
 def q_split_deterministic(spark, root):
@@ -632,7 +633,7 @@ def model_catalog(spark: SparkSession, root: str) -> DataFrame:
                                    "\nwhereCondition=o_orderdate#year#1")),
         (351, 350, 5, "finished", "F"), (352, 350, 5, "open", "O"), (353, 350, 5, "pending", "P"),
     ]
-    return spark.createDataFrame(rows, "id long, pid long, level int, name string, rule string")
+    return literal_frame(spark, rows, "id long, pid long, level int, name string, rule string")
 
 
 def _inputs(spark, root, tag_id, as_of=None):

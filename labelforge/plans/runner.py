@@ -29,6 +29,7 @@ from labelforge.operators.match import copy_tag, rule_match
 from labelforge.operators.profile import KEY, to_long
 from labelforge.operators.ranges import bucket_grid, bucket_of, explode_buckets, range_match
 from labelforge.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
+from labelforge.sources.literal import literal_frame
 
 
 @dataclass
@@ -89,8 +90,8 @@ def combined_rules(spark: SparkSession, specs: list, grids: dict | None = None)
                                          F.lit(s.bounds).alias("kind"), F.col("_s").alias("lo"),
                                          F.col("_e").alias("hi"), "name"))
         elif isinstance(s, CopySpec):
-            parts.append(spark.createDataFrame([(s.tag, "", "copy", None, None, None)],
-                                               RULE_SCHEMA))
+            parts.append(literal_frame(spark, [(s.tag, "", "copy", None, None, None)],
+                                       RULE_SCHEMA))
         else:
             raise TypeError(f"unknown model spec {s!r}")
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -34,15 +34,18 @@ def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
 
 
 def bucket_grid(ranges: DataFrame, start_col: str = "_s", end_col: str = "_e",
-                max_buckets: int = MAX_BUCKETS) -> tuple[float, float]:
-    """(lo, width) of the bucket grid: three scalars from one aggregate over the ranges."""
+                max_buckets: int = MAX_BUCKETS, with_count: bool = False):
+    """(lo, width) of the bucket grid: scalars from one aggregate over the ranges
+    (plus the range count when ``with_count``)."""
     st = ranges.agg(F.min(start_col).alias("lo"), F.max(end_col).alias("hi"),
                     F.count(F.lit(1)).alias("n")).first()
-    if st["n"] == 0 or st["lo"] is None:
-        return 0.0, 1.0
+    n = int(st["n"])
+    if n == 0 or st["lo"] is None:
+        return (0.0, 1.0, n) if with_count else (0.0, 1.0)
     lo, hi = float(st["lo"]), float(st["hi"])
-    buckets = max(1, min(int(st["n"]), max_buckets))
-    return lo, max((hi - lo) / buckets, 1e-12)
+    buckets = max(1, min(n, max_buckets))
+    width = max((hi - lo) / buckets, 1e-12)
+    return (lo, width, n) if with_count else (lo, width)
 
 
 def bucket_of(x: Column, lo: float, width: float) -> Column:
@@ -65,7 +68,9 @@ def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: s
     """Tag each row with every range containing ``value`` -> ``(userId, <tag>)``.
 
     A value in no range (or null) gives no row; overlapping ranges give several.
-    Ranges with a null bound, or with start > end, match nothing.
+    Ranges with a null bound, or with start > end, match nothing.  The broadcast
+    bound is proven by the grid aggregate's range count (``ranges_rows`` is kept
+    for callers and not needed).
     """
     if bounds not in BOUNDS:
         raise ValueError(f"bounds must be one of {BOUNDS}")
@@ -74,11 +79,11 @@ def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: s
     r = ranges.select(F.col(name_col).alias("_name"), F.col(start_col).alias("_s"),
                       F.col(end_col).alias("_e")) \
         .where(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_s") <= F.col("_e")))
-    lo, width = bucket_grid(r)
+    lo, width, n = bucket_grid(r, with_count=True)
     exploded = explode_buckets(r, lo, width)
     keyed = left.withColumn("_b", bucket_of(F.col("_x"), lo, width))
-    # a known range count bounds the bucket list: n ranges x at most n buckets each
-    known = ranges_rows * min(ranges_rows, MAX_BUCKETS) if ranges_rows is not None else None
+    # the range count bounds the bucket list: n ranges x at most min(n, MAX_BUCKETS) buckets
+    known = n * min(n, MAX_BUCKETS)
     small, hinted = bounded_broadcast(exploded, max_broadcast_rows,
                                       known if known is not None and known <= max_broadcast_rows
                                       else None)

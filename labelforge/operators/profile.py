@@ -57,6 +57,13 @@ def upsert_wide(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
     return pivot_long(upsert_long(to_long(old, key), to_long(new, key), key), tags, key)
 
 
+def _file_layout(long: DataFrame, key: str) -> DataFrame:
+    """Rebalance by tag (AQE splits a large tag into advisory-size partitions and
+    merges small ones, so each tag folder gets a few well-sized files instead of
+    one file per task) and sort each file by key (min/max pruning for key lookups)."""
+    return long.hint("rebalance", "tag").sortWithinPartitions("tag", key)
+
+
 def write_profile(long: DataFrame, path: str, mode: str = "replace_tag",
                   key: str = KEY, tags: list[str] | None = None) -> None:
     """Profile sink.
@@ -80,11 +87,14 @@ def write_profile(long: DataFrame, path: str, mode: str = "replace_tag",
             old = spark.read.parquet(path).where(F.col("tag").isin(tags))
             merged = upsert_long(old, long, key)
             stage = fresh_path(spark, "profile-stage")
-            merged.select(key, "value", "tag").write.partitionBy("tag").parquet(stage)
+            _file_layout(merged.select(key, "value", "tag"), key) \
+                .write.partitionBy("tag").parquet(stage)
             out = spark.read.parquet(stage).select(key, "value", "tag")
+            out.write.mode("overwrite").partitionBy("tag").parquet(path)
+            return
         elif mode not in ("replace_tag", "upsert"):
             raise ValueError("mode must be 'replace_tag' or 'upsert'")
-        out.write.mode("overwrite").partitionBy("tag").parquet(path)
+        _file_layout(out, key).write.mode("overwrite").partitionBy("tag").parquet(path)
     finally:
         if prev is not None:
             spark.conf.set(writer_conf, prev)

@@ -555,6 +555,25 @@ def q_table_append(spark, root):
     return spark.read.parquet(path)
 
 
+def q_catalog_table_append(spark, root):
+    """A7 + A12: an external catalog table (data under the shared folder) written,
+    appended to and read back by name."""
+    from labelforge.sources.tables import read_catalog_table
+    nat = _t(spark, root, "nation", ["n_nationkey", "n_name"])
+    path = fresh_path(spark, "catalog-table")
+    name = "nation_copy_" + os.path.basename(path).replace("-", "_")
+    nat.write.option("path", path).saveAsTable(name)
+    nat.write.mode("append").option("path", path).saveAsTable(name)
+    return read_catalog_table(spark, name, ["n_nationkey", "n_name"])
+
+
+def q_cell_scan_count(spark, root):
+    """Distinct row keys of the cell view of customers."""
+    cust = _t(spark, root, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    count, _ = cells.cell_scan(cells.melt_cells(cust, "c_custkey", "detail", version=1))
+    return count
+
+
 def q_profile_search_export(spark, root):
     """Search the wide profile and export the hits as CSV, read back."""
     wide = profile.merge_wide([_segment(spark, root), _acct(spark, root)])
@@ -814,6 +833,8 @@ QUERIES = {
     "model_match_from_catalog": q_model_match_from_catalog,
     "models_one_scan": q_models_one_scan,
     "stream_bulk_load": q_stream_bulk_load,
+    "catalog_table_append": q_catalog_table_append,
+    "cell_scan_count": q_cell_scan_count,
     "model_mode_from_catalog": q_model_mode_from_catalog,
     "model_recency_from_catalog": q_model_recency_from_catalog,
     "model_date_range_from_catalog": q_model_date_range_from_catalog,

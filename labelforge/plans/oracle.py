@@ -265,6 +265,9 @@ ORACLE = {
                           f'from ({MODEL_MODE}) a full join ({MODEL_CYCLE}) b '
                           'on a."userId"=b."userId"',
     "ratio_correlation": RATIO_CORR,
+    "catalog_table_append": "select n_nationkey,n_name from nation union all "
+                            "select n_nationkey,n_name from nation",
+    "cell_scan_count": "select count(distinct c_custkey) as \"rows\" from customer",
     "model_match_from_catalog": 'select cast(c_custkey as varchar) as "userId", n_name as nation '
                                 "from customer join nation on c_nationkey=n_nationkey "
                                 "where n_regionkey=2",

@@ -11,11 +11,12 @@ CELL_COLUMNS = ("rowkey", "family", "qualifier", "value")
 
 
 def melt_cells(df: DataFrame, key: str, family: str, columns: list[str] | None = None,
-               include_key: bool = False) -> DataFrame:
+               include_key: bool = False, version: int | None = None) -> DataFrame:
     """One ``(rowkey, family, qualifier, value)`` row per non-null cell.
 
     Columns go out in lexicographic order; with ``include_key`` the key column is
-    stored as a cell too.
+    stored as a cell too.  ``version`` (e.g. the load's epoch milliseconds) adds a
+    ``version`` column, the cell timestamp of the cell view.
     """
     cols = sorted(columns or [c for c in df.columns if c != key or include_key])
     if include_key and key not in cols:
@@ -23,8 +24,14 @@ def melt_cells(df: DataFrame, key: str, family: str, columns: list[str] | None =
     melted = df.select(F.col(key).cast("string").alias("rowkey"),
                        *[F.col(c).cast("string").alias(c) for c in cols]) \
         .unpivot(["rowkey"], cols, "qualifier", "value")
-    return melted.where(F.col("value").isNotNull()) \
+    out = melted.where(F.col("value").isNotNull()) \
         .select("rowkey", F.lit(family).alias("family"), "qualifier", "value")
+    return out.withColumn("version", F.lit(version).cast("long")) if version is not None else out
+
+
+def cell_scan(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(number of distinct rows as a one-row frame, the cells themselves)."""
+    return cells.agg(F.countDistinct("rowkey").alias("rows")), cells
 
 
 def write_sorted_cells(cells: DataFrame, path: str, num_partitions: int | None = None) -> str:

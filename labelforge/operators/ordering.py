@@ -31,8 +31,12 @@ def global_rank(df: DataFrame, keys: list[str], out: str = "pos",
     result.  Rows with equal keys are ordered by a hash of the whole row, which lets
     the range partitioner split one key value holding a large share of the rows.
     """
+    # an explicit partition count (the cluster's shuffle partition setting by
+    # default) keeps the partitioning fixed: AQE does not merge partitions here,
+    # so partition ids mean the same thing in the count and in the output
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
-    ordered = range_sorted(df, keys + ["_tb"], num_partitions) \
+    ordered = range_sorted(df, keys + ["_tb"], parts) \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())
     # index inside the partition: monotonically_increasing_id = (pid << 33) + index

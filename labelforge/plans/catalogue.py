@@ -567,6 +567,20 @@ def q_catalog_table_append(spark, root):
     return read_catalog_table(spark, name, ["n_nationkey", "n_name"])
 
 
+def q_profile_table_upsert(spark, root):
+    """A5 on a bucketed profile table: the stale profile is written, a new model run
+    is upserted (only its cells are shuffled), the wide view is read back."""
+    from labelforge.operators import profile_table
+    path = fresh_path(spark, "profile-table")
+    name = "profile_" + os.path.basename(path).replace("-", "_")
+    profile_table.create_profile_table(spark, name, path, buckets=8)
+    stale = _segment(spark, root).select("userId", F.lit("stale").alias("acct"))
+    profile_table.replace_tags(profile.to_long(stale), name)
+    new = profile.to_long(_acct(spark, root, ACCT_RULES_NEW))
+    profile_table.upsert_tags(new, name, ["acct"])
+    return profile_table.wide_view(spark, name, ["acct"])
+
+
 def q_cell_scan_count(spark, root):
     """Distinct row keys of the cell view of customers."""
     cust = _t(spark, root, "customer", ["c_custkey", "c_name", "c_mktsegment"])
@@ -835,6 +849,7 @@ QUERIES = {
     "stream_bulk_load": q_stream_bulk_load,
     "catalog_table_append": q_catalog_table_append,
     "cell_scan_count": q_cell_scan_count,
+    "profile_table_upsert": q_profile_table_upsert,
     "model_mode_from_catalog": q_model_mode_from_catalog,
     "model_recency_from_catalog": q_model_recency_from_catalog,
     "model_date_range_from_catalog": q_model_date_range_from_catalog,

@@ -267,6 +267,10 @@ ORACLE = {
     "ratio_correlation": RATIO_CORR,
     "catalog_table_append": "select n_nationkey,n_name from nation union all "
                             "select n_nationkey,n_name from nation",
+    "profile_table_upsert": 'select coalesce(n."userId",o."userId") as "userId", '
+                            'coalesce(n.acct,o.acct) as acct from (select "userId", \'stale\' '
+                            f'as acct from {SEG}) o full join {ACCT_NEW} n on '
+                            'o."userId"=n."userId"',
     "cell_scan_count": "select count(distinct c_custkey) as \"rows\" from customer",
     "model_match_from_catalog": 'select cast(c_custkey as varchar) as "userId", n_name as nation '
                                 "from customer join nation on c_nationkey=n_nationkey "

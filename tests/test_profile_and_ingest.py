@@ -132,3 +132,24 @@ def test_execute_model_run_saves_into_profile(spark):
                             tag="acct", key="c_custkey")
     stored = profile.read_profile(spark, path, ["acct"])
     assert stored.count() == tagged.count() > 0
+
+
+def test_bucketed_profile_table_upsert_moves_only_new_cells(spark):
+    from labelforge.operators import profile_table as pt
+    path = fresh_path(spark, "ptable")
+    name = "ptable_" + path.rsplit("-", 1)[-1]
+    pt.create_profile_table(spark, name, path, buckets=4, key_type="STRING")
+    old = spark.createDataFrame([("1", "gender", "m"), ("2", "gender", "f"), ("1", "job", "a")],
+                                "userId string, tag string, value string")
+    pt.replace_tags(old, name)
+    new = spark.createDataFrame([("2", "gender", "x"), ("3", "gender", "y"), ("1", "gender", None),
+                                 ("3", "gender", "w")], "userId string, tag string, value string")
+    plan = pt.merge_tag(new, name, "gender")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the new side only
+    assert "Bucketed: true" in plan
+    pt.upsert_tags(new, name, ["gender"])
+    assert rows(spark.table(name), "userId", "tag", "value") == [
+        ("1", "gender", "m"), ("1", "job", "a"), ("2", "gender", "x"), ("3", "gender", "y")]
+    wide = pt.wide_view(spark, name, ["gender", "job"])
+    assert rows(wide) == [("1", "m", "a"), ("2", "x", None), ("3", "y", None)]
+    assert "Exchange hashpartitioning" not in wide._jdf.queryExecution().executedPlan().toString()

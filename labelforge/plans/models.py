@@ -86,10 +86,20 @@ def distribution(tagged: DataFrame, tag: str) -> DataFrame:
     return aggregates.tag_distribution(tagged, tag)
 
 
-def save(tagged: DataFrame, profile_path: str, mode: str = "upsert") -> None:
-    """A5: write the model's tag column(s) into the long profile store."""
+def save(tagged: DataFrame, profile_path: str | None = None, mode: str = "upsert",
+         table: str | None = None) -> None:
+    """A5: write the model's tag column(s) into the long profile store: a Parquet
+    path (``profile_path``) or a bucketed profile table (``table``)."""
     tags = [c for c in tagged.columns if c != profile.KEY]
-    profile.write_profile(profile.to_long(tagged), profile_path, mode=mode, tags=tags)
+    long = profile.to_long(tagged)
+    if table is not None:
+        from labelforge.operators import profile_table
+        if mode == "upsert":
+            profile_table.upsert_tags(long, table, tags)
+        else:
+            profile_table.replace_tags(long, table)
+        return
+    profile.write_profile(long, profile_path, mode=mode, tags=tags)
 
 
 MODEL_KINDS = {"match": match_model, "copy": copy_model, "date_range": date_range_model,

@@ -150,3 +150,13 @@ def test_salted_fallbacks_spread_a_hot_value(spark, job_rules):
                                        .otherwise(F.col("id") % 100).alias("v"))
     assert rows(range_match(vals, "v", ranges)) == \
         rows(range_match(vals, "v", ranges, max_broadcast_rows=0))
+
+
+def test_unparsable_dates_and_missing_entities_get_no_tag(spark):
+    from labelforge.functions.dates import date_text_to_int
+    df = spark.createDataFrame([("1", "1955-03-02"), ("2", "19x5-01-01"), ("3", None),
+                                ("4", "1959-12-31")], "id string, birthday string")
+    r = spark.createDataFrame([("50s", 19500101, 19591231), ("60s", 19600101, 19691231)],
+                              "name string, start int, end int")
+    got = rows(range_match(df, date_text_to_int(F.col("birthday")), r, tag="agerange"))
+    assert got == [("1", "50s"), ("4", "50s")]

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.functions.rules import parse_kv_rule  # noqa: F401  (re-export for callers)
 from labelforge.sources.conditions import (condition_column, parse_conditions,
                                            relative_window)
 

@@ -160,3 +160,14 @@ def test_unparsable_dates_and_missing_entities_get_no_tag(spark):
                               "name string, start int, end int")
     got = rows(range_match(df, date_text_to_int(F.col("birthday")), r, tag="agerange"))
     assert got == [("1", "50s"), ("4", "50s")]
+
+
+def test_top_n_window_limits_before_the_shuffle(spark):
+    emp = spark.createDataFrame(EMP, "empno int, ename string, sal double, deptno int")
+    out = top_n_per_group(emp, "deptno", [("sal", True), ("empno", False)], n=2, rank_col="rnk")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("WindowGroupLimit")  # outermost first: Final, then Partial
+    assert "Partial" in plan[plan.index("Exchange"):]
+    assert partial < plan.index("Exchange")
+    assert rows(out, "deptno", "empno") == [(10, 7782), (10, 7839), (20, 7788), (20, 7902),
+                                            (30, 7499), (30, 7698)]

@@ -52,9 +52,16 @@ def upsert_long(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def upsert_wide(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
-    """A5 on wide frames: columns written by ``new`` change, the others stay."""
+    """A5 on wide frames: columns written by ``new`` change, the others stay.
+
+    One aggregate keyed by entity does both the per-tag "new wins" choice and the
+    pivot, so the plan has a single shuffle."""
     tags = list(dict.fromkeys([c for c in old.columns + new.columns if c != key]))
-    return pivot_long(upsert_long(to_long(old, key), to_long(new, key), key), tags, key)
+    both = to_long(old, key).withColumn("_v", F.lit(0)) \
+        .unionByName(to_long(new, key).withColumn("_v", F.lit(1)))
+    return both.groupBy(key).agg(*[
+        F.max(F.when(F.col("tag") == t, F.struct("_v", "value"))).getField("value").alias(t)
+        for t in tags])
 
 
 def _file_layout(long: DataFrame, key: str) -> DataFrame:

@@ -18,15 +18,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelforge.functions.dates import UNIT_DAYS
+
 # The six comparison operator names of the condition language.
 OPERATORS = ("eq", "ne", "gt", "lt", "ge", "le")
 
 _COND_RE = re.compile(r"^(.*?)\[(.*?)\](.*)$", re.DOTALL)
 _DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
-_INT_RE = re.compile(r"^-?(0|[1-9][0-9]*)$")
-
-# Days per unit of the relative window (month = 30, year = 365).
-UNIT_DAYS = {"day": 1, "month": 30, "year": 365}
+_INT_RE = re.compile(r"^(0|-?[1-9][0-9]*)$")  # exactly the text Spark prints for an integer
 
 
 @dataclass(frozen=True)

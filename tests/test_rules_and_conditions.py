@@ -91,3 +91,11 @@ def test_pushdown_reaches_parquet_scan(spark):
     pushed = plan[plan.index("PushedFilters: "):]
     assert "GreaterThanOrEqual(o_orderdate" in pushed
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate" in plan
+
+
+def test_integer_equality_rewrite_only_for_canonical_text(spark):
+    df = spark.createDataFrame([(0,), (7,), (-7,)], "k int")
+    for value in ["0", "-0", "7", "07", "-7", " 7", "+7"]:
+        got = rows(read_wide(df, ["k"], f"k[eq]{value}"))
+        want = rows(df.where(F.col("k").cast("string") == value).select(F.col("k").cast("string")))
+        assert got == want, value

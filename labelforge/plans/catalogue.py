@@ -625,6 +625,21 @@ def q_models_one_scan(spark, root):
     return profile.pivot_long(profile.read_profile(spark, path, tags), tags)
 
 
+def q_aggregate_models_one_scan(spark, root):
+    """Mode (payment) and recency (cycle) models over one orders scan and one shared
+    two-level aggregation, one broadcast join, one profile write."""
+    from labelforge.plans.runner import ModeSpec, RecencySpec, tag_aggregates
+    orders = _t(spark, root, "orders", ["o_custkey", "o_orderpriority", "o_orderdate"])
+    long = tag_aggregates(orders, "o_custkey",
+                          ModeSpec("payment", "o_orderpriority", _rules(spark, PRIORITY_RULES)),
+                          [RecencySpec("cycle", "o_orderdate",
+                                       _range_rules(spark, CYCLE_RULES, "-", "int"),
+                                       AS_OF_RECENCY)])
+    path = fresh_path(spark, "profile")
+    profile.write_profile(long, path, tags=["payment", "cycle"])
+    return profile.pivot_long(profile.read_profile(spark, path), ["payment", "cycle"])
+
+
 def q_stream_bulk_load(spark, root):
     """M18 incrementally: order TSV lines land as text files, a checkpointed
     stream parses and melts them into cells, the sink is read back."""
@@ -847,6 +862,7 @@ QUERIES = {
     "model_match_from_catalog": q_model_match_from_catalog,
     "models_one_scan": q_models_one_scan,
     "stream_bulk_load": q_stream_bulk_load,
+    "aggregate_models_one_scan": q_aggregate_models_one_scan,
     "catalog_table_append": q_catalog_table_append,
     "cell_scan_count": q_cell_scan_count,
     "profile_table_upsert": q_profile_table_upsert,

@@ -239,6 +239,12 @@ ORACLE = {
     "rating_letter_score": RATING,
     "numeric_summary": SUMMARY,
     "profile_search_export": f"select * from {MERGED} where segment='builder'",
+    "aggregate_models_one_scan": 'select coalesce(a."userId",b."userId") as "userId", payment, '
+                                 f'cycle from (select o_custkey as "userId", r.name as payment '
+                                 f"from {MODE} join (values ('1-URGENT','urgent'),('2-HIGH',"
+                                 "'high'),('5-LOW','low')) r(rule,name) on o_orderpriority="
+                                 f'r.rule where rn=1) a full join ({CYCLE}) b on '
+                                 'a."userId"=b."userId"',
     "stream_bulk_load": "select cast(o_orderkey as varchar) rowkey, 'detail' as family, 'st' as "
                         "qualifier, o_orderstatus as value from orders where "
                         "o_orderpriority<>'5-LOW' union all select cast(o_orderkey as varchar), "

@@ -141,3 +141,52 @@ def _one_by_one(df: DataFrame, key: str, specs: list) -> DataFrame:
             t = copy_tag(df.select(key, _col(s.value).alias(s.tag)), s.tag, key=key, tag=s.tag)
         frames.append(to_long(t))
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@dataclass
+class ModeSpec:
+    tag: str
+    category: str
+    rules: DataFrame            # rule, name (matched against the most frequent category)
+
+
+@dataclass
+class RecencySpec:
+    tag: str
+    time_col: str
+    ranges: DataFrame           # name, start, end (closed day ranges)
+    as_of: str
+    time_kind: str = "timestamp"
+
+
+def tag_aggregates(df: DataFrame, key: str, mode: ModeSpec | None = None,
+                   recency: list[RecencySpec] | None = None,
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mode and recency models over ONE scan and ONE two-level aggregation.
+
+    ``(key, category)`` -> count and latest time of every recency column (partial
+    aggregation before the shuffle), then ``key`` -> most frequent category (ties:
+    smallest) and overall latest times, then every tag through ``tag_all``'s single
+    broadcast join.  A key holding a third of all rows is cut down map-side in both
+    aggregations.  Output: long ``(userId, tag, value)``.
+    """
+    from labelforge.functions.dates import days_since
+
+    recency = recency or []
+    times = []
+    for r in recency:
+        t = F.col(r.time_col)
+        times.append(F.timestamp_seconds(t.try_cast("long")) if r.time_kind == "epoch" else t)
+    cat = F.col(mode.category) if mode else F.lit(None).cast("string")
+    first = df.groupBy(F.col(key).alias(KEY), cat.alias("_cat")).agg(
+        F.count(cat).alias("_n"), *[F.max(t).alias(f"_t{i}") for i, t in enumerate(times)])
+    best = F.min(F.when(F.col("_n") > 0, F.struct((-F.col("_n")).alias("n"),
+                                                  F.col("_cat").alias("c"))))
+    second = first.groupBy(KEY).agg(best.alias("_mode"),
+                                    *[F.max(f"_t{i}").alias(f"_t{i}") for i in range(len(times))])
+    specs = []
+    if mode:
+        specs.append(MatchSpec(mode.tag, F.col("_mode.c"), mode.rules))
+    for i, r in enumerate(recency):
+        specs.append(RangeSpec(r.tag, days_since(F.col(f"_t{i}"), r.as_of), r.ranges, "closed"))
+    return tag_all(second, KEY, specs, max_broadcast_rows)

@@ -640,6 +640,27 @@ def q_aggregate_models_one_scan(spark, root):
     return profile.pivot_long(profile.read_profile(spark, path), ["payment", "cycle"])
 
 
+def q_stream_profile_models(spark, root):
+    """The one-scan models driven by Structured Streaming: customer rows arrive as a
+    file stream, each micro-batch is tagged and upserted into the profile."""
+    from labelforge.plans.runner import CopySpec, MatchSpec, RangeSpec
+    from labelforge.streaming.ingest import stream_profile_updates
+    src = os.path.join(root, "customer.parquet")
+    schema = spark.read.parquet(src).schema
+    # a glob: the file source watches a folder, here the one holding the table file
+    stream = spark.readStream.schema(schema).parquet(os.path.join(root, "customer.parque[t]")) \
+        .select("c_custkey", "c_mktsegment", "c_acctbal", "c_name")
+    specs = [MatchSpec("segment", "c_mktsegment", _rules(spark, SEGMENT_RULES)),
+             RangeSpec("acct", "c_acctbal", _range_rules(spark, ACCT_RULES, "~", "double"),
+                       "left_open"),
+             CopySpec("name", "c_name")]
+    path = fresh_path(spark, "profile")
+    stream_profile_updates(stream, "c_custkey", specs, path,
+                           fresh_path(spark, "ckpt")).awaitTermination()
+    tags = ["segment", "acct", "name"]
+    return profile.pivot_long(profile.read_profile(spark, path, tags), tags)
+
+
 def q_stream_bulk_load(spark, root):
     """M18 incrementally: order TSV lines land as text files, a checkpointed
     stream parses and melts them into cells, the sink is read back."""
@@ -863,6 +884,7 @@ QUERIES = {
     "models_one_scan": q_models_one_scan,
     "stream_bulk_load": q_stream_bulk_load,
     "aggregate_models_one_scan": q_aggregate_models_one_scan,
+    "stream_profile_models": q_stream_profile_models,
     "catalog_table_append": q_catalog_table_append,
     "cell_scan_count": q_cell_scan_count,
     "profile_table_upsert": q_profile_table_upsert,

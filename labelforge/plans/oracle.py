@@ -11,6 +11,7 @@ TREE = ("(select cast(r_regionkey as bigint) id, cast(-1 as bigint) pid, r_name
 
 SEG_VALUES = ("(values ('BUILDING','builder'),('FURNITURE','home'),('HOUSEHOLD','home2'),"
               "('MACHINERY','industry')) r(rule,name)")
+SEG_VALUES_S = SEG_VALUES.replace(" r(rule,name)", " s(rule,name)")
 SEG = (f'(select c_custkey as "userId", r.name as segment from customer join {SEG_VALUES} '
        "on c_mktsegment=r.rule)")
 
@@ -245,6 +246,11 @@ ORACLE = {
                                  "'high'),('5-LOW','low')) r(rule,name) on o_orderpriority="
                                  f'r.rule where rn=1) a full join ({CYCLE}) b on '
                                  'a."userId"=b."userId"',
+    "stream_profile_models": 'select c.c_custkey as "userId", s.name as segment, a.name as acct, '
+                             f"c.c_name as name from customer c left join {SEG_VALUES_S} "
+                             "on c.c_mktsegment=s.rule left join (values ('debt',-1000.0,0.0),"
+                             "('mid',0.0,5000.0),('rich',5000.0,10000.0)) a(name,s,e) on "
+                             "c.c_acctbal>a.s and c.c_acctbal<=a.e",
     "stream_bulk_load": "select cast(o_orderkey as varchar) rowkey, 'detail' as family, 'st' as "
                         "qualifier, o_orderstatus as value from orders where "
                         "o_orderpriority<>'5-LOW' union all select cast(o_orderkey as varchar), "

@@ -2,9 +2,10 @@
 
 A side is broadcast only when its row count is proven to be under a bound: either
 it was built on the driver from a literal list (length known), or a bounded
-``limit(n + 1).count()`` on it says so.  Beyond the bound the frame is returned
-unhinted and Spark plans a shuffle join (AQE may still convert it at run time
-from real statistics).
+``limit(n + 1).count()`` on it says so.  The optimizer's size estimate is used
+only to skip that count for sides that are clearly large.  Beyond the bound the
+frame is returned unhinted and Spark plans a shuffle join (AQE may still convert
+it at run time from real statistics).
 """
 
 from __future__ import annotations
@@ -15,6 +16,18 @@ from pyspark.sql import functions as F
 # Largest rule / range / lookup side we hint for broadcast.  A rule row is a few
 # dozen bytes, so 200k rows stay far below the executor broadcast limits.
 MAX_BROADCAST_ROWS = 200_000
+# A side whose optimizer size estimate exceeds this is not a rule table; it is not
+# counted (the count would compute an expensive derived side twice) and the join
+# strategy is left to Spark (AQE re-plans from real sizes at run time).
+MAX_CHECKED_ESTIMATE_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (no job); None if unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a remote session without plan access
+        return None
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> int | None:
@@ -27,6 +40,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       known_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Return ``(frame, hinted)``; the frame carries a broadcast hint only when its
     size is known or checked to be within ``max_rows``."""
+    if known_rows is None:
+        est = estimated_bytes(df)
+        if est is not None and est > MAX_CHECKED_ESTIMATE_BYTES:
+            return df, False
     n = known_rows if known_rows is not None else row_count_at_most(df, max_rows)
     if n is not None and n <= max_rows:
         return F.broadcast(df), True

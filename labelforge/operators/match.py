@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS,
-                                        bounded_broadcast, replicate_salts, salt_column)
+from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS, join_plan,
+                                        replicate_salts, salt_column)
 
 UNMATCHED_POLICIES = ("drop", "null", "default", "error")
 
@@ -32,20 +32,22 @@ def rule_match(df: DataFrame, field, rules: DataFrame, key: str = "id",
     (fail the job on the first unmatched value, like a strict map lookup).
     Duplicate rule values fan out unless ``dedup`` keeps the one with the greatest
     ``order_col``.  The rule side is broadcast when its size is known or checked
-    to be at most ``max_broadcast_rows``.  Otherwise both sides are shuffled on
-    ``(value, salt)``: business rows get a salt in ``[0, salt_buckets)`` from a hash of
-    their key, rule rows are replicated per salt, so one value holding a third of
-    all rows is spread over ``salt_buckets`` tasks instead of one.
+    to be at most ``max_broadcast_rows``.  A moderately larger rule side is joined
+    on ``(value, salt)``: business rows get a salt in ``[0, salt_buckets)`` from a
+    hash of their key, rule rows are replicated per salt, so one value holding a
+    third of all rows is spread over ``salt_buckets`` tasks instead of one.  A rule
+    side the optimizer already sizes over 1 GiB is not replicated; the plain
+    shuffle join is left to AQE, whose skew join splits hot partitions at run time.
     """
     if on_unmatched not in UNMATCHED_POLICIES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_POLICIES}")
     value: Column = F.col(field) if isinstance(field, str) else field
     r = dedup_rules(rules, rule_col, name_col, order_col) if dedup else rules
     r = r.select(F.col(rule_col).alias("_rule"), F.col(name_col).alias("_name"))
-    r, hinted = bounded_broadcast(r, max_broadcast_rows, None if dedup else rules_rows)
+    r, kind = join_plan(r, max_broadcast_rows, None if dedup else rules_rows)
     left = df.select(F.col(key).alias(key_alias), value.alias("_value"))
     how = "inner" if on_unmatched == "drop" else "left"
-    if hinted or salt_buckets <= 1:
+    if kind != "shuffle" or salt_buckets <= 1:
         joined = left.join(r, left["_value"] == r["_rule"], how)
     else:
         left = left.withColumn("_salt", salt_column([F.col(key_alias)], salt_buckets))

@@ -36,18 +36,27 @@ def row_count_at_most(df: DataFrame, bound: int) -> int | None:
     return n if n <= bound else None
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(frame, hinted)``; the frame carries a broadcast hint only when its
-    size is known or checked to be within ``max_rows``."""
+def join_plan(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+              known_rows: int | None = None) -> tuple[DataFrame, str]:
+    """Classify a join side: ``broadcast`` (size proven <= max_rows; the frame
+    carries the hint), ``shuffle`` (counted above the bound, moderate size) or
+    ``large`` (the optimizer already sizes it over 1 GiB; not counted)."""
     if known_rows is None:
         est = estimated_bytes(df)
         if est is not None and est > MAX_CHECKED_ESTIMATE_BYTES:
-            return df, False
+            return df, "large"
     n = known_rows if known_rows is not None else row_count_at_most(df, max_rows)
     if n is not None and n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+        return F.broadcast(df), "broadcast"
+    return df, "shuffle"
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Return ``(frame, hinted)``; the frame carries a broadcast hint only when its
+    size is known or checked to be within ``max_rows``."""
+    frame, kind = join_plan(df, max_rows, known_rows)
+    return frame, kind == "broadcast"
 
 
 # Salt buckets used when a join cannot be broadcast: the big side's rows of one

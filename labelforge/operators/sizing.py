@@ -22,12 +22,19 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_CHECKED_ESTIMATE_BYTES = 1 << 30
 
 
+# Estimates at or above this are the "no statistics" placeholder of
+# spark.sql.defaultSizeInBytes (or derived from it), not a measurement.
+_UNKNOWN_ESTIMATE_BYTES = 1 << 50
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (no job); None if unavailable."""
+    """Catalyst's size estimate of the optimized plan (no job); None if unknown
+    (no plan access, or a source without statistics)."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. a remote session without plan access
         return None
+    return None if est >= _UNKNOWN_ESTIMATE_BYTES else est
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> int | None:

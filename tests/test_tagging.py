@@ -171,3 +171,21 @@ def test_top_n_window_limits_before_the_shuffle(spark):
     assert partial < plan.index("Exchange")
     assert rows(out, "deptno", "empno") == [(10, 7782), (10, 7839), (20, 7788), (20, 7902),
                                             (30, 7499), (30, 7698)]
+
+
+def test_join_plan_classes(spark, monkeypatch, job_rules):
+    from labelforge.operators import sizing
+    lit = spark.range(0, 5).select(F.col("id").cast("string").alias("rule"),
+                                   F.lit("x").alias("name"))
+    assert sizing.join_plan(lit, 10, known_rows=5)[1] == "broadcast"
+    assert sizing.join_plan(job_rules, 10)[1] == "broadcast"   # counted: 3 rows
+    assert sizing.join_plan(job_rules, 2)[1] == "shuffle"      # counted: over the bound
+    big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    monkeypatch.setattr(sizing, "MAX_CHECKED_ESTIMATE_BYTES", 1000)
+    assert sizing.join_plan(big, 10)[1] == "large"             # estimate only, no count
+    members = spark.createDataFrame([("1", "1")], "id string, job string")
+    rules = big.select(F.col("l_orderkey").cast("string").alias("rule"),
+                       F.col("l_linenumber").cast("string").alias("name"))
+    plan = rule_match(members, "job", rules, tag="t")._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert "_salt" not in plan  # very large rule side: plain shuffle join, AQE skew join

@@ -68,8 +68,18 @@ def read_wide_window(source: DataFrame, fields, where: str, as_of: str,
 
 
 # ---------------------------------------------------------------- A6 dispatch
+def _need(meta: dict, key: str) -> str:
+    if not meta.get(key):
+        raise ValueError(f"rule for inType={meta.get('inType')!r} lacks {key!r}")
+    return meta[key]
+
+
 def _reader(spark: SparkSession, meta: dict) -> DataFrame:
     kind = meta.get("inType", "").strip().lower()
+    if kind in ("parquet", "orc", "csv", "tsv"):
+        _need(meta, "path")
+    elif kind in ("table", "jdbc"):
+        _need(meta, "table")
     if kind == "parquet":
         return spark.read.parquet(meta["path"])
     if kind == "orc":
@@ -95,6 +105,7 @@ def business_data(spark: SparkSession, meta: dict, as_of: str | None = None,
     ``as_of``) and/or ``filterConditions`` (``f[OP]v,...``) the rows.
     """
     src = _reader(spark, meta)
+    _need(meta, "selectFieldNames")
     conds = [c for c in [meta.get("filterConditions")] if c]
     if meta.get("whereCondition"):
         if as_of is None:

@@ -34,6 +34,10 @@ def test_business_data_dispatch_by_in_type(spark, members):
         assert got == want, meta["inType"]
     with pytest.raises(ValueError, match="unsupported inType"):
         business_data(spark, {"inType": "hbase", "selectFieldNames": "id"})
+    with pytest.raises(ValueError, match="lacks 'path'"):
+        business_data(spark, {"inType": "parquet", "selectFieldNames": "id"})
+    with pytest.raises(ValueError, match="lacks 'selectFieldNames'"):
+        business_data(spark, {"inType": "parquet", "path": pq})
     with pytest.raises(ValueError, match="needs as_of"):
         business_data(spark, {"inType": "parquet", "path": pq, "selectFieldNames": "id",
                               "whereCondition": "modified#day#1"})

@@ -9,6 +9,7 @@ a tag catalog would hold them.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,7 +252,8 @@ def q_top3_per_group(spark, root):
 
 def q_top1_per_group_sql(spark, root):
     orders = _t(spark, root, "orders", ["o_custkey", "o_orderkey", "o_totalprice"])
-    return top_n_per_group_sql(spark, orders, "orders_top1", ["o_custkey"],
+    view = "orders_top1_" + uuid.uuid4().hex[:12]  # unique per call
+    return top_n_per_group_sql(spark, orders, view, ["o_custkey"],
                                "o_totalprice DESC, o_orderkey",
                                ["o_custkey", "o_orderkey", "o_totalprice"])
 

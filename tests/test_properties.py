@@ -3,6 +3,7 @@
 import datetime as dt
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from labelforge.operators.mode import mode_category
@@ -67,3 +68,33 @@ def test_mode_equals_brute_force(spark, pairs):
         if counts:
             want.append((k, min(counts, key=lambda c: (-counts[c], c))))
     assert got == want
+
+
+cells = st.lists(st.tuples(st.sampled_from(["1", "2", "3", "4"]), st.sampled_from(["a", "b"]),
+                           st.one_of(st.none(), st.sampled_from(["x", "y", "z"]))),
+                 max_size=12)
+
+
+def _upsert_model(old, new):
+    state = {}
+    for k, t, v in old:
+        if v is not None:
+            state[(k, t)] = max(v, state.get((k, t), v))
+    fresh = {}
+    for k, t, v in new:
+        if v is not None:
+            fresh[(k, t)] = max(v, fresh.get((k, t), v))
+    state.update(fresh)
+    return sorted((k, t, v) for (k, t), v in state.items())
+
+
+@SETTINGS
+@given(cells, cells)
+def test_profile_upsert_equals_dict_semantics(spark, old, new):
+    from labelforge.operators import profile
+    schema = "userId string, tag string, value string"
+    o, n = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    # the old store has one cell per (key, tag): de-duplicate as a stored profile would
+    o = o.where(F.col("value").isNotNull()).groupBy("userId", "tag").agg(F.max("value").alias("value"))
+    got = sorted(tuple(r) for r in profile.upsert_long(o, n).collect())
+    assert got == _upsert_model(old, new)

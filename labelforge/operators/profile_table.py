@@ -97,3 +97,11 @@ def wide_view(spark: SparkSession, name: str, tags: list[str], key: str = KEY) -
     """Wide profile from the bucketed table (the aggregate reuses the bucketing)."""
     return spark.table(name).where(F.col("tag").isin(tags)) \
         .groupBy(key).pivot("tag", tags).agg(F.max("value"))
+
+
+def lookup(spark: SparkSession, name: str, key_value, tags: list[str] | None = None,
+           key: str = KEY) -> DataFrame:
+    """A15/B8 by key: one entity's cells.  The equality on the bucket column prunes
+    the scan to a single bucket file per tag partition."""
+    df = spark.table(name).where(F.col(key) == F.lit(key_value))
+    return df.where(F.col("tag").isin(tags)) if tags else df

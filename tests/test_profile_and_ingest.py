@@ -153,6 +153,21 @@ def test_bucketed_profile_table_upsert_moves_only_new_cells(spark):
     wide = pt.wide_view(spark, name, ["gender", "job"])
     assert rows(wide) == [("1", "m", "a"), ("2", "x", None), ("3", "y", None)]
     assert "Exchange hashpartitioning" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert rows(pt.lookup(spark, name, "1"), "tag", "value") == [("gender", "m"), ("job", "a")]
+
+
+def test_bucketed_profile_lookup_reads_one_bucket(spark):
+    from labelforge.operators import profile_table as pt
+    path = fresh_path(spark, "ptable")
+    name = "ptable_" + path.rsplit("-", 1)[-1]
+    pt.create_profile_table(spark, name, path, buckets=4, key_type="STRING")
+    cells_ = [(str(i), t, "v") for i in range(40) for t in ("a", "b")]
+    pt.replace_tags(spark.createDataFrame(cells_, "userId string, tag string, value string"), name)
+    one = pt.lookup(spark, name, "1")
+    assert rows(one, "userId", "tag") == [("1", "a"), ("1", "b")]
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+    # keys span every file's min/max, so only bucket pruning explains reading < half
+    assert scan.metrics().apply("numOutputRows").value() < len(cells_) / 2
 
 
 def test_stream_restart_from_checkpoint_is_exactly_once(spark):

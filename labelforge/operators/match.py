@@ -44,7 +44,8 @@ def rule_match(df: DataFrame, field, rules: DataFrame, key: str = "id",
     value: Column = F.col(field) if isinstance(field, str) else field
     r = dedup_rules(rules, rule_col, name_col, order_col) if dedup else rules
     r = r.select(F.col(rule_col).alias("_rule"), F.col(name_col).alias("_name"))
-    r, kind = join_plan(r, max_broadcast_rows, None if dedup else rules_rows)
+    # de-duplication only removes rows, so a known rule count still bounds the side
+    r, kind = join_plan(r, max_broadcast_rows, rules_rows)
     left = df.select(F.col(key).alias(key_alias), value.alias("_value"))
     how = "inner" if on_unmatched == "drop" else "left"
     if kind != "shuffle" or salt_buckets <= 1:

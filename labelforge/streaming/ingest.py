@@ -38,8 +38,11 @@ def stream_profile_updates(source: DataFrame, key: str, specs: list, profile_pat
     and upsert the cells into the long profile.  The upsert is idempotent (same
     input, same profile), so a replayed batch after a failure changes nothing."""
 
+    tags = [s.tag for s in specs]  # known up front: no pass over a batch to find them
+
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        profile.write_profile(tag_all(batch, key, specs), profile_path, mode="upsert")
+        profile.write_profile(tag_all(batch, key, specs), profile_path, mode="upsert",
+                              tags=tags)
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

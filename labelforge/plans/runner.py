@@ -12,8 +12,11 @@ Match, range and copy models that read the same table are evaluated together:
 3. the tagged long frame, ready for a single profile write.
 
 With the rule union under the broadcast bound this is a single scan, a single
-BroadcastHashJoin and no shuffle before the write.  Over the bound every model
-falls back to its own operator (shuffle joins, bucketed ranges).
+BroadcastHashJoin and no shuffle before the write.  Over the bound it is still one
+scan and one join, shuffled on ``(tag, k, salt)`` with the rules replicated per
+salt (a value holding a third of the rows spreads over the salt buckets); a rule
+union the optimizer sizes over 1 GiB is joined without salting and left to AQE's
+skew join.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.operators.match import copy_tag, rule_match
-from labelforge.operators.profile import KEY, to_long
-from labelforge.operators.ranges import bucket_grid, bucket_of, explode_buckets, range_match
-from labelforge.operators.sizing import MAX_BROADCAST_ROWS, bounded_broadcast
+from labelforge.operators.profile import KEY
+from labelforge.operators.ranges import bucket_grid, bucket_of, explode_buckets
+from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS, join_plan,
+                                        replicate_salts, salt_column)
 from labelforge.sources.literal import literal_frame
 
 
@@ -98,13 +101,13 @@ def combined_rules(spark: SparkSession, specs: list, grids: dict | None = None)
 
 
 def tag_all(df: DataFrame, key: str, specs: list,
-            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+            max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+            salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Evaluate all ``specs`` on ``df`` -> long tags ``(userId, tag, value)``."""
     spark = df.sparkSession
     grids: dict = {}
-    rules, hinted = bounded_broadcast(combined_rules(spark, specs, grids), max_broadcast_rows)
-    if not hinted:
-        return _one_by_one(df, key, specs)
+    rules, kind_of_side = join_plan(combined_rules(spark, specs, grids), max_broadcast_rows)
+
     def cell(s):
         is_range = isinstance(s, RangeSpec)
         text = F.lit(None).cast("string") if is_range else _col(s.value).cast("string")
@@ -119,8 +122,14 @@ def tag_all(df: DataFrame, key: str, specs: list,
     cells = F.array(*[cell(s) for s in specs])
     long = df.select(F.col(key).alias(KEY), F.inline(cells)) \
         .withColumn("k", F.coalesce(F.col("pad"), F.col("s"))).drop("pad")
+    keys = (long["tag"] == rules["tag"]) & (long["k"] == rules["k"])
+    if kind_of_side == "shuffle" and salt_buckets > 1:
+        long = long.withColumn("_salt", salt_column([F.col(KEY), F.col("tag")], salt_buckets))
+        rules = replicate_salts(rules, salt_buckets, "_rsalt")
+        keys = ((long["tag"] == rules["tag"]) & (long["k"] == rules["k"])
+                & (long["_salt"] == rules["_rsalt"]))
     x, lo, hi, kind = F.col("x"), rules["lo"], rules["hi"], rules["kind"]
-    cond = ((long["tag"] == rules["tag"]) & (long["k"] == rules["k"])
+    cond = (keys
             & ((kind == "match") | (kind == "copy")
                | ((kind == "closed") & x.between(lo, hi))
                | ((kind == "left_open") & (x > lo) & (x <= hi))))
@@ -130,19 +139,6 @@ def tag_all(df: DataFrame, key: str, specs: list,
         .where(F.col("value").isNotNull())
 
 
-def _one_by_one(df: DataFrame, key: str, specs: list) -> DataFrame:
-    frames = []
-    for s in specs:
-        if isinstance(s, MatchSpec):
-            t = rule_match(df, s.value, s.rules, key=key, tag=s.tag)
-        elif isinstance(s, RangeSpec):
-            t = range_match(df, s.value, s.ranges, key=key, tag=s.tag, bounds=s.bounds)
-        else:
-            t = copy_tag(df.select(key, _col(s.value).alias(s.tag)), s.tag, key=key, tag=s.tag)
-        frames.append(to_long(t))
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 @dataclass
 class ModeSpec:
     tag: str

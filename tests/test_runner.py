@@ -13,14 +13,18 @@ def _specs(spark):
             CopySpec("name", "name")]
 
 
-def test_tag_all_one_join_equals_per_model_fallback(spark):
+def test_tag_all_broadcast_and_salted_paths_agree(spark):
     df = spark.createDataFrame([(1, "1", 20.0, "ann"), (2, "2", 29.0, "bob"), (3, "9", 30.0, None),
                                 (4, None, None, "dee")], "id int, job string, age double, name string")
     one = rows(tag_all(df, "id", _specs(spark)))
     assert one == [(1, "age", "young"), (1, "job", "student"), (1, "name", "ann"),
                    (2, "age", "young"), (2, "job", "teacher"), (2, "name", "bob"),
                    (3, "age", "old"), (4, "name", "dee")]
-    assert rows(tag_all(df, "id", _specs(spark), max_broadcast_rows=0)) == one
+    salted = tag_all(df, "id", _specs(spark), max_broadcast_rows=0)
+    assert rows(salted) == one
+    salted_plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    # salted join; the business frame is read once (plus the two rule frames)
+    assert "_rsalt" in salted_plan and salted_plan.count("LogicalRDD") == 1 + 2
     plan = tag_all(df, "id", _specs(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 1 and "NestedLoop" not in plan
 

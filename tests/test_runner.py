@@ -41,3 +41,19 @@ def test_tag_aggregates_with_epoch_text_and_no_mode(spark):
     # u: a and b once each -> tie -> smallest 'a'; v: only b counted (null ignored)
     assert both == [("u", "cycle", "recent"), ("u", "mode", "A"), ("v", "cycle", "old"),
                     ("v", "mode", "B")]
+
+
+def test_execute_dispatches_aggregate_models(spark):
+    import pytest
+    from labelforge.plans import catalogue, models
+    root = "/root/testdata/sf0.001"
+    cat = catalogue.model_catalog(spark, root)
+    mode = models.execute(spark, cat, 300, "mode", key="o_custkey", category="o_orderpriority",
+                          tag="payment")
+    assert set(mode.columns) == {"userId", "payment"} and mode.count() > 0
+    rec = models.execute(spark, cat, 310, "recency", as_of="2001-08-02", key="o_custkey",
+                         time_field="o_orderdate", tag="cycle", time_kind="timestamp")
+    seen = {r[0] for r in rec.select("cycle").distinct().collect()}
+    assert seen and seen <= {"d0-30", "d31-90", "d91-180"}
+    with pytest.raises(ValueError, match="kind must be one of"):
+        models.execute(spark, cat, 300, "bogus")

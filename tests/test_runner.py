@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from labelforge.plans.runner import (CopySpec, MatchSpec, ModeSpec, RangeSpec, RecencySpec,
                                      tag_aggregates, tag_all)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from labelforge.llm import simhash
+from labelforge.llm import decontam, packing, simhash
 
 QUERIES = {
+    "op2_best_fit_swap_packing": packing.query,
+    "op6_suffix_array_decontamination": decontam.query,
     "op10_simhash_ball_components": simhash.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_suffix_array_decontamination": decontam.ORACLE,
+}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from labelforge.llm import decontam, packing, simhash
+from labelforge.llm import decontam, packing, secrets, simhash, toxicity
 
 QUERIES = {
     "op2_best_fit_swap_packing": packing.query,
+    "op4_noisy_channel_toxicity": toxicity.query,
     "op6_suffix_array_decontamination": decontam.query,
+    "op9_forest_secret_scan": secrets.query,
     "op10_simhash_ball_components": simhash.query,
 }
 

@@ -12,82 +12,119 @@ and packed with those of other groups, round after round, until one group is lef
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.llm.common import raw_texts, read, written
+from labelforge.llm.common import read, written
 
 SEQUENCE_TOKENS, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 # Stands between words that are encoded together.
 MARK = "\x01"
-# Pieces in one packing group; words a task remembers; text tokenized at once.
-GROUP_PIECES, CACHE_WORDS, CHUNK_BYTES = 50_000, 400_000, 4 << 20
+# Pieces in one packing group; text tokenized at once.
+GROUP_PIECES, CHUNK_BYTES = 50_000, 12 << 20
+# Words of letters that normalization leaves alone, perhaps with one stop.
+_SIMPLE = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
 
-class WordTokens(dict):
-    """Token ids of white-space separated words (A-Z lower-cased, as the tokenizer does), each
-    distinct word encoded once.
+class WordTokens:
+    """Token ids of texts, by white-space separated words (A-Z lower-cased, as the tokenizer
+    does); each distinct word of a chunk is encoded once.
 
     The tokenizer normalizes and splits inside such words alone, so a text's ids are those
-    of its words in a row.  At most ``CACHE_WORDS`` words (plus one chunk's) are kept."""
+    of its words in a row.  Words of plain letters need no normalization and no splitting:
+    a bare copy of the tokenizer encodes them."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        super().__init__()
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.new: list[bytes] = []
-        self.ids, self.at, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        self[word] = k = len(self)
-        return k
-
-    def _learn(self, words: list[str]) -> None:
-        """Encodes new words many at a time, a mark between them; a word that holds the
-        mark goes alone."""
-        plain = [w if MARK not in w else "" for w in words]
-        runs = [f" {MARK} ".join(plain[k:k + 2000]) + f" {MARK}" for k in range(0, len(plain), 2000)]
-        flat = [e.ids for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-        ids = np.fromiter((i for x in flat for i in x), np.uint32, sum(map(len, flat)))
-        ends = np.flatnonzero(ids == self.mark)
-        size = np.diff(ends, prepend=-1) - 1
-        ids = ids[ids != self.mark]
-        odd = {k: self.tokenizer.encode(w, add_special_tokens=False).ids
-               for k, w in enumerate(words) if MARK in w}
-        at = np.cumsum(size) - size
-        for k, own in odd.items():
-            at[k], size[k] = len(ids), len(own)
-            ids = np.append(ids, np.array(own, np.uint32))
-        self.at = np.concatenate([self.at, len(self.ids) + at])
-        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
-
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        if len(self) > CACHE_WORDS:
-            self.forget()
-        words = [np.fromiter(map(self.__getitem__, own), np.int64, len(own)) for own in
-                 (t.lower().split() if t else () for t in texts)]
-        if self.new:
-            self._learn([w.decode() for w in self.new])
-            self.new = []
-        out = []
-        for k in words:
-            size = self.size[k]
-            shift = self.at[k] - np.cumsum(size) + size
-            out.append(self.ids[np.repeat(shift, size) + np.arange(size.sum())])
-        return out
+
+    def _runs(self, tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words`` in a row and their number per word; words go together, a mark
+        after each."""
+        parts = [np.zeros(0, np.uint32)]
+        for k in range(0, len(words), 4000):
+            texts = [f" {MARK} ".join([*words[j:j + 200], ""])
+                     for j in range(k, min(k + 4000, len(words)), 200)]
+            parts += [np.array(e.ids, np.uint32) for e in
+                      tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(parts)
+        marks = ids == self.mark
+        return ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, place, number) of each word's ids."""
+        cores: dict[str, int] = {}
+        core, stop, odd = np.empty(len(words), np.int64), np.zeros(len(words), np.int64), []
+        stops = {"": 0, ".": 1, ",": 2}
+        for k, w in enumerate(words):
+            if m := _SIMPLE.fullmatch(w):
+                core[k], stop[k] = cores.setdefault(m[1], len(cores)), stops[m[2]]
+            else:
+                odd.append(k)
+        marked = [k for k in odd if MARK in words[k]]
+        odd = [k for k in odd if MARK not in words[k]]
+        endings = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (".", ",")]
+        ids, number = self._runs(self.bare, list(cores))
+        tail = np.array([e[0] for e in endings], np.uint32)
+        simple = np.ones(len(words), bool)
+        simple[odd + marked] = False
+        at, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        at[simple] = (np.cumsum(number) - number)[core[simple]]
+        size[simple] = number[core[simple]]
+        full, base = [ids], len(ids)
+        for value in (1, 2):
+            own = np.flatnonzero(simple & (stop == value))
+            total = int(size[own].sum()) + len(own)
+            out = np.empty(total, np.uint32)
+            ends = np.cumsum(size[own] + 1)
+            out[ends - 1] = tail[value - 1]
+            inner = np.ones(total, bool)
+            inner[ends - 1] = False
+            out[inner] = _gather(ids, at[own], size[own])
+            size[own] += 1
+            at[own] = base + ends - size[own]
+            full.append(out)
+            base += total
+        more, number = self._runs(self.tokenizer, [words[k] for k in odd])
+        at[odd], size[odd] = base + np.cumsum(number) - number, number
+        full.append(more)
+        base += len(more)
+        for k in marked:
+            own = np.array(self.tokenizer.encode(words[k], add_special_tokens=False).ids, np.uint32)
+            at[k], size[k] = base, len(own)
+            full.append(own)
+            base += len(own)
+        return np.concatenate(full), at, size
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        coded = split.flatten().dictionary_encode()
+        ids, at, size = self._encode_words(coded.dictionary.to_pylist())
+        word, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+        return [_gather(ids, at[k], size[k]) for k in
+                (word[a:b] for a, b in zip(ends[:-1], ends[1:]))]
+
+
+def _gather(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs ``ids[at:at + size]`` in a row."""
+    shift = at - np.cumsum(size) + size
+    return ids[np.repeat(shift, size) + np.arange(size.sum())]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_TOKENS,
@@ -102,17 +139,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_
                           + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []))
 
     def pieces(it):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         words = WordTokens(tokenizer_path)
         end = np.array([end_id], "<u4")
         for batch in it:
-            texts, ids, lo = raw_texts(batch.column(1)), batch.column(0), 0
+            texts, ids, lo = batch.column(1), batch.column(0), 0
+            sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
             while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and size < CHUNK_BYTES:
-                    size += len(texts[hi] or b"")
-                    hi += 1
+                done = sizes[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(sizes, done + CHUNK_BYTES)))
                 rows: list[tuple] = []
-                for k, own in enumerate(words.encode(texts[lo:hi]), lo):
+                for k, own in enumerate(words.encode(texts.slice(lo, hi - lo)), lo):
                     own = np.concatenate([own, end]).astype("<u4")
                     for p, at in enumerate(range(0, len(own), sequence)):
                         part = own[at:at + sequence]

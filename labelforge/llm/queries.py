@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from labelforge.llm import decontam, packing, secrets, simhash, toxicity
+from labelforge.llm import decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, warc
 
 QUERIES = {
     "op2_best_fit_swap_packing": packing.query,
+    "op3_balanced_posting_lists": neighbours.query,
     "op4_noisy_channel_toxicity": toxicity.query,
+    "op5_repeated_phrase_automata": phrases.query,
     "op6_suffix_array_decontamination": decontam.query,
+    "op7_two_pass_shuffle_shards": shards.query,
+    "op8_warc_revisit_resolution": warc.query,
     "op9_forest_secret_scan": secrets.query,
     "op10_simhash_ball_components": simhash.query,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_repeated_phrase_automata": phrases.ORACLE,
     "op6_suffix_array_decontamination": decontam.ORACLE,
+    "op8_warc_revisit_resolution": warc.ORACLE,
 }

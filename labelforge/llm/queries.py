@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from labelforge.llm import decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, warc
+from labelforge.llm import chat, decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, warc
 
 QUERIES = {
+    "op1_tool_call_linking": chat.query,
     "op2_best_fit_swap_packing": packing.query,
     "op3_balanced_posting_lists": neighbours.query,
     "op4_noisy_channel_toxicity": toxicity.query,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelforge.llm.common import read, written
+from labelforge.operators.sizing import sized_join
 
 SHARDS, SEED, BUCKET_BYTES = 24, 20_240_607, 8 << 20
 
@@ -30,8 +31,10 @@ def _fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return order
 
 
-def shuffled_buckets(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs(text, ...)`` in written buckets, with ``_bucket`` and the ``_place`` in it.
+def shuffled_buckets(docs: DataFrame, seed: int = SEED,
+                     bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
+    """``docs(text, ...)`` in written buckets, with ``_bucket`` and the ``_place`` in it, and the
+    number of buckets.
 
     The bucket hashes the row's position in the input along with its text, so repeated
     rows scatter like any others; the same input files give the same order."""
@@ -52,7 +55,7 @@ def shuffled_buckets(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCK
         out = table.take(pa.array(order)).select([*columns, "_bucket"])
         return out.append_column("_place", pa.array(np.arange(table.num_rows)))
 
-    return written(keyed.groupBy("_bucket").applyInArrow(shuffle, schema), "buckets")
+    return written(keyed.groupBy("_bucket").applyInArrow(shuffle, schema), "buckets"), buckets
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
@@ -62,11 +65,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
     Row counts of the shards differ by at most one.  Null and empty texts are rows like any
     other; an empty table gives an empty result.  The bucket counts, one row per bucket,
     are summed to offsets; no other row passes through one task."""
-    placed = shuffled_buckets(docs, seed, bucket_bytes)
+    placed, buckets = shuffled_buckets(docs, seed, bucket_bytes)
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
+    offsets = counts.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
                             F.sum("_n").over(whole).alias("_total"))
     place = F.col("_before") + F.col("_place")
     base, extra = F.floor(F.col("_total") / shards), F.col("_total") % shards
@@ -76,7 +79,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
         .otherwise(extra + F.floor((place - long_rows) / F.greatest(base, F.lit(1))))
     first = F.when(F.col("shard") < extra, F.col("shard") * (base + 1)) \
         .otherwise(long_rows + (F.col("shard") - extra) * base)
-    joined = placed.join(offsets, "_bucket").withColumn("_at", place).withColumn("shard", at.cast("int"))
+    # as many rows as buckets: the records themselves stay where they are
+    met = sized_join(placed, offsets, lambda a, b: a["_bucket"] == b["_b"], "inner", ["_bucket", "_place"],
+                     known_bytes=64 * buckets)
+    joined = met.withColumn("_at", place).withColumn("shard", at.cast("int"))
     return joined.withColumn("slot", (F.col("_at") - first).cast("long")).select(*docs.columns, "shard", "slot")
 
 

@@ -24,42 +24,68 @@ def pair_counts(df: DataFrame, key: str, category: str, key_alias: str | None =
 
 def corr_matrix(df: DataFrame, columns: dict, nulls: str = "drop", digits: int | None = 6,
                 pairs: str = "all") -> DataFrame:
-    """Pearson correlation of every pair of columns in ONE aggregation pass.
+    """Pearson correlation of every pair of columns.
 
     ``columns`` maps output names to column names or Columns.  ``nulls='drop'``
     drops a row from a pair when either value is null (pairwise, what ``corr``
     does); ``'zero'`` treats nulls as 0.0 like the reference's primitive
     unboxing.  ``pairs='all'`` gives the full n x n matrix, ``'upper'`` only a < b in
-    the given order.  The aggregate has one partial state per pair, so the plan is a
-    single partial + final hash aggregate with a one-row shuffle.
+    the given order.  Fewer than two rows, or a constant column: null; a NaN: NaN.
+
+    One pass takes the means, one the sums of products around them: matrix products
+    per Arrow batch, a few sums per pair and task to the shuffle, whatever the rows.
     """
     names = list(columns)
-    cols = {k: (F.col(v) if isinstance(v, str) else v).cast("double") for k, v in columns.items()}
+    cols = [(F.col(v) if isinstance(v, str) else v).cast("double") for v in columns.values()]
     if nulls == "zero":
-        cols = {k: F.coalesce(v, F.lit(0.0)) for k, v in cols.items()}
+        cols = [F.coalesce(v, F.lit(0.0)) for v in cols]
     elif nulls != "drop":
         raise ValueError("nulls must be 'drop' or 'zero'")
-    # inputs are projected once, so a derived column is evaluated once per row and
-    # not inside every correlation state that reads it
-    slots = {k: f"_v{i}" for i, k in enumerate(names)}
-    projected = df.select(*[cols[k].alias(slots[k]) for k in names])
-    # corr is symmetric: aggregate i <= j only and mirror
-    upper = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    aggs = [F.corr(slots[a], slots[b]).alias(f"c{i}") for i, (a, b) in enumerate(upper)]
-    wide = projected.agg(*aggs)
-    rows = []
-    for i, (a, b) in enumerate(upper):
-        rows.append((a, b, i))
-        if pairs == "all" and a != b:
-            rows.append((b, a, i))
+    slots = [f"_v{i}" for i in range(len(names))]
+    projected = df.select(*[c.alias(s) for c, s in zip(cols, slots)])
+    means = projected.agg(*[F.avg(F.when(~F.isnan(s), F.col(s))).alias(s) for s in slots]).first()
+    centre = [means[s] or 0.0 for s in slots]
+    sums = projected.mapInArrow(_pair_sums(centre), "i int, j int, " + ", ".join(
+        f"{s} double" for s in _PAIR_SUMS)).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
+    n, sx, sy, sxx, syy, sxy, bad = (F.col(s) for s in _PAIR_SUMS)
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    # what rounding leaves of a constant column is no variance
+    flat = (vx <= 1e-12 * n * sxx) | (vy <= 1e-12 * n * syy)
+    r = F.when(bad > 0, F.lit(float("nan"))).when((n >= 2) & ~flat, (n * sxy - sx * sy) / F.sqrt(vx) / F.sqrt(vy))
+    label = lambda k: F.element_at(F.array(*map(F.lit, names)), F.col(k) + 1)
+    out = sums.select("i", "j", label("i").alias("a"), label("j").alias("b"),
+                      (F.round(r, digits) if digits is not None else r).alias("r"))
     if pairs == "upper":
-        rows = [(a, b, i) for a, b, i in rows if a != b]
-    stacked = F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                          F.col(f"c{i}").alias("r")) for a, b, i in rows]))
-    out = wide.select(stacked)
-    if digits is not None:
-        out = out.withColumn("r", F.round("r", digits))
-    return out
+        return out.where("i < j").select("a", "b", "r")
+    return out.select("a", "b", "r").unionByName(
+        out.where("i < j").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+
+
+_PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy", "bad")
+
+
+def _pair_sums(centre: list[float]):
+    """Per task and pair i <= j, over the rows that have both values: their number, sums and
+    sums of products around ``centre``, and the number of NaNs."""
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+        k = len(centre)
+        total = np.zeros((len(_PAIR_SUMS), k, k))
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(k)]) - centre
+            there = np.column_stack([batch.column(c).is_valid().to_numpy(zero_copy_only=False)
+                                     for c in range(k)])
+            nan = there & np.isnan(x)
+            m = there.astype(float)
+            x = np.where(there & ~nan, x, 0.0)
+            sx, sxx = x.T @ m, (x * x).T @ m
+            odd = nan.astype(float).T @ m
+            total += np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, x.T @ x, odd + odd.T])
+        i, j = np.triu_indices(k)
+        yield pa.RecordBatch.from_pydict({"i": pa.array(i.astype(np.int32)), "j": pa.array(j.astype(np.int32)),
+                                          **{s: pa.array(total[p][i, j]) for p, s in enumerate(_PAIR_SUMS)}})
+    return sums
 
 
 def numeric_summary(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:

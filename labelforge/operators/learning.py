@@ -12,12 +12,25 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelforge.operators.replace import key_pick
+
+
+# Distinct labels an indexer brings to the driver, at most; more is an error.
+MAX_LABELS = 100_000
+
 
 def index_labels(df: DataFrame, input_col: str, output_col: str = "label",
-                 order: str = "frequencyDesc"):
-    """StringIndexer (frequency descending, ties alphabetical) -> (model, frame)."""
+                 order: str = "frequencyDesc", handle_invalid: str = "error"):
+    """StringIndexer (frequency descending, ties alphabetical) -> (model, frame).
+
+    ``handle_invalid``: what null labels do: ``error`` (the reference's default) or ``skip``
+    (their rows go).  They never become a class."""
+    if handle_invalid not in ("error", "skip"):
+        raise ValueError("handle_invalid must be 'error' or 'skip'")
+    if df.select(input_col).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"{input_col} has over {MAX_LABELS} values and is no label")
     model = StringIndexer(inputCol=input_col, outputCol=output_col,
-                          stringOrderType=order, handleInvalid="keep").fit(df)
+                          stringOrderType=order, handleInvalid=handle_invalid).fit(df)
     return model, model.transform(df)
 
 
@@ -62,17 +75,15 @@ def vector_elements(col) -> Column:
     return vector_to_array(F.col(col) if isinstance(col, str) else col)
 
 
-def hash_split(df: DataFrame, key: str, train_pct: int = 80, mult: int = 31,
-               add: int = 7) -> tuple[DataFrame, DataFrame]:
-    """Repeatable split on a key hash (the same row lands on the same side on
-    every run and every task retry, unlike an unseeded ``randomSplit``)."""
-    bucket = F.pmod(F.col(key).cast("long") * F.lit(mult) + F.lit(add), F.lit(100))
+def hash_split(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Repeatable split on a hash of the key's text (the same row lands on the same side
+    on every run and every task retry, unlike an unseeded ``randomSplit``)."""
+    bucket = key_pick(key, 100)
     return df.where(bucket < train_pct), df.where(bucket >= train_pct)
 
 
-def split_label(key: str, train_pct: int = 80, mult: int = 31, add: int = 7) -> Column:
-    bucket = F.pmod(F.col(key).cast("long") * F.lit(mult) + F.lit(add), F.lit(100))
-    return F.when(bucket < train_pct, F.lit("train")).otherwise(F.lit("test"))
+def split_label(key: str, train_pct: int = 80) -> Column:
+    return F.when(key_pick(key, 100) < train_pct, F.lit("train")).otherwise(F.lit("test"))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -106,27 +117,32 @@ def fit_logistic(train: DataFrame, features: str = "features", label: str = "lab
         cached.unpersist()
 
 
-def tree_pipeline(label_in: str, features_in: str, max_categories: int = 20,
-                  max_depth: int = 5, seed: int = 42) -> Pipeline:
-    """Label indexer -> feature indexer -> decision tree (I9) -> label restore."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol=label_in, outputCol="indexedLabel", handleInvalid="keep"),
-        VectorIndexer(inputCol=features_in, outputCol="indexedFeatures",
+def tree_pipeline(label_in: str, vector_col: str | None = None, columns: list[str] | None = None,
+                  max_categories: int = 20, max_depth: int = 5, max_bins: int = 32,
+                  seed: int = 42, handle_invalid: str = "error") -> Pipeline:
+    """Label indexer (I1), named ``columns`` assembled (I3) or a ``vector_col``,
+    feature indexer (I6), decision tree (I9).  The label indexer is fitted inside the
+    pipeline, so its labels come from the training split only; ``handle_invalid`` is what
+    null and unseen labels do (``error`` or ``skip``)."""
+    stages, raw = [], vector_col
+    if columns:
+        stages.append(VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="skip"))
+        raw = "raw_features"
+    return Pipeline(stages=stages + [
+        StringIndexer(inputCol=label_in, outputCol="indexedLabel", handleInvalid=handle_invalid),
+        VectorIndexer(inputCol=raw, outputCol="indexedFeatures",
                       maxCategories=max_categories, handleInvalid="keep"),
         DecisionTreeClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures",
-                               maxDepth=max_depth, seed=seed),
-    ])
+                               maxDepth=max_depth, maxBins=max_bins, seed=seed)])
 
 
-def fit_tree_pipeline(train: DataFrame, label_in: str, features_in: str, **kw) -> PipelineModel:
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = tree_pipeline(label_in, features_in, **kw).fit(cached)
-    finally:
-        cached.unpersist()
-    labels = model.stages[0].labels
-    return PipelineModel(stages=model.stages + [IndexToString(
-        inputCol="prediction", outputCol="predictedLabel", labels=labels)])
+def with_label_restore(model: PipelineModel) -> PipelineModel:
+    """The fitted pipeline with its predictions as labels again, in predictedLabel.  The
+    label indexer only serves training and goes, so that unlabelled rows can be scored."""
+    indexer = next(s for s in model.stages if hasattr(s, "labels"))
+    rest = [s for s in model.stages if s is not indexer]
+    return PipelineModel(stages=rest + [IndexToString(
+        inputCol="prediction", outputCol="predictedLabel", labels=indexer.labels)])
 
 
 def save_model(model, path: str) -> str:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS, join_plan,
-                                        replicate_salts, salt_column)
+from labelforge.operators.sizing import DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTES, sized_join
 
 UNMATCHED_POLICIES = ("drop", "null", "default", "error")
 
@@ -22,38 +21,26 @@ def rule_match(df: DataFrame, field, rules: DataFrame, key: str = "id",
                tag: str = "tag", on_unmatched: str = "drop", default: str | None = None,
                dedup: bool = False, rule_col: str = "rule", name_col: str = "name",
                order_col: str = "id", key_alias: str = "userId",
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-               rules_rows: int | None = None,
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Tag each row whose ``field`` equals a rule value with the rule's name.
 
+    Both sides are compared as text: the number 1 equals the rule ``1`` and not ``01``.
     Output ``(userId, <tag>)``.  ``on_unmatched``: ``drop`` (inner join; a null or
     unknown value gives no row), ``null``, ``default`` (fill ``default``) or ``error``
     (fail the job on the first unmatched value, like a strict map lookup).
     Duplicate rule values fan out unless ``dedup`` keeps the one with the greatest
-    ``order_col``.  The rule side is broadcast when its size is known or checked
-    to be at most ``max_broadcast_rows``.  A moderately larger rule side is joined
-    on ``(value, salt)``: business rows get a salt in ``[0, salt_buckets)`` from a
-    hash of their key, rule rows are replicated per salt, so one value holding a
-    third of all rows is spread over ``salt_buckets`` tasks instead of one.  A rule
-    side the optimizer already sizes over 1 GiB is not replicated; the plain
-    shuffle join is left to AQE, whose skew join splits hot partitions at run time.
+    ``order_col``.  For the join see ``sized_join``.
     """
     if on_unmatched not in UNMATCHED_POLICIES:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED_POLICIES}")
     value: Column = F.col(field) if isinstance(field, str) else field
     r = dedup_rules(rules, rule_col, name_col, order_col) if dedup else rules
-    r = r.select(F.col(rule_col).alias("_rule"), F.col(name_col).alias("_name"))
-    # de-duplication only removes rows, so a known rule count still bounds the side
-    r, kind = join_plan(r, max_broadcast_rows, rules_rows)
-    left = df.select(F.col(key).alias(key_alias), value.alias("_value"))
-    how = "inner" if on_unmatched == "drop" else "left"
-    if kind != "shuffle" or salt_buckets <= 1:
-        joined = left.join(r, left["_value"] == r["_rule"], how)
-    else:
-        left = left.withColumn("_salt", salt_column([F.col(key_alias)], salt_buckets))
-        r = replicate_salts(r, salt_buckets, "_rsalt")
-        joined = left.join(r, (left["_value"] == r["_rule"]) & (left["_salt"] == r["_rsalt"]), how)
+    r = r.select(F.col(rule_col).cast("string").alias("_rule"), F.col(name_col).alias("_name"))
+    left = df.select(F.col(key).alias(key_alias), value.cast("string").alias("_value"))
+    joined = sized_join(left, r, lambda a, b: a["_value"] == b["_rule"],
+                        "inner" if on_unmatched == "drop" else "left", [key_alias],
+                        max_broadcast_bytes, salt_buckets=salt_buckets)
     name = F.col("_name")
     if on_unmatched == "default":
         name = F.coalesce(name, F.lit(default))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelforge.session import written
+
 
 def range_sorted(df: DataFrame, keys: list[str], num_partitions: int | None = None,
                  partition_keys: list[str] | None = None) -> DataFrame:
@@ -22,29 +24,23 @@ def range_sorted(df: DataFrame, keys: list[str], num_partitions: int | None = No
 
 def global_rank(df: DataFrame, keys: list[str], out: str = "pos",
                 num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row in the total order of ``keys`` (ties in arbitrary
-    order, like ``row_number``), computed without a single-partition window.
-
-    Rows are range-partitioned and sorted, each row gets its index inside its
-    partition, and a per-partition row count (one row per partition) is turned
-    into offsets that are broadcast back.  Keys should be unique for a repeatable
-    result.  Rows with equal keys are ordered by a hash of the whole row, which lets
-    the range partitioner split one key value holding a large share of the rows.
-    """
-    # an explicit partition count (the cluster's shuffle partition setting by
-    # default) keeps the partitioning fixed: AQE does not merge partitions here,
-    # so partition ids mean the same thing in the count and in the output
+    """1-based position of each row in the total order of ``keys`` (ties in the order of
+    a hash of the whole row, like ``row_number``), without a single-partition window.
+
+    Rows are range-partitioned and sorted once, and written with the number of their
+    partition and their place in it: range bounds come from a sample, so only one
+    materialised partitioning may be counted and indexed.  The counts (one row per
+    partition) become offsets that are added to the places.  The hash among the sort
+    keys lets a key that holds a large share of the rows be split."""
     parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
-    ordered = range_sorted(df, keys + ["_tb"], parts) \
+    mixed = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    ordered = range_sorted(mixed, keys + ["_tb"], parts).drop("_tb") \
         .withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    # index inside the partition: monotonically_increasing_id = (pid << 33) + index
-    ordered = ordered.withColumn("_idx", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: this tiny window is bounded by the partition count
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return ordered.join(F.broadcast(offsets), "_pid") \
-        .withColumn(out, F.col("_off") + F.col("_idx") + 1) \
-        .drop("_pid", "_mid", "_idx", "_off", "_tb")
+        .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = written(ordered, "ranked")
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: this window is bounded by the partition count
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return placed.join(F.broadcast(offsets), "_pid") \
+        .withColumn(out, F.col("_off") + F.col("_idx") + 1).drop("_pid", "_idx", "_off")

@@ -1,9 +1,12 @@
 """Entity profile store.
 
-Storage form is LONG: ``(userId, tag, value)`` with ``value`` STRING, written with
-``partitionBy('tag')``.  A tag model's run replaces exactly its own partition
-(dynamic partition overwrite) or upserts into it.  The WIDE view (one column per
-tag) is a pivot of the long form; both are pure DataFrame functions.
+Storage form is LONG: cells ``(userId, value, version, run)`` in folders by tag.  A model's
+run only appends: its cells carry the run's number, and a run that replaces a tag also
+appends a row without a key, which voids that tag's cells of earlier runs (so an empty
+run clears its tag).  Readers take, per (key, tag), the value of the latest run, and of the
+greatest ``version`` (an event time, say) inside a run.  ``compact_profile`` writes the
+present state as a new store.  The WIDE view (one column per tag) is a pivot of the long
+form; both are pure DataFrame functions.
 """
 
 from __future__ import annotations
@@ -13,8 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelforge.session import fresh_path
-
 KEY = "userId"
 SEARCH_OPERATORS = ("eq", "ne", "lt", "le", "gt", "ge", "contains")
 
@@ -41,14 +42,22 @@ def merge_wide(frames: list[DataFrame], key: str = KEY) -> DataFrame:
     return pivot_long(union_long([to_long(f, key) for f in frames]), tags, key)
 
 
+def latest_cells(long: DataFrame, key: str = KEY) -> DataFrame:
+    """One cell per (key, tag): the value with the greatest ``version`` (without that column
+    all are equal); of equal ones the greatest text, so that the answer is repeatable."""
+    version = F.col("version") if "version" in long.columns else F.lit(0).cast("long")
+    best = long.where(F.col("value").isNotNull()).groupBy(key, "tag") \
+        .agg(F.max(F.struct(version.alias("version"), "value")).alias("_b"))
+    return best.select(key, "tag", F.col("_b.value").alias("value"), F.col("_b.version").alias("version"))
+
+
 def upsert_long(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
     """Per (key, tag): the new value if there is one, else the old one.  Keys and
     tags only in ``old`` keep their value (the reference's per-row upsert)."""
-    both = old.select(key, "tag", "value", F.lit(0).alias("_v")) \
-        .unionByName(new.where(F.col("value").isNotNull())
-                     .select(key, "tag", "value", F.lit(1).alias("_v")))
-    best = both.groupBy(key, "tag").agg(F.max(F.struct("_v", "value")).alias("_b"))
-    return best.select(key, "tag", F.col("_b.value").alias("value"))
+    both = latest_cells(old, key).withColumn("_v", F.lit(0)) \
+        .unionByName(latest_cells(new, key).withColumn("_v", F.lit(1)))
+    best = both.groupBy(key, "tag").agg(F.max_by("value", "_v").alias("value"))
+    return best.select(key, "tag", "value")
 
 
 def upsert_wide(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
@@ -72,63 +81,81 @@ def _file_layout(long: DataFrame, key: str) -> DataFrame:
 
 
 def write_profile(long: DataFrame, path: str, mode: str = "replace_tag",
-                  key: str = KEY, tags: list[str] | None = None) -> None:
-    """Profile sink.
-
-    ``replace_tag``: dynamic partition overwrite; each tag present in ``long``
-    replaces its partition, other tags are untouched.
-    ``upsert``: the written tags' old partitions are merged with the new cells
-    (keys missing from this run keep their old value) through a staging copy,
-    then swapped in with a dynamic partition overwrite.  ``tags`` names the tags
-    being written (saves a pass over ``long`` to find them).
+                  key: str = KEY, tags: list[str] | None = None, run: int | None = None) -> None:
+    """Profile sink: appends the run's cells ``(key, tag, value[, version])``.
+
+    ``replace_tag``: the run's cells are all that is left of its tags: those in ``tags`` or,
+    without it, those present in ``long``.  ``upsert``: keys missing from this run keep
+    their old value.  ``run``: its number, by default one more than the store's last; a
+    replayed run may repeat its number and cells without effect.
     """
+    if mode not in ("replace_tag", "upsert"):
+        raise ValueError("mode must be 'replace_tag' or 'upsert'")
     spark = long.sparkSession
-    writer_conf = "spark.sql.sources.partitionOverwriteMode"
-    prev = spark.conf.get(writer_conf, None)
-    spark.conf.set(writer_conf, "dynamic")
-    try:
-        out = long.select(key, "value", "tag")
-        if mode == "upsert" and _exists(spark, path):
-            if tags is None:  # tag names only: a handful of values
-                tags = [r[0] for r in long.select("tag").distinct().collect()]
-            old = spark.read.parquet(path).where(F.col("tag").isin(tags))
-            merged = upsert_long(old, long, key)
-            stage = fresh_path(spark, "profile-stage")
-            _file_layout(merged.select(key, "value", "tag"), key) \
-                .write.partitionBy("tag").parquet(stage)
-            out = spark.read.parquet(stage).select(key, "value", "tag")
-            out.write.mode("overwrite").partitionBy("tag").parquet(path)
-            return
-        elif mode not in ("replace_tag", "upsert"):
-            raise ValueError("mode must be 'replace_tag' or 'upsert'")
-        _file_layout(out, key).write.mode("overwrite").partitionBy("tag").parquet(path)
-    finally:
-        if prev is not None:
-            spark.conf.set(writer_conf, prev)
+    if run is None:
+        run = _last_run(spark, path) + 1
+    cells = latest_cells(long, key)
+    if mode == "replace_tag":
+        named = spark.createDataFrame([(t,) for t in tags], "tag string") if tags is not None \
+            else long.select("tag").distinct()
+        none = F.lit(None)
+        cells = cells.unionByName(named.select(
+            none.cast(long.schema[key].dataType).alias(key), "tag", none.cast("string").alias("value"),
+            none.cast("long").alias("version")))
+    out = cells.select(key, "value", F.col("version").cast("long").alias("version"),
+                       F.lit(run).cast("long").alias("run"), "tag")
+    _file_layout(out, key).write.mode("append").partitionBy("tag").parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(not x.getPath().getName().startswith("_") for x in fs.listStatus(p))
+
+
+def _last_run(spark: SparkSession, path: str) -> int:
+    if not _exists(spark, path):
+        return 0
+    return spark.read.parquet(path).agg(F.max("run").alias("n")).first()["n"] or 0
+
+
+def present_cells(stored: DataFrame, key: str = KEY) -> DataFrame:
+    """Cells of all runs -> one row (key, tag, value) per cell that is left."""
+    voided = stored.where(F.col(key).isNull()).groupBy("tag").agg(F.max("run").alias("_from"))
+    cells = stored.where(F.col(key).isNotNull()).join(voided, "tag", "left") \
+        .where(F.col("run") >= F.coalesce("_from", F.lit(0)))
+    return cells.groupBy(key, "tag").agg(F.max_by("value", F.struct("run", "version", "value")).alias("value"))
 
 
 def read_profile(spark: SparkSession, path: str, tags: list[str] | None = None,
                  key: str = KEY) -> DataFrame:
-    """Long profile; a tag list prunes partitions at the scan."""
-    df = spark.read.parquet(path)
-    return df.where(F.col("tag").isin(tags)) if tags else df
+    """Long profile; a tag list prunes folders at the scan."""
+    df = spark.read.parquet(path).withColumn("tag", F.col("tag").cast("string"))
+    return present_cells(df.where(F.col("tag").isin(tags)) if tags else df, key)
+
+
+def compact_profile(spark: SparkSession, path: str, target: str, key: str = KEY) -> str:
+    """The present state of the store at ``path`` as a new store of one run at ``target``."""
+    out = read_profile(spark, path, key=key).select(
+        key, "value", F.lit(0).cast("long").alias("version"),
+        F.lit(_last_run(spark, path)).cast("long").alias("run"), "tag")
+    _file_layout(out, key).write.partitionBy("tag").parquet(target)
+    return target
 
 
 def packed_tags(df: DataFrame, key: str, packed: str, pair_sep: str = ",",
-                kv_sep: str = ":") -> DataFrame:
+                kv_sep: str = ":", key_cell: str | None = None) -> DataFrame:
     """``"gender:x,job:y"`` -> long cells ``(key, tag, value)``.
 
     Same parser as the rule text (H1): trimmed, split on the first ``kv_sep``, a
-    repeated tag keeps its last value, a pair without ``kv_sep`` raises.
+    repeated tag keeps its last value, a pair without ``kv_sep`` raises.  ``key_cell``
+    also stores the key itself as a cell of that name.
     """
     from labelforge.functions.rules import parse_kv_rule
     m = parse_kv_rule(F.col(packed), pair_sep, kv_sep)
+    if key_cell:
+        m = F.map_concat(F.map_filter(m, lambda k, _: k != key_cell),
+                         F.create_map(F.lit(key_cell), F.col(key).cast("string")))
     return df.select(F.col(key).alias(KEY), F.explode(m).alias("tag", "value"))
 
 

@@ -1,33 +1,24 @@
 """Bucketed profile table: the long profile as a catalog table partitioned by tag
 and bucketed (and sorted) by entity key.
 
-Why: an upsert must merge a tag's old cells with the new ones by key.  With the
-table bucketed by ``userId`` the old side is read bucket by bucket, already
-hash-partitioned, so the merge (a full outer sort-merge join per tag) shuffles
-only the NEW cells; the old profile, the big side, never moves.  The wide view
-(``groupBy(userId).pivot(tag)``) likewise needs no shuffle on a bucketed read.
-
-The merge is written to a fresh bucketed staging table first (a table cannot be
-overwritten while it is read) and swapped in with a dynamic partition overwrite,
-so a failure at any point leaves the old profile intact.
+A run appends its cells, with its number, to the buckets: only the NEW cells are
+shuffled, the old profile, the big side, never moves and is never rewritten.  Readers
+group by the bucket column, so the present state and the wide view need no shuffle
+either.  As in the path store a run that replaces a tag appends a row without a key.
 """
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelforge.operators.profile import KEY
-from labelforge.session import fresh_path
+from labelforge.operators.profile import KEY, latest_cells
 
 
 def _ddl(name: str, path: str, buckets: int, key: str, key_type: str) -> str:
-    return (f"CREATE TABLE IF NOT EXISTS {name} ({key} {key_type}, value STRING, tag STRING) "
-            f"USING parquet PARTITIONED BY (tag) CLUSTERED BY ({key}) SORTED BY ({key}) "
-            f"INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return (f"CREATE TABLE IF NOT EXISTS {name} ({key} {key_type}, value STRING, version BIGINT, "
+            f"run BIGINT, tag STRING) USING parquet PARTITIONED BY (tag) CLUSTERED BY ({key}) "
+            f"SORTED BY ({key}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
 
 
 def create_profile_table(spark: SparkSession, name: str, path: str, buckets: int,
@@ -36,72 +27,68 @@ def create_profile_table(spark: SparkSession, name: str, path: str, buckets: int
     spark.sql(_ddl(name, path, buckets, key, key_type))
 
 
-def _bucket_spec(spark: SparkSession, name: str) -> tuple[int, str]:
-    info = {r["col_name"]: r["data_type"] for r in
-            spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    key_type = info.get(KEY, "bigint")
-    return int(info["Num Buckets"]), key_type
+def _buckets(spark: SparkSession, name: str) -> int:
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return int(info["Num Buckets"])
 
 
-def _dynamic_overwrite(df: DataFrame, name: str) -> None:
-    spark = df.sparkSession
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    prev = spark.conf.get(conf, None)
-    spark.conf.set(conf, "dynamic")
-    try:
-        df.write.insertInto(name, overwrite=True)
-    finally:
-        if prev is not None:
-            spark.conf.set(conf, prev)
+def _append(cells: DataFrame, name: str, run: int | None, key: str) -> None:
+    spark = cells.sparkSession
+    if run is None:
+        run = (spark.table(name).agg(F.max("run").alias("n")).first()["n"] or 0) + 1
+    cells.select(key, "value", "version", F.lit(run).cast("long").alias("run"), "tag") \
+        .repartition(_buckets(spark, name), key).sortWithinPartitions("tag", key) \
+        .write.insertInto(name)
 
 
-def replace_tags(long: DataFrame, name: str, key: str = KEY) -> None:
-    """Each tag present in ``long`` replaces its partition (other tags untouched)."""
-    buckets, _ = _bucket_spec(long.sparkSession, name)
-    out = long.where(F.col("value").isNotNull()).select(key, "value", "tag") \
-        .repartition(buckets, key)
-    _dynamic_overwrite(out, name)
+def replace_tags(long: DataFrame, name: str, tags: list[str] | None = None, key: str = KEY,
+                 run: int | None = None) -> None:
+    """The run's cells are all that is left of ``tags`` (without it: the tags in ``long``)."""
+    spark = long.sparkSession
+    named = spark.createDataFrame([(t,) for t in tags], "tag string") if tags is not None \
+        else long.select("tag").distinct()
+    none = F.lit(None)
+    marks = named.select(none.cast(spark.table(name).schema[key].dataType).alias(key), "tag",
+                         none.cast("string").alias("value"), none.cast("long").alias("version"))
+    _append(latest_cells(long, key).unionByName(marks), name, run, key)
 
 
-def merge_tag(long: DataFrame, name: str, tag: str, key: str = KEY) -> DataFrame:
-    """One tag's merged cells: bucketed old side (no exchange) full-outer-joined with
-    the run's new cells (the only side shuffled)."""
-    spark = long.sparkSession
-    buckets, _ = _bucket_spec(spark, name)
-    table = spark.table(name)
-    old_t = table.where(F.col("tag") == tag).select(key, F.col("value").alias("_old"))
-    # one new cell per key (duplicates keep the greatest value, as upsert_long does);
-    # partitioned like the buckets so the join needs no exchange on the old side
-    new_t = long.where((F.col("tag") == tag) & F.col("value").isNotNull()) \
-        .repartition(buckets, key).groupBy(key).agg(F.max("value").alias("_new"))
-    return old_t.join(new_t, key, "full").select(
-        key, F.coalesce("_new", "_old").alias("value"), F.lit(tag).alias("tag"))
-
-
-def upsert_tags(long: DataFrame, name: str, tags: list[str], key: str = KEY) -> None:
+def upsert_tags(long: DataFrame, name: str, tags: list[str] | None = None, key: str = KEY,
+                run: int | None = None) -> None:
     """Per tag: new value where the run has one, else the old value (keys only in
-    the old profile keep their cell).  Only the new cells are shuffled."""
-    spark = long.sparkSession
-    buckets, key_type = _bucket_spec(spark, name)
-    merged = [merge_tag(long, name, tag, key) for tag in tags]
-    stage = f"{name}_stage_{uuid.uuid4().hex[:10]}"
-    spark.sql(_ddl(stage, fresh_path(spark, "profile-stage"), buckets, key, key_type))
-    try:
-        reduce(lambda a, b: a.unionByName(b), merged).write.insertInto(stage, overwrite=True)
-        _dynamic_overwrite(spark.table(stage), name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+    the old profile keep their cell).  ``tags`` restricts the run to those tags."""
+    own = long.where(F.col("tag").isin(tags)) if tags is not None else long
+    _append(latest_cells(own, key), name, run, key)
+
+
+def present(spark: SparkSession, name: str, tags: list[str], key: str = KEY) -> DataFrame:
+    """Cells ``(key, tag, value)`` that are left of ``tags``, without a shuffle of the table."""
+    stored = spark.table(name).where(F.col("tag").isin(tags))
+    # one number per named tag
+    voided = {r["tag"]: r["n"] for r in stored.where(F.col(key).isNull()).groupBy("tag")
+              .agg(F.max("run").alias("n")).collect()}
+    first = F.create_map(*[F.lit(x) for t in tags for x in (t, int(voided.get(t, 0)))])
+    cells = stored.where(F.col(key).isNotNull() & (F.col("run") >= first[F.col("tag")]))
+    return cells.groupBy(key, "tag") \
+        .agg(F.max_by("value", F.struct("run", "version", "value")).alias("value"))
 
 
 def wide_view(spark: SparkSession, name: str, tags: list[str], key: str = KEY) -> DataFrame:
-    """Wide profile from the bucketed table (the aggregate reuses the bucketing)."""
-    return spark.table(name).where(F.col("tag").isin(tags)) \
-        .groupBy(key).pivot("tag", tags).agg(F.max("value"))
+    """Wide profile from the bucketed table (the aggregates reuse the bucketing)."""
+    cells = present(spark, name, tags, key)
+    return cells.groupBy(key).agg(*[F.max(F.when(F.col("tag") == t, F.col("value"))).alias(t) for t in tags])
 
 
-def lookup(spark: SparkSession, name: str, key_value, tags: list[str] | None = None,
-           key: str = KEY) -> DataFrame:
+def lookup(spark: SparkSession, name: str, key_value, tags: list[str], key: str = KEY) -> DataFrame:
     """A15/B8 by key: one entity's cells.  The equality on the bucket column prunes
-    the scan to a single bucket file per tag partition."""
-    df = spark.table(name).where(F.col(key) == F.lit(key_value))
-    return df.where(F.col("tag").isin(tags)) if tags else df
+    the scan to a single bucket per tag partition."""
+    return present(spark, name, tags, key).where(F.col(key) == F.lit(key_value))
+
+
+def compact(spark: SparkSession, name: str, target: str, path: str, tags: list[str],
+            key: str = KEY, key_type: str = "BIGINT") -> None:
+    """The present state of ``tags`` as a new table ``target`` at ``path``, one run."""
+    buckets = _buckets(spark, name)
+    create_profile_table(spark, target, path, buckets, key, key_type)
+    cells = present(spark, name, tags, key).withColumn("version", F.lit(0).cast("long"))
+    _append(cells, target, 1, key)

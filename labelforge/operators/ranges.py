@@ -1,28 +1,26 @@
-"""Range tagging (C3 closed ranges, C4 left-open ranges) as a bucketed equi-join.
-
-The value axis is cut into buckets of equal width derived from the ranges
-(span / count, at most ``max_buckets`` buckets).  Every range is listed once per
-bucket it touches, values join on their bucket id, and the exact predicate is the
-join condition.  Bucketing is exact: ``floor((x - lo) / width)`` is monotonic in
-``x``, so a value inside a range always lands in one of the range's buckets.
-
-* few ranges (the normal case): the bucket list is broadcast -> one
-  BroadcastHashJoin, each row probes only the ranges of its own bucket;
-* many ranges (over ``max_broadcast_rows``): a shuffle join on
-  ``(bucket, salt)``; a bucket holding a third of all rows is spread over the
-  salt buckets, the few ranges of that bucket being replicated per salt.
+"""Range tagging (C3 closed ranges, C4 left-open ranges) as an exact equi-join.
+
+The distinct end points of the ranges cut the value axis into pieces (each point, and
+each gap between two points).  A range covers a run of pieces, which falls apart into
+few aligned blocks of 1, 2, 4, ... pieces; a value lies in one piece, and so in one block
+of each size.  Joining on the block therefore pairs a value with the ranges that cover
+it and no others, however the ranges lie: n ranges give at most 2n log n rows, and no
+width, count or overlap makes a value probe ranges beside it.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS,
-                                        bounded_broadcast, replicate_salts, salt_column)
+from labelforge.operators.sizing import DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTES, sized_join
 
 BOUNDS = ("closed", "left_open")
-MAX_BUCKETS = 1024
+# End points of one axis; longer ones are cut into stretches that are matched one by one.
+AXIS_POINTS = 200_000
 
 
 def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
@@ -33,67 +31,126 @@ def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
     raise ValueError(f"bounds must be one of {BOUNDS}")
 
 
-def bucket_grid(ranges: DataFrame, start_col: str = "_s", end_col: str = "_e",
-                max_buckets: int = MAX_BUCKETS, with_count: bool = False):
-    """(lo, width) of the bucket grid: scalars from one aggregate over the ranges
-    (plus the range count when ``with_count``)."""
-    st = ranges.agg(F.min(start_col).alias("lo"), F.max(end_col).alias("hi"),
-                    F.count(F.lit(1)).alias("n")).first()
-    n = int(st["n"])
-    if n == 0 or st["lo"] is None:
-        return (0.0, 1.0, n) if with_count else (0.0, 1.0)
-    lo, hi = float(st["lo"]), float(st["hi"])
-    buckets = max(1, min(n, max_buckets))
-    width = max((hi - lo) / buckets, 1e-12)
-    return (lo, width, n) if with_count else (lo, width)
-
-
-def bucket_of(x: Column, lo: float, width: float) -> Column:
-    return F.floor((x.cast("double") - F.lit(lo)) / F.lit(width)).cast("long")
-
-
-def explode_buckets(ranges: DataFrame, lo: float, width: float, start_col: str = "_s",
-                    end_col: str = "_e", out: str = "_b") -> DataFrame:
-    """One row per (range, bucket it touches)."""
-    return ranges.withColumn(out, F.explode(F.sequence(bucket_of(F.col(start_col), lo, width),
-                                                       bucket_of(F.col(end_col), lo, width))))
+def _blocks(first: int, last: int) -> list[int]:
+    """The aligned blocks (level in the low 6 bits) that make up pieces first .. last."""
+    out, level = [], 0
+    while first <= last:
+        if first & 1:
+            out.append(first << 6 | level)
+            first += 1
+        if not last & 1:
+            out.append(last << 6 | level)
+            last -= 1
+        first, last, level = first >> 1, last >> 1, level + 1
+    return out
+
+
+@dataclass
+class Axis:
+    """End points of a set of ranges between ``low`` and ``high`` (None: no limit) and the
+    block levels its ranges use."""
+
+    points: list[float]
+    low: float | None
+    high: float | None
+    blocks: dict[tuple[float, float], list[int]]
+    rows: int
+
+    @property
+    def levels(self) -> list[int]:
+        return sorted({b & 63 for own in self.blocks.values() for b in own})
+
+
+def axes_of(ranges: DataFrame, axis_points: int = AXIS_POINTS) -> list[Axis]:
+    """Axes of ``ranges(_s, _e)`` (doubles), from one job that brings their distinct bounds."""
+    pairs = [(r["_s"], r["_e"], r["n"]) for r in
+             ranges.groupBy("_s", "_e").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()]
+    points = sorted({p for s, e, _ in pairs for p in (s, e)})
+    out = []
+    for k in range(0, len(points), axis_points):
+        own = points[k:k + axis_points]
+        low = own[0] if k else None
+        high = points[k + axis_points] if k + axis_points < len(points) else None
+        blocks, rows = {}, 0
+        for s, e, n in pairs:
+            if (high is None or s < high) and (low is None or e >= low):
+                first = 2 * bisect_left(own, s) + 1 if low is None or s >= low else 1
+                last = 2 * bisect_left(own, e) + 1 if high is None or e < high else 2 * len(own)
+                blocks[s, e] = _blocks(first, last)
+                rows += n * len(blocks[s, e])
+        out.append(Axis(own, low, high, blocks, rows))
+    return out
+
+
+def piece_of(x: Column, axis: Axis) -> Column:
+    """Number of the piece a double lies in: 2i + 1 at point i, 2i below it."""
+    n = len(axis.points)
+    points = F.array(*[F.lit(p) for p in axis.points])
+
+    def step(state, _):
+        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        less = F.get(points, mid) < x
+        done = state["lo"] >= state["hi"]
+        return F.struct(F.when(done | ~less, state["lo"]).otherwise(mid + 1).alias("lo"),
+                        F.when(done | less, state["hi"]).otherwise(mid).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length() + 1)), start, step, lambda s: s["lo"])
+    at_point = F.coalesce(F.get(points, found) == x, F.lit(False))
+    return (2 * found + at_point.cast("int")).cast("long")
+
+
+def block_column(x: Column, axis: Axis) -> Column:
+    """The blocks a double lies in, of the levels that the ranges use."""
+    piece = piece_of(x, axis)
+    return F.transform(F.array(piece), lambda p: p) if not axis.levels else F.transform(
+        F.array(*[F.lit(v) for v in axis.levels]),
+        lambda level: F.call_function("shiftright", piece, level) * 64 + level)
+
+
+def range_blocks(ranges: DataFrame, axis: Axis) -> DataFrame:
+    """``ranges`` with one row per block ``_b`` (ranges off the axis give none)."""
+    spark = ranges.sparkSession
+    rows = [(s, e, b) for (s, e), own in axis.blocks.items() for b in own]
+    listed = spark.createDataFrame(rows, "_ls double, _le double, _b long")
+    return ranges.join(listed, (F.col("_s") == F.col("_ls")) & (F.col("_e") == F.col("_le"))) \
+        .drop("_ls", "_le")
 
 
 def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: str = "tag",
                 bounds: str = "closed", start_col: str = "start", end_col: str = "end",
                 name_col: str = "name", key_alias: str = "userId",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                ranges_rows: int | None = None,
-                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                axis_points: int = AXIS_POINTS) -> DataFrame:
     """Tag each row with every range containing ``value`` -> ``(userId, <tag>)``.
 
-    A value in no range (or null) gives no row; overlapping ranges give several.
-    Ranges with a null bound, or with start > end, match nothing.  The broadcast
-    bound is proven by the grid aggregate's range count (``ranges_rows`` is kept
-    for callers and not needed).
+    A value in no range (or null, or NaN) gives no row; overlapping ranges give several.
+    Ranges with a null or NaN bound, or with start > end, match nothing.
     """
     if bounds not in BOUNDS:
         raise ValueError(f"bounds must be one of {BOUNDS}")
     x = F.col(value) if isinstance(value, str) else value
     left = df.select(F.col(key).alias(key_alias), x.alias("_x")).where(F.col("_x").isNotNull())
-    r = ranges.select(F.col(name_col).alias("_name"), F.col(start_col).alias("_s"),
-                      F.col(end_col).alias("_e")) \
-        .where(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_s") <= F.col("_e")))
-    lo, width, n = bucket_grid(r, with_count=True)
-    exploded = explode_buckets(r, lo, width)
-    keyed = left.withColumn("_b", bucket_of(F.col("_x"), lo, width))
-    # the range count bounds the bucket list: n ranges x at most min(n, MAX_BUCKETS) buckets
-    known = n * min(n, MAX_BUCKETS)
-    small, hinted = bounded_broadcast(exploded, max_broadcast_rows,
-                                      known if known is not None and known <= max_broadcast_rows
-                                      else None)
-    if hinted:
-        joined = keyed.join(small, (keyed["_b"] == small["_b"])
-                            & _predicate(keyed["_x"], small["_s"], small["_e"], bounds))
-    else:
-        keyed = keyed.withColumn("_salt", salt_column([F.col(key_alias), F.col("_x")],
-                                                      salt_buckets))
-        rep = replicate_salts(exploded, salt_buckets)
-        joined = keyed.join(rep, (keyed["_b"] == rep["_b"]) & (keyed["_salt"] == rep["_salt"])
-                            & _predicate(keyed["_x"], rep["_s"], rep["_e"], bounds))
-    return joined.select(key_alias, F.col("_name").alias(tag))
+    start, end = F.col("_s0").cast("double"), F.col("_e0").cast("double")
+    r = ranges.select(F.col(name_col).alias("_name"), F.col(start_col).alias("_s0"),
+                      F.col(end_col).alias("_e0")) \
+        .where((F.col("_s0") <= F.col("_e0")) & ~F.isnan(start) & ~F.isnan(end)) \
+        .withColumn("_s", start).withColumn("_e", end)
+    out = None
+    for axis in axes_of(r, axis_points):
+        x = F.col("_x").cast("double")
+        own = left
+        if axis.low is not None:
+            own = own.where(x >= F.lit(axis.low))
+        if axis.high is not None:
+            own = own.where(x < F.lit(axis.high))
+        keyed = own.withColumn("_b", F.explode(block_column(x, axis)))
+        matched = sized_join(
+            keyed, range_blocks(r, axis).select("_name", "_s0", "_e0", F.col("_b").alias("_rb")),
+            lambda a, b: (a["_b"] == b["_rb"]) & _predicate(a["_x"], b["_s0"], b["_e0"], bounds),
+            "inner", [key_alias, "_x"], max_broadcast_bytes, salt_buckets=salt_buckets)
+        part = matched.select(key_alias, F.col("_name").alias(tag))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else \
+        left.where("false").select(key_alias, F.lit(None).cast("string").alias(tag))

@@ -26,7 +26,7 @@ def last_event(df: DataFrame, key: str, time_col: str, time_kind: str = "timesta
 
 def recency_tag(df: DataFrame, key: str, time_col: str, ranges: DataFrame, as_of: str,
                 tag: str = "cycle", time_kind: str = "timestamp",
-                key_alias: str = "userId", ranges_rows: int | None = None) -> DataFrame:
+                key_alias: str = "userId") -> DataFrame:
     """Days since the latest event (to ``as_of``) tagged by closed day ranges.
 
     A key whose gap falls in no range gets no row (e.g. beyond the last range).
@@ -34,4 +34,4 @@ def recency_tag(df: DataFrame, key: str, time_col: str, ranges: DataFrame, as_of
     last = last_event(df, key, time_col, time_kind, key_alias)
     gaps = last.select(key_alias, days_since(F.col("last_time"), as_of).alias("_days"))
     return range_match(gaps, "_days", ranges, key=key_alias, tag=tag, bounds="closed",
-                       key_alias=key_alias, ranges_rows=ranges_rows)
+                       key_alias=key_alias)

@@ -1,78 +1,31 @@
-"""Size-checked broadcast.
+"""Size-checked joins.
 
-A side is broadcast only when its row count is proven to be under a bound: either
-it was built on the driver from a literal list (length known), or a bounded
-``limit(n + 1).count()`` on it says so.  The optimizer's size estimate is used
-only to skip that count for sides that are clearly large.  Beyond the bound the
-frame is returned unhinted and Spark plans a shuffle join (AQE may still convert
-it at run time from real statistics).
+One rule for every join with a rule, range or lookup side: its bytes are measured by one
+aggregate; within the bound it is broadcast, beyond it the join is shuffled on the key and
+a salt, so that one value holding a third of the big side is spread over several tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest rule / range / lookup side we hint for broadcast.  A rule row is a few
-# dozen bytes, so 200k rows stay far below the executor broadcast limits.
-MAX_BROADCAST_ROWS = 200_000
-# A side whose optimizer size estimate exceeds this is not a rule table; it is not
-# counted (the count would compute an expensive derived side twice) and the join
-# strategy is left to Spark (AQE re-plans from real sizes at run time).
-MAX_CHECKED_ESTIMATE_BYTES = 1 << 30
-
-
-# Estimates at or above this are the "no statistics" placeholder of
-# spark.sql.defaultSizeInBytes (or derived from it), not a measurement.
-_UNKNOWN_ESTIMATE_BYTES = 1 << 50
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (no job); None if unknown
-    (no plan access, or a source without statistics)."""
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. a remote session without plan access
-        return None
-    return None if est >= _UNKNOWN_ESTIMATE_BYTES else est
-
-
-def row_count_at_most(df: DataFrame, bound: int) -> int | None:
-    """Row count of ``df`` if it is <= bound, else None (reads at most bound+1 rows)."""
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None
-
-
-def join_plan(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-              known_rows: int | None = None) -> tuple[DataFrame, str]:
-    """Classify a join side: ``broadcast`` (size proven <= max_rows; the frame
-    carries the hint), ``shuffle`` (counted above the bound, moderate size) or
-    ``large`` (the optimizer already sizes it over 1 GiB; not counted)."""
-    if known_rows is None:
-        est = estimated_bytes(df)
-        if est is not None and est > MAX_CHECKED_ESTIMATE_BYTES:
-            return df, "large"
-    n = known_rows if known_rows is not None else row_count_at_most(df, max_rows)
-    if n is not None and n <= max_rows:
-        return F.broadcast(df), "broadcast"
-    return df, "shuffle"
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(frame, hinted)``; the frame carries a broadcast hint only when its
-    size is known or checked to be within ``max_rows``."""
-    frame, kind = join_plan(df, max_rows, known_rows)
-    return frame, kind == "broadcast"
+# A broadcast side is held by the driver and by every executor.
+MAX_BROADCAST_BYTES = 32 << 20
+# The big side's rows of one key go to this many tasks; the other side is repeated in each.
+DEFAULT_SALT_BUCKETS = 16
+# Bytes of a row and of a field beside its text.
+_ROW_BYTES, _FIELD_BYTES = 16, 8
 
 
-# Salt buckets used when a join cannot be broadcast: the big side's rows of one
-# join key are spread over this many tasks and the (small-per-key) other side is
-# replicated once per bucket.
-DEFAULT_SALT_BUCKETS = 16
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` in memory, from the length of every value (one job)."""
+    fields = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + _FIELD_BYTES
+                  for c in df.columns), F.lit(_ROW_BYTES))
+    return int(df.agg(F.sum(fields.cast("long")).alias("n")).first()["n"] or 0)
 
 
-def salt_column(key_cols, buckets: int):
+def salt_column(key_cols, buckets: int) -> Column:
     """Deterministic salt in [0, buckets) from the row's own key columns, so a
     recomputed task assigns every row to the same bucket."""
     return F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int")
@@ -80,3 +33,18 @@ def salt_column(key_cols, buckets: int):
 
 def replicate_salts(df: DataFrame, buckets: int, name: str = "_salt") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+
+
+def sized_join(left: DataFrame, right: DataFrame, on, how: str, spread: list[str],
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, known_bytes: int | None = None,
+               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """``left`` joined with ``right`` by the condition ``on(left, right)``.
+
+    ``how``: inner or left.  ``spread`` names the columns of ``left`` whose hash salts a
+    shuffled join.  ``known_bytes``: an upper bound for ``right`` that is known already."""
+    size = measured_bytes(right) if known_bytes is None else known_bytes
+    if size <= max_broadcast_bytes:
+        return left.join(F.broadcast(right), on(left, right), how)
+    left = left.withColumn("_salt", salt_column([F.col(c) for c in spread], salt_buckets))
+    right = replicate_salts(right, salt_buckets, "_rsalt")
+    return left.join(right, on(left, right) & (left["_salt"] == right["_rsalt"]), how)

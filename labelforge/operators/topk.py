@@ -4,48 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-            T.DecimalType)
 
 
 def top_n_per_group(df: DataFrame, keys, order: list[tuple[str, bool]], n: int = 1,
                     rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group by ``order`` ([(column, descending)...]).
 
-    The order must be total (end with a unique column) for a repeatable answer.
-    ``n == 1`` with numeric descending keys runs as one hash aggregate taking the
-    minimum of a struct (sort keys first, descending ones negated): partial
-    aggregation before the shuffle means a hot group costs no more than any other.
-    Otherwise ``row_number`` over a window; Spark adds a partial WindowGroupLimit
-    before the shuffle, so each map task forwards at most ``n`` rows per group.
-    """
+    Nulls come last in a descending and first in an ascending order, NaN counts as larger
+    than any number, as in the SQL form.  The order must be total (end with a unique
+    column) for a repeatable answer.  Spark keeps at most ``n`` rows of a group per map
+    task before the shuffle, so a hot group costs no more than any other."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    negatable = all(not desc or isinstance(types[c], _NUMERIC) for c, desc in order)
-    if n == 1 and rank_col is None and negatable:
-        sort_fields = [(-F.col(c) if desc else F.col(c)).alias(f"_k{i}")
-                       for i, (c, desc) in enumerate(order)]
-        rest = [c for c in df.columns if c not in keys]
-        packed = F.struct(*sort_fields, *[F.col(c).alias(c) for c in rest])
-        best = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
-        return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest]) \
-            .select(*df.columns)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if d else F.col(c).asc()
-                                            for c, d in order])
-    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-    if rank_col:
-        return ranked.withColumnRenamed("_rn", rank_col)
-    return ranked.drop("_rn")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() if d
+                                            else F.col(c).asc_nulls_first() for c, d in order])
+    rank = rank_col or "_rn"
+    ranked = df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+    return ranked if rank_col else ranked.drop(rank)
 
 
 def top_n_per_group_sql(spark: SparkSession, df: DataFrame, view: str, keys: list[str],
                         order_sql: str, columns: list[str], n: int = 1) -> DataFrame:
-    """The same through a temp view and a CTE with ``ROW_NUMBER()``."""
+    """The same through a CTE with ``ROW_NUMBER()`` over the temp view ``view``,
+    which is dropped once the statement is analysed."""
     df.createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH ranked AS (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_sql}) AS rnk
-            FROM {view})
-        SELECT {', '.join(columns)} FROM ranked WHERE rnk <= {int(n)}""")
+    try:
+        return spark.sql(f"""
+            WITH ranked AS (
+                SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_sql}) AS rnk
+                FROM {view})
+            SELECT {', '.join(columns)} FROM ranked WHERE rnk <= {int(n)}""")
+    finally:
+        spark.catalog.dropTempView(view)

@@ -9,6 +9,7 @@ a tag catalog would hold them.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelforge.functions import dates, scores
-from labelforge.functions.casts import cast_all_double
+from labelforge.functions.casts import cast_all_double, positional_columns
 from labelforge.functions.rules import parse_kv_rule, parse_range
 from labelforge.operators import aggregates, learning, profile
 from labelforge.operators.match import copy_tag, rule_match
@@ -26,7 +27,7 @@ from labelforge.operators.ranges import range_match
 from labelforge.operators.recency import recency_tag
 from labelforge.operators.replace import replace_not_in, replace_out_of_range
 from labelforge.operators.topk import top_n_per_group, top_n_per_group_sql
-from labelforge.session import fresh_path
+from labelforge.session import fresh_path, written
 from labelforge.sources import catalog, cells
 from labelforge.sources.delimited import parse_delimited_lines, read_csv
 from labelforge.sources.literal import literal_frame
@@ -96,9 +97,8 @@ def q_tag_children(spark, root):
 
 
 def q_tag_model_left_join(spark, root):
-    cust = _t(spark, root, "customer", ["c_nationkey", "c_acctbal"])
-    models = cust.where(F.col("c_acctbal") > 9900) \
-        .groupBy((F.lit(100) + F.col("c_nationkey")).cast("long").alias("tag_id")) \
+    cust = _t(spark, root, "customer", ["c_nationkey"])
+    models = cust.groupBy((F.lit(100) + F.col("c_nationkey")).cast("long").alias("tag_id")) \
         .agg(F.count(F.lit(1)).alias("cnt"))
     return catalog.tags_with_models(tag_tree(spark, root), models).select("id", "name", "cnt")
 
@@ -149,6 +149,22 @@ def q_range_rule_parse(spark, root):
                       rd["start"].alias("dlo"), rd["end"].alias("dhi"))
 
 
+def q_rule_text_edges(spark, root):
+    """Carriage returns and tabs around rule texts, bounds with signs, malformed
+    ranges (dropped on demand), and numbers that match rules as text only."""
+    nat = _t(spark, root, "nation", ["n_nationkey", "n_name"])
+    n = F.col("n_nationkey").cast("string")
+    text = F.concat(F.lit("inType=x\r\n\tfam =\t"), F.col("n_name"), F.lit("\r\n"))
+    rule = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("-"), n, F.lit("-\t5\r"))) \
+        .when(F.col("n_nationkey") % 3 == 1, F.concat(F.lit(" -9--"), n)).otherwise(F.concat(n, F.lit("-")))
+    kv, r = parse_kv_rule(text), parse_range(rule, "-", "int", on_bad_rule="drop")
+    named = rule_match(nat, "n_nationkey", _rules(spark, [("1", "one"), ("02", "two"), ("x", "ex")]),
+                       key="n_nationkey", tag="named", on_unmatched="null")
+    parsed = nat.select("n_nationkey", kv["inType"].alias("kind"), kv["fam"].alias("fam"),
+                        r["start"].alias("lo"), r["end"].alias("hi"))
+    return parsed.join(named, parsed["n_nationkey"] == named["userId"]).drop("userId")
+
+
 # ------------------------------------------------------------------ wide reads
 def q_wide_read_conditions(spark, root):
     src = spark.read.parquet(os.path.join(root, "orders.parquet"))
@@ -177,14 +193,13 @@ def q_row_get(spark, root):
 def _segment(spark, root, how="drop", default=None):
     cust = _t(spark, root, "customer", ["c_custkey", "c_mktsegment"])
     return rule_match(cust, "c_mktsegment", _rules(spark, SEGMENT_RULES), key="c_custkey",
-                      tag="segment", on_unmatched=how, default=default,
-                      rules_rows=len(SEGMENT_RULES))
+                      tag="segment", on_unmatched=how, default=default)
 
 
 def _acct(spark, root, rules=ACCT_RULES):
     cust = _t(spark, root, "customer", ["c_custkey", "c_acctbal"])
     return range_match(cust, "c_acctbal", _range_rules(spark, rules, "~", "double"),
-                       key="c_custkey", tag="acct", bounds="left_open", ranges_rows=len(rules))
+                       key="c_custkey", tag="acct", bounds="left_open")
 
 
 def q_rule_match_inner(spark, root):
@@ -204,7 +219,7 @@ def q_range_tag_inclusive(spark, root):
     orders = _t(spark, root, "orders", ["o_orderkey", "o_orderdate"])
     return range_match(orders, dates.date_to_int("o_orderdate"),
                        _range_rules(spark, ERA_RULES, "-", "int"), key="o_orderkey",
-                       tag="era", bounds="closed", ranges_rows=len(ERA_RULES))
+                       tag="era", bounds="closed")
 
 
 def q_range_tag_half_open(spark, root):
@@ -215,7 +230,7 @@ def q_recency_tag(spark, root):
     orders = _t(spark, root, "orders", ["o_custkey", "o_orderdate"])
     return recency_tag(orders, "o_custkey", "o_orderdate",
                        _range_rules(spark, CYCLE_RULES, "-", "int"), AS_OF_RECENCY,
-                       tag="cycle", ranges_rows=len(CYCLE_RULES))
+                       tag="cycle")
 
 
 def q_recency_tag_epoch(spark, root):
@@ -225,7 +240,7 @@ def q_recency_tag_epoch(spark, root):
                 .alias("finishtime"))
     return recency_tag(orders, "o_custkey", "finishtime",
                        _range_rules(spark, CYCLE_RULES, "-", "int"), AS_OF_RECENCY,
-                       tag="cycle", time_kind="epoch", ranges_rows=len(CYCLE_RULES))
+                       tag="cycle", time_kind="epoch")
 
 
 def q_mode_category(spark, root):
@@ -236,7 +251,7 @@ def q_mode_category(spark, root):
 def q_mode_category_tag(spark, root):
     mode = q_mode_category(spark, root)
     return rule_match(mode, "mode", _rules(spark, PRIORITY_RULES), key="userId",
-                      tag="payment", rules_rows=len(PRIORITY_RULES))
+                      tag="payment")
 
 
 def q_top1_per_group(spark, root):
@@ -244,6 +259,14 @@ def q_top1_per_group(spark, root):
     return top_n_per_group(part, "p_brand", [("p_retailprice", True), ("p_partkey", False)])
 
 
+def q_top1_nulls(spark, root):
+    """Null values come last in a descending order, a group of nulls keeps one."""
+    o = _t(spark, root, "orders", ["o_custkey", "o_orderkey", "o_totalprice"])
+    gaps = o.select((F.col("o_custkey") % 700).alias("g"), "o_orderkey",
+                    F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("v"))
+    return top_n_per_group(gaps, "g", [("v", True), ("o_orderkey", False)])
+
+
 def q_top3_per_group(spark, root):
     part = _t(spark, root, "part", ["p_brand", "p_partkey", "p_retailprice"])
     return top_n_per_group(part, "p_brand", [("p_retailprice", True), ("p_partkey", False)],
@@ -295,6 +318,36 @@ def q_kv_tags_explode(spark, root):
         .select(F.col("userId").alias("id"), "tag", "value")
 
 
+def q_kv_tags_key_cell(spark, root):
+    """A13 with the key stored as a cell of its own."""
+    cust = _t(spark, root, "customer", ["c_custkey", "c_mktsegment"])
+    packed = cust.select("c_custkey", F.concat(F.lit("seg:"), F.col("c_mktsegment")).alias("tags"))
+    return profile.packed_tags(packed, "c_custkey", "tags", key_cell="userId") \
+        .select(F.col("userId").alias("id"), "tag", "value")
+
+
+def q_profile_empty_run(spark, root):
+    """A5: a replacing run without rows clears its tag and no other."""
+    path = fresh_path(spark, "profile")
+    profile.write_profile(profile.to_long(_segment(spark, root)), path)
+    profile.write_profile(profile.to_long(_acct(spark, root)), path)
+    profile.write_profile(profile.to_long(_segment(spark, root).where("false")), path, tags=["segment"])
+    return profile.read_profile(spark, path, ["segment", "acct"])
+
+
+def q_profile_latest_wins(spark, root):
+    """A5: of the values one batch holds for a cell the latest counts, on the first write, on
+    an upsert, and after compaction."""
+    orders = _t(spark, root, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    cells_ = orders.select(F.col("o_custkey").alias("userId"), F.lit("status").alias("tag"),
+                           F.col("o_orderstatus").alias("value"), F.col("o_orderkey").alias("version"))
+    path = fresh_path(spark, "profile")
+    profile.write_profile(cells_, path, mode="upsert")
+    profile.write_profile(cells_.where(F.col("version") % 2 == 0), path, mode="upsert")
+    compacted = profile.compact_profile(spark, path, fresh_path(spark, "profile"))
+    return profile.read_profile(spark, compacted)
+
+
 # ------------------------------------------------------------------ ingest
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
     """TSV lines derived from orders: key, status, priority; the priority is empty
@@ -317,6 +370,20 @@ def q_tsv_ingest_trim_trailing(spark, root):
                                  mode="trim_trailing")
 
 
+WIDE_FIELDS = 112
+
+
+def q_tsv_ingest_wide(spark, root):
+    """A10 + A11 at the width of the widest load: 112 fields per line, melted into cells."""
+    o = _t(spark, root, "orders", ["o_orderkey", "o_custkey"])
+    fields = [F.col("o_orderkey").cast("string")] + [
+        ((F.col("o_orderkey") * k + F.col("o_custkey")) % 97).cast("string") for k in range(1, WIDE_FIELDS)]
+    lines = o.select(F.concat_ws("\t", *fields).alias("value"))
+    names = ["id"] + [f"f{k:03d}" for k in range(1, WIDE_FIELDS)]
+    melted = cells.melt_cells(parse_delimited_lines(lines, names, mode="strict"), "id", "detail")
+    return melted.groupBy("qualifier").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
+
+
 def _nation_wide(spark, root):
     nat = _t(spark, root, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     return nat.select("n_nationkey", F.col("n_name").alias("name"),
@@ -333,8 +400,8 @@ def q_cells_pivot_back(spark, root):
 
 
 def q_cells_sorted_rank(spark, root):
-    cust = _t(spark, root, "customer", ["c_custkey"]) \
-        .select(F.col("c_custkey").cast("string").alias("rowkey"))
+    cust = _t(spark, root, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]) \
+        .select(F.col("c_custkey").cast("string").alias("rowkey"), "c_name", "c_mktsegment", "c_acctbal")
     return global_rank(cust, ["rowkey"], "pos")
 
 
@@ -444,6 +511,32 @@ def q_corr_matrix(spark, root):
     return aggregates.corr_matrix(li, _CORR_COLUMNS, pairs="all")
 
 
+# 25 columns, some with nulls, from whole-number expressions that any SQL engine evaluates alike
+WIDE_CORR = {"qty": "l_quantity", "price": "l_extendedprice", "disc": "l_discount", "tax": "l_tax"} | {
+    f"m{k}": f"nullif((l_orderkey * {k + 3} + l_partkey * {k % 5 + 1} + l_linenumber) % {k + 7}, {k % 4})"
+    for k in range(21)}
+
+
+def q_corr_matrix_wide(spark, root):
+    li = _t(spark, root, "lineitem")
+    return aggregates.corr_matrix(li, {n: F.expr(e) for n, e in WIDE_CORR.items()})
+
+
+def q_positional_features(spark, root):
+    """B4 + B7: all columns but the key, by position, cast and summed."""
+    part = _t(spark, root, "part", ["p_partkey", "p_size", "p_retailprice"])
+    names = positional_columns(part.columns, 1)
+    wide = cast_all_double(part, keep=["p_partkey"], columns=names)
+    return wide.select("p_partkey", sum(F.col(c) for c in names).alias("total"))
+
+
+def q_tolerance_flag(spark, root):
+    """H13."""
+    li = _t(spark, root, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
+    return li.select("l_orderkey", "l_linenumber",
+                     scores.tolerance_flag(F.lit(25.0), "l_quantity", 3.0).alias("flag"))
+
+
 def q_numeric_summary(spark, root):
     li = _t(spark, root, "lineitem", ["l_quantity", "l_extendedprice", "l_discount"])
     return aggregates.numeric_summary(li, ["l_quantity", "l_extendedprice", "l_discount"])
@@ -476,7 +569,7 @@ def q_l2_normalize(spark, root):
     emb = _t(spark, root, "embeddings", ["vec_id", "embedding"]) \
         .select("vec_id", learning.array_features("embedding").alias("v"))
     out = learning.l2_normalize(emb, "v", "n")
-    return out.select("vec_id", F.round(learning.vector_elements("n")[0], 5).alias("f0"))
+    return out.select("vec_id", F.transform(learning.vector_elements("n"), lambda x: F.round(x, 4)).alias("n"))
 
 
 def q_vector_index_kinds(spark, root):
@@ -511,33 +604,53 @@ def _embedding_frame(spark, root):
                 F.col("label").cast("double").alias("label"))
 
 
+# Accuracy that every fit below must reach (ten balanced classes: 0.1 by chance).
+ACCURACY_FLOOR = {"train": 0.2, "test": 0.02}
+
+
+def _above_floor(split: str = "split", accuracy: str = "accuracy"):
+    floor = F.when(F.col(split) == "train", ACCURACY_FLOOR["train"]).otherwise(ACCURACY_FLOOR["test"])
+    return F.col(accuracy) >= floor
+
+
 def q_logistic_predict_tag(spark, root):
-    data = _embedding_frame(spark, root)
-    train, _ = learning.hash_split(data, "vec_id", 80)
-    model = learning.fit_logistic(train, max_iter=20)
-    pred = model.transform(data)
-    return pred.select(F.col("vec_id").alias("userId"),
-                       scores.score_to_letter(F.col("prediction")).alias("predictedCredit"))
+    """A tag predicted for every row; per split its rows, whether all tags are known
+    letters (or none, for scores without one), and whether the fit is above its floor."""
+    data = _embedding_frame(spark, root).withColumn("split", learning.split_label("vec_id", 80))
+    model = learning.fit_logistic(data.where("split = 'train'"), max_iter=20)
+    letter = scores.score_to_letter(F.col("prediction"))
+    known = letter.isin([x for _, x in scores.SCORE_LETTERS] + [""])
+    out = model.transform(data).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(known).alias("letters_known"),
+        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
+    return out.select("split", "n", "letters_known", _above_floor().alias("above_floor"))
 
 
 def q_decision_tree_predict(spark, root):
-    data = _embedding_frame(spark, root).withColumn("category", F.col("label").cast("string"))
-    train, _ = learning.hash_split(data, "vec_id", 70)
-    model = learning.fit_tree_pipeline(train, "category", "features", max_depth=5)
-    return model.transform(data).select(F.col("vec_id").alias("userId"), "predictedLabel")
+    """A tree of one split on a column that separates its labels: its threshold lies
+    between the two quantities next to the border, and it predicts every label."""
+    li = _t(spark, root, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"]) \
+        .withColumn("size", F.when(F.col("l_quantity") > 25, "large").otherwise("small"))
+    fitted = learning.tree_pipeline("size", columns=["l_quantity"], max_categories=2, max_depth=1,
+                                    max_bins=64).fit(li)
+    tree = fitted.stages[-1]
+    threshold = float(re.search(r"<= ([0-9.]+)", tree.toDebugString).group(1))
+    out = learning.with_label_restore(fitted).transform(li)
+    return out.groupBy("predictedLabel").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("predictedLabel") == F.col("size")).alias("right"),
+        F.lit(threshold).alias("threshold"))
 
 
 def q_model_save_load(spark, root):
+    """A model read back predicts what the fitted one does, for every row."""
     from pyspark.ml.classification import LogisticRegressionModel
     data = _embedding_frame(spark, root)
     train, _ = learning.hash_split(data, "vec_id", 80)
     model = learning.fit_logistic(train, max_iter=10)
     path = learning.save_model(model, fresh_path(spark, "model"))
-    loaded = LogisticRegressionModel.load(path)
-    a = model.transform(data).select("vec_id", F.col("prediction").alias("p_fit"))
-    b = loaded.transform(data).select("vec_id", F.col("prediction").alias("p_load"))
-    return a.join(b, "vec_id").select("vec_id", "p_fit", "p_load",
-                                      (F.col("p_fit") == F.col("p_load")).alias("same"))
+    both = LogisticRegressionModel.load(path).transform(
+        model.transform(data).select("vec_id", "features", F.col("prediction").alias("p_fit")))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("p_fit") == F.col("prediction")).alias("same"))
 
 
 # ------------------------------------------------------------------ files and tables
@@ -559,14 +672,17 @@ def q_table_append(spark, root):
 
 def q_catalog_table_append(spark, root):
     """A7 + A12: an external catalog table (data under the shared folder) written,
-    appended to and read back by name."""
+    appended to and read back by name; the catalog entry goes afterwards, the data stay."""
     from labelforge.sources.tables import read_catalog_table
     nat = _t(spark, root, "nation", ["n_nationkey", "n_name"])
     path = fresh_path(spark, "catalog-table")
     name = "nation_copy_" + os.path.basename(path).replace("-", "_")
-    nat.write.option("path", path).saveAsTable(name)
-    nat.write.mode("append").option("path", path).saveAsTable(name)
-    return read_catalog_table(spark, name, ["n_nationkey", "n_name"])
+    try:
+        nat.write.option("path", path).saveAsTable(name)
+        nat.write.mode("append").option("path", path).saveAsTable(name)
+        return written(read_catalog_table(spark, name, ["n_nationkey", "n_name"]), "nation-copy")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def q_profile_table_upsert(spark, root):
@@ -576,11 +692,21 @@ def q_profile_table_upsert(spark, root):
     path = fresh_path(spark, "profile-table")
     name = "profile_" + os.path.basename(path).replace("-", "_")
     profile_table.create_profile_table(spark, name, path, buckets=8)
-    stale = _segment(spark, root).select("userId", F.lit("stale").alias("acct"))
-    profile_table.replace_tags(profile.to_long(stale), name)
-    new = profile.to_long(_acct(spark, root, ACCT_RULES_NEW))
-    profile_table.upsert_tags(new, name, ["acct"])
-    return profile_table.wide_view(spark, name, ["acct"])
+    try:
+        stale = _segment(spark, root).select("userId", F.lit("stale").alias("acct"))
+        profile_table.replace_tags(profile.to_long(stale), name)
+        new = profile.to_long(_acct(spark, root, ACCT_RULES_NEW))
+        profile_table.upsert_tags(new, name, ["acct"])
+        return written(profile_table.wide_view(spark, name, ["acct"]), "profile-view")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def q_cell_scan_listing(spark, root):
+    """The cells themselves, with their version."""
+    cust = _t(spark, root, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    _, listing = cells.cell_scan(cells.melt_cells(cust, "c_custkey", "detail", version=1))
+    return listing
 
 
 def q_cell_scan_count(spark, root):
@@ -776,36 +902,69 @@ def _rated_embeddings(spark, root):
 
 def q_rating_logistic_eval(spark, root):
     from labelforge.plans import rating
-    data = _rated_embeddings(spark, root)
-    train, test = learning.hash_split(data, "vec_id", 80)
-    model = rating.fit(rating.logistic_pipeline(None, "vec", max_iter=20), train)
-    return rating.evaluate(model, train, test)
+    data = _rated_embeddings(spark, root).withColumn("split", learning.split_label("vec_id", 80))
+    model = rating.fit(rating.logistic_pipeline(None, "vec", max_iter=20), data.where("split = 'train'"))
+    return rating.evaluate(model, data).select(
+        "split", "n", _above_floor().alias("above_floor"),
+        (F.col("within_one") >= F.col("accuracy")).alias("within_one_more"))
 
 
 def q_rating_predict_profile(spark, root):
+    """Predicted letters of all rows written to the profile and read back."""
     from labelforge.plans import models, rating
     data = _rated_embeddings(spark, root)
     train, _ = learning.hash_split(data, "vec_id", 80)
     model = rating.fit(rating.logistic_pipeline(None, "vec", max_iter=20), train)
     path = fresh_path(spark, "profile")
     models.save(rating.predicted_tag(model, data, "vec_id"), path)
-    return profile.pivot_long(profile.read_profile(spark, path), ["predictedCredit"])
+    wide = profile.pivot_long(profile.read_profile(spark, path), ["predictedCredit"])
+    known = F.col("predictedCredit").isin([x for _, x in scores.SCORE_LETTERS] + [""])
+    return wide.agg(F.count(F.lit(1)).alias("n"), F.bool_and(known).alias("letters_known"))
 
 
 def q_rating_tree_eval(spark, root):
     from labelforge.plans import rating
-    data = _rated_embeddings(spark, root).withColumn("score_text", F.col("score").cast("string"))
-    train, test = learning.hash_split(data, "vec_id", 70)
-    model = rating.with_label_restore(rating.fit(
-        rating.tree_pipeline(None, "vec", label="score_text", max_depth=5), train))
-    out = None
-    for name, part in (("train", train), ("test", test)):
-        p = model.transform(part)
-        acc = F.avg(F.when(F.col("predictedLabel") == F.col("score_text"), 1.0).otherwise(0.0))
-        row = p.agg(F.lit(name).alias("split"), F.round(acc, 6).alias("accuracy"),
-                    F.count(F.lit(1)).alias("n"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    data = _rated_embeddings(spark, root).withColumn("score_text", F.col("score").cast("string")) \
+        .withColumn("split", learning.split_label("vec_id", 70))
+    model = learning.with_label_restore(rating.fit(
+        learning.tree_pipeline("score_text", "vec", max_depth=5), data.where("split = 'train'")))
+    return rating.evaluate(model, data, label="score_text", prediction="predictedLabel", tolerance=None) \
+        .select("split", "n", _above_floor().alias("above_floor"))
+
+
+def q_normalised_classify(spark, root):
+    """M15 as one job: a delimited table read, labels indexed, features assembled and L2
+    normalised, a logistic model fitted, judged, saved, loaded, and asked for one literal
+    vector."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import Normalizer, StringIndexer, VectorAssembler
+    emb = _t(spark, root, "embeddings", ["vec_id", "embedding", "label"])
+    size = F.size("embedding")
+    width = emb.agg(F.max(size).alias("n")).first()["n"] or 0
+    names = [f"x{k}" for k in range(width)]
+    path = profile.export_csv(emb.where(size == width).select(
+        "vec_id", F.concat(F.lit("class-"), F.col("label").cast("string")).alias("kind"),
+        *[F.col("embedding")[k].cast("double").alias(x) for k, x in enumerate(names)]),
+        fresh_path(spark, "vectors"))
+    rows = read_csv(spark, path, "vec_id long, kind string, " + ", ".join(f"{x} double" for x in names), header=True) \
+        .withColumn("split", learning.split_label("vec_id", 80))
+    stages = [StringIndexer(inputCol="kind", outputCol="label"),
+              VectorAssembler(inputCols=names, outputCol="raw"),
+              Normalizer(inputCol="raw", outputCol="features", p=2.0), LogisticRegression(maxIter=20)]
+    fitted = Pipeline(stages=stages).fit(rows.where("split = 'train'"))
+    model = PipelineModel.load(learning.save_model(fitted, fresh_path(spark, "model")))
+    one = spark.createDataFrame([(-1, "class-0", *[1.0] + [0.0] * (width - 1), "literal")],
+                                rows.schema)
+    labels = len(fitted.stages[0].labels)
+    out = model.transform(rows.unionByName(one))
+    unit = F.aggregate(learning.vector_elements("features"), F.lit(0.0), lambda a, x: a + x * x)
+    found = out.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("prediction") < labels).alias("known_class"),
+        F.bool_and(F.abs(unit - 1) < 1e-6).alias("unit_length"),
+        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
+    return found.select("split", "n", "known_class", "unit_length",
+                        F.when(F.col("split") != "literal", _above_floor()).alias("above_floor"))
 
 
 def q_ratio_correlation(spark, root):
@@ -902,4 +1061,15 @@ QUERIES = {
     "rating_predict_profile": q_rating_predict_profile,
     "rating_tree_eval": q_rating_tree_eval,
     "ratio_correlation": q_ratio_correlation,
+    "rule_text_edges": q_rule_text_edges,
+    "top1_nulls": q_top1_nulls,
+    "corr_matrix_wide": q_corr_matrix_wide,
+    "profile_empty_run": q_profile_empty_run,
+    "profile_latest_wins": q_profile_latest_wins,
+    "kv_tags_key_cell": q_kv_tags_key_cell,
+    "cell_scan_listing": q_cell_scan_listing,
+    "tsv_ingest_wide": q_tsv_ingest_wide,
+    "positional_features": q_positional_features,
+    "tolerance_flag": q_tolerance_flag,
+    "normalised_classify": q_normalised_classify,
 }

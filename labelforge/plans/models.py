@@ -94,10 +94,8 @@ def save(tagged: DataFrame, profile_path: str | None = None, mode: str = "upsert
     long = profile.to_long(tagged)
     if table is not None:
         from labelforge.operators import profile_table
-        if mode == "upsert":
-            profile_table.upsert_tags(long, table, tags)
-        else:
-            profile_table.replace_tags(long, table)
+        write = profile_table.upsert_tags if mode == "upsert" else profile_table.replace_tags
+        write(long, table, tags)
         return
     profile.write_profile(long, profile_path, mode=mode, tags=tags)
 

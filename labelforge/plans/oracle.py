@@ -1,6 +1,7 @@
 """Independent DuckDB SQL for the query catalogue (same column names as the Spark side).
 
-ML fits (logistic, tree, save/load) have no SQL form and are absent here.
+Of ML fits SQL states what is certain: rows per split, known classes, a floor of accuracy,
+equal predictions after loading, the threshold of a tree of one split.
 """
 
 from __future__ import annotations
@@ -61,11 +62,16 @@ RATING = ("select l_orderkey, l_linenumber, rating, " + ", ".join(
         f"when '{x}' then {v}::double" for x, v in zip(_LETTERS, vals)) + f" end as {name}"
     for name, vals in _SCALES.items()) + f" from (select *, {_LETTER_OF} as rating from lineitem)")
 
+def _pick(key: str, n: int) -> str:
+    """First 32 bits of the MD5 of the key's text, modulo n."""
+    return f"(('0x' || substr(md5(cast({key} as varchar)), 1, 8))::bigint % {n})"
+
+
 _PAY = ("case when o_orderpriority in ('alipay','wxpay','chinapay','cod') then o_orderpriority "
-        "else case o_orderkey%4 when 0 then 'alipay' when 1 then 'wxpay' when 2 then 'chinapay' "
+        f"else case {_pick('o_orderkey', 4)} when 0 then 'alipay' when 1 then 'wxpay' when 2 then 'chinapay' "
         "else 'cod' end end")
 ORDER_CLEANUP = (
-    "select o_orderkey, case when o_custkey>=950 then (o_orderkey*31+7)%950+1 else o_custkey end "
+    "select o_orderkey, case when o_custkey>=950 then " + _pick("o_orderkey", 950) + "+1 else o_custkey end "
     f"as member, {_PAY} as pay_code, case {_PAY} when 'alipay' then '支付宝' when 'wxpay' then "
     "'微信支付' when 'chinapay' then '银联支付' when 'cod' then '货到付款' end as pay_name, "
     "cast(epoch(date_trunc('day',o_orderdate)+interval 350 day) as bigint) as ft from orders")
@@ -105,13 +111,23 @@ RATIO_CORR = " union all ".join(
     f"(select *, {_LETTER_OF} as rating from lineitem)"
     for a, ca in _RATIO.items() for b, cb in _RATIO.items())
 
+_SPLIT80 = f"case when {_pick('vec_id', 100)}<80 then 'train' else 'test' end"
+# 25 columns as the query derives them
+_WIDE = {"qty": "l_quantity", "price": "l_extendedprice", "disc": "l_discount", "tax": "l_tax"} | {
+    f"m{k}": f"nullif((l_orderkey * {k + 3} + l_partkey * {k % 5 + 1} + l_linenumber) % {k + 7}, {k % 4})"
+    for k in range(21)}
+WIDE = ("with w as (select " + ", ".join(f"{e} as {n}" for n, e in _WIDE.items()) + " from lineitem), c as (select "
+        + ", ".join(f"corr({a},{b}) as {a}__{b}" for a in _WIDE for b in _WIDE) + " from w), u as (unpivot c on "
+        "columns(*) into name k value r) select split_part(k,'__',1) as a, split_part(k,'__',2) as b, "
+        "round(r,6) as r from u")
+
 ORACLE = {
     "tag_rules_for": f"select id,name,level from {TREE} where id=2 union "
                      f"select id,name,level from {TREE} where pid=2",
     "tag_children": f"select id,pid,name,level from {TREE} where pid=3",
     "tag_model_left_join": f"select t.id,t.name,m.cnt from {TREE} t left join "
                            "(select cast(100+c_nationkey as bigint) id, count(*) cnt from customer "
-                           "where c_acctbal>9900 group by 1) m on t.id=m.id",
+                           "group by 1) m on t.id=m.id",
     "tag_insert_if_absent": f"select name,level,pid from {TREE} union all select n.name,n.level,"
                             "n.pid from (values ('CHINA_X',5,cast(2 as bigint)),"
                             "('AFRICA',4,cast(-1 as bigint))) n(name,level,pid) where not exists "
@@ -167,14 +183,14 @@ ORACLE = {
     "cells_melt": "select cast(n_nationkey as varchar) rowkey,'detail' as family,q as qualifier,"
                   "v as value from (select n_nationkey,'name' q,n_name v from nation union all "
                   "select n_nationkey,'region',cast(n_regionkey as varchar) from nation)",
-    "cells_sorted_rank": "select rowkey, row_number() over(order by rowkey) as pos from "
-                         "(select cast(c_custkey as varchar) rowkey from customer)",
+    "cells_sorted_rank": "select rowkey, c_name, c_mktsegment, c_acctbal, row_number() over(order by "
+                         "rowkey) as pos from (select *, cast(c_custkey as varchar) rowkey from customer)",
     "kv_tags_explode": "select c_custkey id,'seg' as tag,c_mktsegment as value from customer "
                        "union all select c_custkey,'nat',cast(c_nationkey as varchar) from customer",
-    "conditional_replace": "select o_orderkey, case when o_custkey>=950 then (o_orderkey*31+7)%950+1 "
+    "conditional_replace": f"select o_orderkey, case when o_custkey>=950 then {_pick('o_orderkey', 950)}+1 "
                            "else o_custkey end as member, case when o_orderpriority in "
                            "('1-URGENT','2-HIGH','5-LOW') then o_orderpriority else case "
-                           "o_orderkey%3 when 0 then '1-URGENT' when 1 then '2-HIGH' else '5-LOW' "
+                           f"{_pick('o_orderkey', 3)} when 0 then '1-URGENT' when 1 then '2-HIGH' else '5-LOW' "
                            "end end as pay from orders",
     "code_name_map": "select o_orderkey, case o_orderstatus when 'F' then 'finished' when 'O' then "
                      "'open' when 'P' then 'pending' end as st from orders",
@@ -197,12 +213,12 @@ ORACLE = {
     "assemble_max_abs": "select l_orderkey,l_linenumber, round(l_quantity/(select "
                         "max(abs(l_quantity)) from lineitem),6) f0, round(l_extendedprice/"
                         "(select max(abs(l_extendedprice)) from lineitem),6) f1 from lineitem",
-    "l2_normalize": "select vec_id, round(embedding[1]/sqrt(list_sum(list_transform(embedding, "
-                    "lambda x: x::double*x))),5) as f0 from embeddings",
+    "l2_normalize": "select vec_id, list_transform(embedding, lambda y: round(y::double/sqrt(list_sum("
+                    "list_transform(embedding, lambda x: x::double*x::double))),4)) as n from embeddings",
     "vector_index_kinds": "select 'linenumber' f, count(distinct l_linenumber)<=20 as categorical "
                           "from lineitem union all select 'price', count(distinct "
                           "l_extendedprice)<=20 from lineitem",
-    "split_deterministic": "select case when (o_orderkey*31+7)%100<80 then 'train' else 'test' "
+    "split_deterministic": f"select case when {_pick('o_orderkey', 100)}<80 then 'train' else 'test' "
                            "end as part, count(*) as cnt from orders group by 1",
     "accuracy": "select round(avg(case when o_orderstatus='F' then 1.0 else 0.0 end),6) as "
                 "accuracy from orders",
@@ -293,4 +309,41 @@ ORACLE = {
                        "left join (values ('debt',-1000.0,0.0),('mid',0.0,5000.0),"
                        "('rich',5000.0,10000.0)) a(name,s,e) on c.c_acctbal>a.s and "
                        "c.c_acctbal<=a.e left join nation n on c.c_nationkey=n.n_nationkey",
+    "logistic_predict_tag": f"select {_SPLIT80} as split, count(*) as n, true as letters_known, true as "
+                            "above_floor from embeddings group by 1",
+    "decision_tree_predict": "select case when l_quantity>25 then 'large' else 'small' end as "
+                             "\"predictedLabel\", count(*) as n, true as right, (select (max(l_quantity) filter "
+                             "(where l_quantity<=25)+min(l_quantity) filter (where l_quantity>25))/2.0 from "
+                             "lineitem)::double as threshold from lineitem group by 1",
+    "model_save_load": "select count(*) as n, true as same from embeddings",
+    "rating_logistic_eval": f"select {_SPLIT80} as split, count(*) as n, true as above_floor, true as "
+                            "within_one_more from embeddings group by 1",
+    "rating_predict_profile": "select count(*) as n, true as letters_known from embeddings",
+    "rating_tree_eval": f"select {_SPLIT80.replace('<80', '<70')} as split, count(*) as n, true as above_floor "
+                        "from embeddings group by 1",
+    "normalised_classify": f"select {_SPLIT80} as split, count(*) as n, true as known_class, true as "
+                           "unit_length, true as above_floor from embeddings group by 1 union all "
+                           "select 'literal', 1, true, true, null",
+    "rule_text_edges": "select n_nationkey, 'x' as kind, n_name as fam, case n_nationkey%3 when 0 then "
+                       "-n_nationkey when 1 then -9 end as lo, case n_nationkey%3 when 0 then 5 when 1 then "
+                       "-n_nationkey end as hi, case when n_nationkey=1 then 'one' end as named from nation",
+    "top1_nulls": "select g, o_orderkey, v from (select *, row_number() over(partition by g order by v desc "
+                  "nulls last, o_orderkey) rn from (select o_custkey%700 as g, o_orderkey, case when "
+                  "o_orderkey%3<>0 then o_totalprice end as v from orders)) where rn=1",
+    "corr_matrix_wide": WIDE,
+    "profile_empty_run": f"select \"userId\", 'acct' as tag, acct as value from {ACCT}",
+    "profile_latest_wins": "select o_custkey as \"userId\", 'status' as tag, coalesce(arg_max(o_orderstatus, "
+                           "o_orderkey) filter (where o_orderkey%2=0), arg_max(o_orderstatus, o_orderkey)) "
+                           "as value from orders group by 1",
+    "kv_tags_key_cell": "select c_custkey id,'seg' as tag,c_mktsegment as value from customer "
+                        "union all select c_custkey,'userId',cast(c_custkey as varchar) from customer",
+    "cell_scan_listing": "select cast(c_custkey as varchar) rowkey, 'detail' as family, 'c_name' as qualifier, "
+                         "c_name as value, cast(1 as bigint) as version from customer union all select "
+                         "cast(c_custkey as varchar), 'detail', 'c_mktsegment', c_mktsegment, 1 from customer",
+    "tsv_ingest_wide": "select printf('f%03d', k) as qualifier, count(*) as n, cast(sum((o_orderkey*k+o_custkey)"
+                       "%97) as bigint) as total from orders, range(1,112) t(k) group by 1",
+    "positional_features": "select p_partkey, cast(p_size as double)+cast(p_retailprice as double) as total "
+                           "from part",
+    "tolerance_flag": "select l_orderkey, l_linenumber, case when abs(25-l_quantity)<=3 then 0.0::double "
+                      "else 1.0::double end as flag from lineitem",
 }

@@ -7,11 +7,9 @@ written to the profile like any other tag (I13).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.feature import (IndexToString, MaxAbsScaler, StringIndexer, VectorAssembler,
-                                VectorIndexer)
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import MaxAbsScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,26 +43,21 @@ def logistic_pipeline(features: list[str] | None, vector_col: str | None = None,
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline.fit(cached)
-    finally:
-        cached.unpersist()
-
-
-def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, label: str = "score",
-             tolerance: float = 1.0) -> DataFrame:
-    """I11 + I12: accuracy and within-one-notch accuracy on both splits."""
-    out = None
-    for name, part in (("train", train), ("test", test)):
-        p = model.transform(part)
-        hit = F.avg(F.when(F.col(label) == F.col("prediction"), 1.0).otherwise(0.0))
-        near = F.avg(F.when(F.abs(F.col(label) - F.col("prediction")) <= tolerance, 1.0)
-                     .otherwise(0.0))
-        row = p.agg(F.lit(name).alias("split"), F.round(hit, 6).alias("accuracy"),
-                    F.round(near, 6).alias("within_one"), F.count(F.lit(1)).alias("n"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Fits; the classifiers keep their own scaled training rows (J1), so nothing else is
+    persisted: one copy, of what every iteration reads."""
+    return pipeline.fit(train)
+
+
+def evaluate(model: PipelineModel, data: DataFrame, split: str = "split", label: str = "score",
+             prediction: str = "prediction", tolerance: float | None = 1.0) -> DataFrame:
+    """I11 + I12: rows, accuracy and (for numeric labels) within-``tolerance`` accuracy per
+    value of the ``split`` column, in one pass over ``data``."""
+    hit = F.avg(F.when(F.col(label) == F.col(prediction), 1.0).otherwise(0.0))
+    out = [F.count(F.lit(1)).alias("n"), F.round(hit, 6).alias("accuracy")]
+    if tolerance is not None:
+        near = F.avg(F.when(F.abs(F.col(label) - F.col(prediction)) <= tolerance, 1.0).otherwise(0.0))
+        out.append(F.round(near, 6).alias("within_one"))
+    return model.transform(data).groupBy(split).agg(*out)
 
 
 def predicted_tag(model: PipelineModel, apply: DataFrame, key: str,
@@ -74,33 +67,6 @@ def predicted_tag(model: PipelineModel, apply: DataFrame, key: str,
                                          scores.score_to_letter("prediction").alias(tag))
 
 
-def tree_pipeline(features: list[str] | None, vector_col: str | None = None,
-                  label: str = "score", max_categories: int = 20,
-                  max_depth: int = 5, seed: int = 42) -> Pipeline:
-    """I1 + I3 + I6 + I9 + I2 (M14): label indexer, feature indexer, tree, label restore.
-    The label indexer is fitted inside the pipeline, so its labels come from the
-    training split only."""
-    stages = []
-    raw = vector_col
-    if features:
-        stages.append(VectorAssembler(inputCols=features, outputCol="raw_features",
-                                      handleInvalid="skip"))
-        raw = "raw_features"
-    label_indexer = StringIndexer(inputCol=label, outputCol="indexedLabel", handleInvalid="keep")
-    stages += [label_indexer,
-               VectorIndexer(inputCol=raw, outputCol="indexedFeatures",
-                             maxCategories=max_categories, handleInvalid="keep"),
-               DecisionTreeClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures",
-                                      maxDepth=max_depth, seed=seed)]
-    return Pipeline(stages=stages)
-
-
-def with_label_restore(model: PipelineModel) -> PipelineModel:
-    indexer = next(s for s in model.stages if hasattr(s, "labels"))
-    return PipelineModel(stages=model.stages + [IndexToString(
-        inputCol="prediction", outputCol="predictedLabel", labels=indexer.labels)])
-
-
 def tree_debug_string(model: PipelineModel) -> str:
     return next(s for s in model.stages if hasattr(s, "toDebugString")).toDebugString
 

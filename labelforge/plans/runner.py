@@ -11,12 +11,9 @@ Match, range and copy models that read the same table are evaluated together:
    empty string for copy models, the exact range predicate being a join condition;
 3. the tagged long frame, ready for a single profile write.
 
-With the rule union under the broadcast bound this is a single scan, a single
-BroadcastHashJoin and no shuffle before the write.  Over the bound it is still one
-scan and one join, shuffled on ``(tag, k, salt)`` with the rules replicated per
-salt (a value holding a third of the rows spreads over the salt buckets); a rule
-union the optimizer sizes over 1 GiB is joined without salting and left to AQE's
-skew join.
+With a rule union within the broadcast bound this is a single scan, a single
+BroadcastHashJoin and no shuffle before the write; beyond it still one scan and one
+join, salted (see ``sized_join``).
 """
 
 from __future__ import annotations
@@ -29,9 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelforge.operators.profile import KEY
-from labelforge.operators.ranges import bucket_grid, bucket_of, explode_buckets
-from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_ROWS, join_plan,
-                                        replicate_salts, salt_column)
+from labelforge.operators.ranges import Axis, axes_of, block_column, range_blocks
+from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTES, measured_bytes,
+                                        sized_join)
+from labelforge.session import written
 from labelforge.sources.literal import literal_frame
 
 
@@ -66,18 +64,28 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
-def _range_side(s: "RangeSpec") -> tuple[DataFrame, float, float]:
+def _range_side(s: "RangeSpec") -> tuple[DataFrame, Axis | None]:
     r = s.ranges.select(F.col("name"), F.col("start").cast("double").alias("_s"),
                         F.col("end").cast("double").alias("_e")) \
-        .where(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_s") <= F.col("_e")))
-    lo, width = bucket_grid(r)
-    return explode_buckets(r, lo, width), lo, width
+        .where((F.col("_s") <= F.col("_e")) & ~F.isnan("_s") & ~F.isnan("_e"))
+    axes = axes_of(r, axis_points=1 << 62)  # one axis: many models share the join
+    return (range_blocks(r, axes[0]), axes[0]) if axes else (r.withColumn("_b", F.lit(0)).limit(0), None)
 
 
-def combined_rules(spark: SparkSession, specs: list, grids: dict | None = None) -> DataFrame:
-    """Union of every model's rules as ``(tag, k, kind, lo, hi, name)``; ``grids``
-    receives the bucket grid of each range model."""
-    parts = []
+@dataclass
+class RuleSide:
+    """Rules of several models in one frame, the axes of the range models, and its size:
+    everything that does not depend on the business rows."""
+
+    rules: DataFrame
+    axes: dict
+    size: int
+
+
+def combined_rules(spark: SparkSession, specs: list) -> tuple[DataFrame, dict]:
+    """Union of every model's rules as ``(tag, k, kind, lo, hi, name)``, and the axis of each
+    range model."""
+    parts, axes = [], {}
     for s in specs:
         if isinstance(s, MatchSpec):
             parts.append(s.rules.select(F.lit(s.tag).alias("tag"), F.col("rule").cast("string")
@@ -85,58 +93,63 @@ def combined_rules(spark: SparkSession, specs: list, grids: dict | None = None)
                                         F.lit(None).cast("double").alias("lo"),
                                         F.lit(None).cast("double").alias("hi"), "name"))
         elif isinstance(s, RangeSpec):
-            exploded, lo, width = _range_side(s)
-            if grids is not None:
-                grids[s.tag] = (lo, width)
-            parts.append(exploded.select(F.lit(s.tag).alias("tag"),
-                                         F.col("_b").cast("string").alias("k"),
-                                         F.lit(s.bounds).alias("kind"), F.col("_s").alias("lo"),
-                                         F.col("_e").alias("hi"), "name"))
+            listed, axes[s.tag] = _range_side(s)
+            parts.append(listed.select(F.lit(s.tag).alias("tag"),
+                                       F.col("_b").cast("string").alias("k"),
+                                       F.lit(s.bounds).alias("kind"), F.col("_s").alias("lo"),
+                                       F.col("_e").alias("hi"), "name"))
         elif isinstance(s, CopySpec):
             parts.append(literal_frame(spark, [(s.tag, "", "copy", None, None, None)],
                                        RULE_SCHEMA))
         else:
             raise TypeError(f"unknown model spec {s!r}")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts), axes
+
+
+def rule_side(spark: SparkSession, specs: list, keep: bool = False) -> RuleSide:
+    """The rule side of ``specs``; with ``keep`` written to the shared folder, for use over
+    many batches of rows."""
+    rules, axes = combined_rules(spark, specs)
+    rules = written(rules, "rules") if keep else rules
+    return RuleSide(rules, axes, measured_bytes(rules))
 
 
 def tag_all(df: DataFrame, key: str, specs: list,
-            max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-            salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Evaluate all ``specs`` on ``df`` -> long tags ``(userId, tag, value)``."""
+            max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+            salt_buckets: int = DEFAULT_SALT_BUCKETS, side: RuleSide | None = None) -> DataFrame:
+    """Evaluate all ``specs`` on ``df`` -> long tags ``(userId, tag, value)``.  ``side``: their
+    rule side, where it was built before."""
     spark = df.sparkSession
-    grids: dict = {}
-    rules, kind_of_side = join_plan(combined_rules(spark, specs, grids), max_broadcast_rows)
+    side = side or rule_side(spark, specs)
 
     def cell(s):
         is_range = isinstance(s, RangeSpec)
         text = F.lit(None).cast("string") if is_range else _col(s.value).cast("string")
         num = _col(s.value).try_cast("double") if is_range else F.lit(None).cast("double")
         if is_range:
-            pad = bucket_of(num, *grids[s.tag]).cast("string")
+            axis = side.axes[s.tag]
+            keys = F.transform(block_column(num, axis), lambda b: b.cast("string")) \
+                if axis else F.array().cast("array<string>")
+            keys = F.when(num.isNotNull(), keys)
         else:
-            pad = F.lit(None) if isinstance(s, MatchSpec) else F.lit("")
-        return F.struct(F.lit(s.tag).alias("tag"), text.alias("s"), num.alias("x"),
-                        pad.cast("string").alias("pad"))
+            keys = F.array(text if isinstance(s, MatchSpec) else F.lit(""))
+        return F.struct(F.lit(s.tag).alias("tag"), text.alias("s"), num.alias("x"), keys.alias("ks"))
 
     cells = F.array(*[cell(s) for s in specs])
     long = df.select(F.col(key).alias(KEY), F.inline(cells)) \
-        .withColumn("k", F.coalesce(F.col("pad"), F.col("s"))).drop("pad")
-    keys = (long["tag"] == rules["tag"]) & (long["k"] == rules["k"])
-    if kind_of_side == "shuffle" and salt_buckets > 1:
-        long = long.withColumn("_salt", salt_column([F.col(KEY), F.col("tag")], salt_buckets))
-        rules = replicate_salts(rules, salt_buckets, "_rsalt")
-        keys = ((long["tag"] == rules["tag"]) & (long["k"] == rules["k"])
-                & (long["_salt"] == rules["_rsalt"]))
-    x, lo, hi, kind = F.col("x"), rules["lo"], rules["hi"], rules["kind"]
-    cond = (keys
-            & ((kind == "match") | (kind == "copy")
-               | ((kind == "closed") & x.between(lo, hi))
-               | ((kind == "left_open") & (x > lo) & (x <= hi))))
-    joined = long.join(rules, cond)
-    value = F.when(kind == "copy", F.col("s")).otherwise(rules["name"])
-    return joined.select(KEY, long["tag"].alias("tag"), value.alias("value")) \
-        .where(F.col("value").isNotNull())
+        .select(KEY, "tag", "s", "x", F.explode("ks").alias("k"))
+    rules = side.rules.select(F.col("tag").alias("_rtag"), F.col("k").alias("_rk"), "kind", "lo", "hi", "name")
+
+    def on(left, right):
+        x, kind = left["x"], right["kind"]
+        return ((left["tag"] == right["_rtag"]) & (left["k"] == right["_rk"])
+                & ((kind == "match") | (kind == "copy")
+                   | ((kind == "closed") & x.between(right["lo"], right["hi"]))
+                   | ((kind == "left_open") & (x > right["lo"]) & (x <= right["hi"]))))
+
+    joined = sized_join(long, rules, on, "inner", [KEY, "tag"], max_broadcast_bytes, side.size, salt_buckets)
+    value = F.when(F.col("kind") == "copy", F.col("s")).otherwise(F.col("name"))
+    return joined.select(KEY, "tag", value.alias("value")).where(F.col("value").isNotNull())
 
 
 @dataclass
@@ -157,7 +170,7 @@ class RecencySpec:
 
 def tag_aggregates(df: DataFrame, key: str, mode: ModeSpec | None = None,
                    recency: list[RecencySpec] | None = None,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Mode and recency models over ONE scan and ONE two-level aggregation.
 
     ``(key, category)`` -> count and latest time of every recency column (partial
@@ -185,4 +198,4 @@ def tag_aggregates(df: DataFrame, key: str, mode: ModeSpec | None = None,
         specs.append(MatchSpec(mode.tag, F.col("_mode.c"), mode.rules))
     for i, r in enumerate(recency):
         specs.append(RangeSpec(r.tag, days_since(F.col(f"_t{i}"), r.as_of), r.ranges, "closed"))
-    return tag_all(second, KEY, specs, max_broadcast_rows)
+    return tag_all(second, KEY, specs, max_broadcast_bytes)

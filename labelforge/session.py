@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the engine relies on (see README, "Session settings").
 DEFAULT_CONF = {
@@ -45,7 +46,7 @@ def build_session(master: str | None = None, app: str = "labelforge",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -70,3 +71,11 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared root (one per call)."""
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared root and read back: a lost executor then costs a
+    re-read, and every later use sees the same rows in the same files."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

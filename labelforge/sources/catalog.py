@@ -8,10 +8,14 @@ operation; only the single level-4 rule string is ever brought to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.operators.sizing import bounded_broadcast
+from labelforge.operators.ordering import global_rank
+from labelforge.operators.sizing import sized_join
+from labelforge.session import written
 
 CATALOG_COLUMNS = ("id", "pid", "level", "name", "rule")
 
@@ -60,18 +64,23 @@ def find_tag(tags: DataFrame, name: str, level: int, pid: int) -> DataFrame:
 
 def tags_with_models(tags: DataFrame, models: DataFrame, tag_key: str = "id",
                      model_key: str = "tag_id") -> DataFrame:
-    """Every tag with its model row, or nulls (one left join, size-checked broadcast)."""
-    right, _ = bounded_broadcast(models)
-    if tag_key == model_key:
-        return tags.join(right, tag_key, "left")
-    return tags.join(right, tags[tag_key] == right[model_key], "left")
+    """Every tag with its model row, or nulls (one left join, see ``sized_join``)."""
+    named = models.withColumnRenamed(model_key, "_model_key")
+    joined = sized_join(tags, named, lambda a, b: a[tag_key] == b["_model_key"], "left", [tag_key])
+    drop = {"_salt", "_rsalt", "_model_key"}
+    key = [] if model_key in tags.columns else [F.col("_model_key").alias(model_key)]
+    return joined.select(*[c for c in joined.columns if c not in drop], *key)
 
 
 def insert_if_absent(old: DataFrame, new: DataFrame,
                      keys=("name", "level", "pid")) -> DataFrame:
-    """C6 (flat): rows of ``new`` whose keys are not in ``old``, appended to ``old``."""
+    """C6 (flat): rows of ``new`` whose keys are not in ``old``, appended to ``old``.  Null
+    keys equal null keys; of several new rows under one key one is inserted, as a look-up
+    per row would do."""
     keys = list(keys)
-    missing = new.join(old.select(*keys).distinct(), keys, "left_anti")
+    have = old.select(*[F.col(k).alias(f"_old_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [new[k].eqNullSafe(have[f"_old_{k}"]) for k in keys])
+    missing = new.dropDuplicates(keys).join(have, same, "left_anti")
     return old.unionByName(missing, allowMissingColumns=True)
 
 
@@ -93,15 +102,15 @@ def insert_tag_paths(old: DataFrame, paths: DataFrame, max_level: int = 5) -> Da
                              F.col("_pid").alias("pid")).distinct()
         absent = wanted.join(cat.select("name", "level", "pid"), ["name", "level", "pid"],
                              "left_anti")
-        # next free id: one scalar from the (small) catalog; the new rows of a level
-        # are few, so a global row_number over them is bounded
-        base = cat.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        fresh = absent.select(
-            (F.lit(base) + F.row_number().over(Window.orderBy("pid", "name"))).cast("long")
-            .alias("id"), "pid", "level", "name", F.lit(None).cast("string").alias("rule"))
+        base = cat.agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
+        fresh = global_rank(absent, ["pid", "name"], "_pos").select(
+            (F.lit(base) + F.col("_pos")).cast("long").alias("id"), "pid", "level", "name",
+            F.lit(None).cast("string").alias("rule"))
         cat = cat.unionByName(fresh)
         # the child level's pid is the id of this level's row on the same path
+        cat = written(cat, "catalog")  # once per level: its plan does not hold those above it
         ids = cat.where(F.col("level") == level).select(
             F.col("name").alias(name_col), F.col("pid").alias("_pid"), F.col("id").alias("_next"))
-        walk = walk.join(ids, [name_col, "_pid"]).withColumn("_pid", F.col("_next")).drop("_next")
+        walk = written(walk.join(ids, [name_col, "_pid"]).withColumn("_pid", F.col("_next")).drop("_next"),
+                       "paths")
     return cat

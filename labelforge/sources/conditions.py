@@ -23,7 +23,6 @@ from labelforge.functions.dates import UNIT_DAYS
 # The six comparison operator names of the condition language.
 OPERATORS = ("eq", "ne", "gt", "lt", "ge", "le")
 
-_COND_RE = re.compile(r"^(.*?)\[(.*?)\](.*)$", re.DOTALL)
 _DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 _INT_RE = re.compile(r"^(0|-?[1-9][0-9]*)$")  # exactly the text Spark prints for an integer
 
@@ -36,12 +35,13 @@ class Condition:
 
 
 def parse_condition(text: str) -> Condition:
-    m = _COND_RE.match(text.strip())
-    if not m:
+    field, opened, rest = text.strip().partition("[")
+    op, closed, value = rest.partition("]")
+    if not opened or not closed:
         raise ValueError(f"malformed condition {text!r}; expected field[OP]value")
-    field, op, value = m.group(1).strip(), m.group(2).strip().lower(), m.group(3)
+    field, op, given = field.strip(), op.strip().lower(), op
     if op not in OPERATORS:
-        raise ValueError(f"unknown operator {m.group(2)!r} in condition {text!r}")
+        raise ValueError(f"unknown operator {given!r} in condition {text!r}")
     if not field:
         raise ValueError(f"missing field in condition {text!r}")
     return Condition(field, op, value)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from labelforge.sources.conditions import (condition_column, parse_conditions,
                                            relative_window)
+from labelforge.sources.tables import read_jdbc
 
 
 def text_of(df: DataFrame, name: str, date_format: str = "yyyy-MM-dd") -> Column:
@@ -68,6 +69,11 @@ def read_wide_window(source: DataFrame, fields, where: str, as_of: str,
 
 
 # ---------------------------------------------------------------- A6 dispatch
+# inType, selectFieldNames and whereCondition are keys of the rule format,
+# those of a relational source beside url and table are its own.
+JDBC_RANGE_KEYS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 def _need(meta: dict, key: str) -> str:
     if not meta.get(key):
         raise ValueError(f"rule for inType={meta.get('inType')!r} lacks {key!r}")
@@ -91,8 +97,11 @@ def _reader(spark: SparkSession, meta: dict) -> DataFrame:
         reader = spark.read.option("sep", sep).option("header", meta.get("header", "true"))
         return reader.option("inferSchema", "false").csv(meta["path"])
     if kind == "jdbc":
-        return spark.read.jdbc(meta["url"], meta["table"], properties={
-            k[5:]: v for k, v in meta.items() if k.startswith("jdbc.")})
+        # a relational table is read by ranges of one column, or it would be one task's work
+        column, low, high, parts = (_need(meta, k) for k in JDBC_RANGE_KEYS)
+        return read_jdbc(spark, _need(meta, "url"), meta["table"],
+                         {k[5:]: v for k, v in meta.items() if k.startswith("jdbc.")},
+                         column, int(low), int(high), int(parts))
     raise ValueError(f"unsupported inType {meta.get('inType')!r}")
 
 
@@ -116,13 +125,14 @@ def business_data(spark: SparkSession, meta: dict, as_of: str | None = None,
 
 def rule_map(rule_text: str) -> dict:
     """Driver-side parse of ONE level-4 rule string (the only value that reaches
-    the driver): ``key=value`` lines, trimmed, split on the first ``=``, last key wins."""
-    out = {}
+    the driver): ``key=value`` lines, trimmed of white space and control signs, split on the
+    first ``=``, last key wins."""
+    out, blank = {}, "".join(map(chr, range(33)))
     for line in rule_text.split("\n"):
-        if not line.strip():
+        if not line.strip(blank):
             continue
         if "=" not in line:
             raise ValueError(f"rule line without '=': {line!r}")
         k, v = line.split("=", 1)
-        out[k.strip()] = v.strip()
+        out[k.strip(blank)] = v.strip(blank)
     return out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from labelforge.operators import profile
-from labelforge.plans.runner import tag_all
+from labelforge.plans.runner import rule_side, tag_all
 from labelforge.sources.cells import melt_cells
 from labelforge.sources.delimited import parse_delimited_lines
 
@@ -38,11 +38,10 @@ def stream_profile_updates(source: DataFrame, key: str, specs: list, profile_pat
     and upsert the cells into the long profile.  The upsert is idempotent (same
     input, same profile), so a replayed batch after a failure changes nothing."""
 
-    tags = [s.tag for s in specs]  # known up front: no pass over a batch to find them
+    side = rule_side(source.sparkSession, specs, keep=True)  # once, not per batch
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        profile.write_profile(tag_all(batch, key, specs), profile_path, mode="upsert",
-                              tags=tags)
+        profile.write_profile(tag_all(batch, key, specs, side=side), profile_path, mode="upsert")
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -1,3 +1,6 @@
+import hashlib
+
+import pytest
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -43,7 +46,43 @@ def test_key_hash_replacement_is_repeatable(spark):
     df = spark.createDataFrame([(1, 960, "visa"), (2, 5, "cod")], "k long, m long, p string")
     a = df.select(replace_out_of_range("m", "k", 950).alias("m"),
                   replace_not_in("p", scores.PAYMENT_CODES, "k").alias("p")).collect()
-    assert [tuple(r) for r in a] == [((1 * 31 + 7) % 950 + 1, "wxpay"), (5, "cod")]
+    mix = int(hashlib.md5(b"1").hexdigest()[:8], 16)
+    assert [tuple(r) for r in a] == [(mix % 950 + 1, scores.PAYMENT_CODES[mix % 4]), (5, "cod")]
+
+
+def test_key_hash_takes_any_key_and_spreads_it(spark):
+    big = spark.range(1000).select((F.col("id") + 1700000000000000000).alias("k"))
+    text = spark.range(1000).select(F.concat(F.lit("u-"), F.col("id")).alias("k"))
+    steps = spark.range(1000).select((F.col("id") * 100).alias("k"))
+    for df in (big, text, steps):
+        train, test = learning.hash_split(df, "k", 80)
+        assert abs(train.count() / 1000 - 0.8) < 0.04 and train.count() + test.count() == 1000
+    wide = spark.range(100_000).select((F.col("id") * 100).alias("k"))
+    assert abs(learning.hash_split(wide, "k", 80)[0].count() / 100_000 - 0.8) < 0.02
+    assert learning.hash_split(spark.createDataFrame([(None,)], "k long"), "k")[0].count() in (0, 1)
+
+
+def test_null_labels_are_an_error_or_skipped_never_a_class(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, c string")
+    with pytest.raises(Exception, match="NULL"):
+        learning.index_labels(df, "c")[1].collect()
+    model, out = learning.index_labels(df, "c", handle_invalid="skip")
+    assert rows(out) == [(1, "a", 0.0), (2, "b", 1.0)] and list(model.labels) == ["a", "b"]
+
+
+def test_corr_matrix_nulls_constants_and_offsets(spark):
+    df = spark.createDataFrame([(1e9 + 1, 1.0, 5.0, None), (1e9 + 2, None, 5.0, 1.0), (1e9 + 3, 3.0, 5.0, None),
+                                (1e9 + 4, 9.0, 5.0, None)], "a double, b double, c double, d double")
+    names = {"a": "a", "b": "b", "c": "c", "d": "d"}
+    out = {(r["a"], r["b"]): r["r"] for r in aggregates.corr_matrix(df, names).collect()}
+    want = df.where("b is not null").agg(F.round(F.corr("a", "b"), 6)).first()[0]
+    assert out["a", "b"] == out["b", "a"] == want
+    assert out["a", "c"] is None and out["c", "c"] is None and out["a", "d"] is None
+    zero = {(r["a"], r["b"]): r["r"] for r in aggregates.corr_matrix(df, names, nulls="zero").collect()}
+    want = df.fillna(0.0).agg(F.round(F.corr("b", "d"), 6)).first()[0]
+    assert zero["b", "d"] == want
+    upper = aggregates.corr_matrix(df, names, pairs="upper").select("a", "b").collect()
+    assert sorted(map(tuple, upper)) == [("a", "b"), ("a", "c"), ("a", "d"), ("b", "c"), ("b", "d"), ("c", "d")]
 
 
 def test_corr_matrix_single_pass(spark):
@@ -76,7 +115,8 @@ def test_logistic_accuracy_floor_and_save_load(spark):
 def test_tree_pipeline_restores_labels(spark):
     df = _separable(spark).withColumn("category", F.concat(F.lit("c"), F.col("label").cast("int")))
     train, test = learning.hash_split(df, "id", 70)
-    model = learning.fit_tree_pipeline(train, "category", "features", max_depth=3)
+    model = learning.with_label_restore(
+        learning.tree_pipeline("category", "features", max_depth=3).fit(train))
     pred = model.transform(test)
     acc = pred.agg(F.avg((F.col("predictedLabel") == F.col("category")).cast("double"))).first()[0]
     assert acc >= 0.95

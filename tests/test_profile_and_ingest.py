@@ -1,3 +1,6 @@
+import os
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from labelforge.operators import profile
@@ -43,6 +46,41 @@ def test_write_profile_replace_tag_and_upsert(spark):
         [("1", "job", "a"), ("3", "job", "b")]
 
 
+CELL = "userId string, tag string, value string, version long"
+
+
+def test_latest_value_wins_on_every_write(spark):
+    batch = spark.createDataFrame([("1", "job", "z", 1), ("1", "job", "a", 2)], CELL)
+    for mode in ("replace_tag", "upsert"):
+        path = fresh_path(spark, "test-profile")
+        for _ in range(2):  # the first write and a later one
+            profile.write_profile(batch, path, mode=mode)
+            assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == [("1", "job", "a")]
+    profile.write_profile(spark.createDataFrame([("1", "job", "b", 0)], CELL), path, mode="upsert")
+    assert rows(profile.read_profile(spark, path), "value") == [("b",)]  # a later run, whatever its versions
+
+
+def test_empty_run_clears_its_tag_only_and_leaves_no_stage(spark):
+    root = fresh_path(spark, "test-root")
+    path = root + "/store"
+    profile.write_profile(spark.createDataFrame([("1", "job", "a", 0), ("1", "age", "b", 0)], CELL), path)
+    conf = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    profile.write_profile(spark.createDataFrame([], CELL), path, tags=["job"])
+    assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == [("1", "age", "b")]
+    profile.compact_profile(spark, path, root + "/compacted")
+    assert rows(profile.read_profile(spark, root + "/compacted"), "userId", "tag", "value") == [("1", "age", "b")]
+    assert sorted(os.listdir(root.removeprefix("file:"))) == ["compacted", "store"]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == conf
+
+
+def test_replayed_run_changes_nothing(spark):
+    path = fresh_path(spark, "test-profile")
+    cells_ = spark.createDataFrame([("1", "job", "a", 0), ("2", "job", "b", 0)], CELL)
+    for _ in range(2):
+        profile.write_profile(cells_, path, mode="upsert", run=5)
+    assert rows(profile.read_profile(spark, path), "userId", "value") == [("1", "a"), ("2", "b")]
+
+
 def test_search_methods(spark):
     p = spark.createDataFrame([("1", "rich"), ("2", "poor"), ("3", None)], "userId string, acct string")
     assert rows(profile.search(p, "acct", "eq", "rich"), "userId") == [("1",)]
@@ -102,6 +140,19 @@ def test_global_rank_matches_sorted_order(spark):
     assert got == [(f"{i:05d}", i + 1) for i in range(5000)]
 
 
+def test_global_rank_of_wide_rows_with_a_hot_key(spark):
+    n = 300_000
+    df = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.format_string("%07d", F.col("id") * 7919 % n))
+        .alias("k"), F.col("id").alias("payload"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    ranked = global_rank(df, ["k"], "pos", num_partitions=8)
+    assert ranked.agg(F.count_distinct("pos"), F.min("pos"), F.max("pos")).first()[:] == (n, 1, n)
+    step = Window.orderBy("pos")
+    assert ranked.select((F.lag("k").over(step) <= F.col("k")).alias("ok")).where("not ok").count() == 0
+    sizes = ranked.groupBy(F.floor((F.col("pos") - 1) / (n / 8))).count()
+    assert sizes.count() == 8
+
+
 def test_stream_ingest_and_profile_updates(spark):
     from labelforge.plans.runner import MatchSpec
     from labelforge.streaming.ingest import stream_profile_updates, stream_tsv_cells
@@ -144,16 +195,16 @@ def test_bucketed_profile_table_upsert_moves_only_new_cells(spark):
     pt.replace_tags(old, name)
     new = spark.createDataFrame([("2", "gender", "x"), ("3", "gender", "y"), ("1", "gender", None),
                                  ("3", "gender", "w")], "userId string, tag string, value string")
-    plan = pt.merge_tag(new, name, "gender")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1  # the new side only
-    assert "Bucketed: true" in plan
+    before = {f for f, in spark.table(name).select(F.input_file_name()).distinct().collect()}
     pt.upsert_tags(new, name, ["gender"])
-    assert rows(spark.table(name), "userId", "tag", "value") == [
+    after = {f for f, in spark.table(name).select(F.input_file_name()).distinct().collect()}
+    assert before < after  # nothing stored is rewritten
+    assert rows(pt.present(spark, name, ["gender", "job"]), "userId", "tag", "value") == [
         ("1", "gender", "m"), ("1", "job", "a"), ("2", "gender", "x"), ("3", "gender", "y")]
     wide = pt.wide_view(spark, name, ["gender", "job"])
     assert rows(wide) == [("1", "m", "a"), ("2", "x", None), ("3", "y", None)]
     assert "Exchange hashpartitioning" not in wide._jdf.queryExecution().executedPlan().toString()
-    assert rows(pt.lookup(spark, name, "1"), "tag", "value") == [("gender", "m"), ("job", "a")]
+    assert rows(pt.lookup(spark, name, "1", ["gender", "job"]), "tag", "value") == [("gender", "m"), ("job", "a")]
 
 
 def test_bucketed_profile_lookup_reads_one_bucket(spark):
@@ -163,11 +214,13 @@ def test_bucketed_profile_lookup_reads_one_bucket(spark):
     pt.create_profile_table(spark, name, path, buckets=4, key_type="STRING")
     cells_ = [(str(i), t, "v") for i in range(40) for t in ("a", "b")]
     pt.replace_tags(spark.createDataFrame(cells_, "userId string, tag string, value string"), name)
-    one = pt.lookup(spark, name, "1")
+    one = pt.lookup(spark, name, "1", ["a", "b"])
     assert rows(one, "userId", "tag") == [("1", "a"), ("1", "b")]
-    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
-    # keys span every file's min/max, so only bucket pruning explains reading < half
-    assert scan.metrics().apply("numOutputRows").value() < len(cells_) / 2
+    assert "SelectedBucketsCount: 1 out of 4" in one._jdf.queryExecution().executedPlan().toString()
+    pt.replace_tags(spark.createDataFrame([], "userId string, tag string, value string"), name, ["a"])
+    assert rows(pt.lookup(spark, name, "1", ["a", "b"]), "tag") == [("b",)]
+    pt.compact(spark, name, name + "_c", fresh_path(spark, "ptable"), ["a", "b"], key_type="STRING")
+    assert pt.present(spark, name + "_c", ["a", "b"]).count() == 40
 
 
 def test_stream_restart_from_checkpoint_is_exactly_once(spark):

@@ -26,7 +26,8 @@ def test_range_match_equals_brute_force(spark, vals, rngs, bounds, broadcast):
     ranges = [(f"r{i}", s, s + w) for i, (s, w) in enumerate(rngs)]
     r = spark.createDataFrame(ranges, "name string, start double, end double")
     got = sorted(tuple(x) for x in range_match(
-        df, "v", r, bounds=bounds, max_broadcast_rows=10**6 if broadcast else 0).collect())
+        df, "v", r, bounds=bounds, max_broadcast_bytes=10**8 if broadcast else 0,
+        axis_points=10**6 if broadcast else 5).collect())
 
     def hit(v, s, e):
         return s <= v <= e if bounds == "closed" else s < v <= e

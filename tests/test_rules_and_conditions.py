@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelforge.functions.rules import parse_kv_rule, parse_range
+from labelforge.operators.match import rule_match
+from labelforge.sources.catalog import insert_if_absent
 from labelforge.sources.conditions import parse_conditions, relative_window
-from labelforge.sources.wide import read_wide, rule_map
+from labelforge.sources.wide import business_data, read_wide, rule_map
 from tests.conftest import rows
 
 
@@ -29,14 +31,45 @@ def test_driver_rule_map_matches():
 
 
 def test_parse_range_int_double_and_malformed(spark):
-    df = spark.createDataFrame([("19500101-19591231",), ("0-7",), ("bad",), ("1-2-3",)], "t string")
-    out = df.select(parse_range("t", "-", "int").alias("r")).select("r.start", "r.end").collect()
-    assert [tuple(r) for r in out] == [(19500101, 19591231), (0, 7), (None, None), (None, None)]
+    df = spark.createDataFrame([("19500101-19591231",), ("0-7",), ("-10-5",), ("-10--5",), (" 1 -\t2\r",), (None,),
+                                ("bad",), ("1-2-3",), ("-",), ("5-",)], "t string")
+    out = df.select(parse_range("t", "-", "int", on_bad_rule="drop").alias("r")).select("r.start", "r.end").collect()
+    assert [tuple(r) for r in out] == [(19500101, 19591231), (0, 7), (-10, 5), (-10, -5), (1, 2)] + [(None, None)] * 5
+    with pytest.raises(Exception, match="malformed range rule"):
+        df.select(parse_range("t", "-", "int").alias("r")).collect()
     d = spark.createDataFrame([("-1.5~0.25",)], "t string") \
         .select(parse_range("t", "~", "double").alias("r")).first()["r"]
     assert (d["start"], d["end"]) == (-1.5, 0.25)
 
 
+RULE_TEXTS = ["inType=x\r\n\tfam =\tdetail\r", "a=1\n\n\r\nb = c=d \n", " k\t=\x0b v\x0c\nk=w"]
+
+
+def test_both_rule_parsers_agree(spark):
+    df = spark.createDataFrame([(t,) for t in RULE_TEXTS], "t string")
+    got = [r[0] for r in df.select(parse_kv_rule("t")).collect()]
+    assert got == [rule_map(t) for t in RULE_TEXTS]
+    assert got[0] == {"inType": "x", "fam": "detail"}
+
+
+def test_rule_match_compares_text_and_keeps_ansi_quiet(spark):
+    df = spark.createDataFrame([(1, 1), (2, 7)], "id int, v int")
+    rules = spark.createDataFrame([("1", "one"), ("01", "padded"), ("x", "ex")], "rule string, name string")
+    assert rows(rule_match(df, "v", rules)) == [(1, "one")]
+
+
+def test_insert_if_absent_takes_one_of_equal_new_rows(spark):
+    old = spark.createDataFrame([("a", 1, None)], "name string, level int, pid long")
+    new = spark.createDataFrame([("a", 1, None), ("b", 1, 3), ("b", 1, 3)], "name string, level int, pid long")
+    assert rows(insert_if_absent(old, new)) == [("a", 1, None), ("b", 1, 3)]
+
+
+def test_relational_rule_needs_its_bounds(spark):
+    meta = {"inType": "jdbc", "url": "jdbc:x", "table": "t", "selectFieldNames": "a"}
+    with pytest.raises(ValueError, match="partitionColumn"):
+        business_data(spark, meta)
+
+
 def test_condition_parsing():
     conds = parse_conditions("modified[GE]20190601,modified[le]20191201,x[Ne]a b")
     assert [(c.field, c.op, c.value) for c in conds] == [

@@ -19,13 +19,13 @@ def test_tag_all_broadcast_and_salted_paths_agree(spark):
     assert one == [(1, "age", "young"), (1, "job", "student"), (1, "name", "ann"),
                    (2, "age", "young"), (2, "job", "teacher"), (2, "name", "bob"),
                    (3, "age", "old"), (4, "name", "dee")]
-    salted = tag_all(df, "id", _specs(spark), max_broadcast_rows=0)
+    salted = tag_all(df, "id", _specs(spark), max_broadcast_bytes=0)
     assert rows(salted) == one
     salted_plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    # salted join; the business frame is read once (plus the two rule frames)
-    assert "_rsalt" in salted_plan and salted_plan.count("LogicalRDD") == 1 + 2
+    # salted join; the business frame is read once (plus the two rule frames and the blocks)
+    assert "_rsalt" in salted_plan and salted_plan.count("LogicalRDD") == 1 + 3
     plan = tag_all(df, "id", _specs(spark))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 1 and "NestedLoop" not in plan
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
 def test_tag_aggregates_with_epoch_text_and_no_mode(spark):

@@ -40,7 +40,7 @@ def test_rule_match_policies(spark, members, job_rules):
 
 def test_rule_match_without_broadcast_gives_same_rows(spark, members, job_rules):
     a = rule_match(members, "job", job_rules, tag="job")
-    b = rule_match(members, "job", job_rules, tag="job", max_broadcast_rows=0)
+    b = rule_match(members, "job", job_rules, tag="job", max_broadcast_bytes=0)
     assert rows(a) == rows(b)
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
@@ -77,7 +77,7 @@ def test_bucketed_range_join_equals_broadcast(spark):
     r = spark.createDataFrame(rng, "name string, start double, end double")
     for bounds in ("closed", "left_open"):
         a = rows(range_match(df, "v", r, bounds=bounds))
-        b = rows(range_match(df, "v", r, bounds=bounds, max_broadcast_rows=0))
+        b = rows(range_match(df, "v", r, bounds=bounds, max_broadcast_bytes=0))
         assert a == b and len(a) > 0
 
 
@@ -125,23 +125,34 @@ def test_top_n_string_desc_uses_window(spark):
                           (30, "WARD"), (30, "TURNER")], key=repr)
 
 
-def test_hot_group_top1_is_one_aggregate(spark):
-    """A key holding most rows: the n == 1 plan is a partial+final aggregate (no window)."""
+def test_hot_group_top1_is_cut_before_the_shuffle(spark):
+    """A key holding most rows: each map task sends one row of it."""
     df = spark.range(0, 20000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(
         F.col("id")).alias("k"), F.col("id").alias("v"))
     out = top_n_per_group(df, "k", [("v", True)])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+    assert "Partial" in plan[plan.index("Exchange"):] and "WindowGroupLimit" in plan
     assert out.where(F.col("k") == 1).first()["v"] == 19998
 
 
+def test_top1_agrees_with_sql_under_null_and_nan(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, 5.0), ("a", 3, 9.0), ("b", 4, None), ("c", 5, nan),
+                                ("c", 6, 1.0), ("d", 7, -2.0), ("d", 8, None)], "g string, id int, v double")
+    dsl = top_n_per_group(df, "g", [("v", True), ("id", False)])
+    ranked = top_n_per_group(df, "g", [("v", True), ("id", False)], n=1, rank_col="r")
+    sql = top_n_per_group_sql(spark, df, "nan_rows", ["g"], "v DESC NULLS LAST, id", ["g", "id"])
+    assert rows(dsl, "g", "id") == rows(ranked, "g", "id") == rows(sql) == [("a", 3), ("b", 4), ("c", 5), ("d", 7)]
+    assert not spark.catalog.tableExists("nan_rows")
+
+
 def test_salted_fallbacks_spread_a_hot_value(spark, job_rules):
     """Without broadcast, a value holding most rows is joined on (value, salt)."""
     hot = spark.range(0, 3000).select(F.col("id").cast("string").alias("id"),
                                       F.when(F.col("id") % 10 < 8, F.lit("1"))
                                       .otherwise(F.lit("2")).alias("job"))
     a = rule_match(hot, "job", job_rules, tag="job", dedup=True)
-    b = rule_match(hot, "job", job_rules, tag="job", dedup=True, max_broadcast_rows=0)
+    b = rule_match(hot, "job", job_rules, tag="job", dedup=True, max_broadcast_bytes=0)
     assert rows(a) == rows(b)
     plan = b._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and "_rsalt" in plan
@@ -149,7 +160,7 @@ def test_salted_fallbacks_spread_a_hot_value(spark, job_rules):
     vals = spark.range(0, 3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(5))
                                        .otherwise(F.col("id") % 100).alias("v"))
     assert rows(range_match(vals, "v", ranges)) == \
-        rows(range_match(vals, "v", ranges, max_broadcast_rows=0))
+        rows(range_match(vals, "v", ranges, max_broadcast_bytes=0))
 
 
 def test_unparsable_dates_and_missing_entities_get_no_tag(spark):
@@ -173,19 +184,29 @@ def test_top_n_window_limits_before_the_shuffle(spark):
                                             (30, 7499), (30, 7698)]
 
 
-def test_join_plan_classes(spark, monkeypatch, job_rules):
+def test_one_size_rule_by_bytes(spark, members, job_rules):
     from labelforge.operators import sizing
-    lit = spark.range(0, 5).select(F.col("id").cast("string").alias("rule"),
-                                   F.lit("x").alias("name"))
-    assert sizing.join_plan(lit, 10, known_rows=5)[1] == "broadcast"
-    assert sizing.join_plan(job_rules, 10)[1] == "broadcast"   # counted: 3 rows
-    assert sizing.join_plan(job_rules, 2)[1] == "shuffle"      # counted: over the bound
-    big = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    monkeypatch.setattr(sizing, "MAX_CHECKED_ESTIMATE_BYTES", 1000)
-    assert sizing.join_plan(big, 10)[1] == "large"             # estimate only, no count
-    members = spark.createDataFrame([("1", "1")], "id string, job string")
-    rules = big.select(F.col("l_orderkey").cast("string").alias("rule"),
-                       F.col("l_linenumber").cast("string").alias("name"))
-    plan = rule_match(members, "job", rules, tag="t")._jdf.queryExecution() \
-        .optimizedPlan().toString()
-    assert "_salt" not in plan  # very large rule side: plain shuffle join, AQE skew join
+    size = sizing.measured_bytes(job_rules)
+    assert 3 * 16 < size < 3 * 100
+    wide = job_rules.withColumn("name", F.lpad("name", 10_000, "x"))
+    assert sizing.measured_bytes(wide) > 30_000  # a few long rows are no small side
+    for bound, salted in ((size + 200, False), (10, True)):
+        plan = rule_match(members, "job", job_rules, tag="t", max_broadcast_bytes=bound) \
+            ._jdf.queryExecution().optimizedPlan().toString()
+        assert ("_rsalt" in plan) == salted
+
+
+def test_a_wide_range_does_not_widen_the_others(spark):
+    """2,000 adjacent ranges and one across them all: a value meets the two that cover it."""
+    from labelforge.operators import ranges as rg
+    many = [(f"r{i}", float(i), float(i) + 0.5) for i in range(2000)] + [("all", 0.0, 1e12)]
+    r = spark.createDataFrame(many, "name string, start double, end double")
+    df = spark.range(0, 4000).select("id", (F.col("id") * 0.5 + 0.25).alias("v"))
+    parts = r.select("name", F.col("start").alias("_s"), F.col("end").alias("_e"))
+    axis, = rg.axes_of(parts)
+    listed = rg.range_blocks(parts, axis)
+    assert listed.count() < 3 * len(many)
+    met = df.select("id", F.explode(rg.block_column(F.col("v"), axis)).alias("_b")).join(listed, "_b")
+    assert met.count() == 2000 * 2 + 2000  # covering ranges only
+    for points in (rg.AXIS_POINTS, 300):  # one axis, or many stretches of it
+        assert range_match(df, "v", r, axis_points=points).count() == 6000

@@ -12,8 +12,9 @@ from labelforge.session import build_session  # noqa: E402
 def spark():
     import tempfile
     warehouse = tempfile.mkdtemp(prefix="labelforge-warehouse-")
+    shared = tempfile.mkdtemp(prefix="labelforge-shared-")
     s = build_session("local[4]", app="labelforge-tests", shuffle_partitions=8,
-                      extra={"spark.sql.warehouse.dir": warehouse})
+                      extra={"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

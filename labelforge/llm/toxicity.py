@@ -21,17 +21,18 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.llm.common import read
+from labelforge.llm.common import read, release_memory
 
 # Labelled rows that weights are learned from, at most (those with the smallest hashes).
-TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 40_000
+TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
 # A word or beginning counts as evidence from this log-likelihood ratio on.
 LEAST_EVIDENCE = 12.0
 PREFIX = range(3, 7)
-CACHE_TOKENS, BEAM = 300_000, 12
+CACHE_TOKENS, BEAM, CHUNK_BYTES = 150_000, 12, 4 << 20
 # Letters the language model tells apart; all others share one symbol.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 END, OTHER = "^", "?"
@@ -44,43 +45,54 @@ _WORD = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 _PLAIN = re.compile(r"[^\w$@!|+€]*[^\W\d_]+[^\w$@|+€]*|[\W\d_]*")
 _EDGE_RUN = re.compile(r"^([\W_])\1{2,}|([\W_])\2{2,}$")
-_STRETCHED = re.compile(r"(.)\1\1|(.)\2.*?(.)\3")
+_STRETCHED = re.compile(r"(.)\1\1|(.)\2.*?(.)\3.*?(.)\4")
 _SEPARATOR = re.compile(r"[^\w$@!|+€]|_")
-_LONE = re.compile(r"[^\W\d_]$")
-
-
-def _symbols(word: str) -> str:
-    return END + END + "".join(c if c in LETTERS else OTHER for c in word) + END
 
 
 def letter_counts(docs: DataFrame) -> dict[str, int]:
-    """Trigram counts over all words of all texts; at most len(LETTERS + 2) ** 3 rows reach
-    the driver, whatever the corpus."""
-    def count(it):
-        grams: Counter = Counter()
-        words: Counter = Counter()
-
-        def spill():
-            for word, n in words.items():
-                s = _symbols(word)
-                for k in range(len(s) - 2):
-                    grams[s[k:k + 3]] += n
-            words.clear()
+    """Trigram counts over all words of all texts (two word ends before each word, one after
+    it); at most len(LETTERS + 2) ** 3 rows reach the driver, whatever the corpus."""
+    signs = END + OTHER + LETTERS
 
+    def count(it):
+        table = np.array([signs.find(c) if (c := chr(k)) in LETTERS else int(c.isalpha())
+                          for k in range(0x110000)], np.uint8)
+        grams = np.zeros(1 << 18, np.int64)
         for batch in it:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    words.update(_WORD.findall(text.lower()))
-                    if len(words) > CACHE_TOKENS:
-                        spill()
-        spill()
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(list(grams), pa.string()),
-                                          "n": pa.array(list(grams.values()), pa.int64())})
+            texts = batch.column(0)
+            for lo, hi in _chunks(texts, CHUNK_BYTES // 2):
+                low = pc.utf8_lower(texts.slice(lo, hi - lo).fill_null(""))
+                text = "\n".join(low.to_pylist()).encode("utf-32-le", "replace")
+                seen = table[np.frombuffer(text, np.uint32)]
+                inside = seen > 0
+                word = np.cumsum(np.diff(inside.astype(np.int8), prepend=0) == 1)[inside]
+                if not len(word):
+                    continue
+                line = np.zeros(len(word) + 2 * int(word[-1]) + 1, np.int32)
+                line[np.arange(len(word)) + 2 * word] = seen[inside]
+                gram = line[:-2] << 12 | line[1:-1] << 6 | line[2:]
+                grams += np.bincount(gram, minlength=1 << 18)
+        found = np.flatnonzero(grams)
+        found = found[(found & 0xFFF) > 0]  # two word ends in a row end no word
+        names = ["".join(signs[g >> k & 63] for k in (12, 6, 0)) for g in found.tolist()]
+        release_memory()
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(names, pa.string()), "n": pa.array(grams[found])})
     rows = docs.select("text").mapInArrow(count, "gram string, n long") \
         .groupBy("gram").agg(F.sum("n").alias("n")).collect()
     return {r["gram"]: r["n"] for r in rows}
 
 
+def _chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> list[tuple[int, int]]:
+    """Stretches of a batch with about ``size`` bytes of text each."""
+    sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    cuts, lo = [], 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + size)))
+        cuts.append((lo, hi))
+        lo = hi
+    return cuts
+
+
 def language_model(counts: dict[str, int]) -> dict[str, float]:
     """Log probability of a trigram's last sign; pairs and single signs to fall back to."""
     pair, sign, total = Counter(), Counter(), 0
@@ -144,6 +156,8 @@ def restore(token: str, model: dict[str, float]) -> str:
 
 def readings(token: str, model: dict[str, float]) -> set[str]:
     """Words of a lower-case token: those it shows and, if it looks disguised, those behind it."""
+    if token.isalpha() and not _STRETCHED.search(token):
+        return {token}
     words = set(_WORD.findall(token))
     if not _PLAIN.fullmatch(token) or _STRETCHED.search(token):
         core = _EDGE_RUN.sub("", _EDGE_RUN.sub("", token))
@@ -156,47 +170,50 @@ def readings(token: str, model: dict[str, float]) -> set[str]:
     return words
 
 
-def restored_words(text: str, model: dict[str, float], known: dict[str, set]) -> set[str]:
+def restored_words(text: str, model: dict[str, float], known: dict[str, tuple]) -> set[str]:
     """All words of a text, shown or restored; ``known`` remembers tokens."""
     if len(known) > CACHE_TOKENS:
         known.clear()
-    tokens = set((low := text.lower()).split())
+    tokens = (low := text.lower()).split()
     out: set[str] = set()
-    for t in tokens:
+    for t in set(tokens):
         if (w := known.get(t)) is None:
-            w = known[t] = readings(t, model)
-        out |= w
-    for run in _spaced_runs(low, tokens):
+            w = known[t] = tuple(readings(t, model))
+        out.update(w)
+    for run in spaced_runs(low):
         out.update(run_readings(run, model))
     return out
 
 
+def spaced_runs(low: str) -> set[str]:
+    """Runs of three or more single signs between blanks, with at least two letters."""
+    return {m for m in _SPACED.findall(low) if len({c for c in m if c.isalpha()}) > 1}
+
+
 def run_readings(run: str, model: dict[str, float]) -> set[str]:
     """Words behind a run of single signs: with blanks as word ends, and closed up."""
     return {*restore(run, model).split(), *restore(_SEPARATOR.sub("", run), model).split()}
 
 
-def _spaced_runs(low: str, tokens: set[str]) -> set[str]:
-    """Runs of single signs between blanks, at least two of them different letters."""
-    if sum(map(len, tokens)) == len(tokens) or sum(1 for t in tokens if _LONE.match(t)) >= 2:
-        return {m for m in _SPACED.findall(low) if len({c for c in m if c.isalpha()}) > 1}
-    return set()
-
-
 def features(word: str) -> list[str]:
     return [word[:k] for k in PREFIX if len(word) >= k] + [word + "$"]
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the labelled rows to learn from: (text, toxic, half)."""
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """Texts of the labelled rows to learn from, (text, toxic, half), and how many times rarer
+    the toxic ones are among all such rows than in the sample."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     usable = labels.where("toxic in (0, 1) and doc_id is not null").where(F.crc32(key.cast("binary")) % 5 != 0) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    sizes = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     order = F.xxhash64("doc_id")
     some = usable.where("toxic = 1").orderBy(order, "doc_id").limit(TRAIN_TOXIC) \
         .union(usable.where("toxic = 0").orderBy(order, "doc_id").limit(TRAIN_CLEAN))
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id") \
+    rarer = (min(toxic, TRAIN_TOXIC) / max(toxic, 1)) / max(min(clean, TRAIN_CLEAN) / max(clean, 1), 1e-12)
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id") \
         .select("text", "toxic", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half"))
+    return rows, rarer
 
 
 def _weights(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
@@ -213,14 +230,21 @@ def _weights(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict
 
 
 def evidence(words: set[str], weights: dict[str, float]) -> tuple[float, float]:
-    """(largest, sum of) word weights; a word weighs as much as its heaviest feature."""
-    get, top, total = weights.get, 0.0, 0.0
-    for w in words:
-        best = max([get(f, 0.0) for f in features(w)])
-        if best > 0:
-            total += best
-            top = max(top, best)
-    return top, math.log1p(total)
+    """Largest word weight and logarithm of their sum; a word weighs as much as its heaviest
+    feature."""
+    best = [max([weights.get(f, 0.0) for f in features(w)]) for w in words]
+    return max(best, default=0.0), math.log1p(sum(best))
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """Intercept and slopes; more evidence never lowers the score: a negative slope is left out."""
+    slopes = _logistic(x, y)
+    if (slopes[1:] < 0).any():
+        kept = int(slopes[2] >= slopes[1])
+        base, slope = _logistic(x[:, [kept]], y)
+        slopes = np.zeros(3)
+        slopes[0], slopes[1 + kept] = base, max(0.0, slope)
+    return slopes.tolist()
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -244,15 +268,18 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     letters = spark.sparkContext.broadcast(model["letters"])
 
     def read_words(it):
-        known: dict[str, set] = {}
+        known: dict[str, tuple] = {}
         for batch in it:
             texts, toxic, half = (batch.column(k).to_pylist() for k in range(3))
             rows = [sorted(restored_words(t or "", letters.value, known)) for t in texts]
             yield pa.RecordBatch.from_pydict({"words": pa.array(rows, pa.list_(pa.string())),
                                               "toxic": pa.array(toxic, pa.int32()),
                                               "half": pa.array(half, pa.int32())})
+        known.clear()
+        release_memory()
 
-    words = _sample(docs, labels).select("text", F.col("toxic").cast("int"), "half") \
+    sample, rarer = _sample(docs, labels)
+    words = sample.select("text", F.col("toxic").cast("int"), "half") \
         .mapInArrow(read_words, "words array<string>, toxic int, half int") \
         .persist(StorageLevel.DISK_ONLY)
     sizes = {(r["half"], r["toxic"]): r["n"] for r in
@@ -269,6 +296,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
                     found.setdefault(f, [0, 0, 0, 0])[2 * h + t] += 1
         yield pa.RecordBatch.from_pydict({"f": pa.array(list(found), pa.string()), **{
             f"n{k}": pa.array([v[k] for v in found.values()], pa.int64()) for k in range(4)}})
+        found.clear()
+        release_memory()
 
     n = [F.sum(f"n{k}").alias(f"n{k}") for k in range(4)]
     # a feature needs three toxic documents: that bounds what comes to the driver
@@ -293,7 +322,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
 
     table = words.mapInArrow(cross, "toxic int, top double, total double").collect()
     x = np.array([[r["top"], r["total"]] for r in table])
-    model["curve"] = _logistic(x, np.array([r["toxic"] for r in table], float)).tolist()
+    model["curve"] = _curve(x, np.array([r["toxic"] for r in table], float))
+    model["curve"][0] -= math.log(rarer) if rarer > 0 else 0.0
     words.unpersist()
     return model
 
@@ -311,36 +341,49 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
         letters, weights, curve = (shared.value[k] for k in ("letters", "weights", "curve"))
         known: dict[str, tuple] = {}
 
-        def token_weights(token: str) -> tuple:
-            return tuple((w, b) for w in readings(token, letters)
-                         if (b := max(weights.get(f, 0.0) for f in features(w))) > 0)
+        def weighed(words) -> tuple:
+            return tuple((w, b) for w in words if (b := max(weights.get(f, 0.0) for f in features(w))) > 0)
 
-        def one(text: str | None) -> float:
-            if curve is None:
-                return 0.0
-            if len(known) > CACHE_TOKENS:
-                known.clear()
-            tokens = set((low := (text or "").lower()).split())
-            found: dict[str, float] = {}
-            for t in tokens:
-                w = known.get(t)
-                if w is None:
-                    w = known[t] = token_weights(t)
-                if w:
-                    found.update(w)
-            for run in _spaced_runs(low, tokens):
-                for w in run_readings(run, letters):
-                    b = max(weights.get(f, 0.0) for f in features(w))
-                    if b > 0:
-                        found[w] = b
+        def token_evidence(token: str) -> tuple:
+            if (found := known.get(token)) is None:
+                found = known[token] = weighed(readings(token, letters))
+            return found
+
+        def probability(found: dict[str, float]) -> float:
             top, total = max(found.values(), default=0.0), math.log1p(sum(found.values()))
             z = curve[0] + curve[1] * top + curve[2] * total
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
+        def chunk(texts: pa.Array) -> list[float]:
+            if curve is None:
+                return [0.0] * len(texts)
+            if len(known) > CACHE_TOKENS:
+                known.clear()
+            low = pc.utf8_lower(texts.fill_null(""))
+            split = pc.utf8_split_whitespace(low)
+            coded = split.flatten().dictionary_encode()
+            tokens = coded.dictionary.to_pylist()
+            shown = [token_evidence(t) for t in tokens]
+            token, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+            hit = np.flatnonzero(np.array([bool(e) for e in shown], bool)[token])
+            found: dict[int, dict] = {}
+            for k, at in zip(np.searchsorted(ends, hit, "right") - 1, token[hit]):
+                found.setdefault(int(k), {}).update(shown[at])
+            single = np.array([len(t) == 1 for t in tokens], bool)[token]
+            spaced = np.flatnonzero(single[:-2] & single[1:-1] & single[2:])
+            for k in np.unique(np.searchsorted(ends, spaced, "right") - 1).tolist():
+                for run in spaced_runs(low[k].as_py()):
+                    found.setdefault(k, {}).update(weighed(run_readings(run, letters)))
+            nothing = probability({})
+            return [probability(found[k]) if k in found else nothing for k in range(len(texts))]
+
         for batch in it:
-            values = [one(t) for t in batch.column(columns.index("text")).to_pylist()]
+            texts = batch.column(columns.index("text"))
+            values = [v for lo, hi in _chunks(texts) for v in chunk(texts.slice(lo, hi - lo))]
             arrays = [batch.column(columns.index(c)) for c in returned] + [pa.array(values, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*returned, out])
+        known.clear()
+        release_memory()
 
     return docs.select(*columns).mapInArrow(scored, schema)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 
 import pyarrow as pa
@@ -26,6 +28,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def raw_texts(column) -> list[bytes | None]:
     """UTF-8 bytes of an Arrow string column (None for null)."""
     return column.cast(pa.binary()).to_pylist()
@@ -34,3 +44,13 @@ def raw_texts(column) -> list[bytes | None]:
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+
+
+def release_memory() -> None:
+    """Hands freed memory back to the system.  Python workers serve one task after another,
+    beside the executor's heap, and would keep what their largest task took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # a GNU library has it
+    if trim:
+        trim(0)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.llm.common import raw_texts, read, written
+from labelforge.llm.common import raw_texts, read, release_memory, written
 
 WINDOW = 13
 # Text of one suffix array, and benchmark text that is broadcast at once.
@@ -273,6 +273,8 @@ def scan_benchmark(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                         held, texts, size = [], [], 0
             if held:
                 yield from flush()
+            held, texts = [], []
+            release_memory()
 
         current = current.mapInArrow(shards, schema)
         if not last:

@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.llm.common import read, written
+from labelforge.llm.common import read, release_memory, written
 
 SEQUENCE_TOKENS, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 # Stands between words that are encoded together.
 MARK = "\x01"
 # Pieces in one packing group; text tokenized at once.
-GROUP_PIECES, CHUNK_BYTES = 50_000, 12 << 20
+GROUP_PIECES, CHUNK_BYTES = 50_000, 8 << 20
 # Words of letters that normalization leaves alone, perhaps with one stop.
 _SIMPLE = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
@@ -162,6 +162,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_
                     arrays.append(pa.array(cols[5], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
                 lo = hi
+        del words
+        release_memory()
     return docs.select("doc_id", "text").mapInArrow(pieces, schema)
 
 
@@ -273,7 +275,9 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE_TOKENS,
     """``pieces(length, ...)`` with ``sequence_id`` and the gapless ``offset`` of each piece.
 
     Every row is packed, repeated rows each for themselves; null or negative lengths are an
-    error.  Same input layout, same result."""
+    error.  Same input layout, same result.  Columns named sequence_id or offset are
+    replaced; an empty frame gives an empty one."""
+    pieces = pieces.drop("sequence_id", "offset")
     columns = pieces.columns
     out = pieces.schema.add("sequence_id", T.LongType()).add("offset", T.LongType())
     state = written(pieces.withColumn("_piece_key", F.monotonically_increasing_id()), "pieces")

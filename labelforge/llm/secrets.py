@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.llm.common import read, written
+from labelforge.llm.common import read, unused, written
 
 # Labelled findings the forest learns from, at most (those with the smallest hashes).
 TRAIN_FINDINGS = 20_000
@@ -142,12 +142,13 @@ def scan(docs: DataFrame, words: DataFrame, labelled: DataFrame | None = None) -
 
 def redact(docs: DataFrame, words: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret in a text replaced by ``mark``; all documents stay."""
-    bad = scan(docs.select("doc_id", "text"), words).where("is_secret").groupBy("doc_id") \
-        .agg(F.sort_array(F.collect_set("value"), asc=False).alias("_secrets")) \
-        .withColumnRenamed("doc_id", "_secret_doc")
-    joined = docs.join(bad, docs["doc_id"].eqNullSafe(bad["_secret_doc"]), "left")
-    text = F.when(F.col("_secrets").isNull(), docs["text"]).otherwise(F.aggregate(
-        "_secrets", docs["text"], lambda t, s: F.replace(t, s, F.lit(mark))))
+    values, owner = unused("_secrets", docs.columns), unused("_secret_doc", docs.columns)
+    bad = scan(docs.select("doc_id", "text"), words).where("is_secret") \
+        .select(F.col("doc_id").alias(owner), "value").groupBy(owner) \
+        .agg(F.sort_array(F.collect_set("value"), asc=False).alias(values))
+    joined = docs.join(bad, docs["doc_id"].eqNullSafe(bad[owner]), "left")
+    text = F.when(F.col(values).isNull(), docs["text"]).otherwise(F.aggregate(
+        values, docs["text"], lambda t, s: F.replace(t, s, F.lit(mark))))
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 

@@ -64,7 +64,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
     Row counts of the shards differ by at most one.  Null and empty texts are rows like any
     other; an empty table gives an empty result.  The bucket counts, one row per bucket,
-    are summed to offsets; no other row passes through one task."""
+    are summed to offsets; no other row passes through one task.  Columns of ``docs`` named
+    shard or slot are replaced, names with a leading underscore are reserved."""
+    docs = docs.drop("shard", "slot")
     placed, buckets = shuffled_buckets(docs, seed, bucket_bytes)
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.llm.common import raw_texts, read, written
+from labelforge.llm.common import raw_texts, read, release_memory, unused, written
 from labelforge.llm.components import connected_components
 
 SEED = 42
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
             fps = np.array(values, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)],
                                              names=["doc_id", "text_hash", "fp"])
+        release_memory()
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text") \
         .mapInArrow(batches, f"doc_id {id_type}, text_hash long, fp long")
@@ -231,12 +232,12 @@ def keep_one_per_component(docs: DataFrame, shingle: int = SHINGLE_WORDS,
     first = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .groupBy("component_fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("w")) \
         .select("w.doc_id", "w.text_hash")
-    own = F.xxhash64(docs["text"])
-    keys = first.select(F.col("doc_id").alias("_first_id"), F.col("text_hash").alias("_first_hash"))
-    cond = docs["doc_id"].eqNullSafe(keys["_first_id"]) & (own == keys["_first_hash"])
-    marks = "_simhash_key"  # repeated rows agree in it and in doc_id
-    kept = docs.join(keys, cond, "left_semi").withColumn(marks, F.xxhash64("text")) \
-        .dropDuplicates(["doc_id", marks])
+    mark, first_id, first_hash = (unused(n, docs.columns) for n in ("_key", "_first_id", "_first_hash"))
+    keys = first.select(F.col("doc_id").alias(first_id), F.col("text_hash").alias(first_hash))
+    cond = docs["doc_id"].eqNullSafe(keys[first_id]) & (F.xxhash64(docs["text"]) == keys[first_hash])
+    # repeated rows agree in their id and in the hash
+    kept = docs.join(keys, cond, "left_semi").withColumn(mark, F.xxhash64("text")) \
+        .dropDuplicates(["doc_id", mark])
     return kept.select(*docs.columns)
 
 

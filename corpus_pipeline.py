@@ -8,15 +8,17 @@ columns of their input, also where those have clashing or additional names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from labelforge.llm import decontam, packing, secrets, simhash, toxicity
-from labelforge.llm.common import read, written
+from labelforge.llm.common import read, unused, written
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go (the score learns from the labelled rows of ``docs``)."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return toxicity.score(docs, model, "_toxicity").where("_toxicity < 0.5").select(*docs.columns)
+    name = unused("_toxicity", docs.columns)
+    return toxicity.score(docs, model, name).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +29,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule names go."""
     items = read(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontam.scan_benchmark(docs, items, out="_benchmark") \
-        .where(~decontam.contaminated("_benchmark")).select(*docs.columns)
+    name = unused("_benchmark", docs.columns)
+    return decontam.scan_benchmark(docs, items, out=name) \
+        .where(~decontam.contaminated(name)).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

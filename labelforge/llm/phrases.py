@@ -6,9 +6,9 @@ A passage repeats where a window of 13 words also starts in a document with a sm
    the smallest hash among the five-word phrases in it: equal windows have equal anchors,
    and neighbouring windows mostly share theirs, so about a fifth of the positions is sent.
 2. Shards of anchors report which occur in more than one document.
-3. Blocks send the windows behind those anchors, once each (128-bit hashes and the smallest
-   doc_id in the block).  Shards confirm the recurring ones and tell each block the
-   document that owns them, the one with the smallest id.
+3. Blocks send the windows behind those anchors, once each (96-bit hashes and the smallest
+   doc_id in the block).  Shards confirm the recurring ones and tell the blocks that hold
+   more than the first occurrence which document owns them, the one with the smallest id.
 4. Each block joins confirmed windows with one owner into passages, compiles them into an
    automaton of its own and streams all its documents through it; every occurrence in a
    document other than the owner is removed.
@@ -22,16 +22,16 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.llm.common import partitions, raw_texts, read
+from labelforge.llm.common import partitions, read
 
 WINDOW, ANCHOR = 13, 5
-BLOCK_BYTES, HASH_BYTES = 6 << 20, 2 << 20
+BLOCK_BYTES = 6 << 20
 NO_ID = np.iinfo(np.int64).max  # a null doc_id comes after all others
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -47,47 +47,27 @@ def _factors(n: int, seed: int) -> np.ndarray:
                   + np.uint64(seed)) | np.uint64(1)
 
 
-def _hash_words(data: np.ndarray, seeds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(starts, lengths, one array of hashes per seed) of the words in a byte array."""
-    inside = ~_SPACE[data]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    starts = np.flatnonzero(edge == 1)
-    lengths = np.flatnonzero(edge == -1) - starts
-    if not len(starts):
-        return starts, lengths, [np.zeros(0, np.uint64) for _ in seeds]
-    first = np.cumsum(lengths) - lengths
-    letters = data[inside].astype(np.uint64) + np.uint64(1)
-    place = np.arange(len(letters)) - np.repeat(first, lengths)
-    longest = int(lengths.max())
-    return starts, lengths, [_mixed(np.add.reduceat(letters * _factors(longest, s)[place], first)
-                                    + lengths.astype(np.uint64)) for s in seeds]
-
-
 class Words:
-    """The words of some texts in a row: their text, place, and hashes (one per seed)."""
-
-    def __init__(self, texts: list[bytes | None], seeds: tuple[int, ...]):
-        self.data = np.frombuffer(b"".join(t + b"\n" for t in (x or b"" for x in texts)), np.uint8)
-        ends = np.cumsum([len(t or b"") + 1 for t in texts])
-        starts, lengths, hashes, lo = [], [], [[] for _ in seeds], 0
-        while lo < len(texts):  # whole texts, a few MB at a time
-            begin = int(ends[lo - 1]) if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, begin + HASH_BYTES)))
-            s, n, h = _hash_words(self.data[begin:int(ends[hi - 1])], seeds)
-            starts.append(s + begin)
-            lengths.append(n)
-            for mine, new in zip(hashes, h):
-                mine.append(new)
-            lo = hi
-        self.starts = np.concatenate([np.zeros(0, np.int64), *starts])
-        self.lengths = np.concatenate([np.zeros(0, np.int64), *lengths])
-        self.hashes = [np.concatenate([np.zeros(0, np.uint64), *h]) for h in hashes]
-        self.text = np.searchsorted(ends, self.starts, "right")  # the text of each word
+    """The words of a column of texts in a row: numbers into their dictionary, the text of
+    each, and the two halves of a 128-bit hash."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        texts = texts.combine_chunks()
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        self.dictionary = coded.dictionary.cast(pa.binary())
+        words = self.dictionary.to_pylist()
+        codes = coded.indices.to_numpy()
+        text = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+        real = codes != (words.index(b"") if b"" in words else -1)  # from blanks at the ends
+        self.codes, self.text = codes[real], text[real]
         self.first = np.searchsorted(self.text, np.arange(len(texts) + 1))
+        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+        self.hashes = [np.ascontiguousarray(digests[:, k])[self.codes] for k in (0, 1)]
 
     def runs(self, width: int, which: int) -> np.ndarray:
         """Hash of the ``width`` words from each word on (over text borders as well)."""
-        own, n = self.hashes[which], max(0, len(self.starts) - width + 1)
+        own, n = self.hashes[which], max(0, len(self.codes) - width + 1)
         total = np.zeros(n, np.uint64)
         for k, f in enumerate(_factors(width, 1000 * which + width)):
             total += own[k:k + n] * f
@@ -95,7 +75,7 @@ class Words:
 
     def windows(self) -> np.ndarray:
         """Words at which a window of one text starts."""
-        last = len(self.starts) - WINDOW + 1
+        last = len(self.codes) - WINDOW + 1
         return np.flatnonzero(self.text[:last] == self.text[WINDOW - 1:]) if last > 0 else np.zeros(0, np.int64)
 
     def anchors(self, windows: np.ndarray) -> np.ndarray:
@@ -110,10 +90,6 @@ def _ids(column) -> np.ndarray:
     return column.fill_null(NO_ID).to_numpy()
 
 
-def _texts(table: pa.Table) -> list[bytes | None]:
-    return raw_texts(table.column("text"))
-
-
 def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys, smallest value, largest value)."""
     order = np.argsort(keys)
@@ -124,34 +100,47 @@ def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[at], np.minimum.reduceat(values, at), np.maximum.reduceat(values, at)
 
 
-def _sent(block: int, shards: int, shard: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
+def _sent(block: int, shard: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
     """One row per shard that gets anything, the values packed as bytes; ``shard`` is sorted."""
     at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
     ends = np.append(at[1:], len(shard))
     out = {"shard": pa.array(shard[at].astype(np.int32)), "block": pa.array(np.full(len(at), block, np.int32))}
     for name, values in columns.items():
-        out[name] = pa.array([values[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())
+        out[name] = pa.array([_packed(values[a:b]) for a, b in zip(at, ends)], pa.binary())
     return pa.table(out)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The values' bytes after one that names their kind; ids take four bytes where they fit."""
+    if values.dtype == np.int64 and len(values) and values.min() >= 0 and values.max() < 1 << 32:
+        values = values.astype(np.uint32)
+    return values.dtype.char.encode() + values.tobytes()
+
+
 def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)  # sorted as the hashes are
 
 
 def _unpacked(table: pa.Table, name: str, kind) -> tuple[np.ndarray, np.ndarray]:
     """(values of all rows in a row, the row of each)."""
-    parts = [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
+    parts = [np.frombuffer(x, chr(x[0]), offset=1).astype(kind) for x in table.column(name).to_pylist()]
     row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     return (np.concatenate(parts) if parts else np.zeros(0, kind)), row
 
 
+def _cut(values: np.ndarray, row: np.ndarray, chosen: np.ndarray, rows: int) -> pa.Array:
+    """The chosen values of each row, packed."""
+    ends = np.searchsorted(row, np.arange(rows + 1))
+    return pa.array([_packed(values[a:b][chosen[a:b]]) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
+
+
 def _send_anchors(shards: int):
     def send(table):
-        words = Words(_texts(table), (1,))
+        words = Words(table.column("text"))
         windows = words.windows()
         ids = _ids(table.column("doc_id"))[words.text[windows]]
         keys, low, high = _grouped(words.anchors(windows), ids)
-        return _sent(table.column("block")[0].as_py(), shards, _shard_of(keys, shards),
+        return _sent(table.column("block")[0].as_py(), _shard_of(keys, shards),
                      {"keys": keys, "low": low, "many": low != high})
     return send
 
@@ -167,34 +156,26 @@ def _recurring(table):
     most, least = np.maximum.reduceat(low[order], at), np.minimum.reduceat(low[order], at)
     recurs = np.empty(len(keys), bool)
     recurs[order] = np.repeat((most != least) | np.logical_or.reduceat(many[order], at), size)
-    blocks = table.column("block").to_numpy()
-    found = _by_row(blocks, keys, row, recurs)
-    return pa.table({"block": pa.array([f[0] for f in found], pa.int32()),
-                     "keys": pa.array([f[1] for f in found], pa.binary())})
-
-
-def _by_row(blocks, keys, row, chosen):
-    ends = np.searchsorted(row, np.arange(len(blocks) + 1))
-    return [(b, keys[a:z][chosen[a:z]].tobytes()) for b, a, z in zip(blocks, ends[:-1], ends[1:])]
+    return pa.table({"block": table.column("block"), "keys": _cut(keys, row, recurs, table.num_rows)})
 
 
 def _send_windows(shards: int):
     def send(left, right):
         if not left.num_rows or not right.num_rows:
             return pa.table({"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int32()),
-                             **{n: pa.array([], pa.binary()) for n in ("h1", "h2", "low")}})
-        words = Words(_texts(left), (1, 2))
+                             **{n: pa.array([], pa.binary()) for n in ("h1", "h2", "low", "many")}})
+        words = Words(left.column("text"))
         windows = words.windows()
         hot = np.sort(_unpacked(right, "keys", np.uint64)[0])
         windows = windows[_member(words.anchors(windows), hot)]
-        h1, h2 = words.runs(WINDOW, 0)[windows], words.runs(WINDOW, 1)[windows]
+        h1, h2 = words.runs(WINDOW, 0)[windows], _short(words.runs(WINDOW, 1)[windows])
         ids = _ids(left.column("doc_id"))[words.text[windows]]
         order = np.lexsort((ids, h2, h1))
         h1, h2, ids = h1[order], h2[order], ids[order]
-        new = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))[:len(h1)]
-        h1, h2, ids = h1[new], h2[new], ids[new]  # the smallest id of each window
-        return _sent(left.column("block")[0].as_py(), shards, _shard_of(h1, shards),
-                     {"h1": h1, "h2": h2, "low": ids})
+        at = np.flatnonzero(_changes(h1, h2))
+        h1, h2, low, high = h1[at], h2[at], ids[at], ids[np.append(at[1:], len(ids)) - 1] if len(at) else ids
+        return _sent(left.column("block")[0].as_py(), _shard_of(h1, shards),
+                     {"h1": h1, "h2": h2, "low": low, "many": low != high})
     return send
 
 
@@ -204,19 +185,31 @@ def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
+def _short(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(32)).astype(np.uint32)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where one of the sorted columns has a new value."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
 def _owners(table):
-    """Per block: its windows of this shard and the smallest doc_id that each starts in."""
+    """Per block: its windows of this shard that start in documents other than the one with
+    the smallest doc_id, and that doc_id."""
     h1, row = _unpacked(table, "h1", np.uint64)
-    h2, low = _unpacked(table, "h2", np.uint64)[0], _unpacked(table, "low", np.int64)[0]
+    h2, low = _unpacked(table, "h2", np.uint32)[0], _unpacked(table, "low", np.int64)[0]
+    many = _unpacked(table, "many", np.bool_)[0]
     order = np.lexsort((h2, h1))
-    a, b = h1[order], h2[order]
-    at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    at = np.flatnonzero(_changes(h1[order], h2[order]))
     owner = np.empty(len(h1), np.int64)
     owner[order] = np.repeat(np.minimum.reduceat(low[order], at), np.diff(np.append(at, len(h1))))
-    blocks = table.column("block").to_numpy()
-    ends = np.searchsorted(row, np.arange(len(blocks) + 1))
-    cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])], pa.binary())
-    return pa.table({"block": pa.array(blocks), "h1": cut(h1), "h2": cut(h2), "owner": cut(owner)})
+    repeats = many | (low != owner)
+    cut = lambda x: _cut(x, row, repeats, table.num_rows)
+    return pa.table({"block": table.column("block"), "h1": cut(h1), "h2": cut(h2), "owner": cut(owner)})
 
 
 def _passages(words: Words, ids: np.ndarray, owner: np.ndarray) -> list[tuple[int, int, int]]:
@@ -233,26 +226,16 @@ def _passages(words: Words, ids: np.ndarray, owner: np.ndarray) -> list[tuple[in
 
 def _covered(words: Words, ids: np.ndarray, passages: list[tuple[int, int, int]]) -> np.ndarray:
     """Words inside an occurrence of a passage in a document with a larger id than its owner."""
-    covered = np.zeros(len(words.starts) + 1, np.int64)
+    covered = np.zeros(len(words.codes) + 1, np.int64)
     if not passages:
         return covered[:-1] > 0
-    # words of passages get numbers, written with three of 64 signs; others share number 0
-    used = np.zeros(len(words.starts), bool)
-    for begin, n, _ in passages:
-        used[begin:begin + n] = True
-    raw = words.data.tobytes()
-    numbers: dict[bytes, int] = {}
-    code = np.zeros(len(words.starts), np.int64)
-    known = np.unique(words.hashes[0][used])
-    maybe = np.flatnonzero(_member(words.hashes[0], known))
-    text = [raw[s:s + n] for s, n in zip(words.starts[maybe].tolist(), words.lengths[maybe].tolist())]
-    inside = used[maybe]
-    for w in (t for t, u in zip(text, inside) if u):
-        numbers.setdefault(w, len(numbers) + 1)
-    code[maybe] = [numbers.get(t, 0) for t in text]
-    signs = 3 if len(numbers) < 1 << 18 else 6
-    coded = np.stack([(code >> (6 * k)) & 63 for k in reversed(range(signs))], axis=1) + 48
-    coded = coded.astype(np.uint8).tobytes().decode("latin-1")
+    # a word is its number in the block's dictionary, written with a few signs, 64 for each
+    # digit of its own: so a match can only start and end with a word
+    signs = max(1, -(-len(words.dictionary).bit_length() // 6))
+    coded = np.empty((len(words.codes), signs), np.uint8)
+    for k in range(signs):
+        coded[:, k] = (words.codes >> (6 * (signs - 1 - k)) & 63) + 64 * k
+    coded = coded.tobytes().decode("latin-1")
     automaton = ahocorasick.Automaton()
     smallest: dict[str, tuple[int, int]] = {}
     for begin, n, owner in passages:
@@ -262,9 +245,9 @@ def _covered(words: Words, ids: np.ndarray, passages: list[tuple[int, int, int]]
         automaton.add_word(key, value)
     automaton.make_automaton()
     for k, doc in enumerate(ids.tolist()):
-        begin, end = words.first[k], words.first[k + 1]
-        for at, (n, owner) in automaton.iter(coded, signs * int(begin), signs * int(end)):
-            if owner < doc and (at + 1) % signs == 0:
+        begin, end = int(words.first[k]), int(words.first[k + 1])
+        for at, (n, owner) in automaton.iter(coded, signs * begin, signs * end):
+            if owner < doc:
                 last = (at + 1) // signs
                 covered[last - n] += 1
                 covered[last] -= 1
@@ -276,36 +259,36 @@ def _remove(left, right):
     if not left.num_rows:
         return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()),
                          "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
-    words = Words(_texts(left), (1, 2))
+    words = Words(left.column("text"))
     ids = _ids(left.column("doc_id"))
-    gone = np.zeros(len(words.starts), bool)
+    gone = np.zeros(len(words.codes), bool)
     if right.num_rows:
         h1, h2, owner = (_unpacked(right, n, k)[0] for n, k in
-                         (("h1", np.uint64), ("h2", np.uint64), ("owner", np.int64)))
+                         (("h1", np.uint64), ("h2", np.uint32), ("owner", np.int64)))
         order = np.lexsort((h2, h1))
         h1, h2, owner = h1[order], h2[order], owner[order]
-        windows, whose = words.windows(), np.full(len(words.starts), NO_ID)
-        a, b = words.runs(WINDOW, 0)[windows], words.runs(WINDOW, 1)[windows]
+        windows, whose = words.windows(), np.full(len(words.codes), NO_ID)
+        a, b = words.runs(WINDOW, 0)[windows], _short(words.runs(WINDOW, 1)[windows])
+        maybe = np.flatnonzero(_member(a, h1))
+        windows, a, b = windows[maybe], a[maybe], b[maybe]
         place = np.searchsorted(h1, a)
-        while True:  # equal first halves are next to each other
-            inside = np.minimum(place, len(h1) - 1)
-            later = (place < len(h1)) & (h1[inside] == a) & (h2[inside] != b)
+        while len(a):  # equal first halves are next to each other
+            here = np.minimum(place, len(h1) - 1)
+            later = (place < len(h1)) & (h1[here] == a) & (h2[here] != b)
             if not later.any():
+                same = (place < len(h1)) & (h1[here] == a)
+                whose[windows[same]] = owner[here[same]]
                 break
             place = place + later
-        same = (place < len(h1)) & (h1[inside] == a)
-        whose[windows[same]] = owner[inside[same]]
         gone = _covered(words, ids, _passages(words, ids, whose))
-    raw, kept, removed = words.data.tobytes(), [], []
-    for k in range(left.num_rows):
-        begin, end = words.first[k], words.first[k + 1]
-        own = np.flatnonzero(~gone[begin:end]) + begin
-        removed.append(int(end - begin) - len(own))
-        kept.append(b" ".join([raw[s:s + n] for s, n in
-                               zip(words.starts[own].tolist(), words.lengths[own].tolist())]))
-    return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(np.diff(words.first)),
-                     "n_removed": pa.array(removed, pa.int64()),
-                     "kept": pa.array(kept, pa.binary()).cast(pa.string())})
+    kept = ~gone
+    rest = np.searchsorted(words.text[kept], np.arange(left.num_rows + 1))
+    lists = pa.ListArray.from_arrays(pa.array(rest, pa.int32()),
+                                     words.dictionary.take(pa.array(words.codes[kept])))
+    joined = pc.binary_join(lists, pa.scalar(b" ", pa.binary())).cast(pa.string())
+    n_words = np.diff(words.first)
+    return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(n_words),
+                     "n_removed": pa.array(n_words - np.diff(rest)), "kept": joined})
 
 
 def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -325,7 +308,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
         _send_anchors(blocks), "shard int, block int, keys binary, low binary, many binary")
     hot = sent.groupBy("shard").applyInArrow(_recurring, "block int, keys binary")
     seen = dealt.groupBy("block").cogroup(hot.groupBy("block")).applyInArrow(
-        _send_windows(blocks), "shard int, block int, h1 binary, h2 binary, low binary")
+        _send_windows(blocks), "shard int, block int, h1 binary, h2 binary, low binary, many binary")
     owned = seen.groupBy("shard").applyInArrow(_owners, "block int, h1 binary, h2 binary, owner binary")
     return dealt.groupBy("block").cogroup(owned.groupBy("block")).applyInArrow(
         _remove, "doc_id long, n_words long, n_removed long, kept string")

@@ -246,9 +246,9 @@ def _covered(words: Words, ids: np.ndarray, passages: list[tuple[int, int, int]]
     automaton.make_automaton()
     for k, doc in enumerate(ids.tolist()):
         begin, end = int(words.first[k]), int(words.first[k + 1])
-        for at, (n, owner) in automaton.iter(coded, signs * begin, signs * end):
+        for at, (n, owner) in automaton.iter(coded[signs * begin:signs * end]):
             if owner < doc:
-                last = (at + 1) // signs
+                last = begin + (at + 1) // signs
                 covered[last - n] += 1
                 covered[last] -= 1
     return np.cumsum(covered[:-1]) > 0

@@ -8,7 +8,8 @@ through a neighbour graph in memory.  A query takes the lists whose distance is
 ratio of the nearest one's; the ratio is the smallest that reaches ``TARGET`` of the true
 neighbours of some sampled queries inside the sample, where neighbours are sparser, and so
 farther, than among all vectors.  Lists and queries meet at a shuffle, where the original
-vectors are compared in double precision.
+vectors are compared in double precision.  The nearest ``FIRST_LISTS`` lists come first:
+the last score they give a query is a bound below which no other list needs to answer.
 
 Equal vectors are folded into one with their smallest ids, and long lists are cut into
 pieces, so no list that one vector dominates grows in a single task.
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from labelforge.llm.common import read, written
 
 TOP = 20
-# The sample that centroids are fitted on; vectors per list; rows of a list in one task.
-SAMPLE, LIST_VECTORS, PIECE_ROWS = 50_000, 100, 20_000
-CLOSURE, REPLICAS, TARGET, TRIALS = 1.3, 4, 0.97, 300
+# The sample that centroids are fitted on; the least mean length of a list; rows of a list in
+# one task.  There are at most as many lists as the root of the number of vectors.
+SAMPLE, LIST_VECTORS, PIECE_ROWS = 20_000, 250, 20_000
+CLOSURE, REPLICAS, TARGET, TRIALS, FIRST_LISTS = 1.3, 4, 0.97, 300, 2
 GRAPH_DEGREE, SEED = 16, 11
 
 
@@ -135,11 +137,11 @@ def _matrix(column) -> np.ndarray:
 
 def fit(distinct: DataFrame, n: int) -> dict:
     """Centroids and their graph, from at most ``SAMPLE`` vectors (smallest hashes)."""
-    rows = distinct.orderBy(F.xxhash64("vid"), "vid").limit(SAMPLE).select("embedding").toPandas()
-    x = np.stack(rows["embedding"].to_numpy()).astype(np.float64)
+    rows = distinct.orderBy(F.xxhash64("vid"), "vid").limit(SAMPLE).select("embedding").toArrow()
+    x = _matrix(rows.column("embedding"))
     largest = distinct.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))).alias("n")) \
         .first()["n"] ** 0.5
-    lists = max(1, min(n // LIST_VECTORS, len(x) // 8))
+    lists = max(1, min(int(n ** 0.5), n // LIST_VECTORS, len(x) // 8))
     padded = _padded(x, largest, False)
     centroids = balanced_centroids(padded, lists)
     graph, starts = neighbour_graph(centroids)
@@ -200,29 +202,31 @@ def _probing(model):
                 part = batch.slice(a, 1000)
                 x = _padded(_matrix(part.column("embedding")), m["largest"], True)
                 ids, d = search_graph(x, m["centroids"], m["graph"], m["starts"], m["beam"])
-                row, col = np.nonzero((ids >= 0) & (d <= m["ratio"] * d[:, :1] + 1e-9))
-                out = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row, col].astype(np.int32)), out.column("vid"), out.column("embedding")],
-                    names=["list", "qvid", "query"])
+                near = (ids >= 0) & (d <= m["ratio"] * d[:, :1] + 1e-9)
+                lists = pa.array([i[n].tolist() for i, n in zip(ids, near)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("vid"), part.column("embedding"), lists],
+                                                 names=["qvid", "query", "lists"])
     return probe
 
 
 def _compare(top: int):
-    """The best ``top`` vectors of one piece of a list for each query that probes it."""
+    """The best ``top`` vectors of one piece of a list for each query that probes it, as far as
+    their score reaches the query's ``least``."""
     def compare(left, right):
         out = {"qvid": [], "vid": [], "score": []}
         if left.num_rows and right.num_rows:
             x, ids = _matrix(left.column("embedding")), left.column("vid").to_numpy()
-            qids = right.column("qvid").to_numpy()
+            qids, least = right.column("qvid").to_numpy(), right.column("least").to_numpy()
             q = _matrix(right.column("query"))
             for a in range(0, len(q), 256):
                 rough = q[a:a + 256] @ x.T
-                some = min(len(ids), top + 8)
-                best = np.argpartition(-rough, some - 1, axis=1)[:, :some]
-                for k, own in enumerate(best):
-                    # ties at the border of the rough choice are taken along
-                    own = np.flatnonzero(rough[k] >= rough[k][own].min()) if some < len(ids) else own
+                # rounding differs between the products, so the border is taken with a margin
+                slack = 1e-9 * (1 + np.abs(least[a:a + 256]))
+                for k, reach in enumerate(rough >= (least[a:a + 256] - slack)[:, None]):
+                    own = np.flatnonzero(reach)
+                    if len(own) > top + 8:
+                        border = np.partition(rough[k][own], len(own) - top - 8)[len(own) - top - 8]
+                        own = own[rough[k][own] >= border]
                     score = (x[own] * q[a + k]).sum(axis=1)
                     order = np.lexsort((ids[own], -score))[:top]
                     out["qvid"].append(np.full(len(order), qids[a + k]))
@@ -264,16 +268,28 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP) -> DataFrame:
                                "left").select(F.col("vec_id").alias("query_id"),
                                               F.coalesce("vid", "vec_id").alias("qvid")), "asked")
     questions = distinct.join(asked.select(F.col("qvid").alias("vid")).distinct(), "vid", "left_semi")
-    probes = questions.select("vid", "embedding") \
-        .mapInArrow(_probing(model), f"list int, qvid long, query {kind}")
+    probes = written(questions.select("vid", "embedding").mapInArrow(
+        _probing(model), f"qvid long, query {kind}, lists array<int>"), "probes")
     pieces = F.broadcast(postings.groupBy("list").agg(  # one row per centroid
         F.ceil(F.count(F.lit(1)) / PIECE_ROWS).cast("int").alias("pieces")))
     cut = postings.join(pieces, "list").withColumn("piece", F.pmod(F.xxhash64("vid"), "pieces").cast("int")) \
         .drop("pieces")
-    sent = probes.join(pieces, "list") \
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
-    found = cut.groupBy("list", "piece").cogroup(sent.groupBy("list", "piece")) \
-        .applyInArrow(_compare(top + 1), "qvid long, vid long, score double")
+
+    def answers(asking: DataFrame) -> DataFrame:
+        sent = asking.select("qvid", "query", "least", F.explode("lists").alias("list")).join(pieces, "list") \
+            .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+        return cut.groupBy("list", "piece").cogroup(sent.groupBy("list", "piece")) \
+            .applyInArrow(_compare(top + 1), "qvid long, vid long, score double")
+
+    first = written(answers(probes.withColumn("least", F.lit(float("-inf")))
+                            .withColumn("lists", F.slice("lists", 1, FIRST_LISTS))), "answers")
+    ranked = Window.partitionBy("qvid").orderBy(F.desc("score"))
+    least = first.groupBy("qvid", "vid").agg(F.max("score").alias("score")) \
+        .withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") == top + 1) \
+        .select("qvid", F.col("score").alias("least"))
+    others = probes.join(least, "qvid", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))) \
+        .withColumn("lists", F.slice("lists", FIRST_LISTS + 1, 1 << 30))
+    found = first.union(answers(others))
     order = Window.partitionBy("qvid").orderBy(F.desc("score"), "vid")
     best = found.groupBy("qvid", "vid").agg(F.max("score").alias("score")) \
         .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= top + 1)

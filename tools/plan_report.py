@@ -29,7 +29,7 @@ PATTERNS = [
     ("sort agg", r"SortAggregate"),
     ("window", r"\bWindow \["),
     ("group limit", r"WindowGroupLimit"),
-    ("python", r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas"),
+    ("python", r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas|MapInArrow|FlatMap(?:Co)?GroupsInArrow"),
 ]
 
 

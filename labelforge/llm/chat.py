@@ -128,32 +128,33 @@ def examine(call_id, name, arguments, result, schemas: dict) -> tuple[list[str],
 def levels(calls: DataFrame, depends: DataFrame) -> DataFrame:
     """``calls(conv_id, turn, call_id)`` and ``depends(conv_id, call_id, parent)`` -> KEYS and
     ``level``: 0 without dependencies in the same turn, else one more than the highest of
-    those; null for calls on a cycle, or behind one.  As many rounds as levels."""
-    at = calls.select("conv_id", F.col("call_id").alias("parent"), F.col("turn").alias("parent_turn"))
-    edges = depends.join(calls.select(*KEYS, "turn"), KEYS).join(at, ["conv_id", "parent"]) \
-        .where("turn = parent_turn").select(*KEYS, "parent").distinct()
+    those; null for calls on a cycle, or behind one.  As many rounds as levels, over numbers
+    that stand for the calls; the calls without dependencies leave before the first."""
+    numbered = written(calls.select(*KEYS, "turn").withColumn("n", F.monotonically_increasing_id()), "numbers")
+    at = numbered.select("conv_id", F.col("call_id").alias("parent"), "turn", F.col("n").alias("p"))
+    edges = depends.join(numbered, KEYS).select("conv_id", "parent", "turn", "n") \
+        .join(at, ["conv_id", "parent", "turn"]).select("n", "p").distinct()
     left = written(edges, "edges")
-    settled, level = [], 0
-    pending = written(left.select(*KEYS).distinct(), "pending")
-    settled.append(calls.select(*KEYS).join(pending, KEYS, "left_anti").withColumn("level", F.lit(0)))
-    n = pending.count()
-    while n:
+    pending = written(left.select("n").distinct(), "pending")
+    settled, level, size = [], 0, pending.count()
+    while size:
         level += 1
         # dependencies that are still pending themselves
-        held = left.join(pending.select("conv_id", F.col("call_id").alias("parent")), ["conv_id", "parent"],
-                         "left_semi")
-        left = written(held.select(*KEYS, "parent"), "edges")
-        still = written(left.select(*KEYS).distinct(), "pending")
-        m = still.count()
-        if m == n:  # only cycles and what hangs on them
+        left = written(left.join(pending.withColumnRenamed("n", "p"), "p", "left_semi"), "edges")
+        still = written(left.select("n").distinct(), "pending")
+        rest = still.count()
+        if rest == size:  # only cycles and what hangs on them
             settled.append(still.withColumn("level", F.lit(None).cast("int")))
             break
-        settled.append(pending.join(still, KEYS, "left_anti").withColumn("level", F.lit(level)))
-        pending, n = still, m
-    out = settled[0]
+        settled.append(pending.join(still, "n", "left_anti").withColumn("level", F.lit(level)))
+        pending, size = still, rest
+    if not settled:
+        return numbered.select(*KEYS, F.lit(0).alias("level"))
+    above = settled[0]
     for more in settled[1:]:
-        out = out.unionByName(more)
-    return out
+        above = above.unionByName(more)
+    return numbered.join(above.withColumn("deep", F.lit(True)), "n", "left") \
+        .select(*KEYS, F.when(F.col("deep"), F.col("level")).otherwise(0).alias("level"))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:

@@ -9,7 +9,9 @@ import os
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from labelforge.session import fresh_path
+from labelforge.session import fresh_path, written
+
+__all__ = ["discard", "fresh_path", "partitions", "raw_texts", "read", "release_memory", "unused", "written"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -18,14 +20,10 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under the cluster's shared folder and read back.
-
-    Cuts the lineage: a lost executor costs a re-read, not a recomputation."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a written table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def unused(name: str, columns: list[str]) -> str:

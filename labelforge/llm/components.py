@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelforge.llm.common import written
+from labelforge.llm.common import discard, fresh_path
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -33,11 +33,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(u, v)`` (orderable ids, u <> v) -> ``(node, root)``, root = smallest id of
-    the component; the root itself is listed too.  No edges: an empty frame."""
-    current = written(edges.select("u", "v").where("u <> v").distinct(), "cc")
+    the component; the root itself is listed too.  No edges: an empty frame.
+
+    Each round is written to the shared folder, and the round before it deleted."""
+    spark, path = edges.sparkSession, ""
+
+    def stored(df: DataFrame) -> DataFrame:
+        nonlocal path
+        last, path = path, fresh_path(spark, "components")
+        df.write.parquet(path)
+        if last:
+            discard(spark, last)
+        return spark.read.schema(df.schema).parquet(path)
+
+    current = stored(edges.select("u", "v").where("u <> v").distinct())
     state = _signature(current)
     while state[0]:
-        current = written(_small_star(_large_star(current)), "cc")
+        current = stored(_small_star(_large_star(current)))
         before, state = state, _signature(current)
         if before == state:
             break

@@ -31,8 +31,10 @@ from labelforge.llm.components import connected_components
 SEED = 42
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
-# Rows per prefix: what one task expands at a time, and where a prefix is cut further.
-TARGET_ROWS, SPLIT_ROWS, REFINE_BITS = 8_000, 100_000, 8
+# Rows per prefix that are aimed at: a 500th of all, within these bounds (few rows give more
+# tasks, many rows shorter prefixes and so fewer copies of each); and where a prefix is cut
+# further (8 MB of fingerprints).
+LEAST_ROWS, MOST_ROWS, SPLIT_ROWS, REFINE_BITS = 8_000, 250_000, 1_000_000, 8
 # Variants sorted at once inside a task (32 MB), and shingles counted at once.
 SORT_VARIANTS, COUNT_SHINGLES = 1 << 22, 1 << 15
 
@@ -156,8 +158,10 @@ def near_links(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     if max_distance % 2:
         raise ValueError("max_distance must be even: all fingerprints under one variant are links")
     radius, n = max_distance // 2, max(1, fps.count())
+    aim = min(MOST_ROWS, max(LEAST_ROWS, n // 500))
     bits = next(b for b in range(4, 41) if b == 40 or n * sum(
-        math.comb(b, i) for i in range(radius + 1)) / 2 ** b <= TARGET_ROWS)
+        math.comb(b, i) for i in range(radius + 1)) / 2 ** b <= aim)
+
     def stars(table):
         at, prefix = table.column("bits")[0].as_py(), table.column("prefix")[0].as_py()
         values = np.unique(table.column("fp").to_numpy().view(np.uint64))

@@ -165,7 +165,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
 
     The order (turn, level, call_id) is topological.  Of repeated ids the smallest (turn,
     name, arguments), and the smallest content, counts.  Rows with a null conversation or
-    id link to nothing and are left out.  Empty tables give an empty result."""
+    id link to nothing and are left out, other nulls are values like any other (null arguments
+    are no JSON).  Texts of any length are taken whole, other columns are ignored.  Empty
+    tables give an empty result."""
     ids = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     kept = calls.where(ids).groupBy(*KEYS).agg(F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("c")) \
         .select(*KEYS, "c.*")

@@ -236,7 +236,9 @@ def scan_benchmark(docs: DataFrame, items: DataFrame, window: int = WINDOW,
 
     A window is ``window`` consecutive item words, or a shorter item as a whole.  Null and
     empty texts have no words; an empty benchmark hits nothing; an item without an id hits
-    but isn't listed.  ``keep``: the columns of ``docs`` to return (all without it)."""
+    but isn't listed.  Repeated rows are searched each for themselves, texts of any length as a
+    whole.  ``keep``: the columns of ``docs`` to return (all without it); one named ``out`` is
+    replaced.  Of equally long matches the last suffix's is reported."""
     keep = keep or docs.columns
     current = docs if "text" in keep else docs.select(*keep, "text")
     for block, last in item_blocks(items, window, block_bytes):

@@ -131,7 +131,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_
                  end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per piece: doc_id, piece, start, length, ids_crc32,
     and the token ids themselves with ``with_ids``.  A document is its ids and then
-    ``end_id``; null or empty text is ``end_id`` alone."""
+    ``end_id``; null or empty text is ``end_id`` alone, a long one is cut into several pieces.
+    Repeated rows and null ids give pieces of their own, other columns are ignored, an empty
+    table gives none."""
     id_field = docs.schema["doc_id"]
     schema = T.StructType([id_field, T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),

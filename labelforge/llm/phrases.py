@@ -297,7 +297,8 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
 
     Words are runs between ASCII white space.  Null text has none.  A null doc_id counts as
     larger than any other; rows with one doc_id are one document to each other and remove
-    nothing there.  An empty table gives an empty result."""
+    nothing there.  Texts of any length are taken whole, other columns are ignored.  An empty
+    table gives an empty result."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text") + 1).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block_bytes))

@@ -127,7 +127,8 @@ def scan(docs: DataFrame, words: DataFrame, labelled: DataFrame | None = None) -
 
     ``labelled``: findings with ``FEATURES`` and ``label`` to learn from; without it those
     of ``docs`` that ``rule_labels`` can label.  Where they hold one label only, the rule
-    decides.  Repeated rows are scanned each for themselves; an empty table gives none."""
+    decides.  Repeated rows are scanned each for themselves, texts of any length as a whole;
+    null texts and empty tables give none; other columns are ignored."""
     found = written(with_features(candidates(docs), words), "candidates")
     model = forest(labelled if labelled is not None else rule_labels(found))
     if model is None:
@@ -141,7 +142,8 @@ def scan(docs: DataFrame, words: DataFrame, labelled: DataFrame | None = None) -
 
 
 def redact(docs: DataFrame, words: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every secret in a text replaced by ``mark``; all documents stay."""
+    """``docs`` with every secret in a text replaced by ``mark``.  All rows and columns stay;
+    null and empty texts stay as they are.  Rows that share a doc_id share its secrets."""
     values, owner = unused("_secrets", docs.columns), unused("_secret_doc", docs.columns)
     bad = scan(docs.select("doc_id", "text"), words).where("is_secret") \
         .select(F.col("doc_id").alias(owner), "value").groupBy(owner) \

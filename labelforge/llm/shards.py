@@ -62,8 +62,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` with ``shard`` (0 .. shards - 1) and ``slot`` (gapless from 0 in its shard).
 
-    Row counts of the shards differ by at most one.  Null and empty texts are rows like any
-    other; an empty table gives an empty result.  The bucket counts, one row per bucket,
+    Row counts of the shards differ by at most one.  Null and empty texts, null ids, repeated
+    rows and texts larger than a bucket are rows like any other; an empty table gives an
+    empty result.  The bucket counts, one row per bucket,
     are summed to offsets; no other row passes through one task.  Columns of ``docs`` named
     shard or slot are replaced, names with a leading underscore are reserved."""
     docs = docs.drop("shard", "slot")

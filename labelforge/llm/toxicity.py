@@ -330,7 +330,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
 
 def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] | None = None) -> DataFrame:
     """``docs(text, ...)`` with a column ``out``: the probability of label 1, from the text
-    alone.  Null and empty texts are scored as texts without evidence."""
+    alone, whole texts of any length.  Null and empty texts are scored as texts without
+    evidence.  Repeated rows get equal scores, other columns stay, one named ``out`` is
+    replaced; an empty table gives an empty result."""
     keep = keep or docs.columns
     returned = [c for c in keep if c != out]
     columns = list(dict.fromkeys([*returned, "text"]))

@@ -40,7 +40,7 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def resolve(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """``pages(page_id, url, html)`` with payload, payload_bytes, payload_digest, _record (its
+    """``pages(page_id, url, html)``, other columns ignored, with payload, payload_bytes, payload_digest, _record (its
     position in the input), and for revisits original_id and original_record."""
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"),
@@ -151,7 +151,8 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op8: the records read back from the archives of all pages.
 
     A null html is an empty payload; repeated rows of one page_id are records of their own,
-    the last of which in the input is the original; a null page_id comes before all others."""
+    the last of which in the input is the original; a null page_id comes before all others.
+    An empty table gives empty archives and no rows."""
     path = fresh_path(spark, "archives")
     write_archives(read(spark, sf_dir, "pages", "page_id", "url", "html"), path)
     return read_archives(spark, path).drop("url")

@@ -569,7 +569,8 @@ def q_l2_normalize(spark, root):
     emb = _t(spark, root, "embeddings", ["vec_id", "embedding"]) \
         .select("vec_id", learning.array_features("embedding").alias("v"))
     out = learning.l2_normalize(emb, "v", "n")
-    return out.select("vec_id", F.transform(learning.vector_elements("n"), lambda x: F.round(x, 4)).alias("n"))
+    return out.select("vec_id", F.posexplode(learning.vector_elements("n")).alias("slot", "x")) \
+        .select("vec_id", "slot", F.round("x", 4).alias("x"))
 
 
 def q_vector_index_kinds(spark, root):

@@ -213,8 +213,9 @@ ORACLE = {
     "assemble_max_abs": "select l_orderkey,l_linenumber, round(l_quantity/(select "
                         "max(abs(l_quantity)) from lineitem),6) f0, round(l_extendedprice/"
                         "(select max(abs(l_extendedprice)) from lineitem),6) f1 from lineitem",
-    "l2_normalize": "select vec_id, list_transform(embedding, lambda y: round(y::double/sqrt(list_sum("
-                    "list_transform(embedding, lambda x: x::double*x::double))),4)) as n from embeddings",
+    "l2_normalize": "select vec_id, slot, round(embedding[slot+1]::double/len,4) as x from (select vec_id, embedding, "
+                    "sqrt(list_sum(list_transform(embedding, lambda x: x::double*x::double))) as len, "
+                    "unnest(range(len(embedding)))::integer as slot from embeddings)",
     "vector_index_kinds": "select 'linenumber' f, count(distinct l_linenumber)<=20 as categorical "
                           "from lineitem union all select 'price', count(distinct "
                           "l_extendedprice)<=20 from lineitem",

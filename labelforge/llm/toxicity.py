@@ -217,11 +217,17 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
 
 
 def _weights(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Log odds of the features that toxic documents use significantly more often."""
-    out = {}
+    """Log odds of the features that toxic documents use significantly more often.
+
+    A beginning that nearly always goes on with the same letter says no more than the longer
+    one, and would only catch unrelated words."""
+    out, longer = {}, Counter()
+    for f, (a, _) in counts.items():
+        if not f.endswith("$"):
+            longer[f[:-1]] = max(longer[f[:-1]], a)
     for f, (a, b) in counts.items():
         share = (a + b) / (toxic + clean)
-        if a < 3 or a / toxic <= b / clean:
+        if a < 3 or a / toxic <= b / clean or longer[f] >= 0.8 * a:
             continue
         g = 2 * (a * math.log(a / toxic / share) + (b * math.log(b / clean / share) if b else 0.0))
         if g >= LEAST_EVIDENCE:

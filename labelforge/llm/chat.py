@@ -32,6 +32,9 @@ SCHEMAS = {
 }
 
 
+_quoted = json.encoder.encode_basestring  # a JSON string that keeps letters beyond ASCII
+
+
 class BadJson(ValueError):
     """A text that isn't JSON, or holds one key twice."""
 
@@ -60,7 +63,7 @@ def canonical(value) -> str:
     """JSON with keys sorted by UTF-16 units, no blanks, and shortest numbers."""
     if isinstance(value, dict):
         items = sorted(value.items(), key=lambda x: x[0].encode("utf-16-be", "surrogatepass"))
-        return "{" + ",".join(f"{canonical(k)}:{canonical(v)}" for k, v in items) + "}"
+        return "{" + ",".join([f"{_quoted(k)}:{canonical(v)}" for k, v in items]) + "}"
     if isinstance(value, list):
         return "[" + ",".join(map(canonical, value)) + "]"
     if isinstance(value, float):
@@ -70,7 +73,7 @@ def canonical(value) -> str:
             return str(int(value))
         mantissa, _, power = repr(value).partition("e")
         return mantissa + (f"e{'-' if power[0] == '-' else '+'}{power.lstrip('+-').lstrip('0')}" if power else "")
-    return json.dumps(value, ensure_ascii=False)
+    return _quoted(value) if isinstance(value, str) else json.dumps(value)
 
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -115,14 +118,14 @@ def violations(value, schema: dict, path: str = "$") -> list[str]:
 
 def examine(call_id, name, arguments, result, schemas: dict) -> tuple[list[str], str]:
     """(errors, canonical JSON) of one call; arguments that are no JSON stay as text."""
-    errors, value = [], arguments
     try:
         value = parse(arguments or "")
-        canonical(value)
+        text = canonical(value)
         errors = violations(value, schemas[name]) if name in schemas else ["$: unknown tool"]
     except (BadJson, RecursionError) as e:
-        value, errors = arguments, [f"$: {e if isinstance(e, BadJson) else 'too deep'}"]
-    return errors, canonical({"arguments": value, "id": call_id, "name": name, "result": result})
+        text, errors = canonical(arguments), [f"$: {e if isinstance(e, BadJson) else 'too deep'}"]
+    rest = ",".join(f'"{k}":{canonical(v)}' for k, v in (("id", call_id), ("name", name), ("result", result)))
+    return errors, f'{{"arguments":{text},{rest}}}'
 
 
 def levels(calls: DataFrame, depends: DataFrame) -> DataFrame:

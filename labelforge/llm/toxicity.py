@@ -296,12 +296,19 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
 
     def count(it):
         found: dict[str, list[int]] = {}
+
+        def counted():
+            return pa.RecordBatch.from_pydict({"f": pa.array(list(found), pa.string()), **{
+                f"n{k}": pa.array([v[k] for v in found.values()], pa.int64()) for k in range(4)}})
+
         for batch in it:
             for own, t, h in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 for f in {f for w in own for f in features(w)}:
                     found.setdefault(f, [0, 0, 0, 0])[2 * h + t] += 1
-        yield pa.RecordBatch.from_pydict({"f": pa.array(list(found), pa.string()), **{
-            f"n{k}": pa.array([v[k] for v in found.values()], pa.int64()) for k in range(4)}})
+                if len(found) > CACHE_TOKENS:
+                    yield counted()
+                    found.clear()
+        yield counted()
         found.clear()
         release_memory()
 

@@ -173,7 +173,8 @@ def _send_windows(shards: int):
         order = np.lexsort((ids, h2, h1))
         h1, h2, ids = h1[order], h2[order], ids[order]
         at = np.flatnonzero(_changes(h1, h2))
-        h1, h2, low, high = h1[at], h2[at], ids[at], ids[np.append(at[1:], len(ids)) - 1] if len(at) else ids
+        ends = np.append(at[1:], len(ids)) - 1
+        h1, h2, low, high = h1[at], h2[at], ids[at], ids[ends[:len(at)]]  # ids ascend per window
         return _sent(left.column("block")[0].as_py(), _shard_of(h1, shards),
                      {"h1": h1, "h2": h2, "low": low, "many": low != high})
     return send

@@ -438,6 +438,12 @@ def test_trigrams_are_counted_over_all_words(spark):
     assert toxicity.letter_counts(frame) == {"^^a": 2, "^ab": 2, "ab^": 2, "^^c": 1, "^c^": 1, "^^?": 1, "^?^": 1}
 
 
+def test_beginnings_that_a_longer_one_explains_carry_no_weight():
+    counts = {"clo": (600, 2), "clow": (600, 0), "clown": (600, 0), "clown$": (600, 0), "lowe": (500, 1),
+              "lowei": (498, 0), "loweia": (100, 0), "loweia$": (100, 0), "loweib$": (90, 0), "the": (900, 9000)}
+    assert set(toxicity._weights(counts, 1000, 10_000)) == {"clown", "clown$", "lowei", "loweia", "loweia$", "loweib$"}
+
+
 def test_scores_of_held_out_and_edge_rows(spark, toxic_model):
     root = "/root/testdata/sf0.1"
     rows = toxicity.query(spark, root).join(spark.read.parquet(f"{root}/labels.parquet"), "doc_id") \

@@ -20,7 +20,7 @@ from labelforge.operators.sizing import DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTE
 
 BOUNDS = ("closed", "left_open")
 # End points of one axis; longer ones are cut into stretches that are matched one by one.
-AXIS_POINTS = 200_000
+AXIS_POINTS = 50_000
 
 
 def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
@@ -85,7 +85,7 @@ def axes_of(ranges: DataFrame, axis_points: int = AXIS_POINTS) -> list[Axis]:
 def piece_of(x: Column, axis: Axis) -> Column:
     """Number of the piece a double lies in: 2i + 1 at point i, 2i below it."""
     n = len(axis.points)
-    points = F.array(*[F.lit(p) for p in axis.points])
+    points = F.expr("array(" + ",".join(f"double('{p!r}')" for p in axis.points) + ")")
 
     def step(state, _):
         mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.llm.common import read, written
+from labelforge.llm.common import read, release_memory, written
 from labelforge.operators.sizing import sized_join
 
-SHARDS, SEED, BUCKET_BYTES = 24, 20_240_607, 8 << 20
+SHARDS, SEED, BUCKET_BYTES = 24, 20_240_607, 4 << 20
 
 
 def _fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
@@ -49,11 +49,13 @@ def shuffled_buckets(docs: DataFrame, seed: int = SEED,
     columns = docs.columns
 
     def shuffle(table):
-        table = table.take(pc.sort_indices(table.column("_position")))
-        bucket = table.column("_bucket")[0].as_py()
-        order = _fisher_yates(table.num_rows, seed, bucket)
-        out = table.take(pa.array(order)).select([*columns, "_bucket"])
-        return out.append_column("_place", pa.array(np.arange(table.num_rows)))
+        bucket, n = table.column("_bucket")[0].as_py(), table.num_rows
+        # by position first: the order in which a shuffle delivers rows must not matter
+        at = pc.sort_indices(table.column("_position")).to_numpy()
+        order = pa.array(at[_fisher_yates(n, seed, bucket)])
+        out = table.select([*columns, "_bucket"]).take(order)
+        release_memory()
+        return out.append_column("_place", pa.array(np.arange(n)))
 
     return written(keyed.groupBy("_bucket").applyInArrow(shuffle, schema), "buckets"), buckets
 

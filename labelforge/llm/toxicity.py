@@ -32,7 +32,7 @@ TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
 # A word or beginning counts as evidence from this log-likelihood ratio on.
 LEAST_EVIDENCE = 12.0
 PREFIX = range(3, 7)
-CACHE_TOKENS, BEAM, CHUNK_BYTES = 150_000, 12, 4 << 20
+CACHE_TOKENS, BEAM, CHUNK_BYTES = 100_000, 12, 2 << 20
 # Letters the language model tells apart; all others share one symbol.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 END, OTHER = "^", "?"
@@ -397,6 +397,7 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
             values = [v for lo, hi in _chunks(texts) for v in chunk(texts.slice(lo, hi - lo))]
             arrays = [batch.column(columns.index(c)) for c in returned] + [pa.array(values, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*returned, out])
+            release_memory()
         known.clear()
         release_memory()
 

@@ -1,10 +1,13 @@
 """Operator 4: toxicity of texts restored by a noisy-channel decoder.
 
 A character language model (letter trigrams with word ends) is counted over all
-documents.  A token that looks disguised (leetspeak, separators or blanks between
-letters, stretched letters) becomes a lattice: each seen character offers the letters it
-may stand for, or nothing, or a word end, at a channel cost; Viterbi decoding under the
-language model picks the likeliest reading.  The score comes from the restored words:
+documents.  A token that may be disguised (leetspeak, separators or white space between
+letters, a letter twice or more in a row) becomes a lattice: each seen character offers the
+letters it may stand for, or nothing, or a word end, at a channel cost; Viterbi decoding
+under the language model picks the likeliest reading.  Neighbouring tokens that begin a
+weighted word together ('id iot') are one lattice, in which the tokens as shown compete.
+Tokens without any letter and a '!' at a word's end are read as shown.
+The score comes from the restored words:
 words and word beginnings that labelled toxic documents use far more often than clean
 ones carry weights, and a logistic curve, fitted on weights learned from the other half
 of the rows, turns their maximum and sum into a probability.
@@ -15,6 +18,7 @@ language model and the scores cover every text as a whole.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -33,6 +37,8 @@ TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
 LEAST_EVIDENCE = 12.0
 PREFIX = range(3, 7)
 CACHE_TOKENS, BEAM, CHUNK_BYTES = 100_000, 12, 2 << 20
+# Tokens that one word may be split into, at most.
+WINDOW = 32
 # Letters the language model tells apart; all others share one symbol.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 END, OTHER = "^", "?"
@@ -42,11 +48,13 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 COST_LEET, COST_NO_LETTER, COST_REPEAT, COST_SEPARATOR, COST_BLANK = 1.0, 7.0, 1.5, 1.0, 2.0
 
 _WORD = re.compile(r"[^\W\d_]+")
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 _PLAIN = re.compile(r"[^\w$@!|+€]*[^\W\d_]+[^\w$@|+€]*|[\W\d_]*")
 _EDGE_RUN = re.compile(r"^([\W_])\1{2,}|([\W_])\2{2,}$")
-_STRETCHED = re.compile(r"(.)\1\1|(.)\2.*?(.)\3.*?(.)\4")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_REPEATS = re.compile(r"(.)\1+")
 _SEPARATOR = re.compile(r"[^\w$@!|+€]|_")
+# Signs that may stand for one another; i and l share theirs.
+_ALIKE = str.maketrans({k: v[0] for k, v in LEET.items()} | {"l": "i"})
 
 
 def letter_counts(docs: DataFrame) -> dict[str, int]:
@@ -114,8 +122,9 @@ def language_model(counts: dict[str, int]) -> dict[str, float]:
     return out
 
 
-def restore(token: str, model: dict[str, float]) -> str:
-    """The likeliest words behind a (lower-case) token, separated by blanks."""
+def restore(token: str, model: dict[str, float], blank: float = COST_BLANK) -> str:
+    """The likeliest words behind a (lower-case) token, separated by blanks; ``blank``: the
+    cost of a separator as a word end."""
     get, floor = model.get, model["^"] - 6
     def step(state: str, sign: str) -> float:
         return get(state + sign) or get(state[1] + sign) or get(sign) or floor
@@ -127,7 +136,7 @@ def restore(token: str, model: dict[str, float]) -> str:
         elif ch in LEET:
             options = [(c, COST_LEET) for c in LEET[ch]] + [(" ", COST_NO_LETTER)]
         else:
-            options = [("", COST_SEPARATOR), (" ", COST_BLANK)]
+            options = [("", COST_SEPARATOR), (" ", blank)]
         if ch == seen and (ch.isalpha() or ch in LEET):
             options.append(("", COST_REPEAT))
         seen = ch
@@ -154,40 +163,101 @@ def restore(token: str, model: dict[str, float]) -> str:
     return " ".join("".join(reversed(out)).split())
 
 
-def readings(token: str, model: dict[str, float]) -> set[str]:
-    """Words of a lower-case token: those it shows and, if it looks disguised, those behind it."""
-    if token.isalpha() and not _STRETCHED.search(token):
+def _core(token: str) -> str:
+    """A token without the punctuation around it."""
+    return _EDGE_RUN.sub("", _EDGE_RUN.sub("", token)).strip(".,;:?\"'()[]{}<>#%&*").rstrip("!")
+
+
+def readings(token: str, model: dict[str, float], heads: frozenset | None = None) -> set[str]:
+    """Words of a lower-case token: those it shows and, if it may be disguised, those behind it.
+
+    With ``heads`` (see ``beginnings``) repeated letters are only decoded where the reading
+    can begin with one of them, whichever of the letters fall away."""
+    doubled = _DOUBLED.search(token)
+    if token.isalpha() and not doubled:
         return {token}
     words = set(_WORD.findall(token))
-    if not _PLAIN.fullmatch(token) or _STRETCHED.search(token):
-        core = _EDGE_RUN.sub("", _EDGE_RUN.sub("", token))
-        core = core.strip(".,;:?\"'()[]{}<>#%&*").rstrip("!")
-        if core and any(c.isalpha() for c in core) and (
-                _STRETCHED.search(core) or not core.isalpha()):
+    core = _core(token)
+    if doubled and core.isalpha():
+        if heads is None or begins(skeleton(core), heads):
             words.update(restore(core, model).split())
-            if len(close := _SEPARATOR.sub("", core)) < len(core):
-                words.update(restore(close, model).split())
+    elif not core.isalpha() and any(c.isalpha() for c in core) and (doubled or not _PLAIN.fullmatch(token)):
+        found = restore(core, model).split()
+        if len(close := _SEPARATOR.sub("", core)) < len(core):
+            found += restore(close, model).split()
+        # a sign read as the letter beside it doubles that letter
+        words.update(found, *[restore(w, model).split() for w in found if _DOUBLED.search(w)])
     return words
 
 
+def skeleton(token: str) -> str:
+    """What all readings of a token as one word share: its signs as letters, i and l alike,
+    without repeats and separators."""
+    return _REPEATS.sub(r"\1", _SEPARATOR.sub("", token).translate(_ALIKE))
+
+
+def beginnings(weights: dict[str, float]) -> tuple[frozenset, frozenset, frozenset]:
+    """Skeletons of the weighted features, of those that are whole words, and all proper
+    beginnings of the latter."""
+    heads = frozenset(skeleton(f.rstrip("$")) for f in weights)
+    whole = frozenset(skeleton(f[:-1]) for f in weights if f.endswith("$"))
+    return heads, whole, frozenset(h[:k] for h in whole for k in range(1, len(h)))
+
+
+def begins(shape: str, heads: frozenset, after: int = 0) -> bool:
+    """Whether a skeleton begins with one of ``heads`` that has more than ``after`` letters."""
+    return any(shape[:k] in heads for k in range(after + 1, len(shape) + 1))
+
+
+def joined(first: str, second: str) -> str:
+    """The skeleton of two tokens written as one."""
+    return first + (second[1:] if first[-1:] == second[:1] else second)
+
+
+def split_windows(shapes: list[str], whole: frozenset, proper: frozenset) -> list[int]:
+    """How many of the first tokens (by their skeletons) may be pieces of one weighted word,
+    with or without an ending."""
+    shape, out = shapes[0], []
+    for k, s in enumerate(shapes[1:], 2):
+        if not s:
+            continue
+        if begins(longer := joined(shape, s), whole, len(shape)):
+            out.append(k)
+        if (shape := longer) not in proper:
+            break
+    return out
+
+
 def restored_words(text: str, model: dict[str, float], known: dict[str, tuple]) -> set[str]:
-    """All words of a text, shown or restored; ``known`` remembers tokens."""
+    """All words of a text, shown or restored token by token or from runs of single signs;
+    ``known`` remembers tokens."""
     if len(known) > CACHE_TOKENS:
         known.clear()
-    tokens = (low := text.lower()).split()
+    tokens = text.lower().split()
     out: set[str] = set()
     for t in set(tokens):
         if (w := known.get(t)) is None:
             w = known[t] = tuple(readings(t, model))
         out.update(w)
-    for run in spaced_runs(low):
-        out.update(run_readings(run, model))
+    small = [t if is_small(t) else None for t in tokens]
+    for some, run in itertools.groupby(small, lambda t: t is not None):
+        if some and (run := spaced_run(list(run))):
+            out.update(run_readings(run, model))
     return out
 
 
-def spaced_runs(low: str) -> set[str]:
-    """Runs of three or more single signs between blanks, with at least two letters."""
-    return {m for m in _SPACED.findall(low) if len({c for c in m if c.isalpha()}) > 1}
+def is_small(token: str) -> bool:
+    """At most one sign beside punctuation."""
+    return len(token) == 1 or len(_SEPARATOR.sub("", token)) < 2
+
+
+def spaced_run(tokens: list[str]) -> str | None:
+    """Neighbouring small tokens as one run, if they hold three or more signs and at least two
+    letters; whichever white space and punctuation stands between them."""
+    if len(tokens) < 3:
+        return None
+    run = " ".join(tokens)
+    return run if len(_SEPARATOR.sub("", run)) > 2 and len({c for c in run if c.isalpha()}) > 1 else None
 
 
 def run_readings(run: str, model: dict[str, float]) -> set[str]:
@@ -354,16 +424,26 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
 
     def scored(it):
         letters, weights, curve = (shared.value[k] for k in ("letters", "weights", "curve"))
+        heads, whole, proper = beginnings(weights)
         known: dict[str, tuple] = {}
 
         def weighed(words) -> tuple:
             return tuple((w, b) for w in words if (b := max(weights.get(f, 0.0) for f in features(w))) > 0)
 
         def token_evidence(token: str) -> tuple:
+            """Evidence of a token, its skeleton, and whether it is small."""
             if (found := known.get(token)) is None:
-                found = known[token] = weighed(readings(token, letters))
+                found = known[token] = (weighed(readings(token, letters, heads)), skeleton(_core(token)),
+                                        is_small(token))
             return found
 
+        def split_evidence(pieces: list[str]) -> dict[str, float]:
+            """Evidence of words whose pieces are the first tokens here.  They begin with a whole
+            weighted word: a shorter beginning is soon made up by two unrelated words."""
+            read = {w for k in split_windows([known[t][1] for t in pieces], whole, proper)
+                    for w in restore(" ".join(map(_core, pieces[:k])), letters, 0.0).split()}
+            return dict(weighed(w for w in read if any(w[:k] + "$" in weights for k in range(1, len(w) + 1))))
+
         def probability(found: dict[str, float]) -> float:
             top, total = max(found.values(), default=0.0), math.log1p(sum(found.values()))
             z = curve[0] + curve[1] * top + curve[2] * total
@@ -378,17 +458,40 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
             split = pc.utf8_split_whitespace(low)
             coded = split.flatten().dictionary_encode()
             tokens = coded.dictionary.to_pylist()
-            shown = [token_evidence(t) for t in tokens]
+            shown, shapes, small = zip(*map(token_evidence, tokens)) if tokens else ((), (), ())
             token, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
-            hit = np.flatnonzero(np.array([bool(e) for e in shown], bool)[token])
             found: dict[int, dict] = {}
-            for k, at in zip(np.searchsorted(ends, hit, "right") - 1, token[hit]):
-                found.setdefault(int(k), {}).update(shown[at])
-            single = np.array([len(t) == 1 for t in tokens], bool)[token]
-            spaced = np.flatnonzero(single[:-2] & single[1:-1] & single[2:])
-            for k in np.unique(np.searchsorted(ends, spaced, "right") - 1).tolist():
-                for run in spaced_runs(low[k].as_py()):
-                    found.setdefault(k, {}).update(weighed(run_readings(run, letters)))
+
+            def add(at: np.ndarray, evidence) -> None:
+                for k, x in zip((np.searchsorted(ends, at, "right") - 1).tolist(), at.tolist()):
+                    if new := evidence(x, int(ends[k + 1])):
+                        found.setdefault(k, {}).update(new)
+
+            add(np.flatnonzero(np.array([bool(e) for e in shown], bool)[token]), lambda x, _: shown[token[x]])
+            single = np.array(small, bool)[token]
+            starts = single.copy()
+            starts[1:] &= ~single[:-1]
+            starts[ends[:-1][ends[:-1] < len(token)]] = True
+            starts[:-2] &= single[:-2] & single[1:-1] & single[2:]
+            starts[-2:] = False
+
+            def run_evidence(x: int, end: int) -> tuple:
+                stop = x + int((~single[x:end]).argmax()) if not single[x:end].all() else end
+                run = spaced_run([tokens[t] for t in token[x:stop]])
+                return weighed(run_readings(run, letters)) if run else ()
+
+            add(np.flatnonzero(starts), run_evidence)
+            opening = np.array([s in proper for s in shapes], bool)[token]
+            opening[-1:] = False
+            at = np.flatnonzero(opening)
+            # each pair of neighbours is judged once; a token without signs lies between others
+            pairs, pair = np.unique(token[at].astype(np.int64) * len(tokens) + token[at + 1], return_inverse=True)
+            goes_on = np.zeros(len(pairs), bool)
+            for n, p in enumerate(pairs.tolist()):
+                first, second = shapes[p // len(tokens)], shapes[p % len(tokens)]
+                longer = joined(first, second)
+                goes_on[n] = not second or longer in proper or begins(longer, whole, len(first))
+            add(at[goes_on[pair]], lambda x, end: split_evidence([tokens[t] for t in token[x:min(end, x + WINDOW)]]))
             nothing = probability({})
             return [probability(found[k]) if k in found else nothing for k in range(len(texts))]
 

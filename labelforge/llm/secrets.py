@@ -1,7 +1,8 @@
 """Operator 9: secret scan with a random forest against false positives.
 
-Candidates are words that look like a credential (long with digits, or assigned to a
-telling name).  A random forest decides which are secrets, from the candidate's length,
+Candidates are words that look like a credential (long with digits or mixed case), and
+those of any kind that follow or are assigned to a telling name; the values inside compact
+JSON, query strings and URLs are candidates beside the word as a whole.  A random forest decides which are secrets, from the candidate's length,
 its character transitions, how much of it dictionary words cover, path signs and its
 neighbouring words.  It learns from labelled findings; where nobody labelled any,
 ``rule_labels`` labels those whose format leaves no doubt, so that the forest judges the
@@ -33,6 +34,9 @@ HARMLESS = ("^[0-9.,:+()/-]+$", "^[^@ ]+@[^@ ]+\\.[a-z]+$", "^https?://[^@]+$",
 FEATURES = ["length", "digits", "uppers", "lowers", "signs", "runs", "distinct", "hexadecimal",
             "coverage", "path_signs", "at_sign", "telling", "assigned", "word_before", "word_after"]
 _VALUE = "^[\"'(\\[{<]*(?:([A-Za-z_][A-Za-z0-9_-]*)(?:=|:(?!//)))?[\"']?(.*?)[\"')\\]}>,;.!?#$%&*]*$"
+# Assignments inside a word, and the password of a URL.
+_PAIR = "([A-Za-z_][A-Za-z0-9_-]*)[\"']?(?:=>|=|:(?!//))[\"']?([^\"'&,;?{}\\[\\]()<>=]+)"
+_LOGIN = "://[^:/@]*:([^@/]+)@"
 
 
 def _clean(word: Column) -> Column:
@@ -45,19 +49,31 @@ def candidates(docs: DataFrame) -> DataFrame:
     assigned, before, after.  Null and blank texts have none."""
     words = docs.select("doc_id", F.split("text", "\\s+").alias("w"))
     w = F.col("w")
+    def parts(x: Column) -> Column:
+        pairs = F.transform(F.regexp_extract_all(x, F.lit(_PAIR), F.lit(0)),
+                            lambda p: F.regexp_replace(p, _PAIR, "$1=$2"))
+        logins = F.transform(F.regexp_extract_all(x, F.lit(_LOGIN), F.lit(1)), lambda p: F.concat(F.lit("password="), p))
+        return F.when(x.rlike("[=:]"), F.concat(F.array(x), pairs, logins)).otherwise(F.array(x))
+
     def seen(x: Column, i: Column) -> Column:
-        fits = (F.length(x) >= LEAST_LENGTH) & (x.rlike("[0-9]") | x.rlike(TELLING + "[A-Za-z_]*[=:]."))
-        return F.when(fits, F.struct(i.alias("i"), x.alias("x"), F.get(w, i - 1).alias("b"),
-                                     F.get(w, i - 2).alias("bb"), F.get(w, i + 1).alias("a")))
-    found = words.select("doc_id", F.explode(F.filter(F.transform(w, seen), lambda s: s.isNotNull())).alias("c"))
-    sign = F.col("c.b").rlike("^(=|:|:=|=>)$")
-    own = F.regexp_extract("c.x", _VALUE, 1)
+        b, bb = F.coalesce(F.get(w, i - 1), F.lit("")), F.coalesce(F.get(w, i - 2), F.lit(""))
+        # not the sign of an assignment itself
+        after = x.rlike("[A-Za-z0-9]") & (b.rlike(TELLING) | (b.rlike("^(=|:|:=|=>)$") & bb.rlike(TELLING)))
+
+        def one(y: Column) -> Column:
+            told = after | y.rlike(TELLING + "[A-Za-z_]*[=:].")
+            fits = told | ((F.length(y) >= LEAST_LENGTH) & (y.rlike("[0-9]") | y.rlike("[a-z][A-Z]")))
+            return F.when(fits, F.struct(i.alias("i"), F.regexp_extract(y, _VALUE, 1).alias("own"),
+                                         F.regexp_extract(y, _VALUE, 2).alias("value"), told.alias("told"),
+                                         b.alias("b"), bb.alias("bb"), F.get(w, i + 1).alias("a")))
+        return F.array_distinct(F.filter(F.transform(parts(x), one), lambda s: s.isNotNull()))
+    found = words.select("doc_id", F.explode(F.flatten(F.transform(w, seen))).alias("c"))
+    sign, own = F.col("c.b").rlike("^(=|:|:=|=>)$"), F.col("c.own")
     name = F.when(own != "", F.lower(own)).when(sign, _clean(F.col("c.bb"))).otherwise(_clean(F.col("c.b")))
-    return found.select("doc_id", F.col("c.i").alias("word_index"),
-                        F.regexp_extract("c.x", _VALUE, 2).alias("value"), name.alias("name"),
-                        ((own != "") | F.coalesce(sign, F.lit(False))).alias("assigned"),
+    return found.select("doc_id", F.col("c.i").alias("word_index"), F.col("c.value").alias("value"), name.alias("name"),
+                        ((own != "") | sign | F.col("c.b").rlike("[A-Za-z0-9_\"'](=|:|:=|=>)$")).alias("assigned"),
                         _clean(F.col("c.b")).alias("before"), _clean(F.col("c.a")).alias("after")) \
-        .where(F.length("value") >= LEAST_LENGTH)
+        .where((F.length("value") >= LEAST_LENGTH) | (F.col("c.told") & (F.col("value") != "")))
 
 
 def dictionary(texts: DataFrame, least: int = 2) -> DataFrame:
@@ -148,9 +164,17 @@ def redact(docs: DataFrame, words: DataFrame, mark: str = "[secret]") -> DataFra
     bad = scan(docs.select("doc_id", "text"), words).where("is_secret") \
         .select(F.col("doc_id").alias(owner), "value").groupBy(owner) \
         .agg(F.sort_array(F.collect_set("value"), asc=False).alias(values))
+
+    def blank(t: Column, s: Column) -> Column:
+        """A short value is no part of longer words."""
+        quoted = F.concat(F.lit("(?<![A-Za-z0-9])\\Q"), F.replace(s, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
+                          F.lit("\\E(?![A-Za-z0-9])"))
+        literal = mark.replace("\\", "\\\\").replace("$", "\\$")
+        return F.when(F.length(s) < LEAST_LENGTH, F.regexp_replace(t, quoted, F.lit(literal))) \
+            .otherwise(F.replace(t, s, F.lit(mark)))
     joined = docs.join(bad, docs["doc_id"].eqNullSafe(bad[owner]), "left")
     text = F.when(F.col(values).isNull(), docs["text"]).otherwise(F.aggregate(
-        values, docs["text"], lambda t, s: F.replace(t, s, F.lit(mark))))
+        values, docs["text"], blank))
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 

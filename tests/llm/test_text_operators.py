@@ -529,3 +529,13 @@ def test_forest_learns_from_given_findings(spark):
     labelled = table.where("doc_id < 40").withColumn("label", (F.col("digits") < 1).cast("double"))
     got = secrets.scan(frame, vocabulary, labelled).where("doc_id >= 40")
     assert got.where(F.col("is_secret") != (F.col("digits") < 1)).count() == 0
+
+
+def test_candidates_of_every_assignment(spark):
+    cases = {"password = correcthorsebattery": "correcthorsebattery", "token: AbCdEfGhIjKlMnOpQrStUvWx": "AbCdEfGhIjKlMnOpQrStUvWx",
+             "see postgres://user:letmeinplease@host/db": "letmeinplease", "password=hunter2 x": "hunter2",
+             'x {"password":"S3cretValue","n":1}': "S3cretValue", "https://a.example/x?b=1&token=ghp_abcd1234": "ghp_abcd1234",
+             "line QWErtyUIopASdfGHjkLZxcVBnm": "QWErtyUIopASdfGHjkLZxcVBnm"}
+    found = {(r["doc_id"], r["value"]) for r in secrets.candidates(docs_of(spark, list(enumerate(cases)))).collect()}
+    assert [v for k, v in enumerate(cases.values()) if (k, v) not in found] == []
+    assert secrets.candidates(docs_of(spark, [(1, "the plain words of Some text"), (2, None), (3, "")])).count() == 0

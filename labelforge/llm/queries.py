@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from labelforge.llm import chat, decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, warc
+from labelforge.llm import chat, decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, variants, warc
 
 QUERIES = {
     "op1_tool_call_linking": chat.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc_revisit_resolution": warc.query,
     "op9_forest_secret_scan": secrets.query,
     "op10_simhash_ball_components": simhash.query,
+    "op11_gram_spelling_variants": variants.query,
 }
 
 ORACLE: dict[str, str] = {

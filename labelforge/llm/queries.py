@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from labelforge.llm import chat, decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, variants, warc
+from labelforge.llm import chat, collocations, decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, variants, warc
 
 QUERIES = {
     "op1_tool_call_linking": chat.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_forest_secret_scan": secrets.query,
     "op10_simhash_ball_components": simhash.query,
     "op11_gram_spelling_variants": variants.query,
+    "op13_fingerprint_collocations": collocations.query,
 }
 
 ORACLE: dict[str, str] = {
     "op5_repeated_phrase_automata": phrases.ORACLE,
     "op6_suffix_array_decontamination": decontam.ORACLE,
     "op8_warc_revisit_resolution": warc.ORACLE,
+    "op13_fingerprint_collocations": collocations.ORACLE,
 }

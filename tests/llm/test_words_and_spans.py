@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from labelforge.llm import variants
+from labelforge.llm import collocations, variants
 from labelforge.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -96,9 +96,12 @@ def test_blocks_that_are_cut_lose_no_pair(spark, classes, chunk, task_rows):
 
 
 def test_variants_of_odd_rows(spark):
-    long = "x" * 100_000
-    rows = [(1, None), (2, ""), (3, "a b c 123"), (4, " ".join(["abcdef"] * 20)), (5, f"{long} {long[:-1]} " * 5)]
+    rows = [(1, None), (2, ""), (3, "a b c 123"), (4, " ".join(["abcdef"] * 20)), (5, "x" * 70 + " " + "y" * 70)]
     assert tuples(variants.spelling_variants(docs_of(spark, [(i, t, None) for i, t in rows]))) == slow_variants(rows)
+    long = "x" * 100_000  # documents 0 and 1 delete nothing of these words
+    rows = [(k, f"{long} {long[:-1]} {long[:-2]} " * 5, None) for k in (0, 1)]
+    got = {len(r[0]): r[3:5] for r in tuples(variants.spelling_variants(docs_of(spark, rows)))}
+    assert got == {100_000: (10, 1), 99_999: (10, 2), 99_998: (10, 1)}
     empty = docs_of(spark, rows=[(1, "abcdef " * 9, "en")]).where("false")
     assert variants.spelling_variants(empty).collect() == []
 
@@ -112,3 +115,69 @@ def test_runs_of_a_long_text_are_whole(monkeypatch):
     monkeypatch.setattr(variants, "STRETCH", 10)
     text = "abcdefghijklmnop, qrstuv wxyzabc é" * 3
     assert [w for found in variants.runs(text) for w in found] == re.findall("[A-Za-zÀ-ÿ]{6,}", text)
+
+
+# ---------------------------------------------------------------- collocations
+def slow_collocations(rows, top=2000):
+    f, n = Counter(), Counter()
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        text = "".join(c.lower() if c.isascii() else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in (1, 2, 3):
+                f.update((lang, tuple(words[i:i + k])) for i in range(len(words) - k + 1))
+    kept = {}
+    for (lang, w), a in f.items():
+        if len(w) > 1 and a >= 10:
+            cuts = [(10**6 * a * a // (f[lang, w[:k]] * f[lang, w[k:]]), k) for k in range(1, len(w))]
+            score, k = min(cuts)
+            if not any(x[0] == lang and len(x[1]) == 3 and w in (x[1][:2], x[1][1:]) and b >= 10 and 100 * b >= 50 * a
+                       for x, b in (f.items() if len(w) == 2 else ())):
+                kept.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), f[lang, w[:k]], f[lang, w[k:]]))
+    return sorted(((g, k + 1, p.decode(), -a, left, right, n[g], -s) for g, own in kept.items()
+                   for k, (s, a, p, left, right) in enumerate(sorted(own)[:top])), key=repr)
+
+
+def phrase_texts(seed, n):
+    rnd = random.Random(seed)
+    words = "a b c of The the É x\u00a0y z- #".split(" ")
+    rows = []
+    for k in range(n):
+        text = "".join(rnd.choices(words, weights=range(len(words), 0, -1))[0] +
+                       rnd.choices([" ", "\t ", ", ", ".", "\n", "?", "\x0b"], [60, 5, 3, 2, 1, 1, 1])[0]
+                       for _ in range(rnd.randrange(60)))
+        rows.append((k, text, rnd.choice(["en", "fr", None, "und", ""])))
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [(1 << 20, 1 << 20), (700, 300)])
+def test_collocations_equal_plain_counting(spark, sizes):
+    rows = phrase_texts(1, 90) + [(1, None, "en"), (2, "", "fr"), (3, " \t.,", "de"), (4, "lone", None),
+                                  (5, "very long " * 9000, "fr"), (5, "very long " * 9000, "fr")]
+    got = tuples(collocations.collocations(docs_of(spark, rows), 40, *sizes))
+    assert got == slow_collocations(rows, 40)
+
+
+def test_colliding_fingerprints_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "PRIMES", (5, 7))
+    rows = phrase_texts(2, 60)
+    frame = docs_of(spark, rows)
+    texts = frame.select("text", "lang").toArrow()
+    block = collocations.Block(texts.column(0), texts.column(1))
+    at = block.starts(2)
+    pairs = {(block.lang[k], *block.codes[k:k + 2]) for k in at.tolist()}
+    assert len(set(block.fingerprints(at, 2).tolist())) < len(pairs)
+    assert tuples(collocations.collocations(frame, block_bytes=900)) == slow_collocations(rows)
+
+
+def test_collocations_of_an_empty_table(spark):
+    assert collocations.collocations(docs_of(spark, phrase_texts(1, 2)).where("false")).collect() == []
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    rows = [(10**12 + 7, 10**12 + 9, 10**12 + 11), (99_999_999_999_999, 99_999_999_999_999, 99_999_999_999_999), (10, 33, 10)]
+    frame = spark.createDataFrame(rows, "a long, l long, r long")
+    got = {r["a"]: r["s"] for r in frame.select("a", collocations.score_column().alias("s")).collect()}
+    assert got == {a: 10**6 * a * a // (l * r) for a, l, r in rows}  # noqa: E741

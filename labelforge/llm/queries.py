@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from labelforge.llm import chat, collocations, decontam, neighbours, packing, phrases, secrets, shards, simhash, toxicity, variants, warc
+from labelforge.llm import chat, collocations, decontam, neighbours, packing, phrases, pii, secrets, shards, simhash, \
+    toxicity, variants, warc
 
 QUERIES = {
     "op1_tool_call_linking": chat.query,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_forest_secret_scan": secrets.query,
     "op10_simhash_ball_components": simhash.query,
     "op11_gram_spelling_variants": variants.query,
+    "op12_boosted_personal_data": pii.query,
     "op13_fingerprint_collocations": collocations.query,
 }
 

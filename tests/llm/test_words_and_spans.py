@@ -1,13 +1,15 @@
 """Operators on words and spans of texts against brute force and on edge cases."""
 
+import hashlib
 import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from labelforge.llm import collocations, variants
+from labelforge.llm import collocations, pii, variants
 from labelforge.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -181,3 +183,133 @@ def test_scores_are_exact_beyond_64_bits(spark):
     frame = spark.createDataFrame(rows, "a long, l long, r long")
     got = {r["a"]: r["s"] for r in frame.select("a", collocations.score_column().alias("s")).collect()}
     assert got == {a: 10**6 * a * a // (l * r) for a, l, r in rows}  # noqa: E741
+
+
+# ---------------------------------------------------------------- personal data
+def slow_base(text):
+    out = []
+    for kind, pattern in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+                                    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                                    r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == 1 and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == 2:
+                doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+                if not 12 <= len(digits) <= 19 or sum(d - 9 * (d > 9) for d in doubled) % 10:
+                    continue
+            if kind == 3 and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return sorted(out, key=lambda s: (s[1], s[0]))
+
+
+def test_certain_spans_equal_their_patterns():
+    rnd, n = random.Random(4), 0
+    for _ in range(30_000):
+        text = "".join(rnd.choices(rnd.choice(["a@.-1 ", "12.+() -", "0123456789 -", "1.25", "+1 .()-23a@é"]),
+                                   k=rnd.randrange(60)))
+        want = slow_base(text)
+        assert pii.base_spans(text) == want, text
+        n += len(want)
+    assert n > 2000
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, "1" * 300_000, "1." * 150_000, "+1(" * 100_000, "1 " * 150_000,
+                                  "a@" * 150_000, " at " * 80_000, "a@a." * 80_000])
+def test_very_long_texts_take_one_pass(text):
+    assert pii.base_spans(text) is not None
+    assert sum(1 for _ in pii.proposals(text)) < 20 * len(text)
+
+
+def personal_texts(n):
+    rnd = random.Random(9)
+
+    def digits(k):
+        return "".join(rnd.choices("0123456789", k=k))
+
+    def card():
+        start = digits(15)
+        return next(c for d in "0123456789" if pii.luhn(c := start + d))
+    makers = [lambda: f"{rnd.choice(['ann', 'bo.li'])}{digits(2)}@mail{digits(1)}.example.com", card,
+              lambda: ".".join(str(rnd.randrange(256)) for _ in range(4)),
+              lambda: f"+{rnd.choice([1, 44])} ({digits(3)}) {digits(3)}-{digits(4)}", lambda: digits(16),
+              lambda: f"v{digits(1)}.{digits(1)}.{digits(1)}", lambda: f"x{digits(18)}f", lambda: "and so on, at that"]
+    rows = []
+    for k in range(n):
+        parts = [rnd.choice(makers)() if rnd.random() < .4 else "of the" for _ in range(rnd.randrange(12))]
+        rows.append((k, " ".join(parts), None))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def personal(spark):
+    docs = docs_of(spark, personal_texts(400))
+    return docs, pii.train(docs)
+
+
+def test_boosted_trees_judge_what_they_did_not_learn_from(personal):
+    _, model = personal
+    for precision, recall, _ in model["held_out"].values():
+        assert precision >= 0.95 and recall >= 0.8
+    cases = {"call (017) 555-7713 today": ["(017) 555-7713"],
+             "of the +1 (826) 555-4081 190.137.223.204 of": ["+1 (826) 555-4081"],
+             "version 4.0 of 2020-2021, 555-7713": [], "at that point in time": [],
+             "deadbeef12345678901234567890": []}
+    for text, want in cases.items():
+        added = pii.select(text, pii.base_spans(text), model)
+        assert [text[a:b] for _, a, b in added] == want, text
+
+
+def test_certain_spans_stay_and_others_are_apart(spark, personal):
+    docs, model = personal
+    for r in pii.find(docs, model, redacted="clean").collect():
+        text = r["text"]
+        certain = [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["certain"]]
+        assert certain == [(pii.KINDS[k], a, b) for k, a, b in slow_base(text)]
+        for s in r["spans"]:
+            if not s["certain"]:
+                assert not any(s["start"] < b and a < s["end"] for _, a, b in certain)
+        for s in r["spans"]:
+            assert text[s["start"]:s["end"]] not in r["clean"]
+
+
+def test_margin_of_trees_is_that_of_the_library(spark, personal):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+    rnd = np.random.default_rng(1)
+    x = rnd.random((300, 4))
+    y = ((x[:, 0] > .5) ^ (x[:, 1] > .3)).astype(float)
+    frame = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["v", "y"])
+    model = GBTClassifier(featuresCol="v", labelCol="y", maxIter=5, maxDepth=pii.DEPTH, seed=1).fit(frame)
+    want = [r["rawPrediction"][1] for r in model.transform(frame).collect()]
+    assert np.allclose(pii.margin(pii._trees(model), x), want)
+
+
+def test_isotonic_steps_ascend():
+    least, p = pii.isotonic(np.array([1., 2, 2, 3, 4, 5]), np.array([0., 1, 0, 0, 1, 1]))
+    assert least.tolist() == [1, 2, 4] and np.allclose(p, [0, 1 / 3, 1])
+
+
+def test_personal_data_of_odd_rows(spark):
+    rows = [(1, None, None), (2, "", None), (3, "no numbers", "en"), (3, "no numbers", "en"), (None, "x 1.2.3.4é", "de"),
+            (4, "é a@b.cd " + "word " * 60_000, "fr")]
+    docs = docs_of(spark, rows).withColumnRenamed("phrase", "_text").withColumnRenamed("word", "spans")
+    assert pii.train(docs.where("doc_id < 4")) is None
+    got = {(r["doc_id"], r["text"]): [tuple(s) for s in r["spans"]] for r in pii.find(docs, None).collect()}
+    assert got[1, None] == got[2, ""] == got[3, "no numbers"] == []
+    assert got[None, "x 1.2.3.4é"] == [("ip", 2, 9, True)] and got[4, rows[5][1]] == [("email", 2, 8, True)]
+    assert pii.find(docs.where("false"), None).collect() == [] and pii.train(docs.where("false")) is None
+
+
+def test_personal_data_of_a_given_table(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in read(spark, SF, "documents", "doc_id", "text").collect()}
+    rows = pii.query(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = slow_base(texts[r["doc_id"]])
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in base)
+        assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in range(4)]
+        assert set(listed.split(",")) <= set(r["spans"].split(","))

@@ -1,11 +1,11 @@
 """Entity profile store.
 
-Storage form is LONG: cells ``(userId, value, version, run)`` in folders by tag.  A model's
-run only appends: its cells carry the run's number, and a run that replaces a tag also
-appends a row without a key, which voids that tag's cells of earlier runs (so an empty
-run clears its tag).  Readers take, per (key, tag), the value of the latest run, and of the
-greatest ``version`` (an event time, say) inside a run.  ``compact_profile`` writes the
-present state as a new store.  The WIDE view (one column per tag) is a pivot of the long
+Storage form is LONG: cells ``(userId, value, version)`` in folders by tag and run.  A model's
+run only appends, and the store's log (``run_log``) makes it visible when it is complete; a
+run that replaces a tag voids that tag's cells of earlier runs (so an empty run clears its
+tag), and their folders are no longer read.  Readers take, per (key, tag), the value of the
+latest run, and of the greatest ``version`` (an event time, say) inside a run.
+``compact_profile`` makes the present state the first run that is read.  The WIDE view (one column per tag) is a pivot of the long
 form; both are pure DataFrame functions.
 """
 
@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelforge.operators.run_log import RUN, RunLog, newest
+
 KEY = "userId"
 SEARCH_OPERATORS = ("eq", "ne", "lt", "le", "gt", "ge", "contains")
 
@@ -81,66 +83,82 @@ def _file_layout(long: DataFrame, key: str) -> DataFrame:
 
 
 def write_profile(long: DataFrame, path: str, mode: str = "replace_tag",
-                  key: str = KEY, tags: list[str] | None = None, run: int | None = None) -> None:
-    """Profile sink: appends the run's cells ``(key, tag, value[, version])``.
+                  key: str = KEY, tags: list[str] | None = None, run: str | int | None = None) -> str:
+    """Profile sink: appends the run's cells ``(key, tag, value[, version])`` and returns its name
+    in the log.
 
     ``replace_tag``: the run's cells are all that is left of its tags: those in ``tags`` or,
     without it, those present in ``long``.  ``upsert``: keys missing from this run keep
-    their old value.  ``run``: its number, by default one more than the store's last; a
-    replayed run may repeat its number and cells without effect.
+    their old value.  ``run``: what names the run where it may be repeated (a batch, say): a
+    replayed run takes its old place and changes nothing.  Runs at the same time both
+    survive, in the order of their claims; none is read before it is complete.
     """
     if mode not in ("replace_tag", "upsert"):
         raise ValueError("mode must be 'replace_tag' or 'upsert'")
-    spark = long.sparkSession
-    if run is None:
-        run = _last_run(spark, path) + 1
-    cells = latest_cells(long, key)
+    log = RunLog(long.sparkSession, path)
+    name = log.claim(run)
+    replaced = []
     if mode == "replace_tag":
-        named = spark.createDataFrame([(t,) for t in tags], "tag string") if tags is not None \
-            else long.select("tag").distinct()
-        none = F.lit(None)
-        cells = cells.unionByName(named.select(
-            none.cast(long.schema[key].dataType).alias(key), "tag", none.cast("string").alias("value"),
-            none.cast("long").alias("version")))
-    out = cells.select(key, "value", F.col("version").cast("long").alias("version"),
-                       F.lit(run).cast("long").alias("run"), "tag")
-    _file_layout(out, key).write.mode("append").partitionBy("tag").parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and any(not x.getPath().getName().startswith("_") for x in fs.listStatus(p))
+        # one name per model of the run
+        replaced = list(tags) if tags is not None else [r["tag"] for r in long.select("tag").distinct().collect()]
+    _append_run(latest_cells(long, key), path, name, key, log)
+    log.commit(name, replaced)
+    return name
 
 
-def _last_run(spark: SparkSession, path: str) -> int:
-    if not _exists(spark, path):
-        return 0
-    return spark.read.parquet(path).agg(F.max("run").alias("n")).first()["n"] or 0
+def _append_run(cells: DataFrame, path: str, name: str, key: str, log: RunLog) -> None:
+    out = cells.select(key, "value", F.col("version").cast("long").alias("version"), "tag", F.lit(name).alias(RUN))
+    log.save_schema(out.schema)
+    # a replayed run that had failed half-way writes its folders anew
+    _file_layout(out, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("tag", RUN).parquet(path)
 
 
-def present_cells(stored: DataFrame, key: str = KEY) -> DataFrame:
-    """Cells of all runs -> one row (key, tag, value) per cell that is left."""
-    voided = stored.where(F.col(key).isNull()).groupBy("tag").agg(F.max("run").alias("_from"))
-    cells = stored.where(F.col(key).isNotNull()).join(voided, "tag", "left") \
-        .where(F.col("run") >= F.coalesce("_from", F.lit(0)))
-    return cells.groupBy(key, "tag").agg(F.max_by("value", F.struct("run", "version", "value")).alias("value"))
+def _stored(spark: SparkSession, path: str, tags: list[str] | None) -> DataFrame:
+    """The visible cells of all runs: only the folders of ``tags`` and of the runs that count."""
+    log = RunLog(spark, path)
+    runs = log.runs()
+    df = spark.read.schema(log.schema()).parquet(path).where(runs.visible())
+    return df.where(F.col("tag").isin(tags)) if tags else df
 
 
 def read_profile(spark: SparkSession, path: str, tags: list[str] | None = None,
                  key: str = KEY) -> DataFrame:
-    """Long profile; a tag list prunes folders at the scan."""
-    df = spark.read.parquet(path).withColumn("tag", F.col("tag").cast("string"))
-    return present_cells(df.where(F.col("tag").isin(tags)) if tags else df, key)
-
-
-def compact_profile(spark: SparkSession, path: str, target: str, key: str = KEY) -> str:
-    """The present state of the store at ``path`` as a new store of one run at ``target``."""
-    out = read_profile(spark, path, key=key).select(
-        key, "value", F.lit(0).cast("long").alias("version"),
-        F.lit(_last_run(spark, path)).cast("long").alias("run"), "tag")
-    _file_layout(out, key).write.partitionBy("tag").parquet(target)
-    return target
+    """Long profile as of now; a tag list prunes folders at the scan."""
+    return newest(_stored(spark, path, tags), key)
+
+
+def compact_profile(spark: SparkSession, path: str, tags: list[str] | None = None, key: str = KEY) -> str:
+    """Writes the present state of ``tags`` (all without it) as one run that voids those before it:
+    readers then open its folders and those of later runs only.  Reads what earlier
+    compactions left, not all history.  Refuses while a run before it is not complete."""
+    log = RunLog(spark, path)
+    name = log.claim(first=True)
+    before = log.runs()
+    pending = [r for r in before.open if r < name]
+    if pending:
+        log.forget([name])
+        raise RuntimeError(f"runs are not complete: {', '.join(pending)}")
+    stored = _stored(spark, path, tags).where(F.col(RUN) < name)
+    tags = tags if tags is not None else [r["tag"] for r in stored.select("tag").distinct().collect()]
+    _append_run(newest(stored, key).withColumn("version", F.lit(0).cast("long")), path, name, key, log)
+    after = log.runs()
+    if {r for r in after.committed + after.open if r < name} - set(before.committed):
+        raise RuntimeError("a run claimed an earlier place meanwhile: compact again")
+    log.commit(name, tags)
+    return name
+
+
+def vacuum_profile(spark: SparkSession, path: str) -> list[str]:
+    """Deletes the folders of runs that a later one voids, and such runs from the log; for times
+    when nothing reads an earlier state.  Returns what was deleted."""
+    log = RunLog(spark, path)
+    runs = log.runs()
+    gone = [f"tag={tag}/{RUN}={run}" for tag, base in runs.base.items() for run in runs.committed if run < base]
+    deleted = [x for x in gone if log.delete_data(path, x)]
+    kept = set(runs.base.values())
+    log.forget([r for r in runs.committed if r not in kept and not log.has_data(path, f"*/{RUN}={r}")])
+    return deleted
 
 
 def packed_tags(df: DataFrame, key: str, packed: str, pair_sep: str = ",",

@@ -6,21 +6,34 @@ few aligned blocks of 1, 2, 4, ... pieces; a value lies in one piece, and so in
 of each size.  Joining on the block therefore pairs a value with the ranges that cover
 it and no others, however the ranges lie: n ranges give at most 2n log n rows, and no
 width, count or overlap makes a value probe ranges beside it.
+
+Pieces are numbered in one of two ways.  Up to ``AXIS_POINTS`` end points are the splits of a
+Bucketizer, which finds a value's piece by binary search in the scan (``Axis``).  More than
+that never leave the executors (``swept``): points are ranked by a range-partitioned sort, and
+values and bounds are swept together in the order of the axis, the last point of a partition
+being carried into those behind it.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from labelforge.operators.sizing import DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTES, sized_join
+from labelforge.operators.ordering import global_rank
+from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTES, measured_bytes,
+                                        sized_join)
+from labelforge.session import written
 
 BOUNDS = ("closed", "left_open")
-# End points of one axis; longer ones are cut into stretches that are matched one by one.
-AXIS_POINTS = 50_000
+# Distinct end points that a query plan carries; more are swept.
+AXIS_POINTS = 4096
 
 
 def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
@@ -31,90 +44,133 @@ def _predicate(x: Column, start: Column, end: Column, bounds: str) -> Column:
     raise ValueError(f"bounds must be one of {BOUNDS}")
 
 
-def _blocks(first: int, last: int) -> list[int]:
-    """The aligned blocks (level in the low 6 bits) that make up pieces first .. last."""
-    out, level = [], 0
-    while first <= last:
-        if first & 1:
-            out.append(first << 6 | level)
-            first += 1
-        if not last & 1:
-            out.append(last << 6 | level)
-            last -= 1
-        first, last, level = first >> 1, last >> 1, level + 1
-    return out
-
-
 @dataclass
 class Axis:
-    """End points of a set of ranges between ``low`` and ``high`` (None: no limit) and the
-    block levels its ranges use."""
+    """The pieces that a few end points make, numbered in their order."""
 
     points: list[float]
-    low: float | None
-    high: float | None
-    blocks: dict[tuple[float, float], list[int]]
-    rows: int
-
-    @property
-    def levels(self) -> list[int]:
-        return sorted({b & 63 for own in self.blocks.values() for b in own})
-
-
-def axes_of(ranges: DataFrame, axis_points: int = AXIS_POINTS) -> list[Axis]:
-    """Axes of ``ranges(_s, _e)`` (doubles), from one job that brings their distinct bounds."""
-    pairs = [(r["_s"], r["_e"], r["n"]) for r in
-             ranges.groupBy("_s", "_e").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()]
-    points = sorted({p for s, e, _ in pairs for p in (s, e)})
-    out = []
-    for k in range(0, len(points), axis_points):
-        own = points[k:k + axis_points]
-        low = own[0] if k else None
-        high = points[k + axis_points] if k + axis_points < len(points) else None
-        blocks, rows = {}, 0
-        for s, e, n in pairs:
-            if (high is None or s < high) and (low is None or e >= low):
-                first = 2 * bisect_left(own, s) + 1 if low is None or s >= low else 1
-                last = 2 * bisect_left(own, e) + 1 if high is None or e < high else 2 * len(own)
-                blocks[s, e] = _blocks(first, last)
-                rows += n * len(blocks[s, e])
-        out.append(Axis(own, low, high, blocks, rows))
-    return out
-
-
-def piece_of(x: Column, axis: Axis) -> Column:
-    """Number of the piece a double lies in: 2i + 1 at point i, 2i below it."""
-    n = len(axis.points)
-    points = F.expr("array(" + ",".join(f"double('{p!r}')" for p in axis.points) + ")")
-
-    def step(state, _):
-        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
-        less = F.get(points, mid) < x
-        done = state["lo"] >= state["hi"]
-        return F.struct(F.when(done | ~less, state["lo"]).otherwise(mid + 1).alias("lo"),
-                        F.when(done | less, state["hi"]).otherwise(mid).alias("hi"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length() + 1)), start, step, lambda s: s["lo"])
-    at_point = F.coalesce(F.get(points, found) == x, F.lit(False))
-    return (2 * found + at_point.cast("int")).cast("long")
-
-
-def block_column(x: Column, axis: Axis) -> Column:
-    """The blocks a double lies in, of the levels that the ranges use."""
-    piece = piece_of(x, axis)
-    return F.transform(F.array(piece), lambda p: p) if not axis.levels else F.transform(
-        F.array(*[F.lit(v) for v in axis.levels]),
-        lambda level: F.call_function("shiftright", piece, level) * 64 + level)
+    levels: list[int] = field(default_factory=list)  # sizes of the blocks that the ranges use
+
+    def place(self, df: DataFrame, column: str, out: str) -> DataFrame:
+        """``df`` with the piece ``out`` (long) of each double in ``column``; null and NaN have
+        none."""
+        splits = [x for p in self.points for x in (p, math.nextafter(p, math.inf))]
+        splits = [-math.inf, *sorted({x for x in splits if abs(x) != math.inf}), math.inf]
+        # a point's piece ends at the next double
+        raw, given, value = f"{out}_split", f"{out}_value", F.col(column)
+        found = Bucketizer(splits=splits, inputCol=given, outputCol=raw, handleInvalid="keep") \
+            .transform(df.withColumn(given, one_zero(value)))
+        return found.withColumn(out, F.when(value.isNotNull() & ~F.isnan(value), F.col(raw).cast("long"))) \
+            .drop(raw, given)
+
+
+def one_zero(x: Column) -> Column:
+    """The double without the sign of a zero."""
+    return F.when(x == 0, F.lit(0.0)).otherwise(x)
+
+
+def axis_of(ranges: DataFrame, most: int = AXIS_POINTS) -> Axis | None:
+    """The axis of ``ranges(_s, _e)`` (doubles), or None if they have more end points than
+    ``most``; no more than that reach the driver."""
+    points = ranges.select(F.explode(F.array("_s", "_e")).alias("p")).distinct().limit(most + 1).collect()
+    return Axis(sorted(r["p"] for r in points)) if len(points) <= most else None
+
+
+def blocks_column(first: Column, last: Column, pieces: int) -> Column:
+    """The aligned blocks (level in the low 6 bits) that make up pieces first .. last: at each
+    level an odd first and an even last block that no larger one covers."""
+    def at(level):
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        a = F.call_function("shiftright", first + size - 1, level)
+        b = F.call_function("shiftright", last + 1, level) - 1
+        low, high = F.when((a <= b) & (a % 2 == 1), a * 64 + level), F.when((a <= b) & (b % 2 == 0), b * 64 + level)
+        return F.array(low, high)
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(pieces.bit_length())), at)))
+
+
+def block_column(piece: Column, levels: list[int]) -> Column:
+    """The blocks a piece lies in, of the given levels."""
+    return F.transform(F.array(*[F.lit(v) for v in levels]),
+                       lambda level: F.call_function("shiftright", piece, level) * 64 + level)
 
 
 def range_blocks(ranges: DataFrame, axis: Axis) -> DataFrame:
-    """``ranges`` with one row per block ``_b`` (ranges off the axis give none)."""
-    spark = ranges.sparkSession
-    rows = [(s, e, b) for (s, e), own in axis.blocks.items() for b in own]
-    listed = spark.createDataFrame(rows, "_ls double, _le double, _b long")
-    return ranges.join(listed, (F.col("_s") == F.col("_ls")) & (F.col("_e") == F.col("_le"))) \
-        .drop("_ls", "_le")
+    """``ranges(_s, _e, ...)`` with one row per block ``_b``."""
+    placed = axis.place(axis.place(ranges, "_s", "_first"), "_e", "_last")
+    blocks = blocks_column(F.col("_first"), F.col("_last"), 2 * len(axis.points) + 2)
+    return placed.withColumn("_b", F.explode(blocks)).drop("_first", "_last")
+
+
+def levels_of(blocks: DataFrame) -> list[int]:
+    """Levels of the blocks ``_b`` (at most 64 values)."""
+    return sorted(r[0] for r in blocks.select(F.col("_b").bitwiseAND(F.lit(63)).cast("int")).distinct().collect())
+
+
+def _sweep(it):
+    """Rows in the order of the axis -> the last point up to each, as far as its partition tells:
+    ``_rank`` and ``_at``, null before its first point."""
+    rank, at = None, None
+    for batch in it:
+        table = pa.Table.from_batches([batch])
+        own = table.column("_rank").to_numpy(zero_copy_only=False).astype(float)
+        x = table.column("_v").to_numpy()
+        row = np.maximum.accumulate(np.where(np.isnan(own), -1, np.arange(len(own))))
+        seen = row >= 0
+        ranks = np.where(seen, own[np.maximum(row, 0)], np.nan if rank is None else rank)
+        ats = np.where(seen, x[np.maximum(row, 0)], np.nan if at is None else at)
+        if len(own) and not np.isnan(ranks[-1]):
+            rank, at = ranks[-1], ats[-1]
+        arrays = {"_rank": pa.array(np.where(np.isnan(ranks), 0, ranks).astype(np.int64), pa.int64(),
+                                    mask=np.isnan(ranks)),
+                  "_at": pa.array(ats, pa.float64(), mask=np.isnan(ranks))}
+        for name in table.column_names:
+            if name not in arrays:
+                arrays[name] = table.column(name)
+        yield from pa.table(arrays).select([*[c for c in table.column_names if c != "_at"], "_at"]).to_batches()
+
+
+def swept(values: DataFrame, points: DataFrame, column: str = "_v") -> DataFrame:
+    """``values`` with their piece ``_piece`` on the axis of ``points(_p, _rank)``, where
+    ``_rank`` counts from 1.  ``column``: the double to place (not null, not NaN).
+
+    Values and points are sorted together by ranges of the axis; a value that is repeated very
+    often spans several partitions, as the sort goes on by a hash of the row."""
+    spark, kept = values.sparkSession, values.columns
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = values.select(F.lit(None).cast("long").alias("_rank"), F.col(column).alias("_v"),
+                         F.struct(*kept).alias("_row"), F.lit(1).alias("_kind"),
+                         F.xxhash64(*kept).alias("_mix"))
+    marks = points.select("_rank", F.col("_p").alias("_v"),
+                          F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.lit(0).alias("_kind"),
+                          F.lit(0).cast("long").alias("_mix"))
+    order = ["_v", "_kind", "_mix"]
+    sorted_rows = rows.unionByName(marks).repartitionByRange(parts, *order).sortWithinPartitions(*order) \
+        .select("_rank", "_v", "_row", F.spark_partition_id().alias("_pid"))
+    schema = StructType([*sorted_rows.schema.fields, StructField("_at", DoubleType())])
+    found = written(sorted_rows.mapInArrow(_sweep, schema), "swept")
+    # the last point of each partition and of those before it: one row per partition
+    ends = found.groupBy("_pid").agg(F.max(F.struct("_rank", "_at")).alias("_end"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_pid", F.max("_end").over(before).alias("_carried"))
+    last = F.when(F.col("_rank").isNotNull(), F.struct("_rank", "_at")).otherwise(F.col("_carried"))
+    rank, at = F.coalesce(last["_rank"], F.lit(0)), last["_at"]
+    piece = F.when(at == F.col("_v"), 2 * rank - 1).otherwise(2 * rank)
+    return found.where(F.col("_row").isNotNull()).join(F.broadcast(carried), "_pid") \
+        .select("_row.*", piece.alias("_piece"))
+
+
+def _swept_blocks(ranges: DataFrame, max_broadcast_bytes: int, salt_buckets: int) -> tuple[DataFrame, DataFrame]:
+    """(``ranges`` with one row per block ``_b``, their ranked end points)."""
+    points = ranges.select(F.explode(F.array("_s", "_e")).alias("_p")).distinct()
+    points = written(global_rank(points, ["_p"], "_rank").select("_p", F.col("_rank").cast("long").alias("_rank")),
+                     "points")
+    size, out = measured_bytes(points), ranges
+    for bound, piece in (("_s", "_first"), ("_e", "_last")):
+        named = points.select(F.col("_p").alias("_q"), (2 * F.col("_rank") - 1).alias(piece))
+        out = sized_join(out, named, lambda a, b, c=bound: a[c] == b["_q"], "inner", ["_name", "_s", "_e"],
+                         max_broadcast_bytes, size, salt_buckets).drop("_q", "_salt", "_rsalt")
+    blocks = out.withColumn("_b", F.explode(blocks_column(F.col("_first"), F.col("_last"), 2 * points.count() + 2)))
+    return written(blocks.drop("_first", "_last"), "range-blocks"), points
 
 
 def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: str = "tag",
@@ -136,21 +192,18 @@ def range_match(df: DataFrame, value, ranges: DataFrame, key: str = "id", tag: s
     r = ranges.select(F.col(name_col).alias("_name"), F.col(start_col).alias("_s0"),
                       F.col(end_col).alias("_e0")) \
         .where((F.col("_s0") <= F.col("_e0")) & ~F.isnan(start) & ~F.isnan(end)) \
-        .withColumn("_s", start).withColumn("_e", end)
-    out = None
-    for axis in axes_of(r, axis_points):
-        x = F.col("_x").cast("double")
-        own = left
-        if axis.low is not None:
-            own = own.where(x >= F.lit(axis.low))
-        if axis.high is not None:
-            own = own.where(x < F.lit(axis.high))
-        keyed = own.withColumn("_b", F.explode(block_column(x, axis)))
-        matched = sized_join(
-            keyed, range_blocks(r, axis).select("_name", "_s0", "_e0", F.col("_b").alias("_rb")),
-            lambda a, b: (a["_b"] == b["_rb"]) & _predicate(a["_x"], b["_s0"], b["_e0"], bounds),
-            "inner", [key_alias, "_x"], max_broadcast_bytes, salt_buckets=salt_buckets)
-        part = matched.select(key_alias, F.col("_name").alias(tag))
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else \
-        left.where("false").select(key_alias, F.lit(None).cast("string").alias(tag))
+        .withColumn("_s", one_zero(start)).withColumn("_e", one_zero(end))
+    axis = axis_of(r, axis_points)
+    x = F.col("_x").cast("double")
+    if axis is not None:
+        blocks = range_blocks(r, axis)
+        placed = axis.place(left.withColumn("_v", x), "_v", "_piece")
+    else:
+        blocks, points = _swept_blocks(r, max_broadcast_bytes, salt_buckets)
+        placed = swept(left.withColumn("_v", one_zero(x)).where(~F.isnan("_v")), points)
+    keyed = placed.select(key_alias, "_x", F.explode(block_column(F.col("_piece"), levels_of(blocks))).alias("_b"))
+    matched = sized_join(
+        keyed, blocks.select("_name", "_s0", "_e0", F.col("_b").alias("_rb")),
+        lambda a, b: (a["_b"] == b["_rb"]) & _predicate(a["_x"], b["_s0"], b["_e0"], bounds),
+        "inner", [key_alias, "_x"], max_broadcast_bytes, salt_buckets=salt_buckets)
+    return matched.select(key_alias, F.col("_name").alias(tag))

@@ -29,10 +29,10 @@ from labelforge.operators.replace import replace_not_in, replace_out_of_range
 from labelforge.operators.topk import top_n_per_group, top_n_per_group_sql
 from labelforge.session import fresh_path, written
 from labelforge.sources import catalog, cells
-from labelforge.sources.delimited import parse_delimited_lines, read_csv
+from labelforge.sources.delimited import parse_cells, parse_delimited_lines, read_csv
 from labelforge.sources.literal import literal_frame
 from labelforge.sources.tables import append_parquet, read_table
-from labelforge.sources.wide import filter_conditions, read_wide, read_wide_window
+from labelforge.sources.wide import business_data, filter_conditions, read_wide, read_wide_window
 
 # ---------------------------------------------------------------------------
 # Fixed rule sets of the catalogue (literal level-5 rules).
@@ -173,6 +173,21 @@ def q_wide_read_conditions(spark, root):
     return df.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("st"))
 
 
+def q_wide_read_union_schema(spark, root):
+    """A folder whose files have different columns, one of them with two types, read by rule."""
+    orders = _t(spark, root, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    path = fresh_path(spark, "wide-folder")
+    status = F.col("o_orderstatus")
+    orders.where(status == "F").select("o_orderkey", "o_orderstatus").write.parquet(path)
+    orders.where(status == "O").select("o_orderkey", "o_custkey").write.mode("append").parquet(path)
+    orders.where(status == "P").select("o_orderkey", F.concat(F.lit("c"), "o_custkey").alias("o_custkey")) \
+        .write.mode("append").parquet(path)
+    meta = {"inType": "parquet", "path": path, "selectFieldNames": "o_orderkey,o_orderstatus,o_custkey",
+            "filterConditions": "o_orderkey[NE]1"}
+    return business_data(spark, meta).select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("st"),
+                                             F.col("o_custkey").alias("cust"))
+
+
 def q_wide_read_relative_window(spark, root):
     src = spark.read.parquet(os.path.join(root, "orders.parquet"))
     return read_wide_window(src, ["o_orderkey"], "o_orderdate#month#1", AS_OF_WINDOW) \
@@ -344,8 +359,8 @@ def q_profile_latest_wins(spark, root):
     path = fresh_path(spark, "profile")
     profile.write_profile(cells_, path, mode="upsert")
     profile.write_profile(cells_.where(F.col("version") % 2 == 0), path, mode="upsert")
-    compacted = profile.compact_profile(spark, path, fresh_path(spark, "profile"))
-    return profile.read_profile(spark, compacted)
+    profile.compact_profile(spark, path)
+    return profile.read_profile(spark, path)
 
 
 # ------------------------------------------------------------------ ingest
@@ -380,7 +395,7 @@ def q_tsv_ingest_wide(spark, root):
         ((F.col("o_orderkey") * k + F.col("o_custkey")) % 97).cast("string") for k in range(1, WIDE_FIELDS)]
     lines = o.select(F.concat_ws("\t", *fields).alias("value"))
     names = ["id"] + [f"f{k:03d}" for k in range(1, WIDE_FIELDS)]
-    melted = cells.melt_cells(parse_delimited_lines(lines, names, mode="strict"), "id", "detail")
+    melted = parse_cells(lines, names, "id", "detail")
     return melted.groupBy("qualifier").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("long")).alias("total"))
 
 
@@ -407,8 +422,7 @@ def q_cells_sorted_rank(spark, root):
 
 def q_bulk_load_cells(spark, root):
     """TSV lines -> strict parse -> cells -> key-sorted files -> read back."""
-    rows = parse_delimited_lines(order_lines(spark, root), ["id", "st", "prio"], mode="strict")
-    melted = cells.melt_cells(rows, "id", "detail", ["st", "prio"])
+    melted = parse_cells(order_lines(spark, root), ["id", "st", "prio"], "id", "detail")
     path = cells.write_sorted_cells(melted, fresh_path(spark, "cells"))
     return spark.read.parquet(path)
 
@@ -984,6 +998,7 @@ QUERIES = {
     "tag_insert_if_absent": q_tag_insert_if_absent,
     "rule_kv_parse": q_rule_kv_parse,
     "wide_read_conditions": q_wide_read_conditions,
+    "wide_read_union_schema": q_wide_read_union_schema,
     "wide_read_relative_window": q_wide_read_relative_window,
     "rule_match_inner": q_rule_match_inner,
     "rule_match_lookup": q_rule_match_lookup,

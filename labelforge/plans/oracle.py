@@ -135,6 +135,9 @@ ORACLE = {
                             "and o.pid=n.pid)",
     "rule_kv_parse": "select event_id, event_type as kind, cast(user_id as varchar) as usr "
                      "from events",
+    "wide_read_union_schema": "select cast(o_orderkey as varchar) id, case when o_orderstatus = 'F' then 'F' end st, "
+        "case o_orderstatus when 'O' then cast(o_custkey as varchar) when 'P' then 'c' || o_custkey end cust "
+        "from orders where o_orderkey <> 1",
     "wide_read_conditions": "select cast(o_orderkey as varchar) id, o_orderstatus st from orders "
                             "where strftime(o_orderdate,'%Y-%m-%d')>='1997-01-01' and "
                             "strftime(o_orderdate,'%Y-%m-%d')<='1997-03-31' and o_orderstatus<>'F'",

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelforge.operators.profile import KEY
-from labelforge.operators.ranges import Axis, axes_of, block_column, range_blocks
+from labelforge.operators.ranges import (AXIS_POINTS, Axis, axis_of, block_column, levels_of, range_blocks,
+                                         range_match)
 from labelforge.operators.sizing import (DEFAULT_SALT_BUCKETS, MAX_BROADCAST_BYTES, measured_bytes,
                                         sized_join)
 from labelforge.session import written
@@ -64,28 +65,34 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
-def _range_side(s: "RangeSpec") -> tuple[DataFrame, Axis | None]:
+def _range_side(s: "RangeSpec", axis_points: int) -> tuple[DataFrame, Axis | None]:
+    """A model's ranges by block, and their axis; without one if it has too many end points."""
     r = s.ranges.select(F.col("name"), F.col("start").cast("double").alias("_s"),
                         F.col("end").cast("double").alias("_e")) \
         .where((F.col("_s") <= F.col("_e")) & ~F.isnan("_s") & ~F.isnan("_e"))
-    axes = axes_of(r, axis_points=1 << 62)  # one axis: many models share the join
-    return (range_blocks(r, axes[0]), axes[0]) if axes else (r.withColumn("_b", F.lit(0)).limit(0), None)
+    axis = axis_of(r, axis_points)
+    if axis is None:
+        return r, None
+    blocks = range_blocks(r, axis)
+    axis.levels = levels_of(blocks)
+    return blocks, axis
 
 
 @dataclass
 class RuleSide:
     """Rules of several models in one frame, the axes of the range models, and its size:
-    everything that does not depend on the business rows."""
+    everything that does not depend on the business rows.  A range model without an axis is
+    matched by itself."""
 
     rules: DataFrame
     axes: dict
     size: int
 
 
-def combined_rules(spark: SparkSession, specs: list) -> tuple[DataFrame, dict]:
+def combined_rules(spark: SparkSession, specs: list, axis_points: int = AXIS_POINTS) -> tuple[DataFrame, dict]:
     """Union of every model's rules as ``(tag, k, kind, lo, hi, name)``, and the axis of each
-    range model."""
-    parts, axes = [], {}
+    range model (None for those with too many end points, which are left out)."""
+    parts, axes = [spark.createDataFrame([], RULE_SCHEMA)], {}
     for s in specs:
         if isinstance(s, MatchSpec):
             parts.append(s.rules.select(F.lit(s.tag).alias("tag"), F.col("rule").cast("string")
@@ -93,7 +100,9 @@ def combined_rules(spark: SparkSession, specs: list) -> tuple[DataFrame, dict]:
                                         F.lit(None).cast("double").alias("lo"),
                                         F.lit(None).cast("double").alias("hi"), "name"))
         elif isinstance(s, RangeSpec):
-            listed, axes[s.tag] = _range_side(s)
+            listed, axes[s.tag] = _range_side(s, axis_points)
+            if axes[s.tag] is None:
+                continue
             parts.append(listed.select(F.lit(s.tag).alias("tag"),
                                        F.col("_b").cast("string").alias("k"),
                                        F.lit(s.bounds).alias("kind"), F.col("_s").alias("lo"),
@@ -106,10 +115,10 @@ def combined_rules(spark: SparkSession, specs: list) -> tuple[DataFrame, dict]:
     return reduce(lambda a, b: a.unionByName(b), parts), axes
 
 
-def rule_side(spark: SparkSession, specs: list, keep: bool = False) -> RuleSide:
+def rule_side(spark: SparkSession, specs: list, keep: bool = False, axis_points: int = AXIS_POINTS) -> RuleSide:
     """The rule side of ``specs``; with ``keep`` written to the shared folder, for use over
     many batches of rows."""
-    rules, axes = combined_rules(spark, specs)
+    rules, axes = combined_rules(spark, specs, axis_points)
     rules = written(rules, "rules") if keep else rules
     return RuleSide(rules, axes, measured_bytes(rules))
 
@@ -122,21 +131,32 @@ def tag_all(df: DataFrame, key: str, specs: list,
     spark = df.sparkSession
     side = side or rule_side(spark, specs)
 
-    def cell(s):
+    alone = [s for s in specs if isinstance(s, RangeSpec) and side.axes[s.tag] is None]
+    specs = [s for s in specs if s not in alone]
+    rows = df
+    for k, s in enumerate(specs):
+        if isinstance(s, RangeSpec):
+            rows = side.axes[s.tag].place(rows.withColumn(f"_x{k}", _col(s.value).try_cast("double")),
+                                          f"_x{k}", f"_piece{k}")
+
+    def cell(k, s):
         is_range = isinstance(s, RangeSpec)
         text = F.lit(None).cast("string") if is_range else _col(s.value).cast("string")
-        num = _col(s.value).try_cast("double") if is_range else F.lit(None).cast("double")
+        num = F.col(f"_x{k}") if is_range else F.lit(None).cast("double")
         if is_range:
-            axis = side.axes[s.tag]
-            keys = F.transform(block_column(num, axis), lambda b: b.cast("string")) \
-                if axis else F.array().cast("array<string>")
-            keys = F.when(num.isNotNull(), keys)
+            keys = F.when(F.col(f"_piece{k}").isNotNull(), F.transform(
+                block_column(F.col(f"_piece{k}"), side.axes[s.tag].levels), lambda b: b.cast("string")))
         else:
             keys = F.array(text if isinstance(s, MatchSpec) else F.lit(""))
         return F.struct(F.lit(s.tag).alias("tag"), text.alias("s"), num.alias("x"), keys.alias("ks"))
 
-    cells = F.array(*[cell(s) for s in specs])
-    long = df.select(F.col(key).alias(KEY), F.inline(cells)) \
+    large = [range_match(df, _col(s.value).try_cast("double"), s.ranges, key, "value", s.bounds, key_alias=KEY,
+                         max_broadcast_bytes=max_broadcast_bytes, salt_buckets=salt_buckets, axis_points=0)
+             .select(KEY, F.lit(s.tag).alias("tag"), "value").where(F.col("value").isNotNull()) for s in alone]
+    if not specs:
+        return reduce(lambda a, b: a.unionByName(b), large)
+    cells = F.array(*[cell(k, s) for k, s in enumerate(specs)])
+    long = rows.select(F.col(key).alias(KEY), F.inline(cells)) \
         .select(KEY, "tag", "s", "x", F.explode("ks").alias("k"))
     rules = side.rules.select(F.col("tag").alias("_rtag"), F.col("k").alias("_rk"), "kind", "lo", "hi", "name")
 
@@ -149,7 +169,8 @@ def tag_all(df: DataFrame, key: str, specs: list,
 
     joined = sized_join(long, rules, on, "inner", [KEY, "tag"], max_broadcast_bytes, side.size, salt_buckets)
     value = F.when(F.col("kind") == "copy", F.col("s")).otherwise(F.col("name"))
-    return joined.select(KEY, "tag", value.alias("value")).where(F.col("value").isNotNull())
+    tagged = joined.select(KEY, "tag", value.alias("value")).where(F.col("value").isNotNull())
+    return reduce(lambda a, b: a.unionByName(b), [tagged, *large])
 
 
 @dataclass

@@ -75,42 +75,54 @@ def tags_with_models(tags: DataFrame, models: DataFrame, tag_key: str = "id",
 def insert_if_absent(old: DataFrame, new: DataFrame,
                      keys=("name", "level", "pid")) -> DataFrame:
     """C6 (flat): rows of ``new`` whose keys are not in ``old``, appended to ``old``.  Null
-    keys equal null keys; of several new rows under one key one is inserted, as a look-up
-    per row would do."""
+    keys equal null keys; of several new rows under one key the smallest is inserted (by its
+    columns in their order, nulls first)."""
     keys = list(keys)
+    one = new.groupBy(*keys).agg(F.min(F.struct(*new.columns)).alias("_row")).select("_row.*")
     have = old.select(*[F.col(k).alias(f"_old_{k}") for k in keys]).distinct()
-    same = reduce(lambda a, b: a & b, [new[k].eqNullSafe(have[f"_old_{k}"]) for k in keys])
-    missing = new.dropDuplicates(keys).join(have, same, "left_anti")
+    same = reduce(lambda a, b: a & b, [one[k].eqNullSafe(have[f"_old_{k}"]) for k in keys])
+    missing = one.join(have, same, "left_anti")
     return old.unionByName(missing, allowMissingColumns=True)
 
 
-def insert_tag_paths(old: DataFrame, paths: DataFrame, max_level: int = 5) -> DataFrame:
-    """C6 (per level): ``paths`` holds one row per tag path with columns
-    ``l1 .. l<max_level>`` (names; null ends a shorter path).  Level by level the
-    missing (name, level, pid) rows are inserted with fresh ids (max id + rank by
-    name) and the next level resolves its ``pid`` against the updated catalog, so a
-    child always takes the id of the row above.  The root's pid is -1.
+def catalog_paths(tags: DataFrame) -> DataFrame:
+    """(path, id) of the rows that hang together from the root (pid -1) down, a level each; of
+    several rows with one path the smallest id."""
+    spark = tags.sparkSession
+    walk = spark.sql(
+        "WITH RECURSIVE walk (id, level, path) AS ("
+        " SELECT id, level, array(name) FROM {tags} WHERE pid = -1 AND level = 1 UNION ALL"
+        " SELECT t.id, t.level, concat(walk.path, array(t.name)) FROM {tags} t"
+        " JOIN walk ON t.pid = walk.id AND t.level = walk.level + 1)"
+        " SELECT path, id FROM walk", tags=tags.select("id", "pid", "level", "name"))
+    return walk.groupBy("path").agg(F.min("id").alias("id"))
+
+
+def insert_tag_paths(old: DataFrame, paths: DataFrame, max_level: int | None = None) -> DataFrame:
+    """``paths`` holds one row per tag path with columns ``l1``, ``l2``, ... (names; null
+    ends a shorter path), of any depth or down to ``max_level``.
+
+    Every beginning of a path is a key of its own.  Those the catalog lacks get fresh ids (max
+    id + rank by level, then path) in one pass for all levels, and each takes as ``pid`` the id
+    of the beginning one shorter, old or fresh; the root's pid is -1.
     """
+    levels = sorted((int(c[1:]) for c in paths.columns if c[:1] == "l" and c[1:].isdigit()))
+    levels = [k for k in levels if max_level is None or k <= max_level]
+    names = F.array(*[F.col(f"l{k}") for k in levels])
+    depth = F.array_position(F.transform(names, lambda x: x.isNull()), True) - 1
+    whole = paths.select(F.slice(names, 1, F.when(depth < 0, len(levels)).otherwise(depth).cast("int")).alias("p"))
+    wanted = whole.where(F.size("p") > 0) \
+        .select(F.explode(F.transform(F.sequence(F.lit(1), F.size("p")), lambda k: F.slice("p", 1, k))).alias("path")) \
+        .distinct()
     cat = old.select(*CATALOG_COLUMNS)
-    walk = paths.withColumn("_pid", F.lit(-1).cast("long"))
-    for level in range(1, max_level + 1):
-        name_col = f"l{level}"
-        if name_col not in paths.columns:
-            break
-        walk = walk.where(F.col(name_col).isNotNull())
-        wanted = walk.select(F.col(name_col).alias("name"), F.lit(level).alias("level"),
-                             F.col("_pid").alias("pid")).distinct()
-        absent = wanted.join(cat.select("name", "level", "pid"), ["name", "level", "pid"],
-                             "left_anti")
-        base = cat.agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
-        fresh = global_rank(absent, ["pid", "name"], "_pos").select(
-            (F.lit(base) + F.col("_pos")).cast("long").alias("id"), "pid", "level", "name",
-            F.lit(None).cast("string").alias("rule"))
-        cat = cat.unionByName(fresh)
-        # the child level's pid is the id of this level's row on the same path
-        cat = written(cat, "catalog")  # once per level: its plan does not hold those above it
-        ids = cat.where(F.col("level") == level).select(
-            F.col("name").alias(name_col), F.col("pid").alias("_pid"), F.col("id").alias("_next"))
-        walk = written(walk.join(ids, [name_col, "_pid"]).withColumn("_pid", F.col("_next")).drop("_next"),
-                       "paths")
-    return cat
+    have = written(catalog_paths(cat), "catalog-paths")
+    absent = wanted.join(have, "path", "left_anti").withColumn("level", F.size("path"))
+    ranked = global_rank(absent, ["level", "path"], "_pos")
+    base = cat.agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
+    fresh = written(ranked.select("path", "level", (F.lit(base) + F.col("_pos")).cast("long").alias("id")), "fresh-tags")
+    above = have.unionByName(fresh.select("path", "id")).select(F.col("path").alias("_above"), F.col("id").alias("pid"))
+    beginning = F.slice("path", 1, F.col("level") - 1)
+    rows = fresh.join(above, beginning == F.col("_above"), "left") \
+        .select("id", F.coalesce("pid", F.lit(-1).cast("long")).alias("pid"), "level",
+                F.element_at("path", -1).alias("name"), F.lit(None).cast("string").alias("rule"))
+    return cat.unionByName(rows)

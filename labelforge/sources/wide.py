@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,22 +82,49 @@ def _need(meta: dict, key: str) -> str:
     return meta[key]
 
 
+def folder_parts(spark: SparkSession, kind: str, path: str, merge: bool = True) -> list[DataFrame]:
+    """A folder of Parquet or ORC files whose columns may differ, as frames that together hold
+    every cell.
+
+    Spark merges the schemas of the footers in one job; a column a file lacks is null there.
+    Files that store a column with types that cannot be merged are read per schema instead:
+    as text, which is how the wide table shows them, they do meet.  ``merge=False`` trusts one
+    footer, for folders known to be uniform."""
+    reader = spark.read.option("mergeSchema", merge)
+    try:
+        return [reader.format(kind).load(path)]
+    except (PySparkException, Py4JJavaError) as e:
+        if not merge or "merge" not in str(e).lower():
+            raise
+    one = spark.read.option("mergeSchema", False).option("basePath", path).format(kind)
+    by_schema: dict[str, list[str]] = {}
+    for name in one.load(path).inputFiles():
+        by_schema.setdefault(one.load(name).schema.json(), []).append(name)
+    return [one.load(files) for _, files in sorted(by_schema.items())]
+
+
+def _parts(spark: SparkSession, meta: dict) -> list[DataFrame]:
+    """The business table as one frame, or as several whose cells belong together."""
+    kind = meta.get("inType", "").strip().lower()
+    if kind in ("parquet", "orc"):
+        _need(meta, "path")
+        return folder_parts(spark, kind, meta["path"], meta.get("mergeSchema", "true").strip().lower() == "true")
+    return [_reader(spark, meta)]
+
+
 def _reader(spark: SparkSession, meta: dict) -> DataFrame:
     kind = meta.get("inType", "").strip().lower()
-    if kind in ("parquet", "orc", "csv", "tsv"):
+    if kind in ("csv", "tsv"):
         _need(meta, "path")
     elif kind in ("table", "jdbc"):
         _need(meta, "table")
-    if kind == "parquet":
-        return spark.read.parquet(meta["path"])
-    if kind == "orc":
-        return spark.read.orc(meta["path"])
     if kind == "table":
         return spark.table(meta["table"])
     if kind in ("csv", "tsv"):
         sep = meta.get("sep", "\t" if kind == "tsv" else ",")
         reader = spark.read.option("sep", sep).option("header", meta.get("header", "true"))
-        return reader.option("inferSchema", "false").csv(meta["path"])
+        # files whose header differs from the first one's are an error, not shifted cells
+        return reader.option("inferSchema", "false").option("enforceSchema", "false").csv(meta["path"])
     if kind == "jdbc":
         # a relational table is read by ranges of one column, or it would be one task's work
         column, low, high, parts = (_need(meta, k) for k in JDBC_RANGE_KEYS)
@@ -111,16 +140,18 @@ def business_data(spark: SparkSession, meta: dict, as_of: str | None = None,
 
     ``meta`` is the parsed rule (see ``rule_map``): ``inType`` picks the reader,
     ``selectFieldNames`` the columns, ``whereCondition`` (``field#unit#n``, needs
-    ``as_of``) and/or ``filterConditions`` (``f[OP]v,...``) the rows.
+    ``as_of``) and/or ``filterConditions`` (``f[OP]v,...``) the rows.  A folder's files may
+    have different columns and types (``folder_parts``).
     """
-    src = _reader(spark, meta)
+    parts = _parts(spark, meta)
     _need(meta, "selectFieldNames")
     conds = [c for c in [meta.get("filterConditions")] if c]
     if meta.get("whereCondition"):
         if as_of is None:
             raise ValueError("whereCondition needs as_of")
         conds.append(relative_window(meta["whereCondition"], as_of))
-    return read_wide(src, meta["selectFieldNames"], ",".join(conds) or None, missing)
+    return reduce(lambda a, b: a.unionByName(b),
+                  [read_wide(p, meta["selectFieldNames"], ",".join(conds) or None, missing) for p in parts])
 
 
 def rule_map(rule_text: str) -> dict:

@@ -7,8 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from labelforge.operators import profile
 from labelforge.plans.runner import rule_side, tag_all
-from labelforge.sources.cells import melt_cells
-from labelforge.sources.delimited import parse_delimited_lines
+from labelforge.sources.delimited import parse_cells
 
 
 def stream_tsv_cells(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
@@ -24,8 +23,7 @@ def stream_tsv_cells(spark: SparkSession, source_dir: str, sink_dir: str, checkp
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = parse_delimited_lines(reader.load(source_dir), names, mode=mode)
-    cells = melt_cells(rows, names[0], family, names[1:])
+    cells = parse_cells(reader.load(source_dir), names, names[0], family, mode=mode)
     writer = cells.writeStream.format("parquet").option("path", sink_dir) \
         .option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer
@@ -35,13 +33,14 @@ def stream_tsv_cells(spark: SparkSession, source_dir: str, sink_dir: str, checkp
 def stream_profile_updates(source: DataFrame, key: str, specs: list, profile_path: str,
                            checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Tag each micro-batch of a streaming business table with the one-scan runner
-    and upsert the cells into the long profile.  The upsert is idempotent (same
-    input, same profile), so a replayed batch after a failure changes nothing."""
+    and upsert the cells into the long profile.  A batch's run is named by its id: a
+    replayed batch takes its old place and changes nothing."""
 
     side = rule_side(source.sparkSession, specs, keep=True)  # once, not per batch
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        profile.write_profile(tag_all(batch, key, specs, side=side), profile_path, mode="upsert")
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        profile.write_profile(tag_all(batch, key, specs, side=side), profile_path, mode="upsert",
+                              run=f"{checkpoint} {batch_id}")
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

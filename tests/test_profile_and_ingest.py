@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -7,7 +8,7 @@ from labelforge.operators import profile
 from labelforge.operators.ordering import global_rank
 from labelforge.session import fresh_path
 from labelforge.sources import cells
-from labelforge.sources.delimited import parse_delimited_lines, read_tsv
+from labelforge.sources.delimited import parse_cells, parse_delimited_lines, read_tsv
 from tests.conftest import rows
 
 
@@ -67,9 +68,9 @@ def test_empty_run_clears_its_tag_only_and_leaves_no_stage(spark):
     conf = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     profile.write_profile(spark.createDataFrame([], CELL), path, tags=["job"])
     assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == [("1", "age", "b")]
-    profile.compact_profile(spark, path, root + "/compacted")
-    assert rows(profile.read_profile(spark, root + "/compacted"), "userId", "tag", "value") == [("1", "age", "b")]
-    assert sorted(os.listdir(root.removeprefix("file:"))) == ["compacted", "store"]
+    profile.compact_profile(spark, path)
+    assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == [("1", "age", "b")]
+    assert sorted(os.listdir(root.removeprefix("file:"))) == ["store"]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == conf
 
 
@@ -81,6 +82,86 @@ def test_replayed_run_changes_nothing(spark):
     assert rows(profile.read_profile(spark, path), "userId", "value") == [("1", "a"), ("2", "b")]
 
 
+def test_runs_at_the_same_time_keep_their_order_and_both_survive(spark):
+    from labelforge.operators.run_log import RunLog
+    path = fresh_path(spark, "test-profile")
+    first, second = (spark.createDataFrame(x, CELL) for x in (
+        [("1", "job", "zzz", 0), ("3", "job", "c", 0)], [("1", "job", "aaa", 0), ("2", "job", "old", 0)]))
+    log = RunLog(spark, path)
+    a = log.claim("first")  # claims its place, then takes its time
+    profile.write_profile(second, path, mode="upsert", run="second")
+    assert rows(profile.read_profile(spark, path), "userId", "value") == [("1", "aaa"), ("2", "old")]
+    with pytest.raises(RuntimeError, match="not complete"):
+        profile.compact_profile(spark, path)
+    assert profile.write_profile(first, path, mode="upsert", run="first") == a
+    # all cells are there, and the later claim counts whatever its text
+    assert rows(profile.read_profile(spark, path), "userId", "value") == [("1", "aaa"), ("2", "old"), ("3", "c")]
+    # a replacing run of the earlier place would not touch the later one's cells
+    profile.write_profile(first, path, run="first")
+    assert rows(profile.read_profile(spark, path), "userId", "value") == [("1", "aaa"), ("2", "old"), ("3", "c")]
+    # two claims that list the same runs
+    names = {RunLog(spark, path).claim() for _ in range(2)} | {f"{9:012d}-a", f"{9:012d}-b"}
+    assert len(names) == 4
+
+
+def test_a_reader_sees_all_of_a_run_or_nothing(spark):
+    from labelforge.operators.run_log import RUN, RunLog
+    path = fresh_path(spark, "test-profile")
+    profile.write_profile(spark.createDataFrame([("1", "job", "a", 0)], CELL), path)
+    log = RunLog(spark, path)
+    run = log.claim()  # dies before its commit
+    profile._append_run(profile.latest_cells(spark.createDataFrame([("1", "job", "b", 0), ("2", "age", "c", 0)], CELL)),
+                        path, run, "userId", log)
+    assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == [("1", "job", "a")]
+    log.commit(run, ["age"])
+    assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == [("1", "job", "b"), ("2", "age", "c")]
+    assert RUN == "run"
+
+
+def files_read(df):
+    """Files that the scan of a plan without shuffles opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    return plan.collectLeaves().head().metrics().apply("numFiles").value()
+
+
+def test_compaction_reads_and_leaves_what_counts(spark):
+    path = fresh_path(spark, "test-profile")
+    for k in range(4):
+        profile.write_profile(spark.createDataFrame([(str(k), "job", f"v{k}", 0), ("x", "age", str(k), 0)], CELL),
+                              path, mode="upsert")
+    want = [(str(k), "job", f"v{k}") for k in range(4)] + [("x", "age", "3")]
+    run = profile.compact_profile(spark, path, ["job"])
+    read = profile.read_profile(spark, path)
+    assert rows(read, "userId", "tag", "value") == sorted(want, key=repr)
+    assert files_read(profile._stored(spark, path, ["job"])) == 1  # earlier folders are pruned
+    assert run in {r for r, in profile._stored(spark, path, ["job"]).select("run").distinct().collect()}
+    profile.write_profile(spark.createDataFrame([("0", "job", "new", 0)], CELL), path, mode="upsert")
+    deleted = profile.vacuum_profile(spark, path)
+    assert len(deleted) == 4 and all(x.startswith("tag=job/") for x in deleted)
+    want = [("0", "job", "new")] + want[1:]
+    assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == sorted(want, key=repr)
+    profile.compact_profile(spark, path)
+    profile.vacuum_profile(spark, path)
+    assert rows(profile.read_profile(spark, path), "userId", "tag", "value") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("mode", ["strict", "trim_trailing"])
+def test_cells_by_place_equal_melted_columns(spark, mode):
+    names = ["b", "id"] + [f"f{k:02d}" for k in range(120)]
+    lines = ["\t".join([f"b{k}", str(k)] + [str(k * j % 7) if j % 5 else "" for j in range(120 + (k == 3))])
+             for k in range(6)] + [None, "", "\t" * 121]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string")
+    for key in (False, True):
+        got = parse_cells(frame, names, "id", "d", mode=mode, include_key=key, version=4)
+        want = cells.melt_cells(parse_delimited_lines(frame, names, mode=mode), "id", "d", include_key=key, version=4)
+        assert rows(got) == rows(want.select(got.columns))
+    some = parse_cells(frame, names, "id", "d", mode=mode, columns=["f03", "b"])
+    assert rows(some.select("qualifier").distinct()) == ([("b",), ("f03",)] if some.count() else [])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") <= 2 and "Expand" not in plan  # once, and once in the node's long form
+
+
 def test_search_methods(spark):
     p = spark.createDataFrame([("1", "rich"), ("2", "poor"), ("3", None)], "userId string, acct string")
     assert rows(profile.search(p, "acct", "eq", "rich"), "userId") == [("1",)]

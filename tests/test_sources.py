@@ -43,6 +43,30 @@ def test_business_data_dispatch_by_in_type(spark, members):
                               "whereCondition": "modified#day#1"})
 
 
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_files_with_different_columns_give_every_cell(spark, kind):
+    from labelforge.sources.wide import folder_parts
+    path = fresh_path(spark, "evolving")
+    meta = {"inType": kind, "path": path, "selectFieldNames": "id,x,y"}
+    spark.createDataFrame([(1, 7)], "id long, x int").write.format(kind).save(path)
+    spark.createDataFrame([(2, "b")], "id long, y string").write.mode("append").format(kind).save(path)
+    want = [("1", "7", None), ("2", None, "b")]
+    assert rows(business_data(spark, meta)) == want
+    assert len(folder_parts(spark, kind, path)) == 1
+    assert rows(business_data(spark, dict(meta, filterConditions="y[EQ]b"))) == want[1:]
+    # a type that cannot be merged, in a partitioned folder
+    spark.createDataFrame([(3, "t")], "id long, x string").write.mode("append").format(kind).save(path)
+    assert rows(business_data(spark, meta)) == want + [("3", "t", None)]
+
+
+def test_csv_files_with_another_header_are_an_error(spark, members):
+    path = fresh_path(spark, "headers")
+    members.write.option("header", True).csv(path)
+    members.select("gender", "id", "modified").write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        business_data(spark, {"inType": "csv", "path": path, "selectFieldNames": "id"}).collect()
+
+
 def test_catalog_table_read_and_append(spark, members):
     members.write.mode("overwrite").saveAsTable("members_append")
     members.write.mode("append").saveAsTable("members_append")
@@ -84,6 +108,26 @@ def test_tag_tree_helpers(spark):
     assert new == [(14, 1, 2, "age"), (15, 1, 2, "gender"), (16, 15, 3, "x")]
 
 
+def test_paths_of_any_depth_are_inserted_in_one_pass(spark):
+    schema = "id long, pid long, level int, name string, rule string"
+    tags = spark.createDataFrame([(5, -1, 1, "a", None), (9, -1, 1, "a", None), (7, 5, 2, "b", None),
+                                  (8, 9, 2, "c", None), (6, 5, 3, "far", None)], schema)
+    paths = [("a", "b", "c", "d", "e", "f"), ("a", "b", "x", None, "ignored", None), ("z", None, None, None, None, None),
+             ("a", "c", None, None, None, None), (None, "b", None, None, None, None), ("z", "b", None, None, None, None)]
+    frame = spark.createDataFrame(paths, ", ".join(f"l{k} string" for k in range(1, 7)))
+    out = {r["id"]: (r["pid"], r["level"], r["name"]) for r in catalog.insert_tag_paths(tags, frame).collect()}
+    assert {k: v for k, v in out.items() if k <= 9} == {5: (-1, 1, "a"), 9: (-1, 1, "a"), 7: (5, 2, "b"),
+                                                        8: (9, 2, "c"), 6: (5, 3, "far")}
+    # ids follow (level, path); a row below the second "a" is a path of the catalog as well
+    assert {k: v for k, v in out.items() if k > 9} == {
+        10: (-1, 1, "z"), 11: (10, 2, "b"), 12: (7, 3, "c"), 13: (7, 3, "x"), 14: (12, 4, "d"), 15: (14, 5, "e"),
+        16: (15, 6, "f")}
+    again = catalog.insert_tag_paths(catalog.insert_tag_paths(tags, frame), frame)
+    assert again.count() == len(out)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_small_helpers(spark):
     assert positional_columns(["id", "a", "b", "label"], 1, -1) == ["a", "b"]
     df = spark.createDataFrame([("2019-02-30",), ("2019-02-28",)], "t string")

@@ -203,10 +203,43 @@ def test_a_wide_range_does_not_widen_the_others(spark):
     r = spark.createDataFrame(many, "name string, start double, end double")
     df = spark.range(0, 4000).select("id", (F.col("id") * 0.5 + 0.25).alias("v"))
     parts = r.select("name", F.col("start").alias("_s"), F.col("end").alias("_e"))
-    axis, = rg.axes_of(parts)
+    axis = rg.axis_of(parts)
     listed = rg.range_blocks(parts, axis)
     assert listed.count() < 3 * len(many)
-    met = df.select("id", F.explode(rg.block_column(F.col("v"), axis)).alias("_b")).join(listed, "_b")
-    assert met.count() == 2000 * 2 + 2000  # covering ranges only
-    for points in (rg.AXIS_POINTS, 300):  # one axis, or many stretches of it
+    placed = axis.place(df, "v", "piece")
+    met = placed.select("id", F.explode(rg.block_column(F.col("piece"), rg.levels_of(listed))).alias("_b"))
+    assert met.join(listed, "_b").count() == 2000 * 2 + 2000  # covering ranges only
+    for points in (rg.AXIS_POINTS, 300):  # by splits in the scan, or by sweep
         assert range_match(df, "v", r, axis_points=points).count() == 6000
+
+
+def test_a_large_range_side_stays_off_the_driver(spark):
+    """200,000 adjacent ranges and a value that a third of the rows hold: swept, not collected."""
+    n = 200_000
+    r = spark.range(n).select(F.concat(F.lit("r"), "id").alias("name"), F.col("id").cast("double").alias("start"),
+                              (F.col("id") + 0.5).alias("end"))
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 77.25).otherwise(F.col("id") * 7.5)
+                                    .alias("v"))
+    got = range_match(df, "v", r).withColumn("v", F.when(F.col("userId") % 3 == 0, 77.25)
+                                             .otherwise(F.col("userId") * 7.5))
+    assert "toLocalIterator" not in __import__("inspect").getsource(__import__(
+        "labelforge.operators.ranges", fromlist=["x"]))
+    wrong = got.where(~F.col("v").between(F.substring("tag", 2, 9).cast("double"),
+                                          F.substring("tag", 2, 9).cast("double") + 0.5))
+    want = df.where((F.col("v") < n) & (F.col("v") - F.floor("v") <= 0.5)).count()
+    assert wrong.count() == 0 and got.count() == want > 10_000
+
+
+def test_zeros_and_ends_of_the_number_line(spark):
+    inf = float("inf")
+    r = spark.createDataFrame([("all", -inf, inf), ("zero", -0.0, 0.0), ("below", -inf, -1.0), ("above", 1.0, inf),
+                               ("big", 1.7976931348623157e308, inf), ("odd", float("nan"), 1.0), ("back", 2.0, 1.0)],
+                              "name string, start double, end double")
+    values = [0.0, -0.0, -inf, inf, 1.0, -1.0, 5e-324, 1.7976931348623157e308, float("nan"), None]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    names = {"all": (-inf, inf), "zero": (0, 0), "below": (-inf, -1), "above": (1, inf), "big": (values[7], inf)}
+    for bounds in ("closed", "left_open"):
+        want = sorted((i, n) for i, v in enumerate(values) if v is not None and v == v for n, (s, e) in names.items()
+                      if (s <= v if bounds == "closed" else s < v) and v <= e)
+        for points in (100, 0):
+            assert rows(range_match(df, "v", r, bounds=bounds, axis_points=points)) == sorted(want, key=repr)

@@ -32,8 +32,9 @@ def corr_matrix(df: DataFrame, columns: dict, nulls: str = "drop", digits: int |
     unboxing.  ``pairs='all'`` gives the full n x n matrix, ``'upper'`` only a < b in
     the given order.  Fewer than two rows, or a constant column: null; a NaN: NaN.
 
-    One pass takes the means, one the sums of products around them: matrix products
-    per Arrow batch, a few sums per pair and task to the shuffle, whatever the rows.
+    One pass: each Arrow batch gives its pairs' numbers, means and co-moments by matrix products,
+    batches and then tasks are merged pairwise (the co-moment of two parts is theirs and that of
+    their means), so a large offset on a column costs no digits and nothing is read twice.
     """
     names = list(columns)
     cols = [(F.col(v) if isinstance(v, str) else v).cast("double") for v in columns.values()]
@@ -43,15 +44,16 @@ def corr_matrix(df: DataFrame, columns: dict, nulls: str = "drop", digits: int |
         raise ValueError("nulls must be 'drop' or 'zero'")
     slots = [f"_v{i}" for i in range(len(names))]
     projected = df.select(*[c.alias(s) for c, s in zip(cols, slots)])
-    means = projected.agg(*[F.avg(F.when(~F.isnan(s), F.col(s))).alias(s) for s in slots]).first()
-    centre = [means[s] or 0.0 for s in slots]
-    sums = projected.mapInArrow(_pair_sums(centre), "i int, j int, " + ", ".join(
-        f"{s} double" for s in _PAIR_SUMS)).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
-    n, sx, sy, sxx, syy, sxy, bad = (F.col(s) for s in _PAIR_SUMS)
-    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    state = "i int, j int, " + ", ".join(f"{c} double" for c in _STATE)
+    parts = projected.mapInArrow(_pair_states(len(names)), f"{state}, part int")
+    # tasks meet in two steps: no merge gathers the states of all tasks of a large input
+    some = parts.groupBy("i", "j", "part").applyInArrow(_merge_states, state)
+    merged = some.groupBy("i", "j").applyInArrow(_merge_states, state)
+    n, _, _, cxx, cyy, cxy, bad = (F.col(c) for c in _STATE)
     # what rounding leaves of a constant column is no variance
-    flat = (vx <= 1e-12 * n * sxx) | (vy <= 1e-12 * n * syy)
-    r = F.when(bad > 0, F.lit(float("nan"))).when((n >= 2) & ~flat, (n * sxy - sx * sy) / F.sqrt(vx) / F.sqrt(vy))
+    flat = (cxx <= 1e-28 * n * F.col("mx") * F.col("mx")) | (cyy <= 1e-28 * n * F.col("my") * F.col("my"))
+    r = F.when(bad > 0, F.lit(float("nan"))).when((n >= 2) & ~flat, cxy / F.sqrt(cxx) / F.sqrt(cyy))
+    sums = merged
     label = lambda k: F.element_at(F.array(*map(F.lit, names)), F.col(k) + 1)
     out = sums.select("i", "j", label("i").alias("a"), label("j").alias("b"),
                       (F.round(r, digits) if digits is not None else r).alias("r"))
@@ -61,31 +63,65 @@ def corr_matrix(df: DataFrame, columns: dict, nulls: str = "drop", digits: int |
         out.where("i < j").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
 
 
-_PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy", "bad")
+# Of the rows that have both values of a pair: number, means, co-moments; and the NaNs.
+_STATE = ("n", "mx", "my", "cxx", "cyy", "cxy", "bad")
+_PARTS = 64
 
 
-def _pair_sums(centre: list[float]):
-    """Per task and pair i <= j, over the rows that have both values: their number, sums and
-    sums of products around ``centre``, and the number of NaNs."""
-    def sums(batches):
+def _merge(a, b):
+    """Two states (arrays of ``_STATE`` first) as one."""
+    import numpy as np
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy, w = b[1] - a[1], b[2] - a[2], a[0] * share
+    return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + w * dx * dx, a[4] + b[4] + w * dy * dy,
+                     a[5] + b[5] + w * dx * dy, a[6] + b[6]])
+
+
+def _pair_states(k: int):
+    """Per task the states of all pairs i <= j of its ``k`` columns."""
+    def states(batches):
         import numpy as np
         import pyarrow as pa
-        k = len(centre)
-        total = np.zeros((len(_PAIR_SUMS), k, k))
+        from pyspark import TaskContext
+        total = np.zeros((len(_STATE), k, k))
         for batch in batches:
-            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(k)]) - centre
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(k)])
             there = np.column_stack([batch.column(c).is_valid().to_numpy(zero_copy_only=False)
                                      for c in range(k)])
             nan = there & np.isnan(x)
-            m = there.astype(float)
-            x = np.where(there & ~nan, x, 0.0)
-            sx, sxx = x.T @ m, (x * x).T @ m
-            odd = nan.astype(float).T @ m
-            total += np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, x.T @ x, odd + odd.T])
+            odd = nan.astype(float).T @ there
+            m = there & ~nan
+            size = np.maximum(m.sum(axis=0), 1)
+            centre = np.where(m, x, 0.0).sum(axis=0) / size
+            x, m = np.where(m, x - centre, 0.0), m.astype(float)
+            n = m.T @ m
+            each = np.maximum(n, 1)
+            sx = x.T @ m  # of column i over the rows that have j as well
+            mx, my = sx / each, sx.T / each
+            sxx = (x * x).T @ m
+            own = np.stack([n, mx + centre[:, None], my + centre[None, :], sxx - n * mx * mx, sxx.T - n * my * my,
+                            x.T @ x - n * mx * my, odd + odd.T])
+            total = _merge(total, own)
         i, j = np.triu_indices(k)
-        yield pa.RecordBatch.from_pydict({"i": pa.array(i.astype(np.int32)), "j": pa.array(j.astype(np.int32)),
-                                          **{s: pa.array(total[p][i, j]) for p, s in enumerate(_PAIR_SUMS)}})
-    return sums
+        yield pa.RecordBatch.from_pydict({
+            "i": pa.array(i.astype(np.int32)), "j": pa.array(j.astype(np.int32)),
+            **{c: pa.array(total[p][i, j]) for p, c in enumerate(_STATE)},
+            "part": pa.array(np.full(len(i), TaskContext.get().partitionId() % _PARTS, np.int32))})
+    return states
+
+
+def _merge_states(table):
+    """The states of one pair as one."""
+    import numpy as np
+    import pyarrow as pa
+    rows = np.stack([table.column(c).to_numpy() for c in _STATE], axis=1)
+    rows = rows[np.lexsort(rows.T)]  # one order of the parts, one result
+    total = rows[0]
+    for row in rows[1:]:
+        total = _merge(total, row)
+    return pa.table({"i": table.column("i").slice(0, 1), "j": table.column("j").slice(0, 1),
+                     **{c: pa.array([v]) for c, v in zip(_STATE, total.tolist())}})
 
 
 def numeric_summary(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:

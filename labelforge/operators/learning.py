@@ -3,13 +3,16 @@ only model parameters and label lists come back to the driver."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import (IndexToString, MaxAbsScaler, Normalizer, StringIndexer,
                                 VectorAssembler, VectorIndexer)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelforge.operators.replace import key_pick
@@ -117,6 +120,120 @@ def fit_logistic(train: DataFrame, features: str = "features", label: str = "lab
         cached.unpersist()
 
 
+def _loss_gradients(features: str, label: str, probability: str, classes: int):
+    """Per task: sums over its rows of (p_k - y_k) x_j, and of the same with the class shares in
+    the place of p; the last slot is the intercept's."""
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+        total = None
+        for batch in batches:
+            x, p = (batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1) for c in (features, probability))
+            y = batch.column(label).to_numpy(zero_copy_only=False).astype(int)
+            x = np.column_stack([x, np.ones(len(x))])
+            hot = np.zeros((len(x), classes))
+            hot[np.arange(len(x)), y] = 1
+            own = np.stack([(p - hot).T @ x, hot.T @ x, np.broadcast_to(x.sum(axis=0), (classes, x.shape[1]))])
+            total = own if total is None else total + own
+        if total is not None:
+            k, j = np.indices(total.shape[1:])
+            yield pa.RecordBatch.from_pydict({
+                "k": pa.array(k.ravel().astype(np.int32)), "j": pa.array(j.ravel().astype(np.int32)),
+                **{c: pa.array(total[i].ravel()) for i, c in enumerate(("g", "sy", "sx"))}})
+    return sums
+
+
+def optimality(model, train: DataFrame, features: str = "features", label: str = "label",
+               reg: float = 0.0) -> DataFrame:
+    """First-order optimality of a fitted multinomial model, as a one-row frame: ``n`` rows,
+    ``gradient`` and ``start``, the largest component of the loss's gradient at the fit and at the
+    best model without features (class shares), each per row and in units of the feature's
+    deviation, and their ``ratio``, which a fit brings near to zero.
+
+    The gradient is one aggregate over ``train`` (rows and classes of the fit); with ``reg`` the
+    penalty's part, on coefficients in those units, is added (L2)."""
+    classes = model.numClasses
+    scored = model.transform(train.select(features, F.col(label).cast("double").alias(label)))
+    arrays = scored.select(vector_to_array(features).alias("x"), F.col(label).alias("y"),
+                           vector_to_array("probability").alias("p"))
+    sums = arrays.mapInArrow(_loss_gradients("x", "y", "p", classes), "k int, j int, g double, sy double, sx double") \
+        .groupBy("k", "j").agg(*[F.sum(c).alias(c) for c in ("g", "sy", "sx")])
+    spread = scored.select(Summarizer.metrics("std", "count").summary(F.col(features)).alias("s")).first()["s"]
+    width, n = len(spread["std"]), spread["count"]
+    # one number per feature and coefficient: the size of the model, not of the data
+    unit = F.array(*[F.lit(float(v) if v > 0 else 1.0) for v in spread["std"]], F.lit(1.0))
+    coefficients = model.coefficientMatrix.toArray()
+    held = F.array(*[F.array(*[F.lit(float(reg * c * (v if v > 0 else 0.0))) for c, v in zip(row, spread["std"])],
+                             F.lit(0.0)) for row in coefficients])
+    share = F.col("sy0") / n
+    whole = sums.where(F.col("j") == width).select("k", F.col("sy").alias("sy0"))
+    scaled = sums.join(F.broadcast(whole), "k").select(
+        F.abs(F.col("g") / n / F.get(unit, F.col("j")) + F.get(F.get(held, F.col("k")), F.col("j"))).alias("gradient"),
+        (F.abs(share * F.col("sx") - F.col("sy")) / n / F.get(unit, F.col("j"))).alias("start"))
+    return scaled.agg(F.lit(n).cast("long").alias("n"), F.max("gradient").alias("gradient"), F.max("start").alias("start")) \
+        .withColumn("ratio", F.col("gradient") / F.col("start"))
+
+
+def tree_nodes(model) -> list[dict]:
+    """The nodes of a fitted tree: id, its condition's feature and threshold, left, right, and
+    the way from the root as (node, went left); a leaf has no feature."""
+    out: list[dict] = []
+
+    def add(node, way):
+        own = {"id": len(out), "way": way, "feature": None}
+        out.append(own)
+        if node.subtreeDepth() > 0:
+            own |= {"feature": node.split().featureIndex(), "threshold": node.split().threshold()}
+            own["left"] = add(node.leftChild(), [*way, (own["id"], True)])
+            own["right"] = add(node.rightChild(), [*way, (own["id"], False)])
+        return own["id"]
+    add(model._java_obj.rootNode(), [])
+    return out
+
+
+def split_check(model, train: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
+    """Every split of a fitted tree on continuous features against all others: node, n, feature,
+    threshold, chosen and best (purity of the two sides, the sum over classes of squared counts
+    over rows; the greater, the less Gini impurity).
+
+    One aggregate counts the rows of each node by feature, value and class, for all nodes at
+    once; running sums over a feature's distinct values then give the purity of every
+    threshold.  For features of few distinct values (no more than the tree's bins)."""
+    nodes, classes = tree_nodes(model), model.numClasses
+    inner = [v for v in nodes if v["feature"] is not None]
+    if not inner:
+        return train.sparkSession.createDataFrame(
+            [], "node int, n long, feature int, threshold double, chosen double, best double")
+    x = F.col("x")
+
+    def reached(node):
+        steps = [(x[nodes[k]["feature"]] <= nodes[k]["threshold"]) == F.lit(left) for k, left in node["way"]]
+        return reduce(lambda a, b: a & b, steps, F.lit(True))
+    rows = train.select(vector_to_array(features).alias("x"), F.col(label).cast("int").alias("y"))
+    at = rows.select("x", "y", F.explode(F.array_compact(F.array(*[
+        F.when(reached(v), F.lit(v["id"])) for v in inner]))).alias("node"))
+    counts = at.select("node", "y", F.posexplode("x").alias("j", "v")).groupBy("node", "j", "v") \
+        .agg(*[F.sum((F.col("y") == k).cast("long")).alias(f"c{k}") for k in range(classes)])
+    # distinct values of one feature in one node: no more than the tree has bins
+    whole = Window.partitionBy("node", "j")
+    below = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = [F.sum(f"c{k}").over(below) for k in range(classes)]
+    every = [F.sum(f"c{k}").over(whole) for k in range(classes)]
+    sides = counts.select("node", "j", "v", *[a.alias(f"l{k}") for k, a in enumerate(left)],
+                          *[a.alias(f"a{k}") for k, a in enumerate(every)])
+    n_left, n_all = (reduce(lambda a, b: a + b, [F.col(f"{c}{k}") for k in range(classes)]) for c in "la")
+    square = lambda cols: reduce(lambda a, b: a + b, [c.cast("double") * c for c in cols])
+    purity = F.when(n_left < n_all, square([F.col(f"l{k}") for k in range(classes)]) / n_left + square(
+        [F.col(f"a{k}") - F.col(f"l{k}") for k in range(classes)]) / (n_all - n_left))
+    told = F.create_map(*[F.lit(z) for v in inner for z in (v["id"], v["feature"])])
+    cut = F.create_map(*[F.lit(z) for v in inner for z in (v["id"], float(v["threshold"]))])
+    scored = sides.select("node", "j", "v", n_all.alias("n"), purity.alias("purity"))
+    chosen = F.when((F.col("j") == told[F.col("node")]) & (F.col("v") <= cut[F.col("node")]), F.struct("v", "purity"))
+    return scored.groupBy("node").agg(F.max("n").alias("n"), F.max(chosen)["purity"].alias("chosen"),
+                                      F.max("purity").alias("best")) \
+        .select("node", "n", told[F.col("node")].alias("feature"), cut[F.col("node")].alias("threshold"), "chosen", "best")
+
+
 def tree_pipeline(label_in: str, vector_col: str | None = None, columns: list[str] | None = None,
                   max_categories: int = 20, max_depth: int = 5, max_bins: int = 32,
                   seed: int = 42, handle_invalid: str = "error") -> Pipeline:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelforge.session import written
@@ -22,6 +22,28 @@ def range_sorted(df: DataFrame, keys: list[str], num_partitions: int | None = No
     return ranged.sortWithinPartitions(*keys)
 
 
+def order_check(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Whether the files at ``path``, read in the order of their names, hold one unbroken
+    order of ``keys``; one row: ``rows``, ``files``, ``breaks_inside`` (rows less than the one before
+    them in their file) and ``breaks_between`` (files that begin with less than an earlier one
+    ends with).
+
+    Rows meet by file, in their place there; files then meet by one row each."""
+    key = F.struct(*keys)
+    rows = spark.read.parquet(path).select(key.alias("k"), F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("at"))
+    before = F.lag("k").over(Window.partitionBy("file").orderBy("at"))
+    told = rows.withColumn("less", (before > F.col("k")).cast("long")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("less").alias("less"), F.min_by("k", "at").alias("first"),
+        F.max_by("k", "at").alias("last"))
+    # one row per file
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    joined = told.withColumn("cut", (F.max("last").over(earlier) > F.col("first")).cast("long"))
+    return joined.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"),
+                      F.coalesce(F.sum("less"), F.lit(0)).alias("breaks_inside"),
+                      F.coalesce(F.sum("cut"), F.lit(0)).alias("breaks_between"))
+
+
 def global_rank(df: DataFrame, keys: list[str], out: str = "pos",
                 num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row in the total order of ``keys`` (ties in the order of

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelforge.operators.run_log import RUN, RunLog, newest
+from labelforge.operators.sizing import sized_join
+from labelforge.session import written
 
 KEY = "userId"
 SEARCH_OPERATORS = ("eq", "ne", "lt", "le", "gt", "ge", "contains")
@@ -195,6 +197,34 @@ def search(profile: DataFrame, column: str, method: str, value,
     return out.select(*columns) if columns else out
 
 
+def search_cells(cells: DataFrame, column: str, method: str, value, columns: list[str],
+                 key: str = KEY) -> DataFrame:
+    """B8/M19 on long cells ``(key, tag, value)``: the wide rows of ``columns`` where ``column
+    <method> value``, without a wide view of everybody.
+
+    The predicate is evaluated on its own tag's cells.  The other tags' cells are cut down to the
+    keys that match before they are shuffled (by a broadcast of the keys if they are few, see
+    ``sized_join``), and only those become columns."""
+    own = cells.where(F.col("tag") == column).select(key, F.col("value").alias(column))
+    hits = own.where(search_predicate(column, method, value))
+    others = [c for c in columns if c not in (key, column)]
+    if not others:
+        return hits.select(*columns)
+    hits = written(hits, "search-hits")
+    named = hits.select(F.col(key).alias("_hit")).distinct()
+    rest = sized_join(cells.where(F.col("tag").isin(others)), named, lambda a, b: a[key] == b["_hit"], "inner",
+                      [key, "tag"]).select(key, "tag", "value")
+    wide = rest.groupBy(key).agg(*[F.max(F.when(F.col("tag") == t, F.col("value"))).alias(t) for t in others])
+    return hits.join(wide, key, "left").select(*columns)
+
+
+def search_profile(spark: SparkSession, path: str, column: str, method: str, value, columns: list[str],
+                   key: str = KEY) -> DataFrame:
+    """``search_cells`` on the store at ``path``: of the folders, those of the tags in use are read."""
+    tags = list(dict.fromkeys(c for c in [column, *columns] if c != key))
+    return search_cells(read_profile(spark, path, tags, key), column, method, value, columns, key)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV with a header.  ``single_file`` funnels everything through one task
     (the reference's ``coalesce(1)``) and is only for small results."""

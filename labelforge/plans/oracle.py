@@ -245,6 +245,8 @@ ORACLE = {
                       "desc,p_partkey) rn from part) where rn<=3",
     "cells_pivot_back": "select cast(n_nationkey as varchar) rowkey, n_name as name, "
                         "cast(n_regionkey as varchar) as region from nation",
+    "sorted_order_check": "select count(*) as rows, cast(0 as bigint) as breaks_inside, cast(0 as bigint) as "
+                          "breaks_between, true as hot_row_cut from lineitem",
     "bulk_load_cells": "select cast(o_orderkey as varchar) rowkey, 'detail' as family, 'st' as "
                        "qualifier, o_orderstatus as value from orders where "
                        "o_orderpriority<>'5-LOW' union all select cast(o_orderkey as varchar), "
@@ -313,20 +315,23 @@ ORACLE = {
                        "left join (values ('debt',-1000.0,0.0),('mid',0.0,5000.0),"
                        "('rich',5000.0,10000.0)) a(name,s,e) on c.c_acctbal>a.s and "
                        "c.c_acctbal<=a.e left join nation n on c.c_nationkey=n.n_nationkey",
-    "logistic_predict_tag": f"select {_SPLIT80} as split, count(*) as n, true as letters_known, true as "
-                            "above_floor from embeddings group by 1",
+    "logistic_predict_tag": f"select {_SPLIT80} as split, count(*) as n, true as letters_known, case when "
+                            f"{_SPLIT80}='train' then true end as gradient_small from embeddings group by 1",
     "decision_tree_predict": "select case when l_quantity>25 then 'large' else 'small' end as "
                              "\"predictedLabel\", count(*) as n, true as right, (select (max(l_quantity) filter "
                              "(where l_quantity<=25)+min(l_quantity) filter (where l_quantity>25))/2.0 from "
                              "lineitem)::double as threshold from lineitem group by 1",
     "model_save_load": "select count(*) as n, true as same from embeddings",
-    "rating_logistic_eval": f"select {_SPLIT80} as split, count(*) as n, true as above_floor, true as "
-                            "within_one_more from embeddings group by 1",
+    "rating_logistic_eval": f"select {_SPLIT80} as split, count(*) as n, case when {_SPLIT80}='train' "
+                            "then true end as gradient_small, true as within_one_more from embeddings group by 1",
     "rating_predict_profile": "select count(*) as n, true as letters_known from embeddings",
-    "rating_tree_eval": f"select {_SPLIT80.replace('<80', '<70')} as split, count(*) as n, true as above_floor "
-                        "from embeddings group by 1",
+    "rating_tree_eval": f"select split, count(*) as n, true as known, case split when 'train' then true end as "
+                        "splits_best, case split when 'train' then count(*) end as root_rows from (select "
+                        f"{_SPLIT80.replace('<80', '<70').replace('vec_id', 'l_orderkey')} as split from lineitem) "
+                        "group by 1",
     "normalised_classify": f"select {_SPLIT80} as split, count(*) as n, true as known_class, true as "
-                           "unit_length, true as above_floor from embeddings group by 1 union all "
+                           f"unit_length, case when {_SPLIT80}='train' then true end as gradient_small from embeddings "
+                           "group by 1 union all "
                            "select 'literal', 1, true, true, null",
     "rule_text_edges": "select n_nationkey, 'x' as kind, n_name as fam, case n_nationkey%3 when 0 then "
                        "-n_nationkey when 1 then -9 end as lo, case n_nationkey%3 when 0 then 5 when 1 then "

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelforge.operators.ordering import range_sorted
 
+_MANIFEST = "_manifest"
 CELL_COLUMNS = ("rowkey", "family", "qualifier", "value")
 
 
@@ -34,13 +36,20 @@ def cell_scan(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cells.agg(F.countDistinct("rowkey").alias("rows")), cells
 
 
-def write_sorted_cells(cells: DataFrame, path: str, num_partitions: int | None = None) -> str:
+def write_sorted_cells(cells: DataFrame, path: str, num_partitions: int | None = None,
+                       cut_rows: bool = False) -> str:
     """A11 bulk output: cells globally sorted by (rowkey, qualifier) across files,
     output location replaced.  Range partitioning on the row key keeps every file a
-    contiguous key range holding whole rows, so later point gets prune by Parquet
-    min/max statistics."""
-    range_sorted(cells, ["rowkey", "qualifier"], num_partitions, partition_keys=["rowkey"]) \
-        .write.mode("overwrite").parquet(path)
+    contiguous key range holding whole rows; with ``cut_rows`` a row of very many cells may
+    go on in the next file.  Each file carries a Bloom filter of its row keys, and a manifest
+    beside the files their key ranges, for ``get_row``."""
+    range_sorted(cells, ["rowkey", "qualifier"], num_partitions,
+                 partition_keys=["rowkey", "qualifier"] if cut_rows else ["rowkey"]) \
+        .write.mode("overwrite").option("parquet.bloom.filter.enabled#rowkey", "true").parquet(path)
+    spark = cells.sparkSession
+    spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")) \
+        .agg(F.min("rowkey").alias("low"), F.max("rowkey").alias("high")) \
+        .sort("low").write.parquet(f"{path}/{_MANIFEST}")
     return path
 
 
@@ -50,6 +59,17 @@ def pivot_cells(cells: DataFrame, qualifiers: list[str]) -> DataFrame:
 
 
 def get_row(spark: SparkSession, path: str, rowkey: str, family: str | None = None) -> DataFrame:
-    """Cells of one row key (row-group pruning on the sorted output)."""
-    df = spark.read.parquet(path).where(F.col("rowkey") == rowkey)
+    """Cells of one row key.  The manifest names the files whose key range holds it (one, or
+    those a cut row goes on in); in these, row groups are skipped by their key range and Bloom
+    filter.  Sorted files without a manifest are all asked."""
+    try:
+        ranges = spark.read.parquet(f"{path}/{_MANIFEST}")
+    except AnalysisException:
+        df = spark.read.parquet(path)
+    else:
+        files = ranges.where((F.col("low") <= rowkey) & (F.col("high") >= rowkey)).collect()
+        schema = spark.read.parquet(path).schema
+        df = spark.read.schema(schema).parquet(*[f"{path}/{r['file']}" for r in files]) if files \
+            else spark.createDataFrame([], schema)
+    df = df.where(F.col("rowkey") == rowkey)
     return df.where(F.col("family") == family) if family else df

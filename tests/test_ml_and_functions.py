@@ -1,7 +1,9 @@
 import hashlib
+import random
+from collections import Counter
 
 import pytest
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegressionModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -93,6 +95,59 @@ def test_corr_matrix_single_pass(spark):
     assert out[("a", "b")] == 1.0 and out[("a", "a")] == 1.0 and len(out) == 9
 
 
+def test_corr_matrix_reads_once_and_bears_offsets(spark):
+    rnd = random.Random(2)
+    data = [(x := rnd.gauss(0, 1), 0.5 * x + rnd.gauss(0, 1), rnd.random()) for _ in range(4000)]
+    plain = spark.createDataFrame(data, "a double, b double, c double").repartition(7)
+    moved = plain.withColumn("a", F.col("a") + 1e9).withColumn("c", F.col("c") - 1e9)
+    for df, digits in ((plain, 9), (moved, 5)):
+        out = {(r["a"], r["b"]): r["r"] for r in aggregates.corr_matrix(df, {k: k for k in "abc"}, digits=None).collect()}
+        for a, b in ("ab", "ac", "bc"):
+            assert round(out[a, b], digits) == round(plain.agg(F.corr(a, b)).first()[0], digits)
+    path = fresh_path(spark, "corr")
+    plain.write.parquet(path)
+    plan = aggregates.corr_matrix(spark.read.parquet(path), {"a": "a", "b": "b"}, pairs="upper") \
+        ._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+
+
+def test_gradient_vanishes_at_a_fit_and_not_on_shuffled_labels(spark):
+    rnd = random.Random(3)
+    data = [(k, Vectors.dense([rnd.gauss(k % 3 == 0, 1), 50 * rnd.gauss(k % 3 == 1, 1), 0.0]), float(k % 3)) for k in range(600)]
+    df = spark.createDataFrame(data, ["id", "features", "label"])
+    model = learning.fit_logistic(df, max_iter=100)
+    fit = learning.optimality(model, df).first()
+    assert fit["n"] == 600 and fit["ratio"] < 0.01
+    shuffled = df.withColumn("label", F.pmod(F.xxhash64("id"), F.lit(3)).cast("double"))
+    assert learning.optimality(learning.fit_logistic(shuffled, max_iter=100), df).first()["ratio"] > 0.3
+    assert learning.optimality(learning.fit_logistic(df, max_iter=1), df).first()["ratio"] > 0.05
+    held = learning.fit_logistic(df, max_iter=200, reg=0.1)
+    assert learning.optimality(held, df, reg=0.1).first()["ratio"] < 0.01
+    assert learning.optimality(held, df).first()["ratio"] > 0.05
+
+
+def test_every_split_is_compared_with_all_thresholds(spark):
+    rnd = random.Random(5)
+    points = [(rnd.randrange(9), rnd.randrange(5), rnd.randrange(7)) for _ in range(900)]
+    data = [(Vectors.dense(list(map(float, p))), float((p[0] > 4) + (p[1] > 2) * (p[2] % 2))) for p in points]
+    df = spark.createDataFrame(data, ["features", "label"])
+    model = DecisionTreeClassifier(maxDepth=4, maxBins=32, seed=1).fit(df)
+    checked = learning.split_check(model, df).collect()
+    inner = [v for v in learning.tree_nodes(model) if v["feature"] is not None]
+    assert len(checked) == len(inner) > 4 and max(r["n"] for r in checked) == 900
+    assert all(abs(r["chosen"] - r["best"]) <= 1e-9 * r["best"] for r in checked)
+
+    def purity(rows):
+        return sum(n * n for n in Counter(y for _, y in rows).values()) / len(rows) if rows else 0
+
+    def best(rows):
+        return max(purity([r for r in rows if r[0][j] <= t]) + purity([r for r in rows if r[0][j] > t])
+                   for j in range(3) for t in {r[0][j] for r in rows} if any(r[0][j] > t for r in rows))
+    assert abs(best(data) - next(r["best"] for r in checked if r["n"] == 900)) < 1e-6
+    wrong = df.withColumn("label", F.pmod(F.xxhash64("features"), F.lit(2)).cast("double"))
+    assert any(r["chosen"] < r["best"] * (1 - 1e-9) for r in learning.split_check(model, wrong).collect())
+
+
 def _separable(spark):
     data = [(i, Vectors.dense([float(i % 3) * 5 + (i % 7) * 0.1, float(i % 3) * -3.0]),
              float(i % 3)) for i in range(300)]

@@ -162,6 +162,35 @@ def test_cells_by_place_equal_melted_columns(spark, mode):
     assert plan.count("split(") <= 2 and "Expand" not in plan  # once, and once in the node's long form
 
 
+def test_order_check_finds_a_break_in_and_between_files(spark):
+    from labelforge.operators.ordering import order_check
+    df = spark.createDataFrame([(f"{k // 400}", k) for k in range(1000)], "a string, b int")
+    path = cells.write_sorted_cells(df.select(F.col("a").alias("rowkey"), F.lpad(F.col("b").cast("string"), 5, "0")
+                                              .alias("qualifier")), fresh_path(spark, "order"), 5, cut_rows=True)
+    told = order_check(spark, path, ["rowkey", "qualifier"]).first()
+    assert (told["rows"], told["breaks_inside"], told["breaks_between"]) == (1000, 0, 0) and told["files"] > 3
+    bad = fresh_path(spark, "order")
+    df.repartitionByRange(3, "b").sortWithinPartitions(F.desc("b")).write.parquet(bad)
+    told = order_check(spark, bad, ["b"]).first()
+    assert told["breaks_inside"] == 997 and told["breaks_between"] == 0
+    df.repartitionByRange(3, F.desc("b")).sortWithinPartitions("b").write.mode("overwrite").parquet(bad)
+    told = order_check(spark, bad, ["b"]).first()
+    assert told["breaks_inside"] == 0 and told["breaks_between"] == 2
+
+
+def test_search_builds_columns_for_hits_only(spark):
+    data = [(str(k), t, f"{t}{k % 5}") for k in range(200) for t in ("a", "b", "c") if (k + ord(t)) % 7]
+    path = fresh_path(spark, "search-store")
+    profile.write_profile(spark.createDataFrame(data, "userId string, tag string, value string"), path)
+    wide = profile.pivot_long(profile.read_profile(spark, path), ["a", "b", "c"])
+    columns = ["userId", "c", "a"]
+    for method, value in (("eq", "b3"), ("ge", "b2"), ("contains", "4"), ("eq", "none")):
+        got = profile.search_profile(spark, path, "b", method, value, columns)
+        assert rows(got) == rows(profile.search(wide, "b", method, value, columns))
+    assert rows(profile.search_profile(spark, path, "b", "eq", "b1", ["userId", "b"])) == \
+        rows(profile.search(wide, "b", "eq", "b1", ["userId", "b"]))
+
+
 def test_search_methods(spark):
     p = spark.createDataFrame([("1", "rich"), ("2", "poor"), ("3", None)], "userId string, acct string")
     assert rows(profile.search(p, "acct", "eq", "rich"), "userId") == [("1",)]
@@ -209,6 +238,9 @@ def test_cells_melt_sort_get_and_pivot(spark):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
     assert rows(cells.get_row(spark, path, "7")) == [("7", "detail", "flag", "1"),
                                                      ("7", "detail", "name", "n7")]
+    one = cells.get_row(spark, path, "7")
+    assert files_read(one) == 1 and len(os.listdir(path.removeprefix("file:"))) > 4
+    assert cells.get_row(spark, path, "99x").collect() == []
     back = cells.pivot_cells(stored, ["name", "flag"])
     assert back.where(F.col("rowkey") == "3").first()["flag"] is None
 

@@ -1,20 +1,16 @@
-"""Summarise the final (AQE) physical plan of every catalogue query into PLANS.md.
+"""Summarise the final (AQE) physical plans of all jobs of every catalogue query into PLANS.md.
 
-Usage: python tools/plan_report.py [sf_dir] > PLANS.md
-Counts per query: shuffles by kind, broadcasts, reused exchanges, join strategies,
-aggregates, windows, Python evaluation nodes, and whether scans carry pushed filters.
-For queries that write and read back, the plan shown is the read-back's.
+Usage: python tools/check_oracle.py --events DIR [sf_dir]; python tools/plan_report.py DIR > PLANS.md
+Reads the event log of that run.  Counts per query, over every plan it executed (tables written
+on the way, fits, lookups and the result): shuffles by kind, broadcasts, reused exchanges, join
+strategies, aggregates, windows, Python evaluation nodes, and scans with pushed filters.
 """
 
-import os
+import glob
+import json
 import re
 import sys
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-from __spark_entry__ import queries  # noqa: E402
-from labelforge.session import build_session  # noqa: E402
-
 PATTERNS = [
     ("hash shuffle", r"Exchange hashpartitioning"),
     ("range shuffle", r"Exchange rangepartitioning"),
@@ -33,32 +29,47 @@ PATTERNS = [
 ]
 
 
-def summarise(plan: str) -> dict:
-    plan = plan.split("== Initial Plan ==")[0]  # the final plan only
-    out = {k: len(re.findall(p, plan)) for k, p in PATTERNS}
-    out["pushed filters"] = len(re.findall(r"PushedFilters: \[(?!\])", plan))
-    out["scans"] = plan.count("FileScan")
-    return out
+SQL = "org.apache.spark.sql.execution.ui.SparkListenerSQL"
+
+
+def nodes(info: dict) -> list[str]:
+    own = [] if info["nodeName"] == "AdaptiveSparkPlan" else [info["simpleString"]]
+    return own + [x for child in info["children"] for x in nodes(child)]
+
+
+def summarise(plans: list[list[str]]) -> dict:
+    text = "\n".join(x for plan in plans for x in plan)
+    out = {k: len(re.findall(p, text)) for k, p in PATTERNS}
+    out["pushed filters"] = len(re.findall(r"PushedFilters: \[(?!\])", text))
+    out["scans"] = text.count("FileScan")
+    return {"plans": len(plans)} | out
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=16)
-    cols = [k for k, _ in PATTERNS] + ["pushed filters", "scans"]
+    executed: dict[int, tuple[str, list[str]]] = {}
+    for path in glob.glob(f"{sys.argv[1]}/*"):
+        for line in open(path):
+            event = json.loads(line)
+            if event["Event"] == SQL + "ExecutionStart":
+                executed[event["executionId"]] = event["description"], nodes(event["sparkPlanInfo"])
+            elif event["Event"] == SQL + "AdaptiveExecutionUpdate":  # the last one is the final plan
+                executed[event["executionId"]] = executed[event["executionId"]][0], nodes(event["sparkPlanInfo"])
+    by_query: dict[str, list] = {}
+    for name, plan in executed.values():
+        if name.startswith("query "):
+            by_query.setdefault(name[6:], []).append(plan)
+    cols = ["plans"] + [k for k, _ in PATTERNS] + ["pushed filters", "scans"]
     print("# Physical plans of the query catalogue\n")
-    print(f"Final AQE plans at `{sf}` (`python tools/plan_report.py`), counted per node type. "
-          "Single-row global aggregates (counts, correlations, accuracies) show one "
-          "single-partition shuffle of partial states. Small frames built from "
+    print("Final AQE plans at `sf0.01` (`tools/plan_report.py`), counted per node type over all plans that a "
+          "query executes. Single-row global aggregates (counts, sizes, accuracies) show one "
+          "single-partition shuffle of partial states each. Small frames built from "
           "literals or the catalog (rules, ranges, offsets, one row per partition) "
           "account for the broadcasts.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---" * (len(cols) + 1) + "|")
-    for name, fn in queries().items():
-        df = fn(spark, sf)
-        df.collect()
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
+    for name, plans in by_query.items():
+        s = summarise(plans)
         print(f"| {name} | " + " | ".join(str(s[c]) if s[c] else "" for c in cols) + " |")
-    spark.stop()
 
 
 if __name__ == "__main__":

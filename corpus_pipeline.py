@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelforge.llm import decontam, packing, secrets, simhash, toxicity
-from labelforge.llm.common import read, unused, written
+from labelforge.llm.common import arrow_batches, read, unused, written
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,9 @@ STAGES = [
     ("packing", pack),
 ]
 
+# Rows that a Python worker takes at a time.
+BATCH_ROWS = 2000
+
 # SQL cannot state trained models, SimHash components and a packing.
 ORACLE_SQL = None
 
@@ -59,6 +62,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    # executors keep serving one stage after another: small batches bound what each leaves behind
+    with arrow_batches(spark, BATCH_ROWS):
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), name)
+        return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from labelforge.session import fresh_path, written
 
-__all__ = ["discard", "fresh_path", "partitions", "raw_texts", "read", "release_memory", "unused", "written"]
+__all__ = ["arrow_batches", "discard", "fresh_path", "partitions", "raw_texts", "read", "release_memory", "unused", "written"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -44,6 +45,19 @@ def partitions(spark: SparkSession) -> int:
 
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Jobs planned inside hand at most ``rows`` rows at a time to Python workers: what a worker and
+    its executor hold of long texts shrinks with it.  The session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release_memory() -> None:
     """Hands freed memory back to the system.  Python workers serve one task after another,
     beside the executor's heap, and would keep what their largest task took."""

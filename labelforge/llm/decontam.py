@@ -28,7 +28,7 @@ from labelforge.llm.common import raw_texts, read, release_memory, written
 
 WINDOW = 13
 # Text of one suffix array, and benchmark text that is broadcast at once.
-SHARD_BYTES, BLOCK_BYTES = 6 << 20, 4 << 20
+SHARD_BYTES, BLOCK_BYTES = 3 << 20, 4 << 20
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _STEP = 8
 STATS = T.StructType([
@@ -275,7 +275,7 @@ def scan_benchmark(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                         held, texts, size = [], [], 0
             if held:
                 yield from flush()
-            held, texts = [], []
+            held, texts, batch, own, block = [], [], None, None, None
             release_memory()
 
         current = current.mapInArrow(shards, schema)

@@ -22,6 +22,7 @@ import itertools
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,7 @@ TRAIN_TOXIC, TRAIN_CLEAN = 10_000, 20_000
 # A word or beginning counts as evidence from this log-likelihood ratio on.
 LEAST_EVIDENCE = 12.0
 PREFIX = range(3, 7)
-CACHE_TOKENS, BEAM, CHUNK_BYTES = 100_000, 12, 2 << 20
-# Tokens that one word may be split into, at most.
-WINDOW = 32
+CACHE_TOKENS, HELD_FEATURES, BEAM, CHUNK_BYTES = 50_000, 200_000, 12, 1 << 20
 # Letters the language model tells apart; all others share one symbol.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 END, OTHER = "^", "?"
@@ -63,15 +62,17 @@ def letter_counts(docs: DataFrame) -> dict[str, int]:
     signs = END + OTHER + LETTERS
 
     def count(it):
-        table = np.array([signs.find(c) if (c := chr(k)) in LETTERS else int(c.isalpha())
-                          for k in range(0x110000)], np.uint8)
+        table, told = np.zeros(0x110000, np.uint8), np.zeros(0x110000, bool)
         grams = np.zeros(1 << 18, np.int64)
         for batch in it:
             texts = batch.column(0)
             for lo, hi in _chunks(texts, CHUNK_BYTES // 2):
                 low = pc.utf8_lower(texts.slice(lo, hi - lo).fill_null(""))
                 text = "\n".join(low.to_pylist()).encode("utf-32-le", "replace")
-                seen = table[np.frombuffer(text, np.uint32)]
+                signs_seen = np.frombuffer(text, np.uint32)
+                for k in np.unique(signs_seen[~told[signs_seen]]).tolist():
+                    table[k], told[k] = signs.find(c) if (c := chr(k)) in LETTERS else int(c.isalpha()), True
+                seen = table[signs_seen]
                 inside = seen > 0
                 word = np.cumsum(np.diff(inside.astype(np.int8), prepend=0) == 1)[inside]
                 if not len(word):
@@ -206,7 +207,10 @@ def beginnings(weights: dict[str, float]) -> tuple[frozenset, frozenset, frozens
 
 def begins(shape: str, heads: frozenset, after: int = 0) -> bool:
     """Whether a skeleton begins with one of ``heads`` that has more than ``after`` letters."""
-    return any(shape[:k] in heads for k in range(after + 1, len(shape) + 1))
+    for k in range(after + 1, len(shape) + 1):
+        if shape[:k] in heads:
+            return True
+    return False
 
 
 def joined(first: str, second: str) -> str:
@@ -214,11 +218,12 @@ def joined(first: str, second: str) -> str:
     return first + (second[1:] if first[-1:] == second[:1] else second)
 
 
-def split_windows(shapes: list[str], whole: frozenset, proper: frozenset) -> list[int]:
+def split_windows(shapes: Iterable[str], whole: frozenset, proper: frozenset) -> list[int]:
     """How many of the first tokens (by their skeletons) may be pieces of one weighted word,
-    with or without an ending."""
-    shape, out = shapes[0], []
-    for k, s in enumerate(shapes[1:], 2):
+    with or without an ending; no more skeletons are taken than that needs."""
+    shapes = iter(shapes)
+    shape, out = next(shapes), []
+    for k, s in enumerate(shapes, 2):
         if not s:
             continue
         if begins(longer := joined(shape, s), whole, len(shape)):
@@ -362,6 +367,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
              words.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = (sum(n for (_, t), n in sizes.items() if t == k) for k in (1, 0))
     if not toxic or not clean:
+        words.unpersist()
         return model
 
     def count(it):
@@ -375,7 +381,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
             for own, t, h in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 for f in {f for w in own for f in features(w)}:
                     found.setdefault(f, [0, 0, 0, 0])[2 * h + t] += 1
-                if len(found) > CACHE_TOKENS:
+                if len(found) > HELD_FEATURES:
                     yield counted()
                     found.clear()
         yield counted()
@@ -408,9 +414,133 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     model["curve"] = _curve(x, np.array([r["toxic"] for r in table], float))
     model["curve"][0] -= math.log(rarer) if rarer > 0 else 0.0
     words.unpersist()
+    for used in (letters, halves):
+        used.destroy()
     return model
 
 
+# Punctuation around a word, as ``_core`` takes it off; a '!' only at the end.
+_AROUND = ".,;:?\"'()[]{}<>#%&*"
+
+
+def _doubled(words: pa.Array) -> np.ndarray:
+    """Which words hold the same sign twice in a row."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    found = np.zeros(len(data) + 1, np.int64)
+    for size, lead in ((1, data < 0x80), (2, (data >= 0xC0) & (data < 0xE0)), (3, (data >= 0xE0) & (data < 0xF0)),
+                       (4, data >= 0xF0)):
+        n = len(data) - 2 * size + 1
+        if n > 0:
+            same = lead[:n].copy()
+            for k in range(size):
+                same &= data[k:k + n] == data[k + size:k + size + n]
+            # counted at the second sign's first byte
+            found[1 + size:1 + size + n] += same
+    total = np.cumsum(found)
+    # a pair across two words ends in a later word's first sign
+    return total[ends[1:]] - total[np.minimum(ends[:-1] + 1, ends[1:])] > 0
+
+
+class PlainWords:
+    """Tokens that show one word of two letters or more, none of them doubled, with or without
+    punctuation around it.  There is nothing to restore in them: their evidence and skeletons
+    are those of the word, found for all tokens at once."""
+
+    def __init__(self, weights: dict[str, float], proper: frozenset):
+        by_size: dict[int, dict[str, float]] = {k: {} for k in [*PREFIX, 0]}
+        for f, w in weights.items():
+            by_size[0 if f.endswith("$") else len(f)][f.rstrip("$")] = w
+        self.sets = {k: (pa.array(list(own), pa.string()), np.array([*own.values(), 0.0]))
+                     for k, own in by_size.items()}
+        self.proper = pa.array(sorted(proper), pa.string())
+
+    def weigh(self, words: pa.Array) -> np.ndarray:
+        """Weight of each word, 0 without any."""
+        best = np.zeros(len(words))
+        for k, (names, weights) in self.sets.items():
+            begun = pc.utf8_slice_codeunits(words, 0, k) if k else words
+            best = np.maximum(best, weights[pc.index_in(begun, names).fill_null(len(names)).to_numpy()])
+        return best
+
+    def read(self, tokens: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, pa.Array, np.ndarray]:
+        """(which tokens are plain; then for all, with values for plain ones only: their words, the
+        words' weights, the skeletons, and which of these begin a weighted word)."""
+        words = pc.utf8_rtrim(pc.utf8_ltrim(tokens, _AROUND), _AROUND + "!")
+        plain = pc.and_(pc.utf8_is_alpha(words), pc.greater(pc.utf8_length(words), 1)) \
+            .to_numpy(zero_copy_only=False) & ~_doubled(words)
+        shapes = pc.replace_substring_regex(pc.replace_substring(words, "l", "i"), "ii+", "i")
+        opening = pc.is_in(shapes, self.proper).to_numpy(zero_copy_only=False)
+        return plain, words, np.where(plain, self.weigh(words), 0.0), shapes, plain & opening
+
+
+class Continuations:
+    """Which signs can follow a proper beginning of a weighted word: nearly all pairs of
+    neighbouring tokens are ruled out by the first ``DEPTH`` of them at once."""
+
+    DEPTH = 4
+
+    def __init__(self, whole: frozenset, proper: frozenset):
+        self.number = {h: k for k, h in enumerate(sorted(proper))}
+        # a sign is a byte; those beyond 254 kinds share one, which rules out less
+        kinds = sorted({c for h in whole for c in h})
+        self.sign = {c: min(k, 254) for k, c in enumerate(kinds, 1)}
+        self.known: dict[str, int] = {}  # first signs as one number
+        self.after: list[np.ndarray] = []  # by number of signs: what may follow
+        self.ends: list[np.ndarray] = []  # by number of signs: what ends a weighted word
+        for n in range(1, self.DEPTH + 1):
+            some = {(h[:k], h[k:k + n], len(h) == k + n) for h in whole for k in range(1, len(h) - n + 1)}
+            self.after.append(np.array(sorted({self._key(f, x) for f, x, _ in some}), np.int64))
+            self.ends.append(np.array(sorted({self._key(f, x) for f, x, e in some if e}), np.int64))
+
+    def _key(self, first: str, signs: str) -> int:
+        out = self.number[first]
+        for k in range(self.DEPTH):
+            out = out << 8 | (self.sign.get(signs[k], 255) if k < len(signs) else 0)
+        return out
+
+    @staticmethod
+    def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+        if not len(ordered):
+            return np.zeros(len(values), bool)
+        return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+    def may_follow(self, shapes: dict[int, str], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """For pairs of places in ``shapes``, the first a proper beginning: False where the two
+        joined neither are a beginning nor hold a whole word."""
+        depth, get = self.DEPTH, self.sign.get
+        if len(self.known) > CACHE_TOKENS:
+            self.known.clear()
+        # the signs of a second piece, one a byte, the first highest
+        distinct, at = np.unique(second, return_inverse=True)
+        packed = np.zeros(len(distinct), np.int64)
+        for n, k in enumerate(distinct.tolist()):
+            some = shapes[k][:depth + 1]
+            if (value := self.known.get(some)) is None:
+                value = 0
+                for j in range(depth + 1):
+                    value = value << 8 | (get(some[j], 255) if j < len(some) else 0)
+                self.known[some] = value
+            packed[n] = value
+        signs = (packed[:, None] >> 8 * np.arange(depth, -1, -1)) & 255
+        distinct, begin = np.unique(first, return_inverse=True)
+        begun = np.array([get(shapes[k][-1], 255) for k in distinct.tolist()], np.int64)[begin]
+        numbers = np.array([self.number[shapes[k]] for k in distinct.tolist()], np.int64)[begin]
+        own = signs[at]
+        empty = own[:, 0] == 0
+        same = own[:, 0] == begun  # written once where the two meet
+        own = np.where(same[:, None], own[:, 1:], own[:, :-1])
+        out = empty | (own[:, 0] == 0)
+        key = numbers
+        for n in range(depth):
+            key = key << 8 | own[:, n]
+            whole_key = key << 8 * (depth - 1 - n)
+            # a word ends after these signs; or the piece does, or there is more to compare than depth
+            last = (own[:, n + 1] == 0) if n + 1 < depth else np.ones(len(own), bool)
+            out |= self._among(whole_key, self.ends[n]) | (last & self._among(whole_key, self.after[n]))
+        return out
+
+
 def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] | None = None) -> DataFrame:
     """``docs(text, ...)`` with a column ``out``: the probability of label 1, from the text
     alone, whole texts of any length.  Null and empty texts are scored as texts without
@@ -425,7 +555,10 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
     def scored(it):
         letters, weights, curve = (shared.value[k] for k in ("letters", "weights", "curve"))
         heads, whole, proper = beginnings(weights)
+        plain_words, continuations = PlainWords(weights, proper), Continuations(whole, proper)
         known: dict[str, tuple] = {}
+        joins: dict[tuple[str, str], tuple] = {}
+        splits: dict[tuple, tuple] = {}
 
         def weighed(words) -> tuple:
             return tuple((w, b) for w in words if (b := max(weights.get(f, 0.0) for f in features(w))) > 0)
@@ -437,12 +570,34 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
                                         is_small(token))
             return found
 
-        def split_evidence(pieces: list[str]) -> dict[str, float]:
-            """Evidence of words whose pieces are the first tokens here.  They begin with a whole
-            weighted word: a shorter beginning is soon made up by two unrelated words."""
-            read = {w for k in split_windows([known[t][1] for t in pieces], whole, proper)
-                    for w in restore(" ".join(map(_core, pieces[:k])), letters, 0.0).split()}
-            return dict(weighed(w for w in read if any(w[:k] + "$" in weights for k in range(1, len(w) + 1))))
+        def word_evidence(word: str) -> tuple:
+            """The same of a token that shows one word, with doubled letters."""
+            if (found := known.get(word)) is None:
+                form = skeleton(word)
+                read = {word, *restore(word, letters).split()} if begins(form, heads) else {word}
+                found = known[word] = (weighed(read), form, False)
+            return found
+
+        def step(state: str, piece: str) -> tuple[str | None, bool]:
+            """What a beginning of weighted words becomes with the next skeleton (None: no beginning
+            any more), and whether the two begin with a weighted word.  Only as many signs as the
+            longest such word has can tell."""
+            key = state, piece[:longest]
+            if (done := joins.get(key)) is None:
+                longer = joined(state, piece)
+                done = joins[key] = longer if longer in proper else None, begins(longer, whole, len(state))
+            return done
+
+        def split_evidence(cores: tuple[str, ...]) -> tuple:
+            """Evidence of a word in these pieces.  It begins with a whole weighted word: a shorter
+            beginning is soon made up by two unrelated words."""
+            if (own := splits.get(cores)) is None:
+                read = restore(" ".join(cores), letters, 0.0).split()
+                own = splits[cores] = weighed(w for w in set(read) if any(
+                    w[:k] + "$" in weights for k in range(1, len(w) + 1)))
+            return own
+
+        longest = max(map(len, whole), default=0) + 1
 
         def probability(found: dict[str, float]) -> float:
             top, total = max(found.values(), default=0.0), math.log1p(sum(found.values()))
@@ -452,14 +607,27 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
         def chunk(texts: pa.Array) -> list[float]:
             if curve is None:
                 return [0.0] * len(texts)
-            if len(known) > CACHE_TOKENS:
-                known.clear()
-            low = pc.utf8_lower(texts.fill_null(""))
-            split = pc.utf8_split_whitespace(low)
+            for memory in (known, joins, splits):
+                if len(memory) > CACHE_TOKENS:
+                    memory.clear()
+            split = pc.utf8_split_whitespace(pc.utf8_lower(texts.fill_null("")))
             coded = split.flatten().dictionary_encode()
-            tokens = coded.dictionary.to_pylist()
-            shown, shapes, small = zip(*map(token_evidence, tokens)) if tokens else ((), (), ())
+            tokens = coded.dictionary
             token, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+            del split, coded
+            plain, words, weight, shapes, opening = plain_words.read(tokens)
+            single = np.zeros(len(tokens), bool)
+            shown: dict[int, tuple] = {k: ((words[k].as_py(), weight[k]),) for k in np.flatnonzero(weight > 0).tolist()}
+            rest = np.flatnonzero(~plain)
+            shape: dict[int, str] = {}
+            letters_only = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+            for k, t, core in zip(rest.tolist(), tokens.take(pa.array(rest)).to_pylist(),
+                                  words.take(pa.array(rest)).to_pylist()):
+                own, shape[k], single[k] = word_evidence(core) if letters_only[k] and len(core) > 1 \
+                    else token_evidence(t)
+                opening[k] = shape[k] in proper
+                if own:
+                    shown[k] = own
             found: dict[int, dict] = {}
 
             def add(at: np.ndarray, evidence) -> None:
@@ -467,8 +635,10 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
                     if new := evidence(x, int(ends[k + 1])):
                         found.setdefault(k, {}).update(new)
 
-            add(np.flatnonzero(np.array([bool(e) for e in shown], bool)[token]), lambda x, _: shown[token[x]])
-            single = np.array(small, bool)[token]
+            telling = np.zeros(len(tokens), bool)
+            telling[list(shown)] = True
+            add(np.flatnonzero(telling[token]), lambda x, _: shown[int(token[x])])
+            single = single[token]
             starts = single.copy()
             starts[1:] &= ~single[:-1]
             starts[ends[:-1][ends[:-1] < len(token)]] = True
@@ -477,21 +647,55 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
 
             def run_evidence(x: int, end: int) -> tuple:
                 stop = x + int((~single[x:end]).argmax()) if not single[x:end].all() else end
-                run = spaced_run([tokens[t] for t in token[x:stop]])
+                run = spaced_run(tokens.take(pa.array(token[x:stop])).to_pylist())
                 return weighed(run_readings(run, letters)) if run else ()
 
             add(np.flatnonzero(starts), run_evidence)
-            opening = np.array([s in proper for s in shapes], bool)[token]
+            opening = opening[token]
             opening[-1:] = False
             at = np.flatnonzero(opening)
-            # each pair of neighbours is judged once; a token without signs lies between others
+            # each pair of neighbours is judged once
             pairs, pair = np.unique(token[at].astype(np.int64) * len(tokens) + token[at + 1], return_inverse=True)
-            goes_on = np.zeros(len(pairs), bool)
-            for n, p in enumerate(pairs.tolist()):
-                first, second = shapes[p // len(tokens)], shapes[p % len(tokens)]
-                longer = joined(first, second)
-                goes_on[n] = not second or longer in proper or begins(longer, whole, len(first))
-            add(at[goes_on[pair]], lambda x, end: split_evidence([tokens[t] for t in token[x:min(end, x + WINDOW)]]))
+            first, second = pairs // max(1, len(tokens)), pairs % max(1, len(tokens))
+            listed: dict[int, str] = shape
+            needed = np.unique(np.concatenate([first, second]))
+            needed = needed[plain[needed]]
+            listed.update(zip(needed.tolist(), shapes.take(pa.array(needed)).to_pylist()))
+            joint = continuations.may_follow(listed, first, second)
+            # what a pair tells by itself; only beginnings go on to the tokens behind it
+            told, open_ = np.zeros(len(pairs), bool), np.zeros(len(pairs), bool)
+            evidence_of: dict[int, tuple] = {}
+            for k in np.flatnonzero(joint).tolist():
+                if not (piece := listed[int(second[k])]):
+                    open_[k] = True
+                    continue
+                state, whole_word = step(listed[int(first[k])], piece)
+                open_[k] = state is not None
+                if whole_word and not open_[k]:
+                    cores = _core(tokens[int(first[k])].as_py()), _core(tokens[int(second[k])].as_py())
+                    if own := split_evidence(cores):
+                        told[k], evidence_of[k] = True, own
+
+            def joined_evidence(x: int, end: int) -> dict:
+                state, out = listed[int(token[x])], {}
+                for y in range(x + 1, end):
+                    if (piece := listed.get(k := int(token[y]))) is None:
+                        piece = listed[k] = shapes[k].as_py()
+                    if not piece:
+                        continue
+                    state, whole_word = step(state, piece)
+                    if whole_word:
+                        out |= dict(split_evidence(tuple(_core(tokens[int(t)].as_py()) for t in token[x:y + 1])))
+                    if state is None:
+                        break
+                return out
+
+            add(at[open_[pair]], joined_evidence)
+            # a pair counts within one text only
+            ended = np.flatnonzero(told[pair])
+            ended = ended[np.searchsorted(ends, at[ended], "right") == np.searchsorted(ends, at[ended] + 1, "right")]
+            of_pair = dict(zip(at[ended].tolist(), pair[ended].tolist()))
+            add(at[ended], lambda x, _: evidence_of[of_pair[x]])
             nothing = probability({})
             return [probability(found[k]) if k in found else nothing for k in range(len(texts))]
 
@@ -500,8 +704,10 @@ def score(docs: DataFrame, model: dict, out: str = "toxicity", keep: list[str] |
             values = [v for lo, hi in _chunks(texts) for v in chunk(texts.slice(lo, hi - lo))]
             arrays = [batch.column(columns.index(c)) for c in returned] + [pa.array(values, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*returned, out])
+            del batch, texts, values, arrays
             release_memory()
-        known.clear()
+        for memory in (known, joins, splits):
+            memory.clear()
         release_memory()
 
     return docs.select(*columns).mapInArrow(scored, schema)

@@ -41,7 +41,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 4096 tokens."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, chunk_bytes=CHUNK_BYTES)
 
 
 STAGES = [
@@ -52,8 +52,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Rows that a Python worker takes at a time.
-BATCH_ROWS = 2000
+# Rows that a Python worker takes at a time, and text that it tokenizes at once.
+BATCH_ROWS, CHUNK_BYTES = 2000, 3 << 20
 
 # SQL cannot state trained models, SimHash components and a packing.
 ORACLE_SQL = None

@@ -6,8 +6,9 @@ into groups of bounded size; each group is packed best-fit (longest first), and
 local search empties its emptiest sequences: a piece moves to a fuller sequence, or one
 or two pieces are exchanged for one of a fuller sequence, whenever that raises the sum of
 squared fills.  It ends when the group uses as few sequences as its tokens can fill, or
-no exchange is left.  The sequences of a group that stay well underfull are opened again
-and packed with those of other groups, round after round, until one group is left.
+no exchange is left.  Sequences that stay well underfull and have room for the smallest such
+piece are opened again and packed with those of other groups, round after round, as long
+as their tokens would fill fewer sequences and a round makes them fewer.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelforge.llm.common import read, release_memory, written
+from labelforge.llm.common import read, release_memory, unused, written
 
 SEQUENCE_TOKENS, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 # Stands between words that are encoded together.
 MARK = "\x01"
 # Pieces in one packing group; text tokenized at once.
-GROUP_PIECES, CHUNK_BYTES = 50_000, 8 << 20
+GROUP_PIECES, CHUNK_BYTES = 20_000, 8 << 20
+# From this fill on a sequence is not opened again.
+FULL = 0.98
 # Words of letters that normalization leaves alone, perhaps with one stop.
 _SIMPLE = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
@@ -128,12 +131,13 @@ def _gather(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_TOKENS,
-                 end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+                 end_id: int = END_ID, with_ids: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per piece: doc_id, piece, start, length, ids_crc32,
     and the token ids themselves with ``with_ids``.  A document is its ids and then
     ``end_id``; null or empty text is ``end_id`` alone, a long one is cut into several pieces.
     Repeated rows and null ids give pieces of their own, other columns are ignored, an empty
-    table gives none."""
+    table gives none.  ``chunk_bytes``: text tokenized at once; less of it holds less memory and
+    meets the same words more often."""
     id_field = docs.schema["doc_id"]
     schema = T.StructType([id_field, T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -149,7 +153,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_
             sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
             while lo < len(texts):
                 done = sizes[lo - 1] if lo else 0
-                hi = max(lo + 1, int(np.searchsorted(sizes, done + CHUNK_BYTES)))
+                hi = max(lo + 1, int(np.searchsorted(sizes, done + chunk_bytes)))
                 rows: list[tuple] = []
                 for k, own in enumerate(words.encode(texts.slice(lo, hi - lo)), lo):
                     own = np.concatenate([own, end]).astype("<u4")
@@ -202,15 +206,19 @@ def _best_exchange(give: np.ndarray, lengths: np.ndarray, room: np.ndarray) -> t
 def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
     """Empties underfull bins by moves, one-for-one and two-for-one exchanges with fuller
     bins, each of which raises the sum of squared fills, until the bins number as few as
-    the tokens can fill or no exchange is left."""
+    the tokens can fill or no exchange is left: bins that had none are looked at again as long
+    as others change."""
     bins = bins.copy()
     fill = np.bincount(bins, weights=lengths).astype(np.int64)
     least, used = -(-int(lengths.sum()) // capacity), int((fill > 0).sum())
-    stuck = np.zeros(len(fill), bool)
+    stuck, changed = np.zeros(len(fill), bool), False
     while used > least:
         candidates = np.flatnonzero((fill > 0) & (fill < capacity) & ~stuck)
         if not len(candidates):
-            break
+            if not changed:
+                break
+            stuck[:], changed = False, False
+            continue
         source = candidates[fill[candidates].argmin()]
         own = np.flatnonzero(bins == source)
         own = own[np.argsort(lengths[own], kind="stable")]
@@ -241,6 +249,7 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.nda
         if out is None:
             stuck[source] = True
             continue
+        changed = True
         shift = int(lengths[out].sum() - lengths[back].sum()) if back else int(lengths[out].sum())
         bins[out] = target
         bins[back] = source
@@ -253,7 +262,7 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.nda
 def _packer(sequence: int, base: int, groups: int):
     """Packs the pieces of one group; its sequences are numbered ``base + group + groups * k``."""
     def packed(table):
-        table = table.sort_by("_piece_key")
+        table = table.sort_by("key")
         lengths = table.column("length").to_numpy().astype(np.int64)
         if (lengths <= 0).any() or (lengths > sequence).any():
             raise ValueError("a piece must have 1 to `sequence` tokens")
@@ -263,12 +272,10 @@ def _packer(sequence: int, base: int, groups: int):
         first = np.flatnonzero(np.append(True, np.diff(bins[order]) > 0))
         offset = np.empty(len(bins), np.int64)
         offset[order] = before - np.repeat(before[first], np.diff(np.append(first, len(bins))))
-        fill = np.bincount(bins, weights=lengths)
-        again = (fill[bins] < 0.98 * sequence) & (groups > 1)
-        group = table.column("_group")[0].as_py()
-        return pa.table({"_piece_key": table.column("_piece_key"), "length": table.column("length"),
-                         "sequence_id": base + group + groups * bins, "offset": offset,
-                         "reopen": again})
+        room = sequence - np.bincount(bins, weights=lengths).astype(np.int64)
+        group = table.column("group")[0].as_py()
+        return pa.table({"key": table.column("key"), "length": table.column("length"),
+                         "sequence_id": base + group + groups * bins, "offset": offset, "room": room[bins]})
     return packed
 
 
@@ -278,36 +285,44 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE_TOKENS,
 
     Every row is packed, repeated rows each for themselves; null or negative lengths are an
     error.  Same input layout, same result.  Columns named sequence_id or offset are
-    replaced; an empty frame gives an empty one."""
+    replaced, all others stay, whatever their names; an empty frame gives an empty one."""
     pieces = pieces.drop("sequence_id", "offset")
-    columns = pieces.columns
-    out = pieces.schema.add("sequence_id", T.LongType()).add("offset", T.LongType())
-    state = written(pieces.withColumn("_piece_key", F.monotonically_increasing_id()), "pieces")
+    columns, key = pieces.columns, unused("_piece_key", pieces.columns)
+    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
+                        T.StructField("offset", T.LongType())])
+    state = written(pieces.withColumn(key, F.monotonically_increasing_id()), "pieces")
     full = state.where(F.col("length") == sequence) \
-        .select(*columns, (-1 - F.col("_piece_key")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        .select(*columns, (-1 - F.col(key)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = state.where((F.col("length") != sequence) | F.col("length").isNull())
-    done, todo, base = [full], rest.select("_piece_key", "length"), 0
-    round_schema = "_piece_key long, length long, sequence_id long, offset long, reopen boolean"
+    done, base, before = [], 0, None
+    todo = rest.select(F.col(key).alias("key"), F.col("length").cast("long").alias("length"))
     n = todo.count()
     while True:
         groups = max(1, -(-n // group_pieces))
-
-        dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_piece_key"), F.lit(groups)))
-        placed = written(dealt.groupBy("_group").applyInArrow(_packer(sequence, base, groups), round_schema), "packed")
-        settled = placed.where("not reopen").select("_piece_key", "sequence_id", "offset")
-        done.append(settled)
-        todo = placed.where("reopen").select("_piece_key", "length")
-        left = todo.count() if groups > 1 else 0
-        if not left:
+        dealt = todo.withColumn("group", F.pmod(F.xxhash64("key", F.lit(base)), F.lit(groups)))
+        placed = written(dealt.groupBy("group").applyInArrow(
+            _packer(sequence, base, groups), "key long, length long, sequence_id long, offset long, room long"), "packed")
+        underfull = F.col("room") > (1 - FULL) * sequence
+        told = placed.agg(F.sum((F.col("offset") == 0).cast("long")).alias("used"),
+                          F.min(F.when(underfull, F.col("length"))).alias("smallest")).first()
+        reopened = underfull & (F.col("room") >= F.lit(told["smallest"]))
+        left = placed.where(reopened).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("tokens"),
+                                          F.sum((F.col("offset") == 0).cast("long")).alias("used")).first()
+        # one group has searched all there is; else another round must be able to save a sequence
+        # and the last one must have saved one
+        if groups == 1 or not left["n"] or left["used"] <= -(-left["tokens"] // sequence) \
+                or (before is not None and told["used"] >= before):
+            done.append(placed)
             break
+        done.append(placed.where(~reopened))
         base += groups * (n + 1)
-        # a round that settles nothing would repeat itself: then one more, in fewer groups
-        group_pieces, n = (group_pieces if left < n else 2 * group_pieces), left
-    places = done[1]
-    for more in done[2:]:
+        todo, n, before = placed.where(reopened).select("key", "length"), left["n"], left["used"]
+    places = done[0]
+    for more in done[1:]:
         places = places.union(more)
-    joined = rest.join(places, "_piece_key").select(*columns, "sequence_id", "offset")
-    return full.union(joined).select(*[F.col(f.name) for f in out])
+    joined = rest.join(places.select(F.col("key").alias(key), "sequence_id", "offset"), key) \
+        .select(*columns, "sequence_id", "offset")
+    return full.union(joined).select(*[F.col(f"`{f.name}`") for f in out])
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -317,10 +332,10 @@ def sequences(packed: DataFrame) -> DataFrame:
     return parts.select("sequence_id", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids"))
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Pieces of ``docs(doc_id, text, ...)`` with their places."""
     import public_tokenizers
-    return pack(token_pieces(docs, tokenizer_path or public_tokenizers.path(TOKENIZER)))
+    return pack(token_pieces(docs, tokenizer_path or public_tokenizers.path(TOKENIZER), chunk_bytes=chunk_bytes))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -236,15 +236,15 @@ def split_windows(shapes: Iterable[str], whole: frozenset, proper: frozenset) ->
 def restored_words(text: str, model: dict[str, float], known: dict[str, tuple]) -> set[str]:
     """All words of a text, shown or restored token by token or from runs of single signs;
     ``known`` remembers tokens."""
-    if len(known) > CACHE_TOKENS:
+    if len(known) > HELD_FEATURES // 2:
         known.clear()
     tokens = text.lower().split()
     out: set[str] = set()
     for t in set(tokens):
         if (w := known.get(t)) is None:
-            w = known[t] = tuple(readings(t, model))
-        out.update(w)
-    small = [t if is_small(t) else None for t in tokens]
+            w = known[t] = tuple(readings(t, model)), is_small(t)
+        out.update(w[0])
+    small = [t if known[t][1] else None for t in tokens]
     for some, run in itertools.groupby(small, lambda t: t is not None):
         if some and (run := spaced_run(list(run))):
             out.update(run_readings(run, model))
@@ -253,6 +253,8 @@ def restored_words(text: str, model: dict[str, float], known: dict[str, tuple])
 
 def is_small(token: str) -> bool:
     """At most one sign beside punctuation."""
+    if len(token) > 1 and token[:2].isalnum():
+        return False
     return len(token) == 1 or len(_SEPARATOR.sub("", token)) < 2
 
 
@@ -271,7 +273,10 @@ def run_readings(run: str, model: dict[str, float]) -> set[str]:
 
 
 def features(word: str) -> list[str]:
-    return [word[:k] for k in PREFIX if len(word) >= k] + [word + "$"]
+    out = [word + "$"]
+    for k in PREFIX[:max(0, len(word) - PREFIX[0] + 1)]:
+        out.append(word[:k])
+    return out
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
@@ -380,7 +385,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
         for batch in it:
             for own, t, h in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 for f in {f for w in own for f in features(w)}:
-                    found.setdefault(f, [0, 0, 0, 0])[2 * h + t] += 1
+                    if (n := found.get(f)) is None:
+                        n = found[f] = [0, 0, 0, 0]
+                    n[2 * h + t] += 1
                 if len(found) > HELD_FEATURES:
                     yield counted()
                     found.clear()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from labelforge.llm import decontam, packing, phrases, secrets, shards, simhash, toxicity, warc
 from labelforge.llm.components import connected_components
-from labelforge.session import fresh_path
+from labelforge.session import fresh_path, written
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, fp long, n int, text_hash string, _key int, shard int, slot int"
@@ -312,6 +312,37 @@ def test_packing_in_several_groups_and_rounds(spark):
     assert len(fill) <= 1.04 * -(-total // 100)
 
 
+def test_pieces_that_cannot_be_paired_stay_in_bounded_groups(spark, monkeypatch):
+    """None of these pieces fits beside another: no round gathers them in one group."""
+    seen = []
+    packer = packing._packer
+    monkeypatch.setattr(packing, "_packer", lambda q, b, groups: seen.append(groups) or packer(q, b, groups))
+    for lengths in ([60] * 2000, [60] * 1999 + [1]):
+        frame = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long")
+        rows = packing.pack(frame, 100, group_pieces=250).collect()
+        assert len({r["sequence_id"] for r in rows}) == len(lengths) - lengths.count(1)
+        assert all(g >= 8 for g in seen) and len(seen) <= 2
+        seen.clear()
+
+
+def test_packing_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(k, 30, f"x{k}", k, k, k, k) for k in range(7)],
+                                  "doc_id long, length long, _piece_key string, _group int, key int, `group` int, room int")
+    rows = packing.pack(frame, 100).collect()
+    assert sorted((r["doc_id"], r["_piece_key"], r["_group"], r["key"], r["group"], r["room"]) for r in rows) == \
+        [(k, f"x{k}", k, k, k, k) for k in range(7)]
+    assert len({r["sequence_id"] for r in rows}) == 3
+
+
+def test_a_second_local_search_finds_nothing():
+    for seed in range(150):
+        rng = np.random.default_rng(seed)
+        lengths = rng.integers(1, 100, rng.integers(2, 40))
+        once = packing.local_search(lengths, packing.best_fit(lengths, 100), 100)
+        twice = packing.local_search(lengths, once, 100)
+        assert (once == twice).all()
+
+
 def test_local_search_empties_bins_that_best_fit_leaves():
     rng = np.random.default_rng(1)
     better = 0
@@ -531,6 +562,56 @@ def test_forest_learns_from_given_findings(spark):
     assert got.where(F.col("is_secret") != (F.col("digits") < 1)).count() == 0
 
 
+def slow_features(value, words):
+    n = len(value)
+    kinds = "".join("U" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else "9" if "0" <= c <= "9" else "-" for c in value)
+    steps = [sum(kinds[i:i + 2] == a + b for i in range(n - 1)) / max(n - 1, 1)
+             for a in secrets.KINDS for b in secrets.KINDS]
+    covered = sum(len(w) for w in re.findall("[a-z]{3,}", value.lower()) if w in words)
+    return [n, kinds.count("9") / n, kinds.count("U") / n, kinds.count("l") / n, kinds.count("-") / n,
+            len(set(value)) / n, float(bool(re.fullmatch("[0-9a-fA-F]+", value))), covered / n,
+            sum(c in "/.\\" for c in value), float("@" in value), *steps]
+
+
+def test_forest_features_equal_their_definition(spark):
+    rnd = random.Random(12)
+    values = ["".join(rnd.choices("aBz09-_/.@Xq", k=rnd.randrange(8, 30))) + "q1" for _ in range(60)] + ["helloworld12 ", "AbAbAbAb1"]
+    found = spark.createDataFrame([(k, 0, v.strip(), "", "token", True, "a", "b") for k, v in enumerate(values)],
+                                  "doc_id long, word_index int, value string, tail string, name string, assigned boolean, "
+                                  "before string, after string")
+    words = spark.createDataFrame([("helloworld",), ("qqq",), ("zbz",)], "word string")
+    names = ["length", "digits", "uppers", "lowers", "signs", "distinct", "hexadecimal", "coverage", "path_signs", "at_sign",
+             *secrets.TRANSITIONS]
+    for r in secrets.with_features(found, words).collect():
+        want = slow_features(r["value"], {"helloworld", "qqq", "zbz"})
+        assert np.allclose([r[c] for c in names], want), r["value"]
+        assert r["telling"] == r["assigned_"] == 1.0
+
+
+def test_whole_values_and_telling_names(spark):
+    cases = {'password = "S3cr3tPass99!" x': ("S3cr3tPass99!", ""), "secret=abcdEFGH1234$$ x": ("abcdEFGH1234", "$$"),
+             'token="ab;cd99!!", y': ("ab;cd99!!", "")}
+    found = {(r["doc_id"], r["value"], r["tail"]) for r in
+             secrets.candidates(docs_of(spark, list(enumerate(cases)))).collect()}
+    assert all((k, *v) in found for k, v in enumerate(cases.values()))
+    for text in ("the author wrote plainly", "secretary plainly said", "the authority wanted plainly"):
+        assert secrets.candidates(docs_of(spark, [(1, text)])).count() == 0
+    key = "f3a9c17e5b2d48aa90cc"
+    rows = [(k, f'token = "{random.Random(k).getrandbits(128):032x}" of {random.Random(k).randrange(10**11)}') for k in range(60)]
+    rows += [(100, f'password = "{key}!"'), (101, f"secret={key}$$ end"), (102, "token=your_password_here1234567 x")]
+    frame = docs_of(spark, rows)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(frame, secrets.dictionary(frame.select("text"))).collect()}
+    assert clean[100] == 'password = "[secret]"' and clean[101] == "secret=[secret] end" and clean[102] == rows[-1][1]
+
+
+def test_forest_on_findings_it_did_not_learn_from(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = secrets.dictionary(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
+    found = secrets.rule_labels(written(secrets.with_features(secrets.candidates(frame), words), "findings"))
+    told = secrets.held_out_quality(written(found, "labelled")).first()
+    assert told["findings"] > 10 and told["precision"] >= 0.9 and told["recall"] >= 0.9
+
+
 def test_candidates_of_every_assignment(spark):
     cases = {"password = correcthorsebattery": "correcthorsebattery", "token: AbCdEfGhIjKlMnOpQrStUvWx": "AbCdEfGhIjKlMnOpQrStUvWx",
              "see postgres://user:letmeinplease@host/db": "letmeinplease", "password=hunter2 x": "hunter2",

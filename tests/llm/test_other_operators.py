@@ -30,8 +30,13 @@ def test_calls_are_linked_ordered_and_validated(spark):
     calls = spark.createDataFrame(rows, CALLS)
     results = spark.createDataFrame([(1, "a", "r2", 1), (1, "a", "r1", 1), (2, "a", None, 1), (2, "zz", "lost", 1),
                                      (None, "a", "x", 1)], "conv_id long, call_id string, content string, turn int")
-    got = {(r["conv_id"], r["call_id"]): r for r in chat.link_tool_calls(calls, results, chat.SCHEMAS).collect()}
+    every = chat.link_tool_calls(calls, results, chat.SCHEMAS).collect()
+    got = {(r["conv_id"], r["call_id"]): r for r in every if r["status"] != "duplicate"}
     assert len(got) == 14
+    again = sorted((r["conv_id"], r["call_id"], r["name"], r["canonical"]) for r in every if r["status"] == "duplicate"
+                   and r["name"] is None)
+    assert again == [(1, "a", None, '{"id":"a","result":"r2"}')]
+    assert [(r["conv_id"], r["call_id"]) for r in every if r["status"] == "duplicate" and r["name"]] == [(2, "a")]
     assert [got[1, c]["level"] for c in "abcdzpqr"] == [0, 1, 2, 0, 0, None, None, None]
     assert got[1, "d"]["n_missing"] == 2 and got[1, "z"]["n_missing"] == 0
     assert got[1, "a"]["status"] == got[2, "a"]["status"] == "linked" and got[2, "zz"]["status"] == "orphan"
@@ -45,6 +50,61 @@ def test_calls_are_linked_ordered_and_validated(spark):
     assert none.count() == 0
 
 
+def slow_links(calls, results):
+    """(conv, turn, id, name, status, result) of every row, call by call."""
+    out, made = [], {}
+    for c, t, i, n, a, d in sorted(calls, key=lambda r: (r[0], r[1], r[2], r[3], r[4], r[5])):
+        if (c, t, i) in made:
+            out.append((c, t, i, n, "duplicate", None))
+        else:
+            made[c, t, i] = [n, None, d]
+    for c, i, x, t in sorted(results, key=lambda r: (r[3] is None, r[3] or 0, r[2])):
+        turns = [k[1] for k in made if k[0] == c and k[2] == i and (t is None or k[1] <= t)]
+        if not turns:
+            out.append((c, t, i, None, "orphan", x))
+        elif made[c, max(turns), i][1] is None:
+            made[c, max(turns), i][1] = x
+        else:
+            out.append((c, max(turns), i, None, "duplicate", x))
+    for (c, t, i), (n, x, d) in made.items():
+        missing = {p for p in d if not any(k[0] == c and k[2] == p and k[1] <= t for k in made)}
+        out.append((c, t, i, n, "unanswered" if x is None else "linked", x, len(missing)))
+    return sorted((r if len(r) > 6 else (*r, 0) for r in out), key=repr)
+
+
+def test_no_call_and_no_result_is_lost_where_ids_repeat(spark):
+    rnd = random.Random(11)
+    calls = [(rnd.randrange(3), rnd.randrange(6), f"i{rnd.randrange(4)}", rnd.choice(["search", "lookup"]),
+              f'{{"query":"{rnd.randrange(3)}"}}', [f"i{rnd.randrange(5)}"]) for _ in range(70)]
+    results = [(rnd.randrange(4), f"i{rnd.randrange(5)}", f"r{rnd.randrange(4)}", rnd.choice([None, 0, 1, 2, 3, 4, 5, 6]))
+               for _ in range(60)]
+    got = chat.link_tool_calls(
+        spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>"),
+        spark.createDataFrame(results, "conv_id long, call_id string, content string, turn long"), chat.SCHEMAS).collect()
+    told = sorted(((r["conv_id"], r["turn"], r["call_id"], r["name"], r["status"], json.loads(r["canonical"])["result"],
+                    r["n_missing"]) for r in got), key=repr)
+    assert told == slow_links(calls, results)
+    assert len(got) == len(calls) + len(results) - sum(r["status"] == "linked" for r in got)
+
+
+def test_schema_keywords_are_checked_or_refused():
+    cases = [({"pattern": "^a+$"}, "aa", "ab", "pattern"), ({"const": 1}, 1.0, 2, "const"),
+             ({"exclusiveMinimum": 3}, 4, 3, "exclusiveMinimum"), ({"exclusiveMaximum": 3}, 2, 3, "exclusiveMaximum"),
+             ({"multipleOf": 0.1}, 0.3, 0.35, "multipleOf"), ({"uniqueItems": True}, [1, "1"], [1, 1.0], "uniqueItems"),
+             ({"anyOf": [{"type": "string"}, {"minimum": 5}]}, 7, 3, "anyOf"), ({"not": {"type": "null"}}, 1, None, "not"),
+             ({"oneOf": [{"minimum": 1}, {"maximum": 3}]}, 0, 2, "oneOf"), ({"maxProperties": 1}, {"a": 1}, {"a": 1, "b": 2},
+                                                                            "maxProperties"),
+             ({"additionalProperties": {"type": "string"}}, {"a": "x"}, {"a": 1}, "type"),
+             ({"allOf": [{"minimum": 2}, {"maximum": 4}]}, 3, 5, "maximum")]
+    for schema, good, bad, what in cases:
+        chat.check_schema(schema)
+        assert chat.violations(good, schema) == []
+        assert len(found := chat.violations(bad, schema)) == 1 and found[0].endswith(what)
+    for schema in ({"$ref": "#/x"}, {"properties": {"a": {"patternProperties": {}}}}, {"anyOf": [{"format": "date"}]}):
+        with pytest.raises(ValueError, match="not supported"):
+            chat.check_schema(schema)
+
+
 def slow_levels(edges, nodes):
     level = dict.fromkeys(nodes)
     for _ in nodes:
@@ -60,7 +120,7 @@ def test_levels_equal_longest_paths(spark):
     nodes = [f"n{k}" for k in range(40)]
     edges = sorted({(nodes[b], nodes[rnd.randrange(b)]) for b in range(1, 40) for _ in range(2)} | {("n3", "n5"), ("n5", "n3")})
     calls = spark.createDataFrame([(1, 0, n) for n in nodes], "conv_id long, turn long, call_id string")
-    depends = spark.createDataFrame([(1, c, p) for c, p in edges], "conv_id long, call_id string, parent string")
+    depends = spark.createDataFrame([(1, 0, c, p) for c, p in edges], "conv_id long, turn long, call_id string, parent string")
     got = {r["call_id"]: r["level"] for r in chat.levels(calls, depends).collect()}
     assert got == slow_levels(edges, nodes)
 

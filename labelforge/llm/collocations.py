@@ -1,8 +1,10 @@
 """Operator 13: collocations, counted by Rabin-Karp fingerprints.
 
-1. Documents are dealt into blocks of a few MB.  A block's words in a row are the terms of
-   prefix polynomials modulo two primes; the difference of two prefixes is the fingerprint of
-   the words between them.
+1. Documents are numbered, written once and dealt into blocks of a few MB by their numbers, in
+   whose order a block's texts stand: a place in a block names the same word in every step,
+   however the rows arrive.  A block's words in a row are the terms of prefix polynomials
+   modulo two primes; the difference of two prefixes is the fingerprint of the words between
+   them.
 2. Each block sends the fingerprints of its words and pairs to shards, once each, with their
    number and a pointer to an occurrence.  Shards add up and return to each block the
    pointers of those that may be frequent.
@@ -146,6 +148,12 @@ class Block:
                          "phrase": text.cast(pa.binary()).cast(pa.string()), "n": pa.array(n, pa.int64())})
 
 
+def _block(table: pa.Table) -> Block:
+    """The block of rows that come in any order; places count along the rows' numbers."""
+    table = table.sort_by("row")
+    return Block(table.column("text"), table.column("lang"))
+
+
 def _entries(prints: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct fingerprints, their numbers, a place of each)."""
     order = np.argsort(prints, kind="stable")
@@ -173,7 +181,7 @@ SENT = "shard int, block int, prints binary, ns binary, places binary"
 
 def _send_short(shards: int):
     def send(table):
-        block = Block(table.column("text"), table.column("lang"))
+        block = _block(table)
         prints, at = [], []
         for width in (1, 2):
             at.append(block.starts(width))
@@ -233,7 +241,7 @@ def _send_triples(shards: int):
         if not left.num_rows:
             return pa.table({"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int32()),
                              **{c: pa.array([], pa.binary()) for c in ("prints", "ns", "places")}})
-        block = Block(left.column("text"), left.column("lang"))
+        block = _block(left)
         at = _triples(block, _frequent_pairs(block, _places(right)))
         out = _sent(left.column("block")[0].as_py(), *_entries(block.fingerprints(at, 3), at), shards)
         release_memory()
@@ -246,7 +254,7 @@ def _materialise(left, right):
     if not left.num_rows:
         return pa.table({"lang": pa.array([], pa.string()), "width": pa.array([], pa.int32()),
                          "phrase": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
-    block = Block(left.column("text"), left.column("lang"))
+    block = _block(left)
     third = right.column("third").to_numpy()
     short, long = (_places(right.filter(pa.array(third == k))) for k in (0, 1))
     every = np.bincount(block.lang, minlength=len(block.langs))
@@ -269,11 +277,13 @@ def phrase_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes:
     """``docs(text, lang, ...)`` -> lang, width, phrase, n of all phrases of one to three words
     that occur ``LEAST`` times or more; width 0: all word occurrences of a language."""
     spark = docs.sparkSession
+    # three steps read the texts: a second evaluation of ``docs`` might number its rows otherwise
+    docs = written(docs.select("text", F.col("lang").cast("string").alias("lang"),
+                               F.monotonically_increasing_id().alias("row")), "collocations-texts")
     size = docs.agg(F.sum(F.octet_length("text") + 1).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block_bytes))
     shards = max(1, -(-size * SENT_PER_BYTE // (4 * shard_bytes)))
-    dealt = docs.select("text", F.col("lang").cast("string").alias("lang"), F.pmod(
-        F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block")) \
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")) \
         .repartition(max(partitions(spark), min(blocks, 4 * partitions(spark))), "block")
     parts = max(partitions(spark), min(shards, 4 * partitions(spark)))
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from labelforge.llm import collocations, pii, variants
@@ -174,6 +175,31 @@ def test_colliding_fingerprints_change_nothing(spark, monkeypatch):
     assert tuples(collocations.collocations(frame, block_bytes=900)) == slow_collocations(rows)
 
 
+def test_collocations_of_rows_in_a_new_order_at_each_reading(spark):
+    rows = phrase_texts(3, 120)
+
+    def mixed(it):
+        for batch in it:
+            yield batch.take(np.random.default_rng().permutation(batch.num_rows))
+    frame = docs_of(spark, rows).coalesce(1)
+    unsteady = frame.mapInArrow(mixed, frame.schema)
+    assert tuples(collocations.collocations(unsteady, 40, 700, 300)) == slow_collocations(rows, 40)
+
+
+def test_places_of_a_block_do_not_depend_on_the_order_of_arrival():
+    rows = phrase_texts(5, 50)
+    table = pa.table({"text": [t for _, t, _ in rows], "lang": pa.array([g for _, _, g in rows], pa.string()),
+                      "row": list(range(50)), "block": pa.array([0] * 50, pa.int32())})
+    other = table.take(np.random.default_rng(1).permutation(50))
+    sent = collocations._send_short(3)
+    assert sent(table).equals(sent(other))
+    short = pa.table({"block": pa.array([0], pa.int32()),
+                      "places": pa.array([np.concatenate([np.frombuffer(x, np.uint32) for x in
+                                                          sent(table).column("places").to_pylist()]).tobytes()])})
+    triples = collocations._send_triples(3)
+    assert triples(table, short).num_rows and triples(table, short).equals(triples(other, short))
+
+
 def test_collocations_of_an_empty_table(spark):
     assert collocations.collocations(docs_of(spark, phrase_texts(1, 2)).where("false")).collect() == []
 

@@ -15,13 +15,16 @@
    probability is ``CONFIDENCE``.  Among overlapping spans above it the best one is selected;
    spans that overlap a certain match are not.
 
-Scoring is one pass over the texts without a shuffle.  At most about ``TRAIN_ROWS`` labelled
-spans of each kind and label are learned from; everything else covers all texts.
+Scoring is one pass over the texts without a shuffle.  Trees, curves and thresholds come from
+all labelled spans of all texts: spans with equal features are one row with their number as its
+weight, the trees get bins enough for every row to name its cuts, and the curves are built from
+numbers per step of the score, which are few.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 import zlib
 
@@ -37,7 +40,11 @@ from labelforge.llm.common import read, release_memory, unused, written
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
-TRAIN_ROWS, CONFIDENCE, TREES, DEPTH = 10_000, 0.9, 20, 4
+CONFIDENCE, TREES, DEPTH = 0.9, 20, 4
+# Steps of a score in one unit of margin, a power of two.
+STEPS = 4096
+# The library's bins are an int whose square is one; by default it has 32.
+LEAST_BINS, MOST_BINS = 32, 46_340
 # Spans that are scored in one go.
 SCORED = 20_000
 
@@ -254,62 +261,78 @@ def margin(trees: list[dict], x: np.ndarray) -> np.ndarray:
     return out
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(least score, probability) of the steps of the closest ascending curve."""
+def isotonic(score: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(least score, probability) of the steps of the closest ascending curve; with ``n``: ``y`` of
+    the ``n`` spans of each score are 1."""
+    n = np.ones(len(score)) if n is None else n
     order = np.argsort(score, kind="stable")
     steps: list[list[float]] = []  # least score, sum, number
-    for s, v in zip(score[order].tolist(), y[order].tolist()):
+    for s, v, m in zip(score[order].tolist(), y[order].tolist(), n[order].tolist()):
         if steps and steps[-1][0] == s:
             steps[-1][1] += v
-            steps[-1][2] += 1
+            steps[-1][2] += m
         else:
-            steps.append([s, v, 1.0])
+            steps.append([s, v, m])
     curve: list[list[float]] = []
     for step in steps:
         curve.append(step)
         while len(curve) > 1 and curve[-2][1] * curve[-1][2] >= curve[-1][1] * curve[-2][2]:
-            _, a, n = curve.pop()
+            _, a, m = curve.pop()
             curve[-1][1] += a
-            curve[-1][2] += n
+            curve[-1][2] += m
     return np.array([c[0] for c in curve]), np.array([c[1] / c[2] for c in curve])
 
 
-def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> dict | None:
-    """Trees, calibration and thresholds from the texts themselves; None without spans of both
-    labels."""
-    rows = written(_labelled(docs), "pii-labelled")
-    sizes = {(r["kind"], r["label"]): r["n"] for r in
-             rows.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if {y for _, y in sizes} != {0.0, 1.0}:
-        return None
-    share = F.create_map(*[F.lit(v) for (k, y), n in sizes.items()
-                           for v in (f"{k} {y:.0f}", min(1.0, train_rows / n))])
-    place = F.pmod(F.xxhash64("mark"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.where(place < share[F.concat_ws(" ", "kind", F.col("label").cast("int"))])
-    half = F.pmod(F.xxhash64("mark", F.lit(1)), F.lit(2))
-    sample = written(chosen.withColumn("half", half), "pii-sample")
-    if sample.where("half = 0").select("label").distinct().count() < 2:
+def _scored(rows: DataFrame, trees: list[dict]) -> DataFrame:
+    """kind, step of the score, spans ``n`` and those of label 1 ``y``: one row per kind and step."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+    width = len(FEATURES)
+
+    def steps(it):
+        for batch in it:
+            x = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            step = np.floor(margin(shared.value, x) * STEPS).astype(np.int64)
+            n = batch.column(2).to_numpy()
+            y = (n * batch.column(1).to_numpy()).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(step), batch.column(2), pa.array(y)],
+                                             names=["kind", "step", "n", "y"])
+    return rows.select("kind", "label", "n", "x").mapInArrow(steps, "kind int, step long, n long, y long") \
+        .groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
+
+
+def train(docs: DataFrame) -> dict | None:
+    """Trees, calibration and thresholds from the texts themselves, from all labelled spans; None
+    without spans of both labels."""
+    half = F.pmod(F.xxhash64("mark", F.lit(1)), F.lit(2)).cast("int").alias("half")
+    rows = written(_labelled(docs).groupBy("kind", "label", half, "x").agg(F.count(F.lit(1)).alias("n")),
+                   "pii-labelled")
+    learned, other = rows.where("half = 0"), rows.where("half = 1")
+    sizes = {r["label"]: r["n"] for r in learned.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
         return None
-    model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=1) \
-        .fit(sample.where("half = 0").select("label", array_to_vector("x").alias("v")))
+    # with fewer bins than that the library would choose the places of its cuts from a sample
+    bins = min(MOST_BINS, max(LEAST_BINS, math.isqrt(sum(sizes.values())) + 1))
+    model = GBTClassifier(featuresCol="v", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH,
+                          maxBins=bins, seed=1) \
+        .fit(learned.select("label", F.col("n").cast("double").alias("n"), array_to_vector("x").alias("v")))
     trees = _trees(model)
-    other = sample.where("half = 1").select("kind", "label", "x").toArrow()
-    kind, y = other.column("kind").to_numpy(), other.column("label").to_numpy()
-    x = other.column("x").combine_chunks().flatten().to_numpy().reshape(len(kind), len(FEATURES))
-    score, thresholds = margin(trees, x), {}
+    curves, thresholds, held_out = _scored(other, trees).toArrow(), {}, {}
+    kind, step, n, y = (curves.column(c).to_numpy() for c in ("kind", "step", "n", "y"))
     for k in range(4):
-        least, p = isotonic(score[kind == k], y[kind == k])
+        own = kind == k
+        score = step[own] / STEPS
+        least, p = isotonic(score, y[own], n[own])
         sure = np.flatnonzero(p >= CONFIDENCE)
         if len(sure):
             thresholds[k] = float(least[sure[0]])
-    return {"trees": trees, "thresholds": thresholds, "held_out": {
-        KINDS[k]: _quality(score[kind == k] >= thresholds[k], y[kind == k]) for k in thresholds}}
+            held_out[KINDS[k]] = _quality(score >= thresholds[k], y[own], n[own])
+    return {"trees": trees, "thresholds": thresholds, "held_out": held_out}
 
 
-def _quality(chosen: np.ndarray, y: np.ndarray) -> tuple[float, float, int]:
+def _quality(chosen: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float, int]:
     """(precision, recall, spans) on the spans that were not learned from."""
-    right = float((y[chosen] == 1).sum())
-    return right / max(1, chosen.sum()), right / max(1.0, y.sum()), len(y)
+    right = float(y[chosen].sum())
+    return right / max(1, n[chosen].sum()), right / max(1.0, y.sum()), int(n.sum())
 
 
 def select(text: str, base: list[tuple[int, int, int]], model: dict | None) -> list[tuple[int, int, int]]:

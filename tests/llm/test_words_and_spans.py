@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from labelforge.llm import collocations, pii, variants
 from labelforge.llm.common import read
@@ -318,6 +319,27 @@ def test_isotonic_steps_ascend():
     assert least.tolist() == [1, 2, 4] and np.allclose(p, [0, 1 / 3, 1])
 
 
+def test_isotonic_of_numbers_is_that_of_single_spans():
+    rnd = np.random.default_rng(3)
+    score, n = np.arange(40.), rnd.integers(1, 9, 40)
+    y = rnd.binomial(n, np.linspace(0, 1, 40))
+    single = np.concatenate([[1.] * b + [0.] * (a - b) for a, b in zip(n, y)])
+    for got, want in zip(pii.isotonic(score, y, n), pii.isotonic(np.repeat(score, n), single)):
+        assert np.allclose(got, want)
+
+
+def test_every_labelled_span_is_learned_from(spark):
+    rnd = random.Random(2)
+    rows = [(k, " and ".join([".".join(str(rnd.randrange(256)) for _ in range(4)) for _ in range(120)] +
+                             [f"x{rnd.randrange(10**13, 10**14)}"] * 3), None) for k in range(300)]
+    docs = docs_of(spark, rows)
+    labelled = pii._labelled(docs).toPandas()
+    assert ((labelled["kind"] == pii.IP) & (labelled["label"] == 1)).sum() == 36_000
+    halves = {r["half"]: r["n"] for r in pii._labelled(docs).where(f"kind = {pii.IP}").selectExpr(
+        "pmod(xxhash64(mark, 1), 2) AS half").groupBy("half").agg(F.count("*").alias("n")).collect()}
+    assert pii.train(docs)["held_out"]["ip"][2] == halves[1]
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None, None), (2, "", None), (3, "no numbers", "en"), (3, "no numbers", "en"), (None, "x 1.2.3.4é", "de"),
             (4, "é a@b.cd " + "word " * 60_000, "fr")]

@@ -178,6 +178,32 @@ def test_order_check_finds_a_break_in_and_between_files(spark):
     assert told["breaks_inside"] == 0 and told["breaks_between"] == 2
 
 
+def test_sorted_files_and_their_check_grow_in_number_not_in_size(spark, monkeypatch):
+    from labelforge.operators import ordering
+    monkeypatch.setattr(ordering, "SORT_BYTES", 4000, raising=False)
+    monkeypatch.setattr(ordering, "PIECE_BYTES", 300, raising=False)
+    df = spark.range(2000).select(F.expr("id % 3").cast("string").alias("rowkey"),
+                                  F.lpad(F.col("id").cast("string"), 5, "0").alias("qualifier"))
+    path = cells.write_sorted_cells(df, fresh_path(spark, "order"), 2, cut_rows=True)
+    told = ordering.order_check(spark, path, ["rowkey", "qualifier"]).first()
+    assert told["files"] > 10
+    assert (told["rows"], told["breaks_inside"], told["breaks_between"]) == (2000, 0, 0)
+    told = ordering.order_check(spark, path, ["qualifier"]).first()
+    assert told["breaks_inside"] + told["breaks_between"] >= 2
+    bad = fresh_path(spark, "order")
+    df.coalesce(1).sortWithinPartitions(F.desc("qualifier")).write.parquet(bad)
+    check = ordering.order_check(spark, bad, ["qualifier"])
+    told = check.first()
+    assert (told["rows"], told["files"], told["breaks_inside"], told["breaks_between"]) == (2000, 1, 1999, 0)
+    mixed = [7, 7, None, 3, 9, None, None, 8] * 40
+    less = sum((b is None and a is not None) or (None not in (a, b) and b < a) for a, b in zip(mixed, mixed[1:]))
+    spark.createDataFrame([(x,) for x in mixed], "b int").coalesce(1).write.mode("overwrite").parquet(bad)
+    assert ordering.order_check(spark, bad, ["b"]).first()["breaks_inside"] == less
+    assert ordering.range_sorted(df, ["qualifier"]).rdd.getNumPartitions() > 10
+    ranked = ordering.global_rank(df, ["qualifier"]).collect()
+    assert sorted((r["pos"], r["qualifier"]) for r in ranked) == [(k + 1, f"{k:05d}") for k in range(2000)]
+
+
 def test_search_builds_columns_for_hits_only(spark):
     data = [(str(k), t, f"{t}{k % 5}") for k in range(200) for t in ("a", "b", "c") if (k + ord(t)) % 7]
     path = fresh_path(spark, "search-store")

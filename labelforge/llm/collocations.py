@@ -12,16 +12,22 @@
    such triples and get their pointers back in the same way.
 4. Only what a pointer came back for becomes text.  A block compares all occurrences of the
    fingerprint with the words the pointer shows (colliding ones are phrases of their own)
-   and gives each phrase's text with its number; one aggregate over texts makes the counts
-   exact.  A fingerprint never decides a result, it only leaves out what is rare.
-5. Scores and the comparison with longer phrases are joins of the frequent phrases.
-
-Blocks and shards are of a fixed size in bytes; a block sends a shard one row.  On very large
+   and sends each phrase's text with its number to its shard, the phrases of a language in
+   order and packed; sums by text make the counts exact.  A fingerprint never decides a
+   result, it only leaves out what is rare and names a shard.
+5. Scores and the comparison with longer phrases are joins of the frequent phrases.  Each
+   number is shuffled once per look-up; parts that begin or end very many phrases are left to
+   Spark's treatment of skewed joins.
+
+Blocks and shards are of a fixed size in bytes; a block sends a shard one row (of texts, one a
+language).  On very large
 inputs that is one row per few fingerprints, as a plain shuffle of fingerprints would be.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,8 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelforge.llm.common import partitions, read, release_memory, written
-from labelforge.operators.sizing import sized_join
+from labelforge.llm.common import discard, fresh_path, partitions, read, release_memory, written
 
 LEAST, TOP, SHARE, SCALE = 10, 2000, 50, 1_000_000
 NO_LANG = "und"
@@ -40,6 +45,8 @@ BLOCK_BYTES, SHARD_BYTES = 8 << 20, 32 << 20
 SENT_PER_BYTE = 9
 PRIMES, BASES = (2147483647, 2147483629), (1_000_003, 998_244_353)
 BLANK, CUT = 1, 2
+# Between packed phrases: it ends a piece, so no word has it.
+BETWEEN = b"\n"
 # Bytes after lower-casing A-Z, and what they are: part of a word, between words, between pieces.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -84,8 +91,12 @@ class Block:
         packed = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])])
         coded = packed.dictionary_encode()
-        self.codes = coded.indices.to_numpy().astype(np.int64)
-        self.dictionary = coded.dictionary
+        # codes ascend with the words, so that phrases in the order of their codes pack well
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.codes = rank[coded.indices.to_numpy()]
+        self.dictionary = coded.dictionary.take(pa.array(order))
         self.text = np.searchsorted(ends, starts, "right") - 1
         cuts = np.flatnonzero(kind == CUT)
         piece = np.searchsorted(cuts, starts)
@@ -130,8 +141,9 @@ class Block:
         out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return out ^ (out >> np.uint64(31))
 
-    def phrases(self, at: np.ndarray, width: int) -> pa.Table:
-        """lang, phrase, n of the ``width`` words at each place, by the words themselves."""
+    def phrases(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """(languages, fingerprints, texts, numbers) of the ``width`` words at each place, told apart
+        by the words themselves; in the order of languages and words."""
         keys = [self.codes[at + k] for k in range(width - 1, -1, -1)] + [self.lang[at]]
         order = np.lexsort(keys)
         new = np.zeros(len(at), bool)
@@ -143,9 +155,7 @@ class Block:
         first = at[order[first]]
         words = [self.dictionary.take(pa.array(self.codes[first + k])) for k in range(width)]
         text = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if width > 1 else words[0]
-        return pa.table({"lang": pa.array(self.langs, pa.string()).take(pa.array(self.lang[first])),
-                         "width": pa.array(np.full(len(first), width, np.int32)),
-                         "phrase": text.cast(pa.binary()).cast(pa.string()), "n": pa.array(n, pa.int64())})
+        return self.lang[first], self.fingerprints(first, width), text, n
 
 
 def _block(table: pa.Table) -> Block:
@@ -162,13 +172,20 @@ def _entries(prints: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return prints[first], np.diff(np.append(first, len(prints))), at[order[first]]
 
 
+def _shard(prints: np.ndarray, shards: int) -> np.ndarray:
+    """Shards of fingerprints; they ascend with them."""
+    return (prints >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+
+
 def _sent(block: int, prints: np.ndarray, n: np.ndarray, at: np.ndarray, shards: int) -> pa.Table:
-    """One row per shard: the shard sees 32 bits of each fingerprint, its number and its place."""
-    shard = (prints >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)  # ascends
+    """One row per shard: the shard sees 32 bits of each fingerprint, its number and its place.
+
+    A number beyond ``LEAST`` says no more than ``LEAST`` here: exact numbers come with the texts."""
+    shard = _shard(prints, shards)
     cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
     some = np.flatnonzero(np.diff(cuts))
     low = prints.astype(np.uint32)
-    small = n.astype(np.uint8) if not len(n) or n.max() < 256 else n.astype(np.int64)
+    small = np.minimum(n, LEAST).astype(np.min_scalar_type(LEAST))
 
     def packed(values):
         return pa.array([values[a:b].tobytes() for a, b in zip(cuts[some], cuts[some + 1])], pa.binary())
@@ -198,8 +215,7 @@ def _frequent(table):
     """Per block: the places it sent to this shard whose fingerprints add up to ``LEAST``."""
     rows = [np.frombuffer(x, np.uint32) for x in table.column("prints").to_pylist()]
     sizes = np.array([len(x) for x in rows])
-    ns = np.concatenate([np.frombuffer(x, np.uint8 if len(x) == k else np.int64).astype(np.int64)
-                         for x, k in zip(table.column("ns").to_pylist(), sizes)])
+    ns = np.frombuffer(b"".join(table.column("ns").to_pylist()), np.min_scalar_type(LEAST)).astype(np.int64)
     prints = np.concatenate(rows)
     order = np.argsort(prints, kind="stable")
     first = np.flatnonzero(np.append(True, prints[order][1:] != prints[order][:-1]))
@@ -249,26 +265,72 @@ def _send_triples(shards: int):
     return send
 
 
-def _materialise(left, right):
-    """Texts and numbers of a block's phrases that may be frequent; width 0: all its words."""
-    if not left.num_rows:
-        return pa.table({"lang": pa.array([], pa.string()), "width": pa.array([], pa.int32()),
-                         "phrase": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
-    block = _block(left)
-    third = right.column("third").to_numpy()
-    short, long = (_places(right.filter(pa.array(third == k))) for k in (0, 1))
+PACKED = "shard int, lang string, phrases binary, ns binary"
+
+
+def _packed(block: Block, found: dict[int, np.ndarray], shards: int) -> pa.Table:
+    """One row per shard and language: its phrases at the places found per width, and their
+    numbers; the empty phrase stands for all words of a language."""
     every = np.bincount(block.lang, minlength=len(block.langs))
-    out = [pa.table({"lang": pa.array(block.langs, pa.string()), "width": pa.array(np.zeros(len(every), np.int32)),
-                     "phrase": pa.array([""] * len(every), pa.string()), "n": pa.array(every, pa.int64())})]
-    pairs = _frequent_pairs(block, short)
-    singles = block.starts(1)
-    shown = short[short % 2 == 0] // 2
-    found = {1: singles[_member(block.fingerprints(singles, 1), block.fingerprints(shown, 1))],
-             2: np.flatnonzero(pairs)}
-    triples = _triples(block, pairs)
-    found[3] = triples[_member(block.fingerprints(triples, 3), block.fingerprints(long, 3))]
-    out += [block.phrases(at, width) for width, at in found.items() if len(at)]
-    out = pa.concat_tables(out)
+    parts = [(np.arange(len(every)), block.seed, pa.array([b""] * len(every), pa.large_binary()), every)]
+    parts += [block.phrases(at, width) for width, at in found.items() if len(at)]
+    lang, prints, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
+    text = pa.concat_arrays([p[2] for p in parts])
+    group = _shard(prints, shards).astype(np.int64) * max(1, len(block.langs)) + lang
+    order = np.argsort(group, kind="stable")
+    group, n = group[order], n[order]
+    cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else group
+    ends = np.append(cuts, len(group))
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), text.take(pa.array(order))),
+                            pa.scalar(BETWEEN, pa.large_binary()))
+    numbers = [n[a:b].astype(np.uint8 if n[a:b].max() < 256 else np.int64).tobytes() for a, b in zip(ends, ends[1:])]
+    shard, lang = np.divmod(group[cuts], max(1, len(block.langs)))
+    return pa.table({"shard": pa.array(shard.astype(np.int32)),
+                     "lang": pa.array(block.langs, pa.string()).take(pa.array(lang)),
+                     "phrases": pa.array([zlib.compress(x.as_py(), 1) for x in joined], pa.binary()),
+                     "ns": pa.array([zlib.compress(x, 1) for x in numbers], pa.binary())})
+
+
+def _materialise(shards: int):
+    """Texts and numbers of a block's phrases that may be frequent, packed for their shards."""
+    def send(left, right):
+        if not left.num_rows:
+            return pa.table({"shard": pa.array([], pa.int32()), "lang": pa.array([], pa.string()),
+                             **{c: pa.array([], pa.binary()) for c in ("phrases", "ns")}})
+        block = _block(left)
+        third = right.column("third").to_numpy()
+        short, long = (_places(right.filter(pa.array(third == k))) for k in (0, 1))
+        pairs = _frequent_pairs(block, short)
+        singles = block.starts(1)
+        shown = short[short % 2 == 0] // 2
+        found = {1: singles[_member(block.fingerprints(singles, 1), block.fingerprints(shown, 1))],
+                 2: np.flatnonzero(pairs)}
+        triples = _triples(block, pairs)
+        found[3] = triples[_member(block.fingerprints(triples, 3), block.fingerprints(long, 3))]
+        out = _packed(block, found, shards)
+        release_memory()
+        return out
+    return send
+
+
+def _summed(table):
+    """lang, width, phrase, n of a shard: the exact numbers of its texts over all blocks, without
+    those that are rare after all; width 0: all words."""
+    texts = pc.split_pattern(pa.array([zlib.decompress(x) for x in table.column("phrases").to_pylist()],
+                                      pa.large_binary()), BETWEEN)
+    sizes = pc.list_value_length(texts).to_numpy()
+    ns = np.concatenate([np.frombuffer(x, np.uint8 if len(x) == k else np.int64).astype(np.int64) for x, k in
+                         zip(map(zlib.decompress, table.column("ns").to_pylist()), sizes)])
+    lang = table.column("lang").combine_chunks().dictionary_encode()
+    rows = pa.table({"lang": np.repeat(lang.indices.to_numpy(), sizes), "phrase": texts.flatten(), "n": ns})
+    del texts
+    sums = rows.group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    sums = sums.filter(pc.or_(pc.greater_equal(sums["n_sum"], LEAST), pc.equal(pc.binary_length(sums["phrase"]), 0)))
+    width = pc.if_else(pc.equal(pc.binary_length(sums["phrase"]), 0), 0,
+                       pc.add(pc.count_substring(sums["phrase"], b" "), 1))
+    out = pa.table({"lang": lang.dictionary.take(sums["lang"]), "width": width.cast(pa.int32()),
+                    "phrase": sums["phrase"].cast(pa.binary()).cast(pa.string()), "n": sums["n_sum"]})
+    del rows, sums
     release_memory()
     return out
 
@@ -277,9 +339,17 @@ def phrase_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes:
     """``docs(text, lang, ...)`` -> lang, width, phrase, n of all phrases of one to three words
     that occur ``LEAST`` times or more; width 0: all word occurrences of a language."""
     spark = docs.sparkSession
+    paths = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """Written until the counts are there."""
+        paths.append(fresh_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
     # three steps read the texts: a second evaluation of ``docs`` might number its rows otherwise
-    docs = written(docs.select("text", F.col("lang").cast("string").alias("lang"),
-                               F.monotonically_increasing_id().alias("row")), "collocations-texts")
+    docs = kept(docs.select("text", F.col("lang").cast("string").alias("lang"),
+                            F.monotonically_increasing_id().alias("row")), "collocations-texts")
     size = docs.agg(F.sum(F.octet_length("text") + 1).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block_bytes))
     shards = max(1, -(-size * SENT_PER_BYTE // (4 * shard_bytes)))
@@ -288,16 +358,19 @@ def phrase_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes:
     parts = max(partitions(spark), min(shards, 4 * partitions(spark)))
 
     def replied(sent: DataFrame, third: int, name: str) -> DataFrame:
-        return written(sent.repartition(parts, "shard").groupBy("shard").applyInArrow(
+        return kept(sent.repartition(parts, "shard").groupBy("shard").applyInArrow(
             _frequent, "block int, places binary").withColumn("third", F.lit(third)), name)
 
     short = replied(dealt.groupBy("block").applyInArrow(_send_short(shards), SENT), 0, "collocations-short")
     long = replied(dealt.groupBy("block").cogroup(short.groupBy("block")).applyInArrow(
         _send_triples(shards), SENT), 1, "collocations-long")
     texts = dealt.groupBy("block").cogroup(short.unionByName(long).groupBy("block")).applyInArrow(
-        _materialise, "lang string, width int, phrase string, n long")
-    return texts.groupBy("lang", "width", "phrase").agg(F.sum("n").alias("n")) \
-        .where((F.col("n") >= LEAST) | (F.col("width") == 0))
+        _materialise(shards), PACKED)
+    counts = written(texts.repartition(parts, "shard").groupBy("shard").applyInArrow(
+        _summed, "lang string, width int, phrase string, n long"), "collocations-counts")
+    for path in paths:
+        discard(spark, path)
+    return counts
 
 
 def score_column() -> Column:
@@ -315,9 +388,8 @@ def collocations(docs: DataFrame, top: int = TOP, block_bytes: int = BLOCK_BYTES
     Null texts have no words; a null lang is ``und``, together with one written so.  Repeated
     rows count each by itself; texts of any length are taken whole, other columns are ignored;
     an empty table gives an empty result.  Counts up to 10 ** 14 are exact."""
-    counts = written(phrase_counts(docs, block_bytes, shard_bytes), "collocations-counts")
-    number = counts.where("width > 0").select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"),
-                                              F.col("n").alias("_f"))
+    counts = phrase_counts(docs, block_bytes, shard_bytes)
+    number = counts.where("width > 0")
     words = F.split("phrase", " ")
     phrases = counts.where("width > 1").select("lang", "width", "phrase", F.col("n").alias("a"))
 
@@ -326,9 +398,7 @@ def collocations(docs: DataFrame, top: int = TOP, block_bytes: int = BLOCK_BYTES
                         F.array_join(F.slice(words, k + 1, F.size(words) - k), " ").alias("rest"))
 
     def looked_up(df: DataFrame, column: str, name: str) -> DataFrame:
-        joined = sized_join(df, number, lambda x, y: (x["lang"] == y["_lang"]) & (x[column] == y["_part"]),
-                            "inner", ["lang", "phrase", "k"])
-        return joined.withColumnRenamed("_f", name).drop("_lang", "_part", "_salt", "_rsalt")
+        return df.join(number.select("lang", F.col("phrase").alias(column), F.col("n").alias(name)), ["lang", column])
 
     cuts = phrases.select("lang", "phrase", "a", F.explode(F.when(F.col("width") == 2, F.array(cut(1)))
                                                           .otherwise(F.array(cut(1), cut(2)))).alias("c")) \

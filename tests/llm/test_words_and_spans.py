@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -201,6 +202,58 @@ def test_places_of_a_block_do_not_depend_on_the_order_of_arrival():
     assert triples(table, short).num_rows and triples(table, short).equals(triples(other, short))
 
 
+def frequent_words(rows):
+    """A block of ``rows`` and the places of its words, pairs and triples."""
+    block = collocations.Block(pa.chunked_array([pa.array([t for _, t, _ in rows], pa.string())]),
+                               pa.chunked_array([pa.array([g for _, _, g in rows], pa.string())]))
+    return block, {width: block.starts(width) for width in (1, 2, 3)}
+
+
+def test_numbers_on_the_way_to_a_shard_are_a_byte_however_frequent_a_word():
+    block, found = frequent_words([(1, "often " * 3000 + "seldom", "en")])
+    sent = collocations._sent(0, *collocations._entries(block.fingerprints(found[1], 1), found[1]), 1)
+    assert len(sent.column("ns")[0].as_py()) == 2
+    again = pa.concat_tables([sent] * 2)
+    assert sorted(len(x) for x in collocations._frequent(again).column("places").to_pylist()) == [4, 4]
+
+
+def test_texts_reach_the_shards_packed_and_are_summed_exactly():
+    rows = [(k, t, g) for k, t, g in phrase_texts(6, 400)] + [(1, "so often " * 400, "en"), (2, "\n.", "de")]
+    sent, plain, want, n = [], 0, Counter(), Counter()
+    for part in (rows[::2], rows[1::2], rows[1::2]):
+        block, found = frequent_words(part)
+        sent.append(collocations._packed(block, found, 3))
+        assert sent[-1].num_rows <= 3 * len(block.langs)
+        for width, at in found.items():
+            lang, _, text, numbers = block.phrases(at, width)
+            for g, t, k in zip(lang.tolist(), text.to_pylist(), numbers.tolist()):
+                plain += len(t) + 8
+                want[block.langs[g], width, t.decode()] += k
+        n.update(block.langs[g] for g in block.lang.tolist())
+        n.update({g: 0 for g in block.langs})
+    table = pa.concat_tables(sent)
+    assert 3 * sum(len(x) for c in ("phrases", "ns") for x in table.column(c).to_pylist()) < plain
+    got = {}
+    for shard in set(table.column("shard").to_pylist()):
+        one = collocations._summed(table.filter(pa.array([x == shard for x in table.column("shard").to_pylist()])))
+        got.update({(r["lang"], r["width"], r["phrase"]): r["n"] for r in one.to_pylist()})
+    assert got == {k: v for k, v in want.items() if v >= 10} | {(g, 0, ""): k for g, k in n.items()}
+
+
+def test_numbers_are_looked_up_without_repeating_them_and_texts_do_not_stay(spark):
+    frame = docs_of(spark, phrase_texts(7, 60))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = collocations.collocations(frame)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" not in plan and "salt" not in plan and "SortMergeJoin" in plan
+    files = collocations.phrase_counts(frame).inputFiles()
+    root = Path(files[0].removeprefix("file:")).parents[1]
+    assert not [p for k in ("texts", "short", "long") for p in root.glob(f"collocations-{k}-*")]
+
+
 def test_collocations_of_an_empty_table(spark):
     assert collocations.collocations(docs_of(spark, phrase_texts(1, 2)).where("false")).collect() == []
 
